@@ -23,35 +23,44 @@ VERTEX, EDGE, EXISTENCE = 1, 2, 7
 EDGE_VERSION = 1
 
 
-def _hex(c: Column, width: int) -> Column:
-    """Last ``width`` hex digits of a bigint (two's complement)."""
-    return F.right(F.lpad(F.hex(c.cast("bigint")), 16, "0"), F.lit(width))
+def _bytes(c: Column, size: int) -> Column:
+    """Big-endian bytes of a non-negative bigint, or of all 8 bytes of any bigint."""
+    return F.unhex(F.lpad(F.hex(c), 2 * size, "0"))
+
+
+def _swap8(c: Column) -> Column:
+    """Byte order of a bigint reversed: swap bytes, then pairs, then halves."""
+    for shift, mask in ((8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF)):
+        keep = F.lit(mask).cast("bigint")
+        c = F.shiftleft(c.bitwiseAND(keep), shift).bitwiseOR(
+            F.shiftrightunsigned(c, shift).bitwiseAND(keep))
+    return F.shiftleft(c, 32).bitwiseOR(F.shiftrightunsigned(c, 32))
 
 
 def _little(c: Column, size: int) -> Column:
-    digits = _hex(c, 2 * size)
-    swapped = [F.substring(digits, 2 * i + 1, 2) for i in reversed(range(size))]
-    return F.unhex(F.concat(*swapped))
+    """Little-endian bytes of the low 4 or 8 bytes of a bigint."""
+    swapped = _swap8(c.cast("bigint"))
+    return _bytes(swapped if size == 8 else F.shiftrightunsigned(swapped, 32), size)
 
 
-def _head(part: Column | str, kind: int) -> Column:
-    return _little(F.shiftleft(_col(part).cast("bigint"), 8).bitwiseOR(F.lit(kind).cast("bigint")), 4)
+def _head(part: Column | str, kind: int | Column) -> Column:
+    kind = F.lit(kind) if isinstance(kind, int) else kind
+    return _little(F.shiftleft(_col(part).cast("bigint"), 8).bitwiseOR(kind.cast("bigint")), 4)
 
 
-def _number(n: int) -> Column:
-    return F.lit(bytearray(struct.pack("<i", n)))
+def _number(n: int | Column) -> Column:
+    return F.lit(bytearray(struct.pack("<i", n))) if isinstance(n, int) else _little(n, 4)
 
 
 def id_bytes(c: Column | str, length: int, id_type: str = "STRING") -> Column:
     """Id as fixed-width bytes; longer ids are an error, never cut."""
     if check_id_type(id_type) == "INT":
-        raw = _little(_col(c), 8)
         if length < 8:
             raise ValueError("integer ids need an id length of at least 8")
-    else:
-        raw = F.encode(_col(c).cast("string"), "UTF-8")
-    padded = F.rpad(raw, length, bytearray(b"\0"))
-    return F.when(F.octet_length(raw) <= length, padded).when(
+        raw = _little(_col(c), 8)
+        return raw if length == 8 else F.rpad(raw, length, bytearray(b"\0"))
+    raw = F.encode(_col(c).cast("string"), "UTF-8")
+    return F.when(F.octet_length(raw) <= length, F.rpad(raw, length, bytearray(b"\0"))).when(
         raw.isNotNull(),
         F.raise_error(F.concat(F.lit(f"id longer than {length} bytes: "),
                                _col(c).cast("string"))))
@@ -71,12 +80,11 @@ def edge_key(part: Column | str, src: Column | str, edge_type: int | Column,
              rank: Column | str | int, dst: Column | str, length: int,
              id_type: str = "STRING") -> Column:
     """Key of one direction; pass the negated number and swapped ends for the other."""
-    number = _number(edge_type) if isinstance(edge_type, int) else _little(edge_type, 4)
     rank = F.lit(rank) if isinstance(rank, int) else _col(rank)
     flipped = rank.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint"))
     return F.concat(
-        _head(part, EDGE), id_bytes(src, length, id_type), number,
-        F.unhex(_hex(flipped, 16)), id_bytes(dst, length, id_type),
+        _head(part, EDGE), id_bytes(src, length, id_type), _number(edge_type),
+        _bytes(flipped, 8), id_bytes(dst, length, id_type),
         F.lit(bytearray([EDGE_VERSION])))
 
 

@@ -33,14 +33,16 @@ def check_type(kind: str) -> str:
     return name
 
 
-def render_literal(c: Column | str, kind: str, marker: str | None = None) -> Column:
+def render_literal(c: Column | str, kind: str, marker: str | None = None,
+                   source_text: bool = True) -> Column:
     """Literal text of a value for its target type; NULL stays NULL.
 
     The type is known when the plan is built, so each property costs one
-    expression and no per-row dispatch.
+    expression and no per-row dispatch. ``source_text=False`` says the column
+    is not text, so there is nothing to trim.
     """
     kind = check_type(kind)
-    text = jtrim(_col(c))
+    text = jtrim(_col(c), source_text)
     if kind in ("STRING", "FIXED_STRING"):
         return quote_text(unsentinel(text, marker))
     if kind in LITERAL_CALLS:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 # The characters that trimming removes (U+0000 to U+0020).
 TRIMMED = "".join(chr(code) for code in range(0x21))
@@ -27,12 +28,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def jtrim(c: Column | str) -> Column:
+def jtrim(c: Column | str, text: bool = True) -> Column:
     """Text without leading and trailing control characters and spaces.
 
-    Spark's one-argument trim removes only spaces.
+    Spark's one-argument trim removes only spaces, and trimming a set of
+    characters is slow, so values with clean ends skip it. ``text=False`` says
+    the column is not text and has nothing to trim.
     """
-    return F.btrim(_col(c).cast("string"), F.lit(TRIMMED))
+    value = _col(c).cast("string")
+    if not text:
+        return value
+    clean = (F.substring(value, 1, 1) > " ") & (F.substring(value, -1, 1) > " ")
+    return F.when(clean, value).otherwise(F.btrim(value, F.lit(TRIMMED)))
+
+
+def is_text(schema: StructType, name: str) -> bool:
+    return isinstance(schema[name].dataType, StringType)
 
 
 def unsentinel(c: Column | str, marker: str | None) -> Column:
@@ -82,6 +93,7 @@ def check_policy(policy: str | None) -> str | None:
     return policy
 
 
-def clean_id(c: Column | str, prefix: str | None = None, marker: str | None = None) -> Column:
+def clean_id(c: Column | str, prefix: str | None = None, marker: str | None = None,
+             text: bool = True) -> Column:
     """Trimmed id text, empty marker resolved, prefix added."""
-    return prefix_id(unsentinel(jtrim(c), marker), prefix)
+    return prefix_id(unsentinel(jtrim(c, text), marker if text else None), prefix)

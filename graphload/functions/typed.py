@@ -156,14 +156,17 @@ def parse_wkt(c: Column | str, on_error: str = "fail") -> Column:
 
 
 def parse_typed(c: Column | str, kind: str, marker: str | None = None,
-                on_error: str = "fail", strict: bool = False) -> Column:
-    """Value of a source column as its target type; NULL stays NULL."""
+                on_error: str = "fail", strict: bool = False, source_text: bool = True) -> Column:
+    """Value of a source column as its target type; NULL stays NULL.
+
+    ``source_text=False`` says the column is not text: nothing to trim.
+    """
     kind = check_type(kind)
     c = _col(c)
     if kind in ("STRING", "FIXED_STRING"):
-        return unsentinel(jtrim(c), marker)
+        return unsentinel(jtrim(c, source_text), marker)
     if kind in CASTS:
-        return _cast(jtrim(c), CASTS[kind], on_error)
+        return _cast(jtrim(c, source_text), CASTS[kind], on_error)
     if kind == "BOOL":
         return parse_bool(c, on_error)
     if kind == "DATE":

@@ -4,42 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.hashing import graph_part
 from ..functions.keys import EDGE, EXISTENCE, VERTEX, edge_key, existence_key, vertex_key
-from ..functions.text import jtrim
+from ..functions.text import is_text
 from ..functions.typed import parse_typed
 from ..spec import EdgeSpec, GraphTarget, VertexSpec, bind_schema
 from .rows import dedup
-from .statements import id_value
+from .statements import id_value, rank_value
 
 
-def typed_properties(spec: VertexSpec | EdgeSpec, target: GraphTarget) -> Column:
+def typed_properties(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarget
+                     ) -> Column:
     """Properties as a struct of typed values under their target names."""
     types = bind_schema(spec, target)
-    return F.struct(*[parse_typed(f, types[t], target.empty_marker).alias(t)
-                      for f, t in spec.properties])
-
-
-def _with_props(df: DataFrame, spec, target: GraphTarget, ids: list[Column]) -> DataFrame:
-    if spec.properties:
-        return df.select(*ids, typed_properties(spec, target).alias("props"))
-    return df.select(*ids, F.struct(F.lit(None).cast("string").alias("none")).alias("props"))
+    fields = [parse_typed(f, types[t], target.empty_marker, source_text=is_text(schema, f)).alias(t)
+              for f, t in spec.properties]
+    # a struct needs a field; a NULL one is left out of the JSON value
+    return F.struct(*(fields or [F.lit(None).cast("string").alias("none")]))
 
 
 def vertex_rows(df: DataFrame, spec: VertexSpec, target: GraphTarget) -> DataFrame:
     """(vid, props), typed."""
-    vid = id_value(spec.id, target, spec.policy, spec.prefix)
-    return _with_props(df, spec, target, [vid.alias("vid")])
+    return df.select(id_value(df.schema, spec.id, target, spec.policy, spec.prefix).alias("vid"),
+                     typed_properties(df.schema, spec, target).alias("props"))
 
 
 def edge_rows(df: DataFrame, spec: EdgeSpec, target: GraphTarget) -> DataFrame:
     """(src, dst, rank, props), typed; no rank column means rank 0."""
-    rank = jtrim(spec.rank).cast("bigint") if spec.rank else F.lit(0).cast("bigint")
-    return _with_props(df, spec, target, [
-        id_value(spec.src, target, spec.src_policy, spec.src_prefix).alias("src"),
-        id_value(spec.dst, target, spec.dst_policy, spec.dst_prefix).alias("dst"),
-        rank.alias("rank")])
+    rank = rank_value(df.schema, spec.rank) if spec.rank else F.lit(0).cast("bigint")
+    return df.select(
+        id_value(df.schema, spec.src, target, spec.src_policy, spec.src_prefix).alias("src"),
+        id_value(df.schema, spec.dst, target, spec.dst_policy, spec.dst_prefix).alias("dst"),
+        rank.alias("rank"), typed_properties(df.schema, spec, target).alias("props"))
 
 
 def vertex_kv(df: DataFrame, spec: VertexSpec, target: GraphTarget, existence: bool = False,
@@ -48,20 +46,16 @@ def vertex_kv(df: DataFrame, spec: VertexSpec, target: GraphTarget, existence: b
     rows = vertex_rows(df, spec, target)
     if unique:
         rows = dedup(rows, ["vid"], ["props"])
-    rows = rows.withColumn("part", graph_part("vid", target.parts, target.id_type))
     number = target.label(spec.label, "vertex").number
-    nothing = F.lit(None).cast(rows.schema["props"].dataType)
-
-    def entry(prefix: int, key: Column, props: Column) -> Column:
-        return F.struct(F.col("part"), F.lit(prefix).alias("prefix"), key.alias("key"),
-                        props.alias("props"))
-
-    entries = [entry(VERTEX, vertex_key("part", "vid", target.id_len, number, target.id_type),
-                     F.col("props"))]
-    if existence:
-        entries.append(entry(EXISTENCE, existence_key("part", "vid", target.id_len,
-                                                      target.id_type), nothing))
-    return rows.select(F.inline(F.array(*entries)))
+    rows = rows.withColumn("part", graph_part("vid", target.parts, target.id_type))
+    key = vertex_key("part", "vid", target.id_len, number, target.id_type)
+    if not existence:
+        return rows.select("part", F.lit(VERTEX).alias("prefix"), key.alias("key"), "props")
+    both = rows.withColumn("prefix", F.explode(F.array(F.lit(VERTEX), F.lit(EXISTENCE))))
+    tagged = F.col("prefix") == VERTEX
+    bare = existence_key("part", "vid", target.id_len, target.id_type)
+    return both.select("part", "prefix", F.when(tagged, key).otherwise(bare).alias("key"),
+                       F.when(tagged, F.col("props")).alias("props"))
 
 
 def edge_kv(df: DataFrame, spec: EdgeSpec, target: GraphTarget, unique: bool = True) -> DataFrame:
@@ -69,18 +63,17 @@ def edge_kv(df: DataFrame, spec: EdgeSpec, target: GraphTarget, unique: bool = T
     rows = edge_rows(df, spec, target)
     if unique:
         rows = dedup(rows, ["src", "dst", "rank"], ["props"])
-    rows = rows.withColumn("src_part", graph_part("src", target.parts, target.id_type))
-    rows = rows.withColumn("dst_part", graph_part("dst", target.parts, target.id_type))
     number = target.label(spec.label, "edge").number
-
-    def entry(part: str, near: str, far: str, kind: int) -> Column:
-        return F.struct(
-            F.col(part).alias("part"), F.lit(EDGE).alias("prefix"),
-            edge_key(part, near, kind, "rank", far, target.id_len, target.id_type).alias("key"),
-            F.col("props"))
-
-    return rows.select(F.inline(F.array(entry("src_part", "src", "dst", number),
-                                        entry("dst_part", "dst", "src", -number))))
+    turned = F.col("way") < 0
+    ways = rows.withColumn("way", F.explode(F.array(F.lit(1), F.lit(-1)))).select(
+        F.when(turned, F.col("dst")).otherwise(F.col("src")).alias("near"),
+        F.when(turned, F.col("src")).otherwise(F.col("dst")).alias("far"),
+        (F.col("way") * number).alias("number"), "rank", "props")
+    ways = ways.withColumn("part", graph_part("near", target.parts, target.id_type))
+    return ways.select(
+        "part", F.lit(EDGE).alias("prefix"),
+        edge_key("part", "near", F.col("number"), "rank", "far", target.id_len,
+                 target.id_type).alias("key"), "props")
 
 
 def kv_value(props: Column | str) -> Column:

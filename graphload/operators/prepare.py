@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructType
 
 from ..functions.hashing import check_id_type
 from ..functions.text import _col, check_policy, is_numeric_id, jtrim
@@ -40,9 +41,20 @@ def integer_text(c: Column | str) -> Column:
     return is_numeric_id(text) & text.try_cast("bigint").isNotNull()
 
 
+def _is_integer(schema: StructType | None, name: Column | str) -> bool:
+    """Whether the column type already says that every value is an integer."""
+    return (schema is not None and isinstance(name, str)
+            and isinstance(schema[name].dataType, IntegralType))
+
+
 def id_problem(c: Column | str, id_type: str, policy: str | None = None,
-               prefix: str | None = None, what: str = "id") -> Column:
-    """Why an id cannot be used, or NULL. Rules fixed per load fold away."""
+               prefix: str | None = None, what: str = "id", schema: StructType | None = None
+               ) -> Column:
+    """Why an id cannot be used, or NULL. Rules fixed per load fold away.
+
+    With the ``schema`` of the rows, integer columns need no look at the values.
+    """
+    integer = _is_integer(schema, c)
     c = _col(c)
     check_policy(policy)
     if check_id_type(id_type) == "STRING":
@@ -51,33 +63,38 @@ def id_problem(c: Column | str, id_type: str, policy: str | None = None,
         rule = F.lit(None)
     elif prefix is not None:
         rule = F.lit(f"{what}: integer ids take no prefix")
+    elif integer:
+        rule = F.lit(None)
     else:
         rule = F.when(~integer_text(c), F.lit(f"{what}: not an integer"))
     return F.when(c.isNull(), F.lit(f"{what}: missing")).otherwise(rule.cast("string"))
 
 
-def rank_problem(c: Column | str) -> Column:
-    c = _col(c)
-    return F.when(c.isNull(), F.lit("rank: missing")).when(
-        ~integer_text(c), F.lit("rank: not an integer"))
+def rank_problem(c: Column | str, schema: StructType | None = None) -> Column:
+    missing = F.when(_col(c).isNull(), F.lit("rank: missing"))
+    if _is_integer(schema, c):
+        return missing
+    return missing.when(~integer_text(c), F.lit("rank: not an integer"))
 
 
-def vertex_problem(spec: VertexSpec, id_type: str) -> Column:
-    return id_problem(spec.id, id_type, spec.policy, spec.prefix)
+def vertex_problem(spec: VertexSpec, id_type: str, schema: StructType | None = None) -> Column:
+    return id_problem(spec.id, id_type, spec.policy, spec.prefix, schema=schema)
 
 
-def edge_problem(spec: EdgeSpec, id_type: str) -> Column:
+def edge_problem(spec: EdgeSpec, id_type: str, schema: StructType | None = None) -> Column:
     problems = [
-        id_problem(spec.src, id_type, spec.src_policy, spec.src_prefix, "source"),
-        id_problem(spec.dst, id_type, spec.dst_policy, spec.dst_prefix, "target"),
+        id_problem(spec.src, id_type, spec.src_policy, spec.src_prefix, "source", schema),
+        id_problem(spec.dst, id_type, spec.dst_policy, spec.dst_prefix, "target", schema),
     ]
     if spec.rank:
-        problems.append(rank_problem(spec.rank))
+        problems.append(rank_problem(spec.rank, schema))
     return F.coalesce(*problems)
 
 
-def problem_of(spec: VertexSpec | EdgeSpec, id_type: str) -> Column:
-    return vertex_problem(spec, id_type) if spec.kind == "vertex" else edge_problem(spec, id_type)
+def problem_of(spec: VertexSpec | EdgeSpec, id_type: str, schema: StructType | None = None
+               ) -> Column:
+    problem = vertex_problem if spec.kind == "vertex" else edge_problem
+    return problem(spec, id_type, schema)
 
 
 def vertex_valid(c: Column | str, id_type: str, policy: str | None = None,

@@ -14,32 +14,33 @@ HOT_SHARE = 200
 
 def _spread_hot_sources(edges: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
     """Edges with a salt (0 unless the source is hot) and the hot sources."""
+    limit = edges.count() / HOT_SHARE
     degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("__out"))
-    total = degrees.agg(F.sum("__out").alias("__all"))
-    hot = (degrees.join(F.broadcast(total), F.col("__out") * HOT_SHARE > F.col("__all"))
-           .select("src", F.lit(True).alias("__hot")))
-    hot = cut_lineage(hot)
+    hot = cut_lineage(degrees.filter(F.col("__out") > limit).select("src"))
+    marked = hot.withColumn("__hot", F.lit(True))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(0)
-    salted = edges.join(F.broadcast(hot), "src", "left").select(
+    salted = edges.join(F.broadcast(marked), "src", "left").select(
         "src", "dst", salt.cast("int").alias("salt"))
-    return salted, hot
+    return salted, marked
 
 
 def _round(labels: DataFrame, edges: DataFrame, hot: DataFrame, salts: int) -> DataFrame:
-    """One vote. A vertex counts its own label too; ties go to the smaller label."""
+    """One vote: (id, label, old). A vertex counts its own label; ties go to the smaller."""
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0)))
     voters = (labels.join(F.broadcast(hot), labels["id"] == hot["src"], "left")
-              .select("id", "label", F.explode(copies).alias("salt")))
-    sent = edges.join(voters, (edges["src"] == voters["id"]) & (edges["salt"] == voters["salt"]))
+              .select(labels["id"].alias("src"), "label", F.explode(copies).alias("salt")))
+    votes = edges.join(voters, ["src", "salt"]).select(F.col("dst").alias("id"), "label",
+                                                       F.lit(False).alias("own"))
+    votes = votes.unionByName(labels.select("id", "label", F.lit(True).alias("own")))
     # counted per (vertex, label) with a map-side step before any vertex is gathered
-    votes = sent.groupBy(edges["dst"].alias("id"), "label").agg(F.count(F.lit(1)).alias("n"))
-    own = labels.select("id", "label", F.lit(1).cast("bigint").alias("n"))
-    tally = votes.unionByName(own).groupBy("id", "label").agg(F.sum("n").alias("n"))
+    tally = votes.groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"),
+                                             F.max("own").alias("own"))
     best = F.min(F.struct((-F.col("n")).alias("less"), "label"))
-    winners = tally.groupBy("id").agg(best["label"].alias("label"))
-    # votes for ends that are no vertices are dropped
-    return winners.join(labels.select("id"), "id", "left_semi")
+    decided = tally.groupBy("id").agg(best["label"].alias("label"),
+                                      F.max(F.when(F.col("own"), F.col("label"))).alias("old"))
+    # votes for ends that are no vertices have no old label
+    return decided.filter(F.col("old").isNotNull())
 
 
 def peer_pressure(vertices: DataFrame, edges: DataFrame, max_iter: int = 30, salts: int = 16,
@@ -50,18 +51,14 @@ def peer_pressure(vertices: DataFrame, edges: DataFrame, max_iter: int = 30, sal
     """
     labels = vertices.select("id", F.col("id").alias("label")).distinct()
     edges, hot = _spread_hot_sources(edges.select("src", "dst"), salts)
-    if max_iter > 1:
-        edges = cut_lineage(edges)
-    for done in range(1, max_iter + 1):
-        after = _round(labels, edges, hot, salts)
-        if max_iter > 1:
-            after = cut_lineage(after)
-        if stop_when_stable and max_iter > 1:
-            moved = after.alias("a").join(labels.alias("b"), "id").filter(
-                F.col("a.label") != F.col("b.label"))
-            if moved.isEmpty():
-                return after
-        labels = after
+    if max_iter == 1:
+        return _round(labels, edges, hot, salts).select("id", "label")
+    edges = cut_lineage(edges)
+    for _ in range(max_iter):
+        voted = cut_lineage(_round(labels, edges, hot, salts))
+        labels = voted.select("id", "label")
+        if stop_when_stable and voted.filter("label <> old").isEmpty():
+            break
     return labels
 
 

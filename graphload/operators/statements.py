@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.hashing import check_id_type, graph_part, murmur64
 from ..functions.literals import render_literal
 from ..functions.text import (
-    _col, clean_id, jtrim, quote_name, quote_text, wrap_policy,
+    _col, clean_id, is_text, jtrim, quote_name, quote_text, wrap_policy,
 )
 from ..spec import EdgeSpec, GraphTarget, VertexSpec, bind_schema
 from .rows import assign_batches, buckets_per_part
@@ -33,19 +34,21 @@ class Frame:
         return self.head + self.sep.join(items) + self.tail
 
 
-def id_text(c: Column | str, target: GraphTarget, policy: str | None = None,
+def id_text(schema: StructType, name: str, target: GraphTarget, policy: str | None = None,
             prefix: str | None = None) -> Column:
     """Id as written in a statement."""
-    text = clean_id(c, prefix, target.empty_marker)
+    text = clean_id(name, prefix, target.empty_marker, is_text(schema, name))
     if policy:
         return wrap_policy(text, policy)
     return quote_text(text) if check_id_type(target.id_type) == "STRING" else text
 
 
-def _literals(spec: VertexSpec | EdgeSpec, target: GraphTarget) -> list[tuple[str, Column]]:
+def _literals(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarget
+              ) -> list[tuple[str, Column]]:
     """(target property, literal); NULL is written as the word null."""
     types = bind_schema(spec, target)
-    return [(t, F.coalesce(render_literal(f, types[t], target.empty_marker), F.lit("null")))
+    return [(t, F.coalesce(render_literal(f, types[t], target.empty_marker, is_text(schema, f)),
+                           F.lit("null")))
             for f, t in spec.properties]
 
 
@@ -79,36 +82,43 @@ def statement_frame(spec: VertexSpec | EdgeSpec) -> Frame:
     return Frame(sep=";")
 
 
-def vertex_item(spec: VertexSpec, target: GraphTarget) -> Column:
-    vid = id_text(spec.id, target, spec.policy, spec.prefix)
+def _vertex_item(schema: StructType, spec: VertexSpec, target: GraphTarget) -> Column:
+    vid = id_text(schema, spec.id, target, spec.policy, spec.prefix)
     if spec.mode == "delete":
         return vid
-    literals = _literals(spec, target)
+    literals = _literals(schema, spec, target)
     if spec.mode == "insert":
         return F.concat(vid, F.lit(": ("), _values(literals), F.lit(")"))
     return _change(spec, vid, literals)
 
 
-def edge_item(spec: EdgeSpec, target: GraphTarget) -> Column:
-    src = id_text(spec.src, target, spec.src_policy, spec.src_prefix)
-    dst = id_text(spec.dst, target, spec.dst_policy, spec.dst_prefix)
+def rank_value(schema: StructType, name: str) -> Column:
+    return jtrim(name).cast("bigint") if is_text(schema, name) else F.col(name).cast("bigint")
+
+
+def _edge_item(schema: StructType, spec: EdgeSpec, target: GraphTarget) -> Column:
+    src = id_text(schema, spec.src, target, spec.src_policy, spec.src_prefix)
+    dst = id_text(schema, spec.dst, target, spec.dst_policy, spec.dst_prefix)
     ends = F.concat(src, F.lit("->"), dst)
-    rank = jtrim(spec.rank).cast("bigint").cast("string") if spec.rank else None
+    rank = rank_value(schema, spec.rank).cast("string") if spec.rank else None
     if spec.mode == "insert":
         key = ends if rank is None else F.concat(ends, F.lit("@"), rank)
-        return F.concat(key, F.lit(": ("), _values(_literals(spec, target)), F.lit(")"))
+        return F.concat(key, F.lit(": ("), _values(_literals(schema, spec, target)), F.lit(")"))
     # without a rank column these modes address rank 0
     key = F.concat(ends, F.lit("@"), F.lit("0") if rank is None else rank)
-    return key if spec.mode == "delete" else _change(spec, key, _literals(spec, target))
+    return key if spec.mode == "delete" else _change(spec, key, _literals(schema, spec, target))
 
 
-def item_of(spec: VertexSpec | EdgeSpec, target: GraphTarget) -> Column:
-    return vertex_item(spec, target) if spec.kind == "vertex" else edge_item(spec, target)
+def item_of(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget) -> Column:
+    """The fragment of a row of ``df``."""
+    if spec.kind == "vertex":
+        return _vertex_item(df.schema, spec, target)
+    return _edge_item(df.schema, spec, target)
 
 
 def render_items(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget) -> DataFrame:
     """One fragment per row in ``item``: the input of delivery, no shuffle."""
-    return df.select(item_of(spec, target).alias("item"))
+    return df.select(item_of(df, spec, target).alias("item"))
 
 
 def join_batches(df: DataFrame, frame: Frame, keys: list[str]) -> DataFrame:
@@ -122,27 +132,27 @@ def join_batches(df: DataFrame, frame: Frame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), joined.alias("statement"))
 
 
-def id_value(c: Column | str, target: GraphTarget, policy: str | None = None,
+def id_value(schema: StructType, name: str, target: GraphTarget, policy: str | None = None,
              prefix: str | None = None) -> Column:
     """Id as a value: text, or the integer it names or hashes to."""
-    text = clean_id(c, prefix, target.empty_marker)
     if policy == "uuid":
         raise ValueError("uuid ids are made by the database, not here")
+    text = clean_id(name, prefix, target.empty_marker, is_text(schema, name))
     if policy == "hash":
         return murmur64(text)
-    return text if target.id_type.upper() == "STRING" else text.cast("bigint")
+    if target.id_type.upper() == "STRING":
+        return text
+    return text.cast("bigint") if is_text(schema, name) else F.col(name).cast("bigint")
 
 
-def _route_id(spec: VertexSpec | EdgeSpec, target: GraphTarget) -> Column:
+def _route_id(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarget) -> Column:
     """Value that picks the graph partition of a row."""
     if spec.kind == "vertex":
         name, policy, prefix = spec.id, spec.policy, spec.prefix
     else:
         name, policy, prefix = spec.src, spec.src_policy, spec.src_prefix
-    if policy == "uuid":
-        # the database makes the id; route by the text, as for any other hash
-        return murmur64(clean_id(name, prefix, target.empty_marker))
-    return id_value(name, target, policy, prefix)
+    # the database makes uuid ids; route by the text, as for any other hash
+    return id_value(schema, name, target, "hash" if policy else None, prefix)
 
 
 def render(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget, batch: int = 500,
@@ -154,13 +164,14 @@ def render(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget, batc
     key by default), whatever the physical layout of the input.
     """
     order = order_by or spec.key_fields
-    routed = df.withColumn("part", graph_part(_route_id(spec, target), target.parts,
+    routed = df.withColumn("part", graph_part(_route_id(df.schema, spec, target),
+                                              target.parts,
                                               target.id_type))
     count = buckets_per_part(df, target.parts) if buckets is None else buckets
     if count > 1 and bucket is None:
         bucket = F.pmod(F.xxhash64(*df.columns), F.lit(count)).cast("int")
     names = [f"__o{i}" for i in range(len(order))]
-    slim = routed.select("part", item_of(spec, target).alias("item"),
+    slim = routed.select("part", item_of(df, spec, target).alias("item"),
                          *[_col(c).alias(n) for c, n in zip(order, names)],
                          *([bucket.alias("bucket")] if count > 1 else []))
     batched = assign_batches(slim, batch, [*names, "item"], ["part"], count,

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import graph_part
-from ..functions.text import jtrim
 from ..operators.delivery import (
     DeliveryOptions, check_budget, save_failures, write_batches,
 )
@@ -23,7 +22,7 @@ from ..operators.prepare import (
 )
 from ..operators.rows import repartition_to
 from ..operators.statements import (
-    edge_item, id_value, render_items, statement_frame, vertex_item,
+    id_value, item_of, rank_value, render_items, statement_frame,
 )
 from ..operators.stats import load_stats
 from ..sources import read_source, resolve_paths
@@ -162,7 +161,7 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, rows
             rows, spec, job.target, factory, f"{run}/results/{name}", f"{failures}/{name}",
             options, entity.checkpoint, entity.interval_s))
         return None
-    rows = enforce(rows, problem_of(spec, job.target.id_type), "fail")
+    rows = enforce(rows, problem_of(spec, job.target.id_type, rows.schema), "fail")
     if entity.sink == "kv":
         kv = (vertex_kv(rows, spec, job.target, job.existence) if spec.kind == "vertex"
               else edge_kv(rows, spec, job.target))
@@ -214,17 +213,19 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
 
 def _canonical(spark: SparkSession, job: Job, entity: Entity) -> DataFrame:
     spec, target = entity.spec, job.target
-    rows = enforce(prepared_rows(spark, entity), problem_of(spec, target.id_type), "fail")
-    label = F.lit(spec.label).alias("label")
+    rows = prepared_rows(spark, entity)
+    schema = rows.schema
+    rows = enforce(rows, problem_of(spec, target.id_type, schema), "fail")
+    label, item = F.lit(spec.label).alias("label"), item_of(rows, spec, target).alias("item")
     if spec.kind == "vertex":
-        vid = id_value(spec.id, target, spec.policy, spec.prefix)
-        out = rows.select(label, vid.alias("vid"), vertex_item(spec, target).alias("item"))
+        vid = id_value(schema, spec.id, target, spec.policy, spec.prefix)
+        out = rows.select(label, vid.alias("vid"), item)
         return out.withColumn("part", graph_part("vid", target.parts, target.id_type))
-    rank = jtrim(spec.rank).cast("bigint") if spec.rank else F.lit(0).cast("bigint")
+    rank = rank_value(schema, spec.rank) if spec.rank else F.lit(0).cast("bigint")
     out = rows.select(
-        label, id_value(spec.src, target, spec.src_policy, spec.src_prefix).alias("src"),
-        id_value(spec.dst, target, spec.dst_policy, spec.dst_prefix).alias("dst"),
-        rank.alias("rank"), edge_item(spec, target).alias("item"))
+        label, id_value(schema, spec.src, target, spec.src_policy, spec.src_prefix).alias("src"),
+        id_value(schema, spec.dst, target, spec.dst_policy, spec.dst_prefix).alias("dst"),
+        rank.alias("rank"), item)
     return out.withColumn("part", graph_part("src", target.parts, target.id_type))
 
 

@@ -18,7 +18,8 @@ DEFAULT_INTERVAL_S = 30
 def stream_statements(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget
                       ) -> DataFrame:
     """Fragments of the valid rows; invalid rows are dropped, not fatal."""
-    return render_items(enforce(rows, problem_of(spec, target.id_type), "drop"), spec, target)
+    problem = problem_of(spec, target.id_type, rows.schema)
+    return render_items(enforce(rows, problem, "drop"), spec, target)
 
 
 def stream_load(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget,

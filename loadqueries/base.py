@@ -80,10 +80,11 @@ def sql_murmur(text: str) -> str:
     words = f"({size} // 8)"
     seed = f"xor(3339675911::UBIGINT, {_mul(size, m)})"
     k1 = _mul("w", m)
-    word = sql_word(f"hex({text})", "16 * i + 1")
+    word = sql_word("x", "1")
     step = _mul(f"xor(h, {_mul(_mix('w1'), m)})", m)
-    fold = (f"list_reduce(list_concat([{seed}], list_transform(range({words}), lambda i: "
-            f"{word})), lambda h, w: {step.replace('w1', k1)})")
+    fold = (f"list_reduce(list_concat([{seed}], list_transform("
+            f"regexp_extract_all(hex({text}), '.{{16}}'), lambda x: {word})), "
+            f"lambda h, w: {step.replace('w1', k1)})")
     tail = sql_word(f"rpad(hex({text}), ({words} * 16 + 16)::INTEGER, '0')", f"{words} * 16 + 1")
     ended = (f"CASE WHEN {size} % 8 = 0 THEN {fold} "
              f"ELSE {_mul(f'xor({fold}, {tail})', m)} END")
