@@ -1,0 +1,163 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from graphload.sources import (
+    cells_to_rows, jdbc_options, jdbc_url, kafka_options, project_json, pulsar_options, read_lines,
+    read_source, read_statements, register_source, resolve_paths, sql_source, stringify_columns,
+)
+
+
+def test_csv_tells_empty_from_missing(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id,a,b\n1,"",\n2,"x, y",z\n3, ,"NULL"\n')
+    rows = read_source(spark, {"type": "CSV", "path": str(path), "header": True})
+    assert [tuple(r) for r in rows.collect()] == [
+        ("1", "", None), ("2", "x, y", "z"), ("3", " ", "NULL")]
+    assert {t for _, t in rows.dtypes} == {"string"}
+
+
+def test_csv_without_header(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("101|北京|7\n-102|x|\n")
+    rows = read_source(spark, {"type": "csv", "path": str(path), "sep": "|"})
+    assert rows.columns == ["_c0", "_c1", "_c2"]
+    assert [tuple(r) for r in rows.collect()] == [("101", "北京", "7"), ("-102", "x", None)]
+
+
+def test_json_and_orc(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": 1, "s": "x"}\n{"id": 2}\n')
+    rows = read_source(spark, {"type": "json", "path": str(tmp_path / "a.json")})
+    assert rows.dtypes == [("id", "bigint"), ("s", "string")]
+    rows.write.orc(str(tmp_path / "orc"))
+    back = read_source(spark, {"type": "orc", "path": str(tmp_path / "orc")})
+    assert sorted(map(tuple, back.collect())) == [(1, "x"), (2, None)]
+
+
+def test_lines(spark, tmp_path):
+    path = tmp_path / "a.txt"
+    path.write_text("1;a\n\n2;b\n3;c\n")
+    parts = F.split("value", ";")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("s", T.StringType())])
+    rows = read_lines(spark, str(path), {"id": parts[0], "s": parts[1]}, "id <> 2", schema)
+    assert rows.schema == schema
+    assert [tuple(r) for r in rows.collect()] == [(1, "a"), (3, "c")]
+    assert [r.statement for r in read_statements(spark, str(path)).collect()] == [
+        "1;a", "2;b", "3;c"]
+
+
+def test_one_source_partition_is_pruned(spark, tmp_path):
+    spark.range(6).selectExpr("id", "concat('d', id % 3) AS dt", "id % 2 AS h").write.partitionBy(
+        "dt", "h").parquet(str(tmp_path / "t"))
+    spec = {"type": "parquet", "path": str(tmp_path / "t")}
+    rows = read_source(spark, {**spec, "partition_spec": "dt='d1'"})
+    assert sorted(r.id for r in rows.collect()) == [1, 4]
+    assert "PartitionFilters: [isnotnull(dt" in (
+        rows._jdf.queryExecution().executedPlan().toString())
+    two = read_source(spark, {**spec, "partition_spec": "dt='d1'/h=0"})
+    assert [r.id for r in two.collect()] == [4]
+
+
+def test_sentences(spark):
+    views = {"left_rows": spark.range(3), "right_rows": spark.range(2, 5)}
+    got = sql_source(spark, "SELECT l.id FROM left_rows l JOIN right_rows r USING (id)", views)
+    assert [r.id for r in got.collect()] == [2]
+    assert read_source(spark, {"type": "hive", "sentence": "SELECT 7 AS x"}).first().x == 7
+    rows = read_source(spark, {"type": "table", "table": "left_rows", "partition_spec": "id > 0",
+                               "sentence": "SELECT max(id) AS m FROM left_rows"})
+    assert rows.first().m == 2
+
+
+def test_cells(spark):
+    cells = spark.createDataFrame(
+        [("r1", "cf", "a", "1"), ("r1", "cf", "b", "2"), ("r2", "cf", "a", "3"),
+         ("r2", "other", "b", "9"), ("r3", "cf", "z", "0")],
+        "rowkey string, family string, qualifier string, value string")
+    got = cells_to_rows(cells, "cf", ["RowKey", "a", "b", "a"])
+    assert got.columns == ["RowKey", "a", "b"]
+    assert sorted(map(tuple, got.collect())) == [("r1", "1", "2"), ("r2", "3", None)]
+    assert cells_to_rows(cells, "cf", ["rowkey"]).count() == 3
+
+
+def test_strings_of_everything(spark):
+    schema = ("n int, s string, i bigint, f double, b boolean, d date, t timestamp_ntz, "
+              "y binary, l array<int>, m map<string,int>")
+    row = (None, "x", 7, 1.5, True, datetime.date(2020, 1, 2),
+           datetime.datetime(2020, 1, 2, 3, 4, 5), bytearray("中".encode()), [1, 2], {"k": 1})
+    got = stringify_columns(spark.createDataFrame([row], schema))
+    assert {t for _, t in got.dtypes} == {"string"}
+    assert tuple(got.first()) == (None, "x", "7", "1.5", "true", "2020-01-02",
+                                  "2020-01-02 03:04:05", "中", "[1,2]", '{"k":1}')
+
+
+def test_json_payloads(spark):
+    rows = spark.createDataFrame([('{"a": 1, "b": {"c": 2}}',), ("not json",)], "value string")
+    got = project_json(rows, "value", ["a", "b", "zz", "a"])
+    assert [tuple(r) for r in got.collect()] == [("1", '{"c":2}', None), (None, None, None)]
+
+
+def test_kafka_options():
+    base = {"type": "kafka", "server": "h:1", "topic": "t"}
+    assert kafka_options(base) == {"kafka.bootstrap.servers": "h:1", "subscribe": "t",
+                                   "startingOffsets": "latest"}
+    full = kafka_options({**base, "starting_offsets": "earliest", "max_offsets_per_trigger": 10,
+                          "security_protocol": "SASL_PLAINTEXT", "mechanism": "GSSAPI",
+                          "kerberos": True, "kerberos_service_name": "kafka"})
+    assert full == {"kafka.bootstrap.servers": "h:1", "subscribe": "t",
+                    "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10",
+                    "kafka.security.protocol": "SASL_PLAINTEXT", "kafka.sasl.mechanism": "GSSAPI",
+                    "kafka.sasl.kerberos.service.name": "kafka"}
+    for bad in ({**base, "topic": " "}, {"server": "h"}, {**base, "interval_seconds": -1}):
+        with pytest.raises(ValueError):
+            kafka_options(bad)
+
+
+def test_pulsar_options():
+    base = {"service_url": "pulsar://h", "admin_url": "http://h"}
+    assert pulsar_options({**base, "topics_pattern": "a.*"}) == {
+        "service.url": "pulsar://h", "admin.url": "http://h", "topicsPattern": "a.*"}
+    for bad in (base, {**base, "topic": "a", "topics": "b"}):
+        with pytest.raises(ValueError):
+            pulsar_options(bad)
+
+
+def test_jdbc_options():
+    assert jdbc_url("postgresql", "h", 5432, "d") == "jdbc:postgresql://h:5432/d"
+    assert jdbc_options("u", "d", table="t", user="me", password="x", fetch_size=100) == {
+        "url": "u", "driver": "d", "dbtable": "t", "user": "me", "password": "x",
+        "fetchsize": "100"}
+    assert jdbc_options("u", "d", sentence="SELECT 1")["query"] == "SELECT 1"
+    ranged = dict(partition_column="id", lower=0, upper=100, num_partitions=4)
+    assert jdbc_options("u", "d", table="t", **ranged) == {
+        "url": "u", "driver": "d", "dbtable": "t", "partitionColumn": "id", "lowerBound": "0",
+        "upperBound": "100", "numPartitions": "4"}
+    assert jdbc_options("u", "d", sentence="SELECT 1", **ranged)["dbtable"] == "(SELECT 1) t"
+    for bad in ({}, {"table": "t", "sentence": "s"}, {"table": "t", "partition_column": "id"},
+                {"table": " "}):
+        with pytest.raises(ValueError):
+            jdbc_options("u", "d", **bad)
+
+
+def test_registered_sources(spark):
+    seen = {}
+
+    def reader(session, spec, fields):
+        seen.update(spec=spec, fields=fields)
+        return session.range(spec["rows"]) if spec["rows"] else None
+
+    register_source("Mine", reader)
+    assert read_source(spark, {"type": "mine", "rows": 3}, ["id"]).count() == 3
+    assert seen["fields"] == ["id"]
+    assert read_source(spark, {"type": "MINE", "rows": 0}) is None
+    with pytest.raises(ValueError, match="no reader"):
+        read_source(spark, {"type": "unheard"})
+
+
+def test_path_variables():
+    spec = {"type": "csv", "path": "people"}
+    assert resolve_paths(spec, "people=/a/b=c,other=/d")["path"] == "/a/b=c"
+    assert resolve_paths(spec, None) is spec
+    with pytest.raises(ValueError):
+        resolve_paths(spec, "other=/d")
