@@ -201,7 +201,7 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
 
     with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
         # one wrapper per task: each keeps its own copy of the local properties
-        running = [pool.submit(inheritable_thread_target(work), *args) for args in inputs]
+        running = [pool.submit(inheritable_thread_target(spark)(work), *args) for args in inputs]
         tables = [r for r in (f.result() for f in running) if r is not None]
     report.seconds = time.monotonic() - started
     if tables:
