@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import _col
 
@@ -80,6 +81,23 @@ def buckets_per_part(df: DataFrame, parts: int) -> int:
     return max(1, math.ceil(4 * shuffle / parts))
 
 
+def can_sort(schema: StructType, name: str) -> bool:
+    return schema[name].dataType.typeName() not in ("map", "variant")
+
+
+def row_place(order_by: list[Column | str], keys: list[Column | str]) -> Column:
+    """0-based place of a row in its group."""
+    window = Window.partitionBy(*[_col(c) for c in keys]).orderBy(*[_col(c) for c in order_by])
+    return F.row_number().over(window) - 1
+
+
+def batch_columns(place: Column, batch: int) -> tuple[Column, Column]:
+    """Number of the batch a place is in, and the 0-based place there."""
+    if batch <= 0:
+        raise ValueError("batch must be positive")
+    return F.floor(place / batch), (place % batch).cast("int")
+
+
 def assign_batches(df: DataFrame, batch: int, order_by: list[Column | str],
                    partition_by: list[Column | str], buckets: int = 1,
                    bucket: Column | None = None) -> DataFrame:
@@ -91,18 +109,13 @@ def assign_batches(df: DataFrame, batch: int, order_by: list[Column | str],
     by row hash unless ``bucket`` says how); the window then sorts one bucket at
     a time, and grouping by (partition, bucket, batch) needs no second shuffle.
     """
-    if batch <= 0:
-        raise ValueError("batch must be positive")
-    keys = [_col(c) for c in partition_by]
+    keys = list(partition_by)
     if buckets > 1:
         df = df.withColumn("bucket", row_bucket(df, buckets) if bucket is None else bucket)
-        keys.append(F.col("bucket"))
-    window = Window.partitionBy(*keys).orderBy(*[_col(c) for c in order_by])
-    position = F.row_number().over(window) - 1
-    return (df.withColumn("__row", position)
-            .withColumn("batch_id", F.floor(F.col("__row") / batch))
-            .withColumn("batch_pos", (F.col("__row") % batch).cast("int"))
-            .drop("__row"))
+        keys.append("bucket")
+    batch_id, batch_pos = batch_columns(F.col("__place"), batch)
+    return (df.withColumn("__place", row_place(order_by, keys))
+            .withColumns({"batch_id": batch_id, "batch_pos": batch_pos}).drop("__place"))
 
 
 def repartition_to(df: DataFrame, n: int, resumable: bool = False) -> DataFrame:

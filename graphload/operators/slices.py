@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import cut_lineage
+from .rows import can_sort
 
 
 def source_count(df: DataFrame) -> DataFrame:
@@ -52,8 +53,7 @@ def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None =
     by task offset plus position in the task. Other columns and the read
     position break ties, so equal order keys do not gather in one task.
     """
-    sortable = [f.name for f in df.schema.fields
-                if f.name not in order_by and f.dataType.typeName() not in ("map", "variant")]
+    sortable = [c for c in df.columns if c not in order_by and can_sort(df.schema, c)]
     order = [*order_by, *sortable, "__read"]
     salted = df.withColumn("__read", F.monotonically_increasing_id())
     ranged = (salted.repartitionByRange(partitions, *order) if partitions

@@ -19,7 +19,8 @@ from ..functions.text import (
     _col, clean_id, is_text, jtrim, quote_name, quote_text, wrap_policy,
 )
 from ..spec import EdgeSpec, GraphTarget, VertexSpec, bind_schema
-from .rows import assign_batches, buckets_per_part
+from .prepare import required_fields
+from .rows import batch_columns, buckets_per_part, can_sort, row_bucket, row_place
 
 
 @dataclass(frozen=True)
@@ -156,28 +157,30 @@ def _route_id(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarg
 
 
 def render(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget, batch: int = 500,
-           order_by: list[Column | str] | None = None, buckets: int | None = None,
+           order_by: list[str] | None = None, buckets: int | None = None,
            bucket: Column | None = None) -> DataFrame:
     """Statements of an entity: part, [bucket,] batch_id, n_rows, statement.
 
     Batches hold rows of one graph partition in ``order_by`` order (the entity
-    key by default), whatever the physical layout of the input.
+    key by default; the other columns break ties), whatever the physical layout
+    of the input. The one shuffle carries the source columns; text is made after.
     """
-    order = order_by or spec.key_fields
-    routed = df.withColumn("part", graph_part(_route_id(df.schema, spec, target),
-                                              target.parts,
-                                              target.id_type))
+    order = list(dict.fromkeys((order_by or spec.key_fields) + required_fields(spec)))
+    rows = df.select(*order)
     count = buckets_per_part(df, target.parts) if buckets is None else buckets
-    if count > 1 and bucket is None:
-        bucket = F.pmod(F.xxhash64(*df.columns), F.lit(count)).cast("int")
-    names = [f"__o{i}" for i in range(len(order))]
-    slim = routed.select("part", item_of(df, spec, target).alias("item"),
-                         *[_col(c).alias(n) for c, n in zip(order, names)],
-                         *([bucket.alias("bucket")] if count > 1 else []))
-    batched = assign_batches(slim, batch, [*names, "item"], ["part"], count,
-                             F.col("bucket") if count > 1 else None)
-    keys = ["part"] + (["bucket"] if count > 1 else []) + ["batch_id"]
-    return join_batches(batched, statement_frame(spec), keys)
+    part = graph_part(_route_id(df.schema, spec, target), target.parts, target.id_type)
+    keys = [part.alias("__part")]
+    if count > 1:
+        keys.append((row_bucket(rows, count) if bucket is None else bucket).alias("__bucket"))
+    routed = df.select(*order, *keys)
+    groups = [c for c in routed.columns if c not in order]
+    # numbered in a step of its own: rendering stays above the window, after the shuffle
+    placed = routed.withColumn("__place", row_place(
+        [c for c in order if can_sort(df.schema, c)], groups))
+    batch_id, batch_pos = batch_columns(F.col("__place"), batch)
+    items = placed.select(*[F.col(g).alias(g[2:]) for g in groups], batch_id.alias("batch_id"),
+                          batch_pos.alias("batch_pos"), item_of(df, spec, target).alias("item"))
+    return join_batches(items, statement_frame(spec), [g[2:] for g in groups] + ["batch_id"])
 
 
 def render_vertices(df: DataFrame, spec: VertexSpec, target: GraphTarget, **options) -> DataFrame:

@@ -21,6 +21,9 @@ from ..operators.prepare import (
     apply_filter, enforce, preview, problem_of, required_fields, with_composite_key,
 )
 from ..operators.rows import repartition_to
+from ..operators.slices import (
+    load_checkpoint, offset_splits, read_slices, save_checkpoint, source_count,
+)
 from ..operators.statements import (
     id_value, item_of, rank_value, render_items, statement_frame,
 )
@@ -134,25 +137,62 @@ class JobReport:
     seconds: float = 0.0
 
 
-def prepared_rows(spark: SparkSession, entity: Entity, params: str | None = None
-                  ) -> DataFrame | None:
+@dataclass(frozen=True)
+class Input:
+    """Rows of an entity; ``ends`` says where the slices of a resumable read end."""
+
+    rows: DataFrame
+    ends: list[int] | None = None
+
+
+def _read(spark: SparkSession, source: dict, fields: list[str]) -> Input | None:
+    """A source, or the slices of one that earlier runs have not finished.
+
+    ``{"type": "sliced", "of": source, "order_by": [...], "parallel": n,
+    "checkpoint": folder, "name": name}`` cuts another source into slices.
+    """
+    if source["type"].lower() != "sliced":
+        rows = read_source(spark, source, fields)
+        return None if rows is None else Input(rows)
+    rows = read_source(spark, source["of"], fields)
+    if rows is None:
+        return None
+    total, parallel = source_count(rows).first()["n"], source["parallel"]
+    reached = (load_checkpoint(spark, source["checkpoint"], source["name"])
+               if source.get("checkpoint") else None)
+    slices = offset_splits(total, parallel, reached)
+    return Input(read_slices(rows, source["order_by"], slices), [s.start + s.size for s in slices])
+
+
+def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None) -> Input | None:
     """Source rows after filter and composite keys, cut down to the needed columns."""
     keys = [k["new_col"] for k in entity.composite_keys]
     parts = [c for k in entity.composite_keys for c in k["cols"]]
     needed = [f for f in required_fields(entity.spec) if f not in keys]
-    rows = read_source(spark, resolve_paths(entity.source, params),
-                       list(dict.fromkeys(needed + parts)))
-    if rows is None:
+    found = _read(spark, resolve_paths(entity.source, params), list(dict.fromkeys(needed + parts)))
+    if found is None:
         return None
-    rows = apply_filter(rows, entity.filter)
+    rows = apply_filter(found.rows, entity.filter)
     for key in entity.composite_keys:
         rows = with_composite_key(rows, key["sep"], key["cols"], key["new_col"])
-    return rows.select(*required_fields(entity.spec))
+    return Input(rows.select(*required_fields(entity.spec)), found.ends)
+
+
+def prepared_rows(spark: SparkSession, entity: Entity, params: str | None = None
+                  ) -> DataFrame | None:
+    found = prepare_input(spark, entity, params)
+    return None if found is None else found.rows
+
+
+def _mark_done(spark: SparkSession, entity: Entity, ends: list[int] | None) -> None:
+    source = entity.source
+    if ends is not None and source.get("checkpoint"):
+        save_checkpoint(spark, source["checkpoint"], source["name"], ends)
 
 
-def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, rows: DataFrame,
+def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, found: Input,
                 factory, run: str, report: JobReport) -> DataFrame | None:
-    spec, name = entity.spec, f"{entity.spec.label}-{number}"
+    spec, name, rows = entity.spec, f"{entity.spec.label}-{number}", found.rows
     spark.sparkContext.setJobGroup(name, f"{spec.kind} {spec.label}")
     failures = job.failures or f"{run}/failures"
     if rows.isStreaming:
@@ -167,12 +207,16 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, rows
               else edge_kv(rows, spec, job.target))
         report.kv_paths[name] = f"{job.kv_path}/{name}"
         write_kv(kv, report.kv_paths[name], entity.partition if entity.partition > 0 else None)
+        _mark_done(spark, entity, found.ends)
         return None
     options = DeliveryOptions(**{**job.delivery.__dict__, "batch": entity.batch})
-    items = render_items(repartition_to(rows, entity.partition), spec, job.target)
+    rows = repartition_to(rows, entity.partition, resumable=found.ends is not None)
+    items = render_items(rows, spec, job.target)
     results = write_batches(items, spec.label, statement_frame(spec), factory, options,
                             f"{run}/results/{name}")
     save_failures(results, failures, name)
+    # what failed is in the dead letters, so the slices are finished
+    _mark_done(spark, entity, found.ends)
     return results
 
 
@@ -187,17 +231,17 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
         spark.conf.set(key, value)
     report, started = JobReport(), time.monotonic()
     run = scratch_path(spark, "run")
-    inputs = [(n, e, prepared_rows(spark, e, params)) for n, e in enumerate(job.entities)]
-    inputs = [(n, e, rows) for n, e, rows in inputs if rows is not None]
+    inputs = [(n, e, prepare_input(spark, e, params)) for n, e in enumerate(job.entities)]
+    inputs = [(n, e, found) for n, e, found in inputs if found is not None]
     if dry:
-        report.previews = {f"{e.spec.label}-{n}": preview(rows)
-                           for n, e, rows in inputs if not rows.isStreaming}
+        report.previews = {f"{e.spec.label}-{n}": preview(found.rows)
+                           for n, e, found in inputs if not found.rows.isStreaming}
         return report
     if factory is None and any(e.sink == "statements" for _, e, _ in inputs):
         raise ValueError("statement entities need an executor factory")
 
-    def work(number: int, entity: Entity, rows: DataFrame):
-        return _run_entity(spark, job, number, entity, rows, factory, run, report)
+    def work(number: int, entity: Entity, found: Input):
+        return _run_entity(spark, job, number, entity, found, factory, run, report)
 
     with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
         # one wrapper per task: each keeps its own copy of the local properties

@@ -59,9 +59,18 @@ def _cells(spark, spec, fields):
     return cells_to_rows(cells, spec["family"], fields)
 
 
+def _format(spark, spec, fields):
+    """Any connector on the class path, or a Python data source of the session."""
+    reader = spark.read.format(spec["format"]).options(**spec.get("options", {}))
+    if spec.get("schema") is not None:
+        reader = reader.schema(spec["schema"])
+    return reader.load(spec.get("path"))
+
+
 _readers: dict[str, Reader] = {
     "parquet": _file, "orc": _file, "json": _file, "csv": _csv,
     "sql": _sql, "hive": _sql, "table": _table, "cells": _cells,
+    "format": _format,
     "jdbc": _jdbc, "mysql": _jdbc, "postgresql": _jdbc, "clickhouse": _jdbc, "oracle": _jdbc,
     "kafka": read_stream, "pulsar": read_stream, "file_stream": read_stream,
 }

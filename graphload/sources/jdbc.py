@@ -27,20 +27,21 @@ def jdbc_options(url: str, driver: str, table: str | None = None, sentence: str
     """Reader options. Exactly one of table and sentence; a sentence runs in the database."""
     if bool(table and table.strip()) == bool(sentence and sentence.strip()):
         raise ValueError("give either a table or a sentence")
-    ranged = [partition_column, lower, upper, num_partitions]
-    if any(v is not None for v in ranged) and any(v is None for v in ranged):
+    ranged = [partition_column, lower, upper]
+    if any(v is not None for v in ranged) and None in (*ranged, num_partitions):
         raise ValueError("a partitioned read needs column, lower, upper and partition count")
     options = {"url": url, "driver": driver}
     if partition_column is not None:
         # Spark splits only named tables, so a sentence becomes a derived table
         options["dbtable"] = table or f"({sentence}) t"
         options |= {"partitionColumn": partition_column, "lowerBound": str(lower),
-                    "upperBound": str(upper), "numPartitions": str(num_partitions)}
+                    "upperBound": str(upper)}
     elif table:
         options["dbtable"] = table
     else:
         options["query"] = sentence
-    for key, value in (("user", user), ("password", password), ("fetchsize", fetch_size)):
+    for key, value in (("user", user), ("password", password), ("fetchsize", fetch_size),
+                       ("numPartitions", num_partitions)):
         if value is not None:
             options[key] = str(value)
     return options

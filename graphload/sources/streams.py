@@ -36,12 +36,13 @@ def kafka_options(spec: dict) -> dict[str, str]:
 
 def pulsar_options(spec: dict) -> dict[str, str]:
     """Reader options of a Pulsar source: exactly one way to name topics."""
-    named = {"topic": "topic", "topics": "topics", "topics_pattern": "topicsPattern"}
-    given = [key for key in named if spec.get(key)]
-    if len(given) != 1:
+    options = {str(k): str(v) for k, v in spec.get("options", {}).items()}
+    for key, name in (("topic", "topic"), ("topics", "topics"), ("topics_pattern", "topicsPattern")):
+        if spec.get(key):
+            options[name] = spec[key]
+    if len({"topic", "topics", "topicsPattern"} & set(options)) != 1:
         raise ValueError("give exactly one of topic, topics and topics_pattern")
-    return {"service.url": spec["service_url"], "admin.url": spec["admin_url"],
-            named[given[0]]: spec[given[0]]}
+    return {"service.url": spec["service_url"], "admin.url": spec["admin_url"], **options}
 
 
 def read_stream(spark: SparkSession, spec: dict, fields: list[str] = ()) -> DataFrame:

@@ -21,7 +21,7 @@ def sql_statements(source: str, item: str, part: str, order: str, bucket: str, h
     return f"""
 WITH r AS (SELECT {item} AS item, {part} AS part, ({bucket})::INTEGER AS bucket, {order}
            FROM {source}),
-b AS (SELECT *, row_number() OVER (PARTITION BY part, bucket ORDER BY {order}, item) - 1 AS pos
+b AS (SELECT *, row_number() OVER (PARTITION BY part, bucket ORDER BY {order}) - 1 AS pos
       FROM r)
 SELECT part, bucket, pos // {batch} AS batch_id, count(*) AS n_rows,
        {sql_text(head)} || string_agg(item, {sql_text(sep)} ORDER BY pos) || {sql_text(tail)}
@@ -124,7 +124,8 @@ _LINE_SET = " || ',' || ".join(f"'`{n}`=' || {v}" for n, v in
 _LINE_ROW = "': (' || " + " || ', ' || ".join(_LINE_VALUES) + " || ')'"
 _LINE_ENDS = "l_orderkey || '->' || l_partkey"
 _LINE_KEY = f"{_LINE_ENDS} || '@' || l_linenumber"
-_LINE_ORDER = dict(part=sql_part_int("l_orderkey"), order="l_orderkey, l_partkey, l_linenumber",
+_LINE_ORDER = dict(part=sql_part_int("l_orderkey"), order="l_orderkey, l_partkey, l_linenumber, "
+                   "l_quantity, l_returnflag, l_shipdate",
                    bucket=f"l_partkey % {BUCKETS}")
 _INSERT_LINE = "INSERT EDGE `contains`(`quantity`,`flag`,`shipped`) VALUES "
 

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 
 from executors import Recorder, recorded
 from graphload.operators.delivery import TooManyFailures
+from graphload.operators.slices import load_checkpoint
 from graphload.plans import Job, edges_of, run_job, vertices_of
 from graphload.plans.job import prepared_rows
 from graphload.sources import read_statements, register_source
@@ -190,3 +191,22 @@ def test_streams_are_started_together(spark, tables, tmp_path):
         query.stop()
     text = "\n".join(recorded(log))
     assert '1: ("Ann", 30)' in text and "1->2@5: (5)" in text
+
+
+def test_a_sliced_entity_resumes(spark, tables, tmp_path):
+    d = describe(tables)
+    d["edges"] = []
+    d["vertices"] = [{"label": "person", "id": "id", "fields": ["name", "age"], "source": {
+        "type": "sliced", "of": {"type": "parquet", "path": tables["people"]},
+        "order_by": ["id"], "parallel": 2, "checkpoint": str(tmp_path / "cp"), "name": "people"}}]
+    log = tables["log"]
+    job = Job.from_dict(d)
+    with pytest.raises(PySparkException, match="E_BAD_PERMISSION"):
+        run_job(spark, job, lambda: Recorder(log, ["Ann"], "E_BAD_PERMISSION"))
+    assert load_checkpoint(spark, str(tmp_path / "cp"), "people") is None
+    run_job(spark, job, lambda: Recorder(log, ["Bob"]))
+    assert load_checkpoint(spark, str(tmp_path / "cp"), "people") == [2, 3]
+    sent = len(recorded(log))
+    report = run_job(spark, job, lambda: Recorder(log))
+    assert len(recorded(log)) == sent
+    assert report.stats.filter("entity = 'person'").count() == 0

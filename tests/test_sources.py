@@ -118,6 +118,9 @@ def test_pulsar_options():
     base = {"service_url": "pulsar://h", "admin_url": "http://h"}
     assert pulsar_options({**base, "topics_pattern": "a.*"}) == {
         "service.url": "pulsar://h", "admin.url": "http://h", "topicsPattern": "a.*"}
+    assert pulsar_options({**base, "options": {"topic": "a", "failOnDataLoss": False}}) == {
+        "service.url": "pulsar://h", "admin.url": "http://h", "topic": "a",
+        "failOnDataLoss": "False"}
     for bad in (base, {**base, "topic": "a", "topics": "b"}):
         with pytest.raises(ValueError):
             pulsar_options(bad)
@@ -134,6 +137,7 @@ def test_jdbc_options():
         "url": "u", "driver": "d", "dbtable": "t", "partitionColumn": "id", "lowerBound": "0",
         "upperBound": "100", "numPartitions": "4"}
     assert jdbc_options("u", "d", sentence="SELECT 1", **ranged)["dbtable"] == "(SELECT 1) t"
+    assert jdbc_options("u", "d", table="t", num_partitions=1)["numPartitions"] == "1"
     for bad in ({}, {"table": "t", "sentence": "s"}, {"table": "t", "partition_column": "id"},
                 {"table": " "}):
         with pytest.raises(ValueError):
@@ -161,3 +165,32 @@ def test_path_variables():
     assert resolve_paths(spec, None) is spec
     with pytest.raises(ValueError):
         resolve_paths(spec, "other=/d")
+
+
+def test_python_data_sources(spark):
+    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+    class Counting(DataSource):
+        @classmethod
+        def name(cls):
+            return "counting"
+
+        def schema(self):
+            return "id bigint"
+
+        def reader(self, schema):
+            limit = int(self.options["limit"])
+
+            class Reader(DataSourceReader):
+                def partitions(self):
+                    return [InputPartition(i) for i in range(2)]
+
+                def read(self, partition):
+                    for i in range(partition.value, limit, 2):
+                        yield (i,)
+
+            return Reader()
+
+    spark.dataSource.register(Counting)
+    rows = read_source(spark, {"type": "format", "format": "counting", "options": {"limit": "5"}})
+    assert sorted(r.id for r in rows.collect()) == [0, 1, 2, 3, 4]
