@@ -49,7 +49,9 @@ def peer_pressure(vertices: DataFrame, edges: DataFrame, max_iter: int = 30, sal
 
     ``vertices`` has ``id``; ``edges`` has ``src`` and ``dst``.
     """
-    labels = vertices.select("id", F.col("id").alias("label")).distinct()
+    # one spelling of the distinct ids, so that its shuffle is reused in the round
+    ids = vertices.select("id").filter(F.col("id").isNotNull()).distinct()
+    labels = ids.withColumn("label", F.col("id"))
     edges, hot = _spread_hot_sources(edges.select("src", "dst"), salts)
     if max_iter == 1:
         return _round(labels, edges, hot, salts).select("id", "label")
