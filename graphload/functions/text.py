@@ -25,7 +25,8 @@ POLICIES = ("hash", "uuid")
 
 
 def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """A column by its exact name, dots and symbols included."""
+    return F.col("`" + c.replace("`", "``") + "`") if isinstance(c, str) else c
 
 
 def jtrim(c: Column | str, text: bool = True) -> Column:

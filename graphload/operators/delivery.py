@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import _col
 from ..sources.files import read_statements
 from ..storage import write_once
 from .statements import Frame
@@ -222,4 +223,4 @@ def clear_failures(spark: SparkSession, path: str, keep_reload: bool = True) ->
 def write_statements(df: DataFrame, path: str, column: str = "statement",
                      mode: str = "errorifexists") -> None:
     """Statements as text lines."""
-    df.select(F.col(column).alias("value")).write.mode(mode).text(path, lineSep="\n")
+    df.select(_col(column).alias("value")).write.mode(mode).text(path, lineSep="\n")

@@ -18,7 +18,7 @@ def apply_filter(df: DataFrame, condition: str | None) -> DataFrame:
 
 def with_composite_key(df: DataFrame, sep: str, cols: list[str], new_col: str) -> DataFrame:
     """Append a key joined from columns. NULL parts are skipped; all NULL gives ""."""
-    return df.select("*", F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias(new_col))
+    return df.select("*", F.concat_ws(sep, *[_col(c).cast("string") for c in cols]).alias(new_col))
 
 
 def project_properties(df: DataFrame, fields: list[str], targets: list[str] | None = None,
@@ -27,7 +27,7 @@ def project_properties(df: DataFrame, fields: list[str], targets: list[str] | No
     targets = list(fields) if targets is None else list(targets)
     if len(targets) != len(fields):
         raise ValueError("fields and target fields differ in number")
-    return df.select(*keep, *[F.col(f).alias(t) for f, t in zip(fields, targets) if f.strip()])
+    return df.select(*map(_col, keep), *[_col(f).alias(t) for f, t in zip(fields, targets) if f.strip()])
 
 
 def required_fields(spec: VertexSpec | EdgeSpec) -> list[str]:

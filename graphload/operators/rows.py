@@ -25,8 +25,8 @@ def dedup(df: DataFrame, keys: list[str], order_by: list[str] | None = None) ->
     rest += [c for c in df.columns if c not in keys and c not in rest]
     if not rest:
         return df.dropDuplicates(keys)
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__best"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c)
+    best = df.groupBy(*map(_col, keys)).agg(F.min(F.struct(*map(_col, rest))).alias("__best"))
+    return best.select(*[_col(c) if c in keys else F.col("__best").getField(c).alias(c)
                          for c in df.columns])
 
 
@@ -45,11 +45,11 @@ def both_directions(edges: DataFrame, src: str = "src", dst: str = "dst",
     others = [c for c in edges.columns if c not in (src, dst, edge_type)]
 
     def row(a: str, b: str, kind: Column) -> Column:
-        return F.struct(F.col(a).alias(src), F.col(b).alias(dst), kind.alias(edge_type),
-                        *[F.col(c) for c in others])
+        return F.struct(_col(a).alias(src), _col(b).alias(dst), kind.alias(edge_type),
+                        *[_col(c) for c in others])
 
-    return edges.select(F.inline(F.array(row(src, dst, F.col(edge_type)),
-                                         row(dst, src, -F.col(edge_type)))))
+    return edges.select(F.inline(F.array(row(src, dst, _col(edge_type)),
+                                         row(dst, src, -_col(edge_type)))))
 
 
 def with_existence_rows(df: DataFrame, kind: str = "prefix", existence: int = 7, tag: int = 1,
@@ -60,19 +60,19 @@ def with_existence_rows(df: DataFrame, kind: str = "prefix", existence: int = 7,
 
     def row(number: int, filled: bool) -> Column:
         return F.struct(
-            F.lit(number).alias(kind), *[F.col(c) for c in ids],
-            *[(F.col(c) if filled else F.lit(None).cast(df.schema[c].dataType)).alias(c)
+            F.lit(number).alias(kind), *[_col(c) for c in ids],
+            *[(_col(c) if filled else F.lit(None).cast(df.schema[c].dataType)).alias(c)
               for c in values])
 
     return df.select(F.inline(F.array(row(existence, False), row(tag, True))))
 
 
-def row_bucket(df: DataFrame, buckets: int) -> Column:
+def row_bucket(columns: list[Column], buckets: int) -> Column:
     """Bucket 0..buckets-1 from a hash of the whole row.
 
     Rows that share an id but differ elsewhere spread over the buckets.
     """
-    return F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
 def buckets_per_part(df: DataFrame, parts: int) -> int:
@@ -111,7 +111,7 @@ def assign_batches(df: DataFrame, batch: int, order_by: list[Column | str],
     """
     keys = list(partition_by)
     if buckets > 1:
-        df = df.withColumn("bucket", row_bucket(df, buckets) if bucket is None else bucket)
+        df = df.withColumn("bucket", row_bucket([_col(c) for c in df.columns], buckets) if bucket is None else bucket)
         keys.append("bucket")
     batch_id, batch_pos = batch_columns(F.col("__place"), batch)
     return (df.withColumn("__place", row_place(order_by, keys))
@@ -130,8 +130,8 @@ def by_graph_part(df: DataFrame, n: int, part: str = "part", splits: int = 1,
     With ``splits`` > 1 every graph partition takes that many consecutive Spark
     partitions, chosen by a hash of the row, so a hot graph partition is shared.
     """
-    slot = F.col(part) - 1
+    slot = _col(part) - 1
     if splits > 1:
-        inner = row_bucket(df, splits) if split is None else split
+        inner = row_bucket([_col(c) for c in df.columns], splits) if split is None else split
         slot = slot * splits + inner
     return df.repartitionById(n * splits, slot.cast("int"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import _col
 from ..storage import cut_lineage
 from .rows import can_sort
 
@@ -53,8 +54,8 @@ def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None =
     by task offset plus position in the task. Other columns and the read
     position break ties, so equal order keys do not gather in one task.
     """
-    sortable = [c for c in df.columns if c not in order_by and can_sort(df.schema, c)]
-    order = [*order_by, *sortable, "__read"]
+    others = [c for c in df.columns if c not in order_by and can_sort(df.schema, c)]
+    order = [_col(c) for c in [*order_by, *others, "__read"]]
     salted = df.withColumn("__read", F.monotonically_increasing_id())
     ranged = (salted.repartitionByRange(partitions, *order) if partitions
               else salted.repartitionByRange(*order))

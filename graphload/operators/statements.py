@@ -94,7 +94,7 @@ def _vertex_item(schema: StructType, spec: VertexSpec, target: GraphTarget) -> C
 
 
 def rank_value(schema: StructType, name: str) -> Column:
-    return jtrim(name).cast("bigint") if is_text(schema, name) else F.col(name).cast("bigint")
+    return jtrim(name).cast("bigint") if is_text(schema, name) else _col(name).cast("bigint")
 
 
 def _edge_item(schema: StructType, spec: EdgeSpec, target: GraphTarget) -> Column:
@@ -111,10 +111,15 @@ def _edge_item(schema: StructType, spec: EdgeSpec, target: GraphTarget) -> Colum
 
 
 def item_of(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget) -> Column:
-    """The fragment of a row of ``df``."""
-    if spec.kind == "vertex":
-        return _vertex_item(df.schema, spec, target)
-    return _edge_item(df.schema, spec, target)
+    """The fragment of a row of ``df``.
+
+    A row without an id has no text; it stops the job rather than being left
+    out when texts are joined.
+    """
+    make = _vertex_item if spec.kind == "vertex" else _edge_item
+    item = make(df.schema, spec, target)
+    stop = F.raise_error(F.lit(f"{spec.label}: a row without an id or rank")).cast("string")
+    return F.when(item.isNull(), stop).otherwise(item)
 
 
 def render_items(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget) -> DataFrame:
@@ -143,7 +148,7 @@ def id_value(schema: StructType, name: str, target: GraphTarget, policy: str | N
         return murmur64(text)
     if target.id_type.upper() == "STRING":
         return text
-    return text.cast("bigint") if is_text(schema, name) else F.col(name).cast("bigint")
+    return text.cast("bigint") if is_text(schema, name) else _col(name).cast("bigint")
 
 
 def _route_id(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarget) -> Column:
@@ -166,13 +171,13 @@ def render(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget, batc
     of the input. The one shuffle carries the source columns; text is made after.
     """
     order = list(dict.fromkeys((order_by or spec.key_fields) + required_fields(spec)))
-    rows = df.select(*order)
+    columns = [_col(c) for c in order]
     count = buckets_per_part(df, target.parts) if buckets is None else buckets
     part = graph_part(_route_id(df.schema, spec, target), target.parts, target.id_type)
     keys = [part.alias("__part")]
     if count > 1:
-        keys.append((row_bucket(rows, count) if bucket is None else bucket).alias("__bucket"))
-    routed = df.select(*order, *keys)
+        keys.append((row_bucket(columns, count) if bucket is None else bucket).alias("__bucket"))
+    routed = df.select(*columns, *keys)
     groups = [c for c in routed.columns if c not in order]
     # numbered in a step of its own: rendering stays above the window, after the shuffle
     placed = routed.withColumn("__place", row_place(

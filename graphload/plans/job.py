@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import graph_part
+from ..functions.text import _col
 from ..operators.delivery import (
     DeliveryOptions, check_budget, save_failures, write_batches,
 )
@@ -99,6 +100,7 @@ class Job:
     delivery: DeliveryOptions = DeliveryOptions()
     existence: bool = False
     failures: str | None = None
+    results: str | None = None
     kv_path: str | None = None
 
     @staticmethod
@@ -120,7 +122,7 @@ class Job:
             if key in options:
                 options[key] = tuple(options[key])
         job = Job(target, entities, dict(d.get("spark_conf", {})), DeliveryOptions(**options),
-                  d.get("existence", False), d.get("failures"), d.get("kv_path"))
+                  d.get("existence", False), d.get("failures"), d.get("results"), d.get("kv_path"))
         if job.kv_path is None and any(e.sink == "kv" for e in entities):
             raise ValueError("kv entities need kv_path")
         return job
@@ -175,7 +177,7 @@ def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None
     rows = apply_filter(found.rows, entity.filter)
     for key in entity.composite_keys:
         rows = with_composite_key(rows, key["sep"], key["cols"], key["new_col"])
-    return Input(rows.select(*required_fields(entity.spec)), found.ends)
+    return Input(rows.select(*map(_col, required_fields(entity.spec))), found.ends)
 
 
 def prepared_rows(spark: SparkSession, entity: Entity, params: str | None = None
@@ -194,12 +196,12 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, foun
                 factory, run: str, report: JobReport) -> DataFrame | None:
     spec, name, rows = entity.spec, f"{entity.spec.label}-{number}", found.rows
     spark.sparkContext.setJobGroup(name, f"{spec.kind} {spec.label}")
-    failures = job.failures or f"{run}/failures"
+    failures, stored = job.failures or f"{run}/failures", job.results or f"{run}/results"
     if rows.isStreaming:
         options = DeliveryOptions(**{**job.delivery.__dict__, "batch": entity.batch})
         report.streams.append(stream_load(
-            rows, spec, job.target, factory, f"{run}/results/{name}", f"{failures}/{name}",
-            options, entity.checkpoint, entity.interval_s))
+            rows, spec, job.target, factory, f"{stored}/{name}", f"{failures}/{name}",
+            options, entity.checkpoint, entity.interval_s, name=name))
         return None
     rows = enforce(rows, problem_of(spec, job.target.id_type, rows.schema), "fail")
     if entity.sink == "kv":
@@ -213,8 +215,9 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, foun
     rows = repartition_to(rows, entity.partition, resumable=found.ends is not None)
     items = render_items(rows, spec, job.target)
     results = write_batches(items, spec.label, statement_frame(spec), factory, options,
-                            f"{run}/results/{name}")
+                            f"{stored}/{name}")
     save_failures(results, failures, name)
+    check_budget(results, options.max_failed_batches)
     # what failed is in the dead letters, so the slices are finished
     _mark_done(spark, entity, found.ends)
     return results
@@ -251,7 +254,6 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
     if tables:
         results = reduce(DataFrame.unionByName, tables)
         report.stats = load_stats(results, report.seconds)
-        check_budget(results, job.delivery.max_failed_batches)
     return report
 
 

@@ -25,9 +25,9 @@ def stream_statements(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: Grap
 def stream_load(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget,
                 factory: Callable[[], object], results_path: str, failures_path: str,
                 options: DeliveryOptions = DeliveryOptions(), checkpoint: str | None = None,
-                interval_s: int = DEFAULT_INTERVAL_S, available_now: bool = False
-                ) -> StreamingQuery:
-    """Start loading a stream.
+                interval_s: int = DEFAULT_INTERVAL_S, available_now: bool = False,
+                name: str | None = None) -> StreamingQuery:
+    """Start loading a stream under a query name (the label by default).
 
     A micro-batch may run again after a failure, so its results and dead letters
     go to a folder named by its number and replace what an earlier try left.
@@ -44,7 +44,7 @@ def stream_load(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarge
         save_failures(results, failures_path, f"epoch={epoch}", "overwrite")
         check_budget(results, options.max_failed_batches)
 
-    writer = items.writeStream.queryName(spec.label).foreachBatch(load)
+    writer = items.writeStream.queryName(name or spec.label).foreachBatch(load)
     if checkpoint is not None:
         writer = writer.option("checkpointLocation", checkpoint)
     if available_now:

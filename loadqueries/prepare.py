@@ -200,11 +200,12 @@ def part_string(spark, sf_dir):
     return rows.select("id", graph_part("id", PARTS, "STRING").alias("part"))
 
 
-@query(f"SELECT {sql_part_int('l_orderkey')} AS part, ({sql_part_int('l_orderkey')} - 1) "
-       "AS task, count(*) AS n FROM lineitem GROUP BY ALL")
+@query(f"SELECT {sql_part_int('l_orderkey')} AS part, ({sql_part_int('l_orderkey')} - 1) * 4 "
+       "+ (l_partkey % 4)::INTEGER AS task, count(*) AS n FROM lineitem GROUP BY ALL")
 def part_histogram(spark, sf_dir):
-    """Rows per graph partition and the task that got them."""
+    """Rows per graph partition and the task that got them; four tasks share a partition."""
     rows = table(spark, sf_dir, "lineitem").select(
-        graph_part("l_orderkey", PARTS, "INT").alias("part"))
-    routed = by_graph_part(rows, PARTS).withColumn("task", F.spark_partition_id())
+        graph_part("l_orderkey", PARTS, "INT").alias("part"), "l_partkey")
+    routed = by_graph_part(rows, PARTS, splits=4, split=F.pmod("l_partkey", F.lit(4)))
+    routed = routed.withColumn("task", F.spark_partition_id())
     return routed.groupBy("part", "task").agg(F.count(F.lit(1)).alias("n"))

@@ -185,7 +185,7 @@ def test_streams_are_started_together(spark, tables, tmp_path):
     d["vertices"] = d["vertices"][:1]
     log = tables["log"]
     report = run_job(spark, Job.from_dict(d), lambda: Recorder(log))
-    assert sorted(q.name for q in report.streams) == ["knows", "person"]
+    assert sorted(q.name for q in report.streams) == ["knows-1", "person-0"]
     for query in report.streams:
         query.processAllAvailable()
         query.stop()

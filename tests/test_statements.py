@@ -1,6 +1,10 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from graphload.operators.kv import vertex_kv, with_value
+from graphload.operators.rows import dedup_vertices
+from graphload.operators.slices import with_row_index
 from graphload.operators.statements import render, render_items, statement_frame, statement_rows
 from graphload.spec import EdgeSpec, GraphTarget, Label, VertexSpec
 from test_values import FOURTEEN, MARKER
@@ -139,3 +143,27 @@ def test_rendering_shuffles_once(spark, data):
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in render(
         rows.select("c_custkey", "c_name"), spec, GraphTarget(10, "INT", 8, GRAPH.labels)
     )._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_an_id_stop_the_job(spark):
+    rows = spark.createDataFrame([("1", 1), (None, 2)], "id string, age int")
+    spec = VertexSpec("person", "id", ("age",))
+    with pytest.raises(PySparkException, match="without an id"):
+        render_items(rows, spec, GRAPH).collect()
+    with pytest.raises(PySparkException, match="without an id"):
+        render(rows, spec, GRAPH).collect()
+
+
+def test_any_column_name_works(spark):
+    rows = spark.createDataFrame([("1", 1, "x", "o")], ["a.b", "part", "c`d e", "batch_id"])
+    graph = GraphTarget(3, "STRING", 8, {"v": Label.of(
+        "vertex", {"p": "INT64", "q": "STRING", "r": "STRING"})})
+    spec = VertexSpec("v", "a.b", ("part", "c`d e", "batch_id"), ("p", "q", "r"))
+    for buckets in (1, 3):
+        got = render(rows, spec, graph, buckets=buckets).first()
+        assert got.statement == 'INSERT VERTEX `v`(`p`,`q`,`r`) VALUES "1": (1, "x", "o")'
+    kv = with_value(vertex_kv(rows, spec, graph)).first()
+    assert bytes(kv.value) == b'{"p":1,"q":"x","r":"o"}'
+    indexed = with_row_index(rows, ["a.b"]).first()
+    assert indexed.row_index == 0 and indexed["c`d e"] == "x"
+    assert dedup_vertices(rows, "a.b", ["c`d e"]).columns == rows.columns
