@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,31 +106,39 @@ class _Sender:
             error = self._try(statement)
         return error is None
 
-    def send(self, items: list[str]) -> tuple[bool, list[str]]:
+    def send(self, items: pa.Array) -> tuple[bool, list[str]]:
         """(was it sent, statements that failed, one per row)."""
         budget = self.options.max_failed_batches
-        alone = [self.frame.join([item]) for item in items]
         if budget is not None and self.failed_batches >= budget:
-            return False, alone
+            return False, self._alone(items)
         if not self.pace.take():
             self.failed_batches += 1
-            return False, alone
-        if self._try(self.frame.join(items)) is None:
+            return False, self._alone(items)
+        if self._try(self._together(items)) is None:
             return True, []
-        failed = [statement for statement in alone if not self._one(statement)]
+        failed = [statement for statement in self._alone(items) if not self._one(statement)]
         self.failed_batches += bool(failed)
         return True, failed
 
+    def _together(self, items: pa.Array) -> str:
+        one_list = pa.ListArray.from_arrays(pa.array([0, len(items)], pa.int32()), items)
+        return self.frame.head + pc.binary_join(one_list, self.frame.sep)[0].as_py() + (
+            self.frame.tail)
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[str]]:
-    waiting: list[str] = []
+    def _alone(self, items: pa.Array) -> list[str]:
+        return [self.frame.join([item]) for item in items.to_pylist()]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Array]:
+    """The items of a task, ``size`` at a time, whatever the sizes they arrive in."""
+    waiting = pa.array([], pa.string())
     for record_batch in batches:
-        waiting.extend(record_batch.column(0).to_pylist())
+        waiting = pa.concat_arrays([waiting, record_batch.column(0).cast(pa.string())])
         full = len(waiting) - len(waiting) % size
         for start in range(0, full, size):
-            yield waiting[start:start + size]
-        waiting = waiting[full:]
-    if waiting:
+            yield waiting.slice(start, size)
+        waiting = waiting.slice(full)
+    if len(waiting):
         yield waiting
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,14 +29,19 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = Fals
     return df if partition_spec is None else df.filter(partition_spec.replace("/", " AND "))
 
 
-def read_lines(spark: SparkSession, path: str, parse: dict[str, Column],
+def read_lines(spark: SparkSession, path: str, parse: dict[str, Column] | Callable,
                predicate: Column | str | None = None,
-               schema: T.StructType | None = None) -> DataFrame:
+               schema: T.StructType | str | None = None) -> DataFrame:
     """Text lines to rows. ``parse`` maps a column name to an expression on ``value``.
 
-    Blank lines are dropped first; ``predicate`` filters the parsed rows.
+    Where expressions cannot say it, ``parse`` is a function over Arrow batches
+    of lines that yields batches of ``schema``. Blank lines are dropped first;
+    ``predicate`` filters the parsed rows.
     """
     lines = spark.read.text(path).filter(F.length("value") > 0)
+    if callable(parse):
+        rows = lines.mapInArrow(parse, schema)
+        return rows if predicate is None else rows.filter(predicate)
     columns = [c.alias(name) if schema is None
                else c.cast(schema[name].dataType).alias(name) for name, c in parse.items()]
     rows = lines.select(*columns)

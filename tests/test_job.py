@@ -1,10 +1,14 @@
 import copy
+import json
 import os
+import sys
+import types
 
 import pytest
 from pyspark.errors import PySparkException
 
 from executors import Recorder, recorded
+from graphload.__main__ import main
 from graphload.operators.delivery import TooManyFailures
 from graphload.operators.slices import load_checkpoint
 from graphload.plans import Job, edges_of, run_job, vertices_of
@@ -210,3 +214,20 @@ def test_a_sliced_entity_resumes(spark, tables, tmp_path):
     report = run_job(spark, job, lambda: Recorder(log))
     assert len(recorded(log)) == sent
     assert report.stats.filter("entity = 'person'").count() == 0
+
+
+def test_command_line(spark, tables, tmp_path, monkeypatch, capsys):
+    log = tables["log"]
+    module = types.ModuleType("my_client")
+    module.make = lambda: Recorder(log, ["Acme"])
+    module.accept = lambda: Recorder(log)
+    monkeypatch.setitem(sys.modules, "my_client", module)
+    config = tmp_path / "job.json"
+    config.write_text(json.dumps(describe(tables)))
+    main(["-c", str(config), "-D"])
+    assert "Ann" in capsys.readouterr().out and recorded(log) == []
+    main(["-c", str(config), "--executor", "my_client:make"])
+    assert "(total)" in capsys.readouterr().out
+    main(["-c", str(config), "-r", tables["dead"], "--executor", "my_client:accept"])
+    assert "1" in capsys.readouterr().out
+    assert recorded(log).count('INSERT VERTEX `firm`(`name`) VALUES 9: ("Acme")') == 3

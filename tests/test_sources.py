@@ -65,6 +65,7 @@ def test_sentences(spark):
     got = sql_source(spark, "SELECT l.id FROM left_rows l JOIN right_rows r USING (id)", views)
     assert [r.id for r in got.collect()] == [2]
     assert read_source(spark, {"type": "hive", "sentence": "SELECT 7 AS x"}).first().x == 7
+    views["left_rows"].createOrReplaceTempView("left_rows")
     rows = read_source(spark, {"type": "table", "table": "left_rows", "partition_spec": "id > 0",
                                "sentence": "SELECT max(id) AS m FROM left_rows"})
     assert rows.first().m == 2
@@ -194,3 +195,30 @@ def test_python_data_sources(spark):
     spark.dataSource.register(Counting)
     rows = read_source(spark, {"type": "format", "format": "counting", "options": {"limit": "5"}})
     assert sorted(r.id for r in rows.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_lines_by_function(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    path = tmp_path / "a.txt"
+    path.write_text("b,a\n\nd,c,e\n")
+
+    def parse(batches):
+        for batch in batches:
+            words = pc.split_pattern(batch.column(0), ",")
+            yield pa.RecordBatch.from_arrays(
+                [pc.list_element(words, 1), pc.list_value_length(words)], ["w", "n"])
+
+    rows = read_lines(spark, str(path), parse, "n > 2", "w string, n int")
+    assert [tuple(r) for r in rows.collect()] == [("c", 3)]
+
+
+def test_sentence_views_do_not_outlive_the_sentence(spark):
+    spark.range(100).createOrReplaceTempView("mine")
+    got = sql_source(spark, "SELECT count(*) AS n FROM mine JOIN yours USING (id)",
+                     {"mine": spark.range(5), "yours": spark.range(3)})
+    assert got.first().n == 3
+    assert spark.table("mine").count() == 100
+    assert not spark.catalog.tableExists("yours")
+    spark.catalog.dropTempView("mine")
