@@ -53,13 +53,19 @@ def _literals(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarg
             for f, t in spec.properties]
 
 
+def _joined(texts: list[Column], sep: str) -> Column:
+    """Texts that are never NULL with a separator between; one flat concatenation."""
+    parts = [part for text in texts for part in (F.lit(sep), text)]
+    return F.concat(*parts[1:]) if parts else F.lit("")
+
+
 def _values(literals: list[tuple[str, Column]]) -> Column:
-    return F.concat_ws(", ", *[value for _, value in literals]) if literals else F.lit("")
+    return _joined([value for _, value in literals], ", ")
 
 
 def _assignments(literals: list[tuple[str, Column]]) -> Column:
-    return F.concat_ws(",", *[F.concat(F.lit(quote_name(name) + "="), value)
-                              for name, value in literals])
+    return _joined([F.concat(F.lit(quote_name(name) + "="), value) for name, value in literals],
+                   ",")
 
 
 def _insert_head(spec: VertexSpec | EdgeSpec) -> str:
@@ -117,9 +123,8 @@ def item_of(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget) ->
     out when texts are joined.
     """
     make = _vertex_item if spec.kind == "vertex" else _edge_item
-    item = make(df.schema, spec, target)
     stop = F.raise_error(F.lit(f"{spec.label}: a row without an id or rank")).cast("string")
-    return F.when(item.isNull(), stop).otherwise(item)
+    return F.coalesce(make(df.schema, spec, target), stop)
 
 
 def render_items(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget) -> DataFrame:
