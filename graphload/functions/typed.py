@@ -31,15 +31,29 @@ GEOGRAPHY = T.StructType([
 ])
 
 
+def _fail(raw: Column, what: str, to: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"not a valid {what}: "), raw.cast("string"))).cast(to)
+
+
 def _cast(c: Column, to: str, on_error: str) -> Column:
-    return c.cast(to) if on_error == "fail" else c.try_cast(to)
+    """Cast that fails or yields NULL for a bad value, whatever the session's ANSI setting."""
+    tried = c.try_cast(to)
+    if on_error == "null":
+        return tried
+    return F.coalesce(tried, F.when(c.isNotNull(), _fail(c, to, to)))
 
 
 def _require(ok: Column, value: Column, raw: Column, what: str, on_error: str) -> Column:
     """``value`` where ``ok``; NULL input stays NULL; otherwise error or NULL."""
-    bad = F.lit(None) if on_error == "null" else F.raise_error(
-        F.concat(F.lit(f"not a valid {what}: "), raw))
-    return F.when(raw.isNull(), F.lit(None)).when(ok, value).otherwise(bad)
+    known = F.when(raw.isNull(), F.lit(None)).when(ok, value)
+    return known if on_error == "null" else known.otherwise(_fail(raw, what, "void"))
+
+
+def _all_known(fields: list[Column]) -> Column:
+    known = F.lit(True)
+    for field in fields:
+        known = known & field.isNotNull()
+    return known
 
 
 def _field(parts: Column, index: int) -> Column:
@@ -78,19 +92,17 @@ def _day(text: Column, on_error: str) -> tuple[Column, list[Column]]:
 def parse_time(c: Column | str, on_error: str = "fail", strict: bool = False) -> Column:
     text = jtrim(_col(c))
     ok, fields = _clock(text, on_error, strict)
-    return _require(ok, F.struct(*fields), text, "time", on_error)
+    return _require(ok & _all_known(fields), F.struct(*fields), text, "time", on_error)
 
 
 def parse_date(c: Column | str, on_error: str = "fail") -> Column:
     text = jtrim(_col(c))
     ok, (year, month, day) = _day(text, on_error)
-    made = F.make_date(year, month, day) if on_error == "fail" else F.expr("null").cast("date")
-    if on_error == "null":
-        padded = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"),
-                             F.lpad(month.cast("string"), 2, "0"),
-                             F.lpad(day.cast("string"), 2, "0"))
-        made = padded.try_cast("date")
-    return _require(ok, made, text, "date", on_error)
+    # a month or day that does not exist becomes NULL before the date is made
+    month = F.when(month.between(1, 12), month)
+    last = F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
+    made = F.make_date(year, month, F.when(day.between(1, last), day))
+    return _require(ok & made.isNotNull(), made, text, "date", on_error)
 
 
 def parse_datetime(c: Column | str, on_error: str = "fail", strict: bool = False) -> Column:
@@ -103,17 +115,14 @@ def parse_datetime(c: Column | str, on_error: str = "fail", strict: bool = False
     halves = F.when(text.contains("T"), F.split(text, "T")).otherwise(F.split(text, " "))
     ok_day, day = _day(_field(halves, 0), on_error)
     ok_clock, clock = _clock(_field(halves, 1), on_error, strict)
-    ok = (F.size(halves) >= 2) & ok_day & ok_clock
+    ok = (F.size(halves) >= 2) & ok_day & ok_clock & _all_known([*day, *clock])
     if strict:
         year, month, dom = day
         hour, minute, sec, micro = clock
         seconds = (sec.cast("decimal(16,6)") + micro.cast("decimal(16,6)") / F.lit(1000000))
-        if on_error == "null":
-            value = F.try_make_timestamp_ntz(year, month, dom, hour, minute,
-                                             seconds.cast("decimal(16,6)"))
-        else:
-            value = F.make_timestamp_ntz(year, month, dom, hour, minute,
+        value = F.try_make_timestamp_ntz(year, month, dom, hour, minute,
                                          seconds.cast("decimal(16,6)"))
+        ok = ok & value.isNotNull()
     else:
         value = F.struct(*day, *clock)
     return _require(ok, value, text, "datetime", on_error)
@@ -122,7 +131,8 @@ def parse_datetime(c: Column | str, on_error: str = "fail", strict: bool = False
 def parse_epoch(c: Column | str, on_error: str = "fail") -> Column:
     """Integer seconds; anything else is an error."""
     text = jtrim(_col(c))
-    return _require(is_numeric_id(text, strict=True), _cast(text, "bigint", on_error), text,
+    value = text.try_cast("bigint")
+    return _require(is_numeric_id(text, strict=True) & value.isNotNull(), value, text,
                     "timestamp number", on_error)
 
 
@@ -155,22 +165,27 @@ def parse_wkt(c: Column | str, on_error: str = "fail") -> Column:
     return _require(ok, value, text, "point, line or polygon text", on_error)
 
 
-def parse_typed(c: Column | str, kind: str, marker: str | None = None,
-                on_error: str = "fail", strict: bool = False, source_text: bool = True) -> Column:
+def parse_typed(c: Column | str, kind: str, marker: str | None = None, on_error: str = "fail",
+                strict: bool = False, source: T.DataType | None = None) -> Column:
     """Value of a source column as its target type; NULL stays NULL.
 
-    ``source_text=False`` says the column is not text: nothing to trim.
+    ``source`` is the type of the column where it is known: integers then go to
+    integer types, and values to their own type, without a detour over text.
     """
     kind = check_type(kind)
     c = _col(c)
+    text = source is None or isinstance(source, T.StringType)
     if kind in ("STRING", "FIXED_STRING"):
-        return unsentinel(jtrim(c, source_text), marker)
+        return unsentinel(jtrim(c, text), marker if text else None)
     if kind in CASTS:
-        return _cast(jtrim(c, source_text), CASTS[kind], on_error)
+        if not text and source.simpleString() == CASTS[kind]:
+            return c
+        whole = isinstance(source, T.IntegralType) and kind not in ("FLOAT", "DOUBLE")
+        return _cast(c if whole else jtrim(c, text), CASTS[kind], on_error)
     if kind == "BOOL":
-        return parse_bool(c, on_error)
+        return c if isinstance(source, T.BooleanType) else parse_bool(c, on_error)
     if kind == "DATE":
-        return parse_date(c, on_error)
+        return c if isinstance(source, T.DateType) else parse_date(c, on_error)
     if kind == "TIME":
         return parse_time(c, on_error, strict)
     if kind == "DATETIME":

@@ -8,7 +8,6 @@ from pyspark.sql.types import StructType
 
 from ..functions.hashing import graph_part
 from ..functions.keys import EDGE, EXISTENCE, VERTEX, edge_key, existence_key, vertex_key
-from ..functions.text import is_text
 from ..functions.typed import parse_typed
 from ..spec import EdgeSpec, GraphTarget, VertexSpec, bind_schema
 from .rows import dedup
@@ -19,7 +18,7 @@ def typed_properties(schema: StructType, spec: VertexSpec | EdgeSpec, target: Gr
                      ) -> Column:
     """Properties as a struct of typed values under their target names."""
     types = bind_schema(spec, target)
-    fields = [parse_typed(f, types[t], target.empty_marker, source_text=is_text(schema, f)).alias(t)
+    fields = [parse_typed(f, types[t], target.empty_marker, source=schema[f].dataType).alias(t)
               for f, t in spec.properties]
     # a struct needs a field; a NULL one is left out of the JSON value
     return F.struct(*(fields or [F.lit(None).cast("string").alias("none")]))

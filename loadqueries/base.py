@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from graphload.spec import GraphTarget, Label
 
@@ -131,8 +130,3 @@ def sql_quote(x: str) -> str:
 
 def sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
-
-
-def typed(df: DataFrame, **types: str) -> DataFrame:
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
-                       for c in df.columns])

@@ -65,7 +65,9 @@ def test_typed_values(one, kind, source, value, typed):
     ("INT8", "300"), ("INT32", "x"), ("BOOL", "yes"), ("DATE", "2021-01"), ("TIME", "12:00"),
     ("DATETIME", "2021-01-01"), ("DATETIME", "2021-01-01T12"), ("TIMESTAMP", "2021-01-01T12:00:00"),
     ("TIMESTAMP", "-"), ("GEOGRAPHY", "CIRCLE(1 2)"), ("GEOGRAPHY", "POINT(a b)"),
-    ("DOUBLE", "1,5"), ("DATE", "2021-13-01"),
+    ("DOUBLE", "1,5"), ("DATE", "2021-13-01"), ("DATE", "2021-xx-03"), ("DATE", "2021-02-29"),
+    ("DATE", "2021-00-10"), ("TIME", "12:xx:00"), ("DATETIME", "2021-xx-01T1:2:3"),
+    ("DATETIME", "2021-01-01 1:2:"), ("INT64", "1.0"), ("INT64", ""), ("BOOL", ""),
 ])
 def test_bad_values_fail_or_become_null(one, kind, value):
     with pytest.raises(PySparkException):
@@ -108,3 +110,50 @@ def test_shapes(one, text, kind, rings):
     found = one(parse_wkt("t"), t=(text, "string"))
     assert found.kind == kind
     assert [[(p.x, p.y) for p in ring] for ring in found.rings] == rings
+
+
+def test_bad_values_fail_without_ansi_too(spark, one):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for kind, value in [("INT8", "300"), ("DOUBLE", "x"), ("DATE", "2021-02-30")]:
+            with pytest.raises(PySparkException, match="not a valid"):
+                one(parse_typed("v", kind), v=(value, "string"))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_dates_match_the_calendar(spark):
+    texts = [f"{y}-{m}-{d}" for y in (1, 1900, 2000, 2021, 2024, 12021) for m in range(0, 14)
+             for d in (0, 1, 28, 29, 30, 31, 32)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", parse_date("t", on_error="null").cast("string").alias("d")).collect()
+    for row in rows:
+        y, m, d = map(int, row.t.split("-"))
+        try:
+            datetime.date(2000 + y % 400, m, d)
+            exists = True
+        except ValueError:
+            exists = False
+        assert (row.d is not None) == exists, row
+        if exists and y < 10000:
+            assert row.d == f"{y:04}-{m:02}-{d:02}"
+
+
+@pytest.mark.parametrize("kind, source, value, typed", [
+    ("INT64", "int", 7, 7), ("INT32", "int", 7, 7), ("BOOL", "boolean", True, True),
+    ("DOUBLE", "double", 1.5, 1.5), ("DATE", "date", datetime.date(2020, 1, 2),
+                                     datetime.date(2020, 1, 2)),
+    ("DOUBLE", "int", 3, 3.0), ("STRING", "int", 3, "3"), ("INT8", "bigint", -128, -128),
+])
+def test_known_source_types(spark, kind, source, value, typed):
+    rows = spark.createDataFrame([(value,)], f"v {source}")
+    as_typed = parse_typed("v", kind, source=rows.schema["v"].dataType)
+    assert rows.select(as_typed).first()[0] == typed
+
+
+@pytest.mark.parametrize("kind, source, value", [
+    ("INT8", "bigint", 128), ("INT64", "double", 1.5), ("INT64", "boolean", True)])
+def test_values_that_do_not_fit_their_type(spark, kind, source, value):
+    rows = spark.createDataFrame([(value,)], f"v {source}")
+    with pytest.raises(PySparkException, match="not a valid"):
+        rows.select(parse_typed("v", kind, source=rows.schema["v"].dataType)).collect()
