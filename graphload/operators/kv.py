@@ -20,8 +20,12 @@ def typed_properties(schema: StructType, spec: VertexSpec | EdgeSpec, target: Gr
     types = bind_schema(spec, target)
     fields = [parse_typed(f, types[t], target.empty_marker, source=schema[f].dataType).alias(t)
               for f, t in spec.properties]
-    # a struct needs a field; a NULL one is left out of the JSON value
-    return F.struct(*(fields or [F.lit(None).cast("string").alias("none")]))
+    return F.struct(*fields) if fields else _no_properties()
+
+
+def _no_properties() -> Column:
+    """A struct needs a field; a NULL one is left out of the JSON value."""
+    return F.struct(F.lit(None).cast("string").alias("none"))
 
 
 def vertex_rows(df: DataFrame, spec: VertexSpec, target: GraphTarget) -> DataFrame:
@@ -39,12 +43,19 @@ def edge_rows(df: DataFrame, spec: EdgeSpec, target: GraphTarget) -> DataFrame:
         rank.alias("rank"), typed_properties(df.schema, spec, target).alias("props"))
 
 
+def _unique(rows: DataFrame, keys: list[str], spec: VertexSpec | EdgeSpec) -> DataFrame:
+    if spec.properties:
+        return dedup(rows, keys, ["props"])
+    # plain keys aggregate by hash, without the sort that structs need
+    return rows.select(*keys).distinct().withColumn("props", _no_properties())
+
+
 def vertex_kv(df: DataFrame, spec: VertexSpec, target: GraphTarget, existence: bool = False,
               unique: bool = True) -> DataFrame:
     """part, prefix, key, props of every vertex, one per id when ``unique``."""
     rows = vertex_rows(df, spec, target)
     if unique:
-        rows = dedup(rows, ["vid"], ["props"])
+        rows = _unique(rows, ["vid"], spec)
     number = target.label(spec.label, "vertex").number
     rows = rows.withColumn("part", graph_part("vid", target.parts, target.id_type))
     key = vertex_key("part", "vid", target.id_len, number, target.id_type)
@@ -61,7 +72,7 @@ def edge_kv(df: DataFrame, spec: EdgeSpec, target: GraphTarget, unique: bool = T
     """part, prefix, key, props of every edge in both directions."""
     rows = edge_rows(df, spec, target)
     if unique:
-        rows = dedup(rows, ["src", "dst", "rank"], ["props"])
+        rows = _unique(rows, ["src", "dst", "rank"], spec)
     number = target.label(spec.label, "edge").number
     turned = F.col("way") < 0
     ways = rows.withColumn("way", F.explode(F.array(F.lit(1), F.lit(-1)))).select(

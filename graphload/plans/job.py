@@ -35,7 +35,7 @@ from ..storage import scratch_path
 from ..streaming import stream_load
 
 SINKS = ("statements", "kv")
-STREAMS = ("kafka", "pulsar", "file_stream")
+STREAMS = ("kafka", "pulsar", "file_stream", "stream")
 
 _VERTEX_KEYS = ("label", "id", "policy", "prefix", "mode", "ignore_index", "delete_edge")
 _EDGE_KEYS = ("label", "src", "dst", "rank", "src_policy", "dst_policy", "src_prefix",

@@ -73,6 +73,7 @@ _readers: dict[str, Reader] = {
     "format": _format,
     "jdbc": _jdbc, "mysql": _jdbc, "postgresql": _jdbc, "clickhouse": _jdbc, "oracle": _jdbc,
     "kafka": read_stream, "pulsar": read_stream, "file_stream": read_stream,
+    "stream": read_stream,
 }
 
 

@@ -53,8 +53,10 @@ def read_stream(spark: SparkSession, spec: dict, fields: list[str] = ()) -> Data
         return project_json(raw.select(F.col("value").cast("string")), "value", fields)
     if kind == "pulsar":
         return spark.readStream.format("pulsar").options(**pulsar_options(spec)).load()
-    # a folder that grows, with a known schema
-    reader = spark.readStream.format(spec.get("format", "parquet")).schema(spec["schema"])
+    # a folder that grows, with a known schema, or any other streaming connector
+    reader = spark.readStream.format(spec.get("format", "parquet"))
+    if spec.get("schema") is not None:
+        reader = reader.schema(spec["schema"])
     if spec.get("max_files_per_trigger"):
         reader = reader.option("maxFilesPerTrigger", spec["max_files_per_trigger"])
-    return reader.options(**spec.get("options", {})).load(spec["path"])
+    return reader.options(**spec.get("options", {})).load(spec.get("path"))

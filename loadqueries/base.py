@@ -12,12 +12,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a query under its function name, with the SQL that must agree."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a query under its function name or ``name``, with the SQL that must agree."""
     def add(fn):
-        QUERIES[fn.__name__] = fn
+        QUERIES[name or fn.__name__] = fn
         if sql is not None:
-            ORACLES[fn.__name__] = sql
+            ORACLES[name or fn.__name__] = sql
         return fn
     return add
 

@@ -77,6 +77,21 @@ def kv_edges(spark, sf_dir):
     return _shown(with_value(edge_kv(table(spark, sf_dir, "lineitem"), _EDGE_SPEC, INT_GRAPH)))
 
 
+@query(f"""
+WITH e AS (SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem),
+p AS (SELECT *, {sql_part_int('src')} AS sp, {sql_part_int('dst')} AS dp FROM e)
+SELECT sp AS part, 2 AS prefix, {_head('sp', 2)} || {sql_little('src', 8)} || {sql_little('13', 4)}
+       || {sql_big('0')} || {sql_little('dst', 8)} || '01' AS key, '{{}}' AS value FROM p
+UNION ALL
+SELECT dp, 2, {_head('dp', 2)} || {sql_little('dst', 8)} || {sql_little('-13', 4)}
+       || {sql_big('0')} || {sql_little('src', 8)} || '01', '{{}}' FROM p
+""")
+def kv_edges_bare(spark, sf_dir):
+    """Edges without rank or properties, with many copies in the source."""
+    spec = EdgeSpec("supplied_by", "l_partkey", "l_suppkey")
+    return _shown(with_value(edge_kv(table(spark, sf_dir, "lineitem"), spec, INT_GRAPH)))
+
+
 @query(f"SELECT {sql_part_int('c_custkey')} AS part, 1 AS prefix, count(*) AS n FROM customer "
        "GROUP BY ALL UNION ALL "
        f"SELECT {sql_part_int('c_custkey')}, 7, count(*) FROM customer GROUP BY ALL")

@@ -171,7 +171,7 @@ _RESULTS = ("SELECT o_orderpriority AS entity, (o_custkey % 500 + 1)::INTEGER AS
        "END AS entity, sum(CASE WHEN failed > 0 THEN 0 ELSE 1 END)::BIGINT AS batch_success, "
        "sum(CASE WHEN failed > 0 THEN 1 ELSE 0 END)::BIGINT AS batch_failure, "
        "sum(records - failed)::BIGINT AS record_success, sum(failed)::BIGINT AS record_failure, "
-       "sum(records - failed) / 2.0 AS records_per_second FROM r GROUP BY ROLLUP (entity)")
+       "sum(records - failed) / 2.0 AS records_per_second FROM r GROUP BY ROLLUP (entity)", name="load_stats")
 def load_counters(spark, sf_dir):
     """Counters over one result row per order."""
     rows = table(spark, sf_dir, "orders").select(

@@ -116,7 +116,7 @@ def quarantine(spark, sf_dir):
 
 
 @query("SELECT o_custkey, min(o_orderkey) AS o_orderkey, "
-       "arg_min(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY o_custkey")
+       "arg_min(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY o_custkey", name="dedup_vertices")
 def dedup_vertices_first(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
     return dedup_vertices(orders, "o_custkey", ["o_orderkey"])
@@ -127,7 +127,7 @@ def dedup_vertices_any(spark, sf_dir):
     return dedup_vertices(table(spark, sf_dir, "orders"), "o_custkey").select("o_custkey")
 
 
-@query("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
+@query("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem", name="dedup_edges")
 def dedup_edges_plain(spark, sf_dir):
     edges = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
     return dedup_edges(edges, "l_partkey", "l_suppkey")
@@ -143,7 +143,7 @@ def dedup_edges_ranked(spark, sf_dir):
 
 
 @query("SELECT l_orderkey AS src, l_partkey AS dst, 12 AS edge_type, l_linenumber AS rank "
-       "FROM lineitem UNION ALL SELECT l_partkey, l_orderkey, -12, l_linenumber FROM lineitem")
+       "FROM lineitem UNION ALL SELECT l_partkey, l_orderkey, -12, l_linenumber FROM lineitem", name="both_directions")
 def both_ways(spark, sf_dir):
     return both_directions(table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"),
@@ -162,7 +162,7 @@ def existence_rows(spark, sf_dir):
        "(o_orderkey % 4)::INTEGER AS bucket FROM orders), "
        "r AS (SELECT *, row_number() OVER (PARTITION BY part, bucket ORDER BY o_orderkey) - 1 "
        "AS n FROM p) SELECT o_orderkey, part, bucket, n // 100 AS batch_id, "
-       "(n % 100)::INTEGER AS batch_pos FROM r")
+       "(n % 100)::INTEGER AS batch_pos FROM r", name="assign_batches")
 def batch_numbers(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", graph_part("o_custkey", PARTS, "INT").alias("part"))

@@ -190,7 +190,7 @@ def stmt_upsert_edge_policies(spark, sf_dir):
 @query(f"WITH r AS (SELECT {sql_part_int('l_orderkey')} AS part, "
        f"(l_partkey % {BUCKETS})::INTEGER AS bucket, row_number() OVER (PARTITION BY part, bucket) "
        "- 1 AS pos FROM lineitem) SELECT part, bucket, pos // 500 AS batch_id, "
-       "count(*)::INTEGER AS carried FROM r GROUP BY ALL")
+       "count(*)::INTEGER AS carried FROM r GROUP BY ALL", name="statement_rows")
 def rows_in_statements(spark, sf_dir):
     return stmt_insert_edge(spark, sf_dir).select(
         "part", "bucket", "batch_id", statement_rows("statement").alias("carried"))

@@ -15,7 +15,7 @@ from .base import (
 
 
 @query(f"SELECT doc_id, md5({sql_trim('text')}) AS trimmed, "
-       f"length({sql_trim('chr(9) || lang || chr(13) || chr(10)')}) AS n FROM documents")
+       f"length({sql_trim('chr(9) || lang || chr(13) || chr(10)')}) AS n FROM documents", name="jtrim")
 def jtrim_text(spark, sf_dir):
     padded = F.concat(F.lit("\t"), F.col("lang"), F.lit("\r\n"))
     return table(spark, sf_dir, "documents").select(
@@ -23,13 +23,13 @@ def jtrim_text(spark, sf_dir):
         F.length(jtrim(padded)).cast("bigint").alias("n"))
 
 
-@query("SELECT doc_id, CASE WHEN lang = 'en' THEN '' ELSE lang END AS lang FROM documents")
+@query("SELECT doc_id, CASE WHEN lang = 'en' THEN '' ELSE lang END AS lang FROM documents", name="unsentinel")
 def empty_marker(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id", unsentinel("lang", "en").alias("lang"))
 
 
-@query("SELECT c_custkey, 'c_' || c_custkey AS id, c_custkey::VARCHAR AS bare FROM customer")
+@query("SELECT c_custkey, 'c_' || c_custkey AS id, c_custkey::VARCHAR AS bare FROM customer", name="prefix_id")
 def prefixed_id(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(
         "c_custkey", prefix_id("c_custkey", "c").alias("id"),
@@ -37,7 +37,7 @@ def prefixed_id(spark, sf_dir):
 
 
 @query(f"SELECT doc_id, md5({sql_escape('text')}) AS escaped, md5({sql_quote('text')}) AS quoted "
-       "FROM documents")
+       "FROM documents", name="escape_text")
 def escape_documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(escape_text("text")).alias("escaped"),
@@ -81,7 +81,7 @@ def render_literals(spark, sf_dir):
 
 @query("SELECT l_orderkey, l_linenumber, l_linenumber::TINYINT AS i8, l_linenumber::SMALLINT "
        "AS i16, l_suppkey::INTEGER AS i32, l_orderkey AS i64, l_quantity::FLOAT AS f32, "
-       "l_extendedprice AS f64, l_returnflag = 'R' AS flag, l_linestatus AS word FROM lineitem")
+       "l_extendedprice AS f64, l_returnflag = 'R' AS flag, l_linestatus AS word FROM lineitem", name="parse_typed")
 def parse_types(spark, sf_dir):
     def padded(c):
         return F.concat(F.lit(" "), F.col(c).cast("string"), F.lit("\t"))
@@ -99,7 +99,7 @@ def parse_types(spark, sf_dir):
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 9 > 0 THEN o_orderdate::DATE END AS day "
-       "FROM orders")
+       "FROM orders", name="parse_date")
 def parse_dates(spark, sf_dir):
     """Written without leading zeros; every ninth value is not a date."""
     text = F.when(F.col("o_orderkey") % 9 > 0, F.date_format("o_orderdate", "yyyy-M-d")).otherwise(
@@ -110,7 +110,7 @@ def parse_dates(spark, sf_dir):
 
 @query("SELECT event_id, hour(ts)::TINYINT AS hour, minute(ts)::TINYINT AS minute, "
        "second(ts)::TINYINT AS sec, (event_id % 1000)::INTEGER AS microsec, "
-       "((event_id % 1000) * 1000)::INTEGER AS strict_microsec FROM events")
+       "((event_id % 1000) * 1000)::INTEGER AS strict_microsec FROM events", name="parse_time")
 def parse_times(spark, sf_dir):
     text = F.concat(F.date_format("ts", "H:m:s"), F.lit("."),
                     F.lpad((F.col("event_id") % 1000).cast("string"), 3, "0"))
@@ -121,7 +121,7 @@ def parse_times(spark, sf_dir):
 
 @query("SELECT event_id, year(ts)::SMALLINT AS year, month(ts)::TINYINT AS month, "
        "day(ts)::TINYINT AS day, hour(ts)::TINYINT AS hour, minute(ts)::TINYINT AS minute, "
-       "second(ts)::TINYINT AS sec, 0 AS microsec, date_trunc('second', ts) AS exact FROM events")
+       "second(ts)::TINYINT AS sec, 0 AS microsec, date_trunc('second', ts) AS exact FROM events", name="parse_datetime")
 def parse_datetimes(spark, sf_dir):
     """Half of the values use a T between day and time, half a space."""
     sep = F.when(F.col("event_id") % 2 == 0, F.lit("T")).otherwise(F.lit(" "))
@@ -132,7 +132,7 @@ def parse_datetimes(spark, sf_dir):
     return rows.select("event_id", "t.*", "exact")
 
 
-@query("SELECT event_id, CASE WHEN event_id % 4 > 0 THEN user_id END AS epoch FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 4 > 0 THEN user_id END AS epoch FROM events", name="parse_epoch")
 def parse_epochs(spark, sf_dir):
     text = F.when(F.col("event_id") % 4 > 0, F.col("user_id").cast("string")).otherwise(
         F.col("ts").cast("string"))
@@ -144,7 +144,7 @@ def parse_epochs(spark, sf_dir):
        "WHEN 2 THEN 'POLYGON' END AS kind, "
        "CASE c_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 END::INTEGER AS rings, "
        "CASE c_custkey % 4 WHEN 0 THEN c_custkey + 0.5 WHEN 1 THEN c_custkey * 3 + 4 "
-       "WHEN 2 THEN c_nationkey * 3.0 + c_custkey * 2.5 + 9 END::DOUBLE AS sum_x FROM customer")
+       "WHEN 2 THEN c_nationkey * 3.0 + c_custkey * 2.5 + 9 END::DOUBLE AS sum_x FROM customer", name="parse_wkt")
 def parse_shapes(spark, sf_dir):
     """Points, lines, polygons with a hole, and texts that are none of these."""
     k, n = F.col("c_custkey"), F.col("c_nationkey")
@@ -207,7 +207,7 @@ GROUP BY ALL
 """
 
 
-@query(_CELLS)
+@query(_CELLS, name="geo_cells")
 def geo_cell_counts(spark, sf_dir):
     """Customers, given coordinates, counted in the cells of levels 10 to 18."""
     key = F.col("c_custkey")

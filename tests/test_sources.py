@@ -222,3 +222,9 @@ def test_sentence_views_do_not_outlive_the_sentence(spark):
     assert spark.table("mine").count() == 100
     assert not spark.catalog.tableExists("yours")
     spark.catalog.dropTempView("mine")
+
+
+def test_streaming_connectors(spark):
+    rows = read_source(spark, {"type": "stream", "format": "rate",
+                               "options": {"rowsPerSecond": "5"}})
+    assert rows.isStreaming and rows.columns == ["timestamp", "value"]
