@@ -46,14 +46,19 @@ def offset_splits(total: int, parallel: int, checkpoint: list[int] | None = None
     return [Slice(i, r, e - r) for i, (r, e) in enumerate(zip(reached, ends))]
 
 
-def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None = None) -> DataFrame:
+def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None = None,
+                   scan: bool = True) -> DataFrame:
     """Exact 0-based position in ``order_by`` order, as ``row_index``.
 
     Rows are range-partitioned and sorted, written once to the checkpoint
     folder so that the layout cannot change under a lost executor, and numbered
     by task offset plus position in the task. Other columns and the read
-    position break ties, so equal order keys do not gather in one task.
+    position break ties, so equal order keys do not gather in one task. The read
+    position of a row must be the same if its task runs again: true of a scan;
+    say ``scan=False`` of rows that come out of a shuffle, and they are written first.
     """
+    if not scan:
+        df = cut_lineage(df)
     others = [c for c in df.columns if c not in order_by and can_sort(df.schema, c)]
     order = [_col(c) for c in [*order_by, *others, "__read"]]
     salted = df.withColumn("__read", F.monotonically_increasing_id())
@@ -72,7 +77,8 @@ def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None =
             .drop("__task", "__first", "__pos"))
 
 
-def read_slices(df: DataFrame, order_by: list[str], slices: list[Slice]) -> DataFrame:
+def read_slices(df: DataFrame, order_by: list[str], slices: list[Slice], scan: bool = True
+                ) -> DataFrame:
     """Rows of every slice, with ``split`` and ``row_index``.
 
     Slices follow each other, so a slice number is arithmetic on the row
@@ -89,7 +95,7 @@ def read_slices(df: DataFrame, order_by: list[str], slices: list[Slice]) -> Data
     split = F.when(index < longer * (base + 1), in_longer).otherwise(in_rest).cast("int")
     plan = df.sparkSession.createDataFrame(
         [(s.split, s.start) for s in slices], "split int, __start bigint")
-    return (with_row_index(df, order_by).withColumn("split", split)
+    return (with_row_index(df, order_by, scan=scan).withColumn("split", split)
             .join(F.broadcast(plan), "split").filter(index >= F.col("__start")).drop("__start"))
 
 

@@ -163,7 +163,9 @@ def _read(spark: SparkSession, source: dict, fields: list[str]) -> Input | None:
     reached = (load_checkpoint(spark, source["checkpoint"], source["name"])
                if source.get("checkpoint") else None)
     slices = offset_splits(total, parallel, reached)
-    return Input(read_slices(rows, source["order_by"], slices), [s.start + s.size for s in slices])
+    scan = source["of"]["type"].lower() in ("parquet", "orc", "json", "csv")
+    return Input(read_slices(rows, source["order_by"], slices, scan),
+                 [s.start + s.size for s in slices])
 
 
 def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None) -> Input | None:

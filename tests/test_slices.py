@@ -55,3 +55,9 @@ def test_resume(spark, tmp_path):
     assert sorted(r.id for r in left) == [*range(12, 17), *range(25, 34), *range(41, 50)]
     done = read_slices(rows, ["id"], offset_splits(total, 3, [17, 34, 50]))
     assert done.count() == 0 and "split" in done.columns
+
+
+def test_rows_out_of_a_shuffle(spark):
+    rows = spark.range(100).groupBy((F.col("id") % 30).alias("k")).count()
+    got = read_slices(rows, ["k"], offset_splits(30, 4), scan=False).collect()
+    assert sorted((r.row_index, r.k) for r in got) == [(i, i) for i in range(30)]
