@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -202,8 +202,7 @@ def reload(spark: SparkSession, path: str, factory: Callable[[], object],
            run: str = "1") -> DataFrame:
     """Replay saved statements one by one; what fails again is saved as reload files."""
     items = read_statements(spark, path).withColumnRenamed("statement", "item")
-    single = DeliveryOptions(**{**options.__dict__, "batch": 1})
-    results = write_batches(items, "reload", Frame(), factory, single)
+    results = write_batches(items, "reload", Frame(), factory, replace(options, batch=1))
     if failures is not None:
         save_failures(results, failures, f"reload.{run}")
     return results

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -147,18 +147,17 @@ class Input:
     ends: list[int] | None = None
 
 
-def _read(spark: SparkSession, source: dict, fields: list[str]) -> Input | None:
+def _read(spark: SparkSession, source: dict, fields: list[str], params: str | None
+          ) -> Input | None:
     """A source, or the slices of one that earlier runs have not finished.
 
     ``{"type": "sliced", "of": source, "order_by": [...], "parallel": n,
     "checkpoint": folder, "name": name}`` cuts another source into slices.
     """
-    if source["type"].lower() != "sliced":
-        rows = read_source(spark, source, fields)
+    sliced = source["type"].lower() == "sliced"
+    rows = read_source(spark, resolve_paths(source["of"] if sliced else source, params), fields)
+    if rows is None or not sliced:
         return None if rows is None else Input(rows)
-    rows = read_source(spark, source["of"], fields)
-    if rows is None:
-        return None
     total, parallel = source_count(rows).first()["n"], source["parallel"]
     reached = (load_checkpoint(spark, source["checkpoint"], source["name"])
                if source.get("checkpoint") else None)
@@ -173,7 +172,7 @@ def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None
     keys = [k["new_col"] for k in entity.composite_keys]
     parts = [c for k in entity.composite_keys for c in k["cols"]]
     needed = [f for f in required_fields(entity.spec) if f not in keys]
-    found = _read(spark, resolve_paths(entity.source, params), list(dict.fromkeys(needed + parts)))
+    found = _read(spark, entity.source, list(dict.fromkeys(needed + parts)), params)
     if found is None:
         return None
     rows = apply_filter(found.rows, entity.filter)
@@ -200,7 +199,7 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, foun
     spark.sparkContext.setJobGroup(name, f"{spec.kind} {spec.label}")
     failures, stored = job.failures or f"{run}/failures", job.results or f"{run}/results"
     if rows.isStreaming:
-        options = DeliveryOptions(**{**job.delivery.__dict__, "batch": entity.batch})
+        options = replace(job.delivery, batch=entity.batch)
         report.streams.append(stream_load(
             rows, spec, job.target, factory, f"{stored}/{name}", f"{failures}/{name}",
             options, entity.checkpoint, entity.interval_s, name=name))
@@ -213,7 +212,7 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, foun
         write_kv(kv, report.kv_paths[name], entity.partition if entity.partition > 0 else None)
         _mark_done(spark, entity, found.ends)
         return None
-    options = DeliveryOptions(**{**job.delivery.__dict__, "batch": entity.batch})
+    options = replace(job.delivery, batch=entity.batch)
     rows = repartition_to(rows, entity.partition, resumable=found.ends is not None)
     items = render_items(rows, spec, job.target)
     results = write_batches(items, spec.label, statement_frame(spec), factory, options,
@@ -259,10 +258,8 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
     return report
 
 
-def _canonical(spark: SparkSession, job: Job, entity: Entity) -> DataFrame:
-    spec, target = entity.spec, job.target
-    rows = prepared_rows(spark, entity)
-    schema = rows.schema
+def _canonical(job: Job, spec: VertexSpec | EdgeSpec, rows: DataFrame) -> DataFrame:
+    target, schema = job.target, rows.schema
     rows = enforce(rows, problem_of(spec, target.id_type, schema), "fail")
     label, item = F.lit(spec.label).alias("label"), item_of(rows, spec, target).alias("item")
     if spec.kind == "vertex":
@@ -277,13 +274,19 @@ def _canonical(spark: SparkSession, job: Job, entity: Entity) -> DataFrame:
     return out.withColumn("part", graph_part("src", target.parts, target.id_type))
 
 
+def _all_of(spark: SparkSession, job: Job, kind: str) -> DataFrame:
+    sources = [(e.spec, prepared_rows(spark, e)) for e in job.entities if e.spec.kind == kind]
+    frames = [_canonical(job, spec, rows) for spec, rows in sources if rows is not None]
+    if not frames:
+        raise ValueError(f"the job has no {kind} rows")
+    return reduce(DataFrame.unionByName, frames)
+
+
 def vertices_of(spark: SparkSession, job: Job) -> DataFrame:
     """All vertices of a job: label, vid, item, part."""
-    return reduce(DataFrame.unionByName, [_canonical(spark, job, e) for e in job.entities
-                                          if e.spec.kind == "vertex"])
+    return _all_of(spark, job, "vertex")
 
 
 def edges_of(spark: SparkSession, job: Job) -> DataFrame:
     """All edges of a job: label, src, dst, rank, item, part."""
-    return reduce(DataFrame.unionByName, [_canonical(spark, job, e) for e in job.entities
-                                          if e.spec.kind == "edge"])
+    return _all_of(spark, job, "edge")

@@ -132,6 +132,8 @@ def test_sources_that_give_nothing_are_skipped(spark, tables):
     log = tables["log"]
     report = run_job(spark, Job.from_dict(d), lambda: Recorder(log))
     assert "firm" not in {r.entity for r in report.stats.collect()}
+    labels = {r.label for r in vertices_of(spark, Job.from_dict(d)).collect()}
+    assert labels == {"person"}
 
 
 def test_entities_of_one_label_become_one_frame(spark, tables):
@@ -201,17 +203,17 @@ def test_a_sliced_entity_resumes(spark, tables, tmp_path):
     d = describe(tables)
     d["edges"] = []
     d["vertices"] = [{"label": "person", "id": "id", "fields": ["name", "age"], "source": {
-        "type": "sliced", "of": {"type": "parquet", "path": tables["people"]},
+        "type": "sliced", "of": {"type": "parquet", "path": "people"},
         "order_by": ["id"], "parallel": 2, "checkpoint": str(tmp_path / "cp"), "name": "people"}}]
     log = tables["log"]
-    job = Job.from_dict(d)
+    job, where = Job.from_dict(d), f"people={tables['people']}"
     with pytest.raises(PySparkException, match="E_BAD_PERMISSION"):
-        run_job(spark, job, lambda: Recorder(log, ["Ann"], "E_BAD_PERMISSION"))
+        run_job(spark, job, lambda: Recorder(log, ["Ann"], "E_BAD_PERMISSION"), params=where)
     assert load_checkpoint(spark, str(tmp_path / "cp"), "people") is None
-    run_job(spark, job, lambda: Recorder(log, ["Bob"]))
+    run_job(spark, job, lambda: Recorder(log, ["Bob"]), params=where)
     assert load_checkpoint(spark, str(tmp_path / "cp"), "people") == [2, 3]
     sent = len(recorded(log))
-    report = run_job(spark, job, lambda: Recorder(log))
+    report = run_job(spark, job, lambda: Recorder(log), params=where)
     assert len(recorded(log)) == sent
     assert report.stats.filter("entity = 'person'").count() == 0
 
