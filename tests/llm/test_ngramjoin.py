@@ -1,0 +1,132 @@
+"""N-gram join against all pairs of sets, and the parts it is made of."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from graphload.llm import ngramjoin as nj
+from helpers import AWKWARD, documents, lower, words
+
+
+def sets_of(text, k):
+    w = words(lower(text or ""))
+    return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def plain(rows, k, percent):
+    """{doc_id: component} over all pairs."""
+    texts = [(i, sets_of(t, k)) for i, t in rows if i is not None]
+    label = {i: i for i, _ in texts}
+    changed = True
+    links = [(i, j) for i, a in texts for j, b in texts
+             if a and b and 100 * len(a & b) >= percent * len(a | b)]
+    while changed:
+        changed = False
+        for i, j in links:
+            low = min(label[i], label[j])
+            if label[i] != low or label[j] != low:
+                label[i] = label[j] = low
+                changed = True
+    return label
+
+
+def edited(rng, text, edits):
+    w = text.split(" ")
+    for _ in range(edits):
+        at = rng.randrange(len(w))
+        w[at:at + 1] = rng.choice([[], ["new" + str(rng.randrange(99))], [w[at], "more"]])
+    return " ".join(w)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    vocabulary = ["w%d" % i for i in range(60)]
+    make = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    common = make(30)
+    rows = []
+    for base in range(12):
+        text = make(rng.choice([2, 4, 6, 30, 120]))
+        for _ in range(rng.randint(1, 9)):
+            rows.append(edited(rng, text, rng.choice([0, 0, 1, 2, 4, 9])))
+    rows += [common + " " + make(rng.choice([3, 10, 40])) for _ in range(25)]
+    chain = make(150)
+    for _ in range(12):
+        rows.append(chain)
+        chain = edited(rng, chain, 3)
+    rng.shuffle(rows)
+    return [(i * 7 % 1009, t) for i, t in enumerate(rows)] + AWKWARD_IDS
+
+
+AWKWARD_IDS = [(2000 + n, t) for n, (_, t) in enumerate(AWKWARD)]
+
+
+@pytest.mark.parametrize("k, percent, seed", [(4, 85, 1), (5, 80, 2), (1, 50, 3)])
+def test_components(spark, k, percent, seed):
+    rows = corpus(seed)
+    found = nj.jaccard_components(documents(spark, rows, extra=True), k, percent).collect()
+    assert {r.doc_id: r.component_id for r in found} == plain(rows, k, percent)
+    assert {r.doc_id: r.n_shingles for r in found} == {i: len(sets_of(t, k)) for i, t in rows}
+
+
+def test_large_buckets_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BUCKET", 4)
+    rows = corpus(5)
+    found = nj.jaccard_components(documents(spark, rows), 4, 85, sample=8).collect()
+    assert {r.doc_id: r.component_id for r in found} == plain(rows, 4, 85)
+
+
+def test_awkward(spark):
+    found = nj.jaccard_components(documents(spark, AWKWARD, extra=True)).collect()
+    assert len(found) == len(AWKWARD)
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in found if r.doc_id in (1, 2, 3, 4)} == {
+        (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4)}
+    assert [r.component_id for r in found if r.doc_id is None] == [None]
+    assert nj.jaccard_components(documents(spark, [])).count() == 0
+    kept = nj.one_of_each(documents(spark, AWKWARD, extra=True), 5, 80)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9]
+
+
+def test_words_and_shingles():
+    texts = ["Ab cÉ", "aB  cÉ \n", "é", None, "", "ab", "a b"]
+    hashes, cuts = nj.word_hashes(pa.array(texts))
+    assert cuts.tolist() == [0, 2, 4, 5, 5, 5, 6, 8]
+    assert hashes[0] == hashes[2] == hashes[5] and hashes[1] == hashes[3]
+    assert len(set(hashes.tolist())) == 5
+    sets = nj.shingle_sets(pa.array(["a b c d a b c d", "a b c", "a b c d", "", "d c b a"]), 4)
+    assert [len(s) for s in sets] == [4, 1, 1, 0, 1]
+    assert sets[2][0] in sets[0] and sets[1][0] != sets[2][0] != sets[4][0]
+
+
+def test_tree_finds_all_pairs_within_the_bound():
+    rng = np.random.default_rng(3)
+    base = rng.poisson(3, (20, nj.GROUPS))
+    a = np.maximum(0, base[rng.integers(0, 20, 700)] + rng.integers(-1, 2, (700, nj.GROUPS)))
+    b = np.maximum(0, base[rng.integers(0, 20, 30)] + rng.integers(-1, 2, (30, nj.GROUPS)))
+    a, b = a.astype(np.uint16), b.astype(np.uint16)
+    na, nb = a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64)
+    for percent in (50, 85):
+        got = set()
+        for x, y in nj.CountTree(a, na).pairs(nj.CountTree(b, nb), percent, chunk=50):
+            got |= set(zip(x.tolist(), y.tolist()))
+        most = np.minimum(a[:, None], b[None]).sum(axis=2, dtype=np.int64)
+        assert got == {(int(i), int(j)) for i, j in zip(*np.nonzero(
+            (100 + percent) * most >= percent * (na[:, None] + nb)))}
+
+
+def test_first_shingles_of_close_sets_meet():
+    rng = random.Random(6)
+    universe = np.array(sorted(rng.randrange(1 << 64) for _ in range(400)), np.uint64)
+    frequent = np.sort(universe[::3])
+    place = np.argsort(np.random.default_rng(1).random(len(frequent)))
+    for _ in range(300):
+        a = set(rng.sample(range(400), rng.randint(1, 120)))
+        b = set(a)
+        for _ in range(rng.randint(0, 12)):
+            (b.discard if rng.random() < 0.5 else b.add)(rng.randrange(400))
+        if not b or 100 * len(a & b) < 85 * len(a | b):
+            continue
+        x, y = (set(nj.first_shingles(universe[sorted(s)], 85, frequent, place).tolist())
+                for s in (a, b))
+        assert x & y
