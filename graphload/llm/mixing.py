@@ -51,10 +51,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return leveled.select("source", "source_size", target.alias("target"))
 
 
-def copies(rate: Column, *key: Column, seed: str = SEED) -> Column:
-    """floor(rate), and one more with a probability of the fraction that is left."""
+def copies(rate: Column, unit: Column) -> Column:
+    """floor(rate), and one more if ``unit`` in [0, 1) is below the fraction that is left."""
     whole = F.floor(rate)
-    return (whole + (hash_unit(seed, *key) < rate - whole).cast("long")).cast("int")
+    return (whole + (unit < rate - whole).cast("long")).cast("int")
 
 
 def with_copies(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
@@ -64,17 +64,20 @@ def with_copies(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
     copies. The doc_id decides the Bernoulli copy (the text, where it is null), so
     repeated rows are taken alike and reruns agree. An empty table gives no rows.
     """
-    sized = docs.withColumn("size", word_count(F.col("text")))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.col("text"))
+    # drawn before the join, so that a caller who leaves the text out does not shuffle it
+    sized = docs.withColumn("size", word_count(F.col("text"))).withColumn(
+        "__unit", hash_unit(seed, key))
     found = source_targets(sized.select("source", "size"), **targets).select(
         F.col("source").alias("__source"), F.col("source_size").alias("__source_size"),
         F.col("target").alias("__target"))
     joined = sized.join(found, F.col("source").eqNullSafe(F.col("__source")))
     rate = F.when(F.col("__source_size") > 0,
                   F.col("__target") / F.col("__source_size")).otherwise(0.0)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.col("text"))
     return (joined.withColumn("source_size", F.col("__source_size"))
-            .withColumn("target", F.col("__target")).withColumn("copies", copies(rate, key, seed=seed))
-            .drop("__source", "__source_size", "__target"))
+            .withColumn("target", F.col("__target"))
+            .withColumn("copies", copies(rate, F.col("__unit")))
+            .drop("__source", "__source_size", "__target", "__unit"))
 
 
 def mix(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
