@@ -169,3 +169,34 @@ def grouped_batches(batches, names: tuple[str, ...]):
             held.append(batch.slice(start, stop - start))
     if held:
         yield key, whole()
+
+
+def grouped_chunks(batches, names: tuple[str, ...]):
+    """(rows, first row of each group and the end): whole groups of equal ``names``, many at a
+    time, from batches that arrive sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0] if held[1:] else batch
+        starts = _group_starts(rows, names)
+        if len(starts) > 1:
+            yield rows.slice(0, starts[-1]), starts
+            rows = rows.slice(starts[-1])
+        held = [rows]
+    if held:
+        yield held[0], np.append(_group_starts(held[0], names), held[0].num_rows)
+
+
+def _group_starts(rows: pa.RecordBatch, names: tuple[str, ...]) -> np.ndarray:
+    changed = np.ones(rows.num_rows, bool)
+    keys = [rows.column(n).to_numpy(zero_copy_only=False) for n in names]
+    changed[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(changed)
+
+
+def binary_matrix(column: pa.Array, kind, width: int) -> np.ndarray:
+    """Binary values that hold ``width`` numbers each, as the rows of an array."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), kind)
+    return raw.reshape(len(column), width)

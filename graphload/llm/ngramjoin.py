@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..storage import cut_lineage
 from .common import (
-    block_pairs, components, grouped_batches, small_slices, table, text_buffer,
+    binary_matrix, block_pairs, components, grouped_chunks, small_slices, table, text_buffer,
 )
 
 WORDS = 4
@@ -253,34 +253,68 @@ class CountTree:
         return np.repeat(first, count) + within, np.repeat(beside, count)
 
 
+def _pairs_inside(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows within each of some small groups."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for m in np.unique(sizes):
+        i, j = np.triu_indices(m, 1)
+        first = starts[sizes == m][:, None]
+        left.append((first + i).ravel())
+        right.append((first + j).ravel())
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _bounded(points, n, i, j, percent, chunk: int = 1 << 14):
+    """Those of the pairs whose bound on the overlap reaches the threshold."""
+    points = np.where(points == 65535, 1 << 40, points.astype(np.int64))
+    kept = [np.zeros(0, bool)]
+    for start in range(0, len(i), chunk):
+        x, y = i[start:start + chunk], j[start:start + chunk]
+        most = np.minimum(points[x], points[y]).sum(axis=1)
+        kept.append((100 + percent) * most >= percent * (n[x] + n[y]))
+    fits = np.concatenate(kept)
+    return i[fits], j[fits]
+
+
 def _near_points(percent: int, across: bool):
-    """In each bucket: the members with a partner (a row each), or the pairs across components."""
+    """In each bucket: the members with a partner (a row each), or the pairs across components.
+
+    Buckets that fit into one node of the tree are compared many at a time.
+    """
     names = ["a", "b"] if across else ["key", "rep"]
 
+    def found(rows, starts):
+        rep, n = rows.column("rep").to_numpy(), rows.column("n").to_numpy()
+        key = rows.column("key").to_numpy()
+        group = rows.column("component").to_numpy() if across else rep
+        points = binary_matrix(rows.column("point"), np.uint16, GROUPS)
+        left = rows.column("in_left").to_numpy(zero_copy_only=False)
+        right = rows.column("in_right").to_numpy(zero_copy_only=False)
+        sizes = np.diff(starts)
+        small = (sizes <= 2 * FAN) & (left & right)[starts[:-1]]
+        yield key, rep, group, *_bounded(
+            points, n, *_pairs_inside(starts[:-1][small], sizes[small]), percent)
+        for begin, size in zip(starts[:-1][~small], sizes[~small]):
+            one, two = (begin + np.flatnonzero(side[begin:begin + size]) for side in (left, right))
+            tree, other = CountTree(points[one], n[one]), CountTree(points[two], n[two])
+            for x, y in tree.pairs(other, percent):
+                yield key, rep, group, one[x], two[y]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, rows in grouped_batches(batches, ("key", "left", "right")):
-            rep = rows.column("rep").to_numpy()
-            n = rows.column("n").to_numpy()
-            points = np.frombuffer(b"".join(rows.column("point").to_pylist()),
-                                   np.uint16).reshape(len(rep), GROUPS)
-            left = np.flatnonzero(rows.column("in_left").to_numpy(zero_copy_only=False))
-            right = np.flatnonzero(rows.column("in_right").to_numpy(zero_copy_only=False))
-            group = rows.column("component").to_numpy() if across else rep
-            one, two = CountTree(points[left], n[left]), CountTree(points[right], n[right])
-            hit = np.zeros(len(rep), bool)
-            for x, y in one.pairs(two, percent):
-                i, j = left[x], right[y]
+        for rows, starts in grouped_chunks(batches, ("key", "left", "right")):
+            hit = np.zeros(rows.num_rows, bool)
+            for key, rep, group, i, j in found(rows, starts):
                 apart = group[i] != group[j]
                 i, j = i[apart], j[apart]
+                hit[i] = hit[j] = True
                 if across and len(i):
                     low, high = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
                     both = np.unique(np.stack([low, high]), axis=1)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(both[0]), pa.array(both[1])], names=names)
-                hit[i] = hit[j] = True
             if not across and hit.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hit.sum(), key[0])), pa.array(rep[hit])], names=names)
+                    [pa.array(key[hit]), pa.array(rep[hit])], names=names)
     return run
 
 
@@ -302,6 +336,20 @@ def _overlaps(percent: int):
     return run
 
 
+def _distinct_buckets(visits: DataFrame) -> DataFrame:
+    """(key, rep) of the buckets that several classes share, one of those with equal members.
+
+    Two documents that share most shingles share most buckets; those with the same
+    members (by count and 128 bits of their hashes) show the same pairs.
+    """
+    shared = visits.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    met = cut_lineage(visits.join(shared.select("key"), "key"))
+    marks = [F.expr(f"bit_xor(xxhash64(rep, {seed}))").alias(f"mark{seed}") for seed in (1, 2)]
+    members = met.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *marks)
+    kept = members.groupBy("m", "mark1", "mark2").agg(F.min("key").alias("key")).select("key")
+    return met.join(kept, "key")
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     """Bucket rows (key, rep, n, point, ...) sorted into tasks, large buckets as block pairs."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
@@ -329,11 +377,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = (everyone.join(reps, "class").filter("doc_id = rep")
                .dropDuplicates(["class"]).select("class", "rep", "n", "keys", "point"))
     classes = cut_lineage(classes)
-    visits = classes.select("rep", F.explode("keys").alias("key"))
-    shared = visits.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
     points = classes.select("rep", "n", "point")
-    together = visits.join(shared, "key").join(points, "rep")
-    buckets = cut_lineage(_dealt(together).mapInArrow(
+    met = cut_lineage(_distinct_buckets(classes.select("rep", F.explode("keys").alias("key"))))
+    buckets = cut_lineage(_dealt(cut_lineage(met.join(points, "rep"))).mapInArrow(
         _near_points(percent, False), "key long, rep long").distinct())
     named_classes = classes.select("rep", "class")
     needed = buckets.select("rep").distinct().join(named_classes, "rep")
@@ -369,7 +415,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     members = labelled(found)
     mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     rest = members.join(mixed.filter("x <> y").select("key"), "key").join(points, "rep")
-    pairs = _dealt(rest).mapInArrow(_near_points(percent, True), "a long, b long")
+    pairs = _dealt(cut_lineage(rest)).mapInArrow(_near_points(percent, True), "a long, b long")
     links = links.unionByName(cut_lineage(verified(pairs)))
     found = components(links).withColumnRenamed("id", "rep")
     labels = reps.join(found, "rep", "left").select(
