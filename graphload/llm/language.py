@@ -121,12 +121,16 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def learning_rows(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE,
                   most: int = MOST_ROWS) -> DataFrame:
     """(lang, order, windows) of the sample: the first rows of each language by hash."""
-    order = F.xxhash64("doc_id", F.lit(SEED))
+    order = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40))
     labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()
                            & F.col("doc_id").isNotNull())
+    # rows beyond twice the share that is wanted are left out before any language is gathered
+    share = labelled.groupBy("lang").agg(
+        (2 * per_language * float(1 << 40) / F.count(F.lit(1))).alias("most"))
+    near = (labelled.select("doc_id", "lang", order.alias("order")).join(share, "lang")
+            .filter(F.col("order") < F.col("most")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    chosen = (labelled.select("doc_id", "lang", order.alias("order"))
-              .withColumn("place", place).filter(F.col("place") <= per_language)
+    chosen = (near.withColumn("place", place).filter(F.col("place") <= per_language)
               .orderBy("place", "lang", "doc_id").limit(most).select("doc_id").distinct())
     # at most ``most`` ids, whatever the data
     return (labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
