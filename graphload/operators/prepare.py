@@ -106,18 +106,25 @@ def edge_valid(spec: EdgeSpec, id_type: str) -> Column:
     return edge_problem(spec, id_type).isNull()
 
 
-def enforce(df: DataFrame, problem: Column, mode: str = "fail"):
+def enforce(df: DataFrame, problem: Column, mode: str = "fail", at: str | None = None):
     """Apply the invalid-row policy.
 
     ``fail`` stops the job at the first invalid row, ``drop`` leaves such rows
     out (streams), ``quarantine`` returns (valid rows, invalid rows with the
-    reason in ``problem``).
+    reason in ``problem``). In ``fail`` mode the check sits in the column ``at`` (the
+    first one by default) and runs where that column is used: a predicate would be
+    pushed below joins and see rows that the source does not give. The message
+    names a row number, which keeps later predicates on the column above the check, too.
     """
     if mode == "drop":
         return df.filter(problem.isNull())
     if mode == "fail":
-        stop = F.raise_error(F.concat(F.lit("invalid row, "), problem))
-        return df.filter(F.when(problem.isNull(), F.lit(True)).otherwise(stop.cast("boolean")))
+        name = df.columns[0] if at is None else at
+        row = F.concat(F.lit("invalid row "), F.monotonically_increasing_id().cast("string"))
+        stop = F.raise_error(F.concat(row, F.lit(", "), problem))
+        checked = F.when(problem.isNull(), _col(name)).otherwise(
+            stop.cast(df.schema[name].dataType))
+        return df.select(*[checked.alias(c) if c == name else _col(c) for c in df.columns])
     if mode == "quarantine":
         marked = df.withColumn("problem", problem)
         return (marked.filter(F.col("problem").isNull()).drop("problem"),
