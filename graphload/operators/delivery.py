@@ -2,7 +2,9 @@
 
 An executor is made in the task by ``factory()`` and has
 ``execute(statement) -> error text or None`` and optionally ``close()``.
-Delivery is at least once: a task that is lost sends its batches again.
+Delivery is at least once: a task that is lost sends its batches again. Nothing an
+executor does or raises fails a task: what was not accepted is in the results, so
+that it can be saved before a load is called off.
 """
 
 from __future__ import annotations
@@ -19,16 +21,19 @@ from pyspark.sql import functions as F
 
 from ..functions.text import _col
 from ..sources.files import read_statements
-from ..storage import write_once
+from ..storage import file_system, write_once
 from .statements import Frame
 
 RESULT = ("entity string, part int, batch bigint, records int, failed int, "
-          "sent boolean, failed_stmts array<string>")
+          "sent boolean, failed_stmts array<string>, error string, fatal boolean")
 _RESULT_ARROW = pa.schema([
     ("entity", pa.string()), ("part", pa.int32()), ("batch", pa.int64()),
     ("records", pa.int32()), ("failed", pa.int32()), ("sent", pa.bool_()),
-    ("failed_stmts", pa.list_(pa.string())),
+    ("failed_stmts", pa.list_(pa.string())), ("error", pa.string()), ("fatal", pa.bool_()),
 ])
+# Results are handed on after so many batches, or so many characters of failed statements.
+RESULT_ROWS = 64
+RESULT_CHARS = 8 << 20
 
 # Error texts after which a row is worth sending again, and those
 # after which nothing more should be sent.
@@ -50,7 +55,13 @@ class TooManyFailures(RuntimeError):
 
 @dataclass(frozen=True)
 class DeliveryOptions:
-    """How to send. ``rate_per_partition`` is statements a second and task."""
+    """How to send.
+
+    ``rate_per_partition`` is statements a second and task; a batch waits for its
+    permit. With ``rate_timeout_s`` a batch whose permit is further away is given up
+    and kept as failed. ``max_failed_batches`` is counted in each task; the load as a
+    whole is checked against it afterwards.
+    """
 
     batch: int = 500
     retry: int = 3
@@ -59,13 +70,13 @@ class DeliveryOptions:
     fatal: tuple[str, ...] = FATAL
     max_failed_batches: int | None = None
     rate_per_partition: float | None = None
-    rate_timeout_s: float = 0.1
+    rate_timeout_s: float | None = None
 
 
 class _Pace:
-    """Permits at a fixed rate; a permit further away than the timeout is refused."""
+    """Permits at a fixed rate; with a timeout, one that is further away is refused."""
 
-    def __init__(self, rate: float | None, timeout: float):
+    def __init__(self, rate: float | None, timeout: float | None):
         self.step = 0.0 if rate is None else 1.0 / rate
         self.timeout = timeout
         self.free_at = time.monotonic()
@@ -73,7 +84,7 @@ class _Pace:
     def take(self) -> bool:
         now = time.monotonic()
         wait = self.free_at - now
-        if wait > self.timeout:
+        if self.timeout is not None and wait > self.timeout:
             # wait the timeout out, as a caller blocked on the permit would
             time.sleep(self.timeout)
             return False
@@ -84,23 +95,41 @@ class _Pace:
 
 
 class _Sender:
-    """Sends the batches of one task."""
+    """Sends the batches of one task. After a fatal error nothing more is sent."""
 
-    def __init__(self, executor, frame: Frame, options: DeliveryOptions):
-        self.executor, self.frame, self.options = executor, frame, options
+    def __init__(self, factory: Callable[[], object], frame: Frame, options: DeliveryOptions):
+        self.frame, self.options = frame, options
         self.pace = _Pace(options.rate_per_partition, options.rate_timeout_s)
         self.failed_batches = 0
+        self.fatal = self.error = self.executor = None
+        try:
+            self.executor = factory()
+        except Exception as raised:
+            self.fatal = self.error = _text_of(raised)
+
+    def close(self) -> None:
+        if hasattr(self.executor, "close"):
+            self.executor.close()
 
     def _try(self, statement: str) -> str | None:
-        error = self.executor.execute(statement)
-        if error is not None and any(p in error for p in self.options.fatal):
-            raise FatalDeliveryError(error)
+        try:
+            error = self.executor.execute(statement)
+        except Exception as raised:
+            # a dropped connection and the like: one more error of this statement
+            error = _text_of(raised)
+        if error is not None:
+            self.error = error
+            if any(p in error for p in self.options.fatal):
+                self.fatal = error
         return error
 
     def _one(self, statement: str) -> bool:
+        if self.fatal is not None:
+            return False
         error = self._try(statement)
         left = self.options.retry
-        while error is not None and left > 0 and any(p in error for p in self.options.transient):
+        while (error is not None and self.fatal is None and left > 0
+               and any(p in error for p in self.options.transient)):
             time.sleep(self.options.interval_s)
             left -= 1
             error = self._try(statement)
@@ -108,12 +137,17 @@ class _Sender:
 
     def send(self, items: pa.Array) -> tuple[bool, list[str]]:
         """(was it sent, statements that failed, one per row)."""
+        if self.fatal is not None:
+            return False, self._alone(items)
         budget = self.options.max_failed_batches
         if budget is not None and self.failed_batches >= budget:
+            self.error = "over the failure budget"
             return False, self._alone(items)
         if not self.pace.take():
+            self.error = "no permit in time"
             self.failed_batches += 1
             return False, self._alone(items)
+        self.error = None
         if self._try(self._together(items)) is None:
             return True, []
         failed = [statement for statement in self._alone(items) if not self._one(statement)]
@@ -129,6 +163,10 @@ class _Sender:
         return [self.frame.join([item]) for item in items.to_pylist()]
 
 
+def _text_of(raised: Exception) -> str:
+    return f"{type(raised).__name__}: {raised}"
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Array]:
     """The items of a task, ``size`` at a time, whatever the sizes they arrive in."""
     waiting = pa.array([], pa.string())
@@ -154,23 +192,23 @@ def deliver(items: DataFrame, entity: str, frame: Frame, factory: Callable[[], o
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        executor = factory()
+        sender = _Sender(factory, frame, options)
         try:
-            sender = _Sender(executor, frame, options)
-            done = []
+            done, chars = [], 0
             for number, chunk in enumerate(_chunks(batches, options.batch)):
                 sent, failed = sender.send(chunk)
                 done.append({"entity": entity, "part": part, "batch": number,
                              "records": len(chunk), "failed": len(failed), "sent": sent,
-                             "failed_stmts": failed})
-                if len(done) == 64:
+                             "failed_stmts": failed, "error": sender.error if failed else None,
+                             "fatal": bool(failed) and sender.fatal is not None})
+                chars += sum(map(len, failed))
+                if len(done) == RESULT_ROWS or chars >= RESULT_CHARS:
                     yield pa.RecordBatch.from_pylist(done, schema=_RESULT_ARROW)
-                    done = []
+                    done, chars = [], 0
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=_RESULT_ARROW)
         finally:
-            if hasattr(executor, "close"):
-                executor.close()
+            sender.close()
 
     return items.select("item").mapInArrow(run, RESULT)
 
@@ -191,6 +229,13 @@ def check_budget(results: DataFrame, limit: int | None) -> None:
         raise TooManyFailures(f"{failed} failed batches, the limit is {limit}")
 
 
+def check_fatal(results: DataFrame) -> None:
+    """Raise when an error called the load off. Save the failures first."""
+    worst = results.filter("fatal").select("entity", "error").first()
+    if worst is not None:
+        raise FatalDeliveryError(f"{worst.entity}: {worst.error}")
+
+
 def save_failures(results: DataFrame, path: str, run: str, mode: str = "append") -> None:
     """Dead letters as text lines under ``path/<run>/entity=<name>/``."""
     lines = results.select("entity", F.explode("failed_stmts").alias("value"))
@@ -205,22 +250,18 @@ def reload(spark: SparkSession, path: str, factory: Callable[[], object],
     results = write_batches(items, "reload", Frame(), factory, replace(options, batch=1))
     if failures is not None:
         save_failures(results, failures, f"reload.{run}")
+    check_fatal(results)
     return results
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
 def failures_exist(spark: SparkSession, path: str) -> bool:
-    files, folder = _folder(spark, path)
+    files, folder = file_system(spark, path)
     return files.exists(folder)
 
 
 def clear_failures(spark: SparkSession, path: str, keep_reload: bool = True) -> None:
     """Remove the runs saved under ``path``, except reload runs."""
-    files, folder = _folder(spark, path)
+    files, folder = file_system(spark, path)
     if not files.exists(folder):
         return
     for entry in files.listStatus(folder):

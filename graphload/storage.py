@@ -1,7 +1,9 @@
 """Where intermediate tables go.
 
 Checkpoints and written intermediates must be readable by every executor, so
-they live in the folder the cluster names in ``spark.checkpoint.dir``.
+they live in the folder the cluster names in ``spark.checkpoint.dir``. Listing and
+removing folders goes through the session's Hadoop file system, which only a
+classic (not a remote) session gives access to.
 """
 
 from __future__ import annotations
@@ -35,12 +37,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/graphload-{uuid.uuid4().hex}/{name}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, if it is there."""
+    files, folder = file_system(spark, path)
+    files.delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and fixes the row order."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def keep_layout(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out by ``keys`` and checkpoint them so that later joins on the keys see it.
+
+    Adaptive execution hides how the rows of a plan are laid out, so it is off meanwhile.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(*keys).checkpoint()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def write_once(df: DataFrame, path: str | None = None, name: str = "table") -> DataFrame:
     """Evaluate ``df`` exactly once into a table and return the table.
 

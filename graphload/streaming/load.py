@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.delivery import DeliveryOptions, check_budget, deliver, save_failures
+from ..operators.delivery import (
+    DeliveryOptions, check_budget, check_fatal, deliver, save_failures,
+)
 from ..operators.prepare import enforce, problem_of
 from ..operators.statements import render_items, statement_frame
 from ..spec import EdgeSpec, GraphTarget, VertexSpec
@@ -29,19 +31,26 @@ def stream_load(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarge
                 name: str | None = None) -> StreamingQuery:
     """Start loading a stream under a query name (the label by default).
 
-    A micro-batch may run again after a failure, so its results and dead letters
-    go to a folder named by its number and replace what an earlier try left.
+    Results and dead letters go to folders named by the id of the query and the
+    number of the micro-batch. The id lives in the checkpoint: a micro-batch that runs
+    again replaces what its earlier try left, and a stream that starts anew, without
+    its checkpoint, has another id and leaves the folders of earlier streams alone.
+    Without ``checkpoint`` a restart reads the source from its start.
     """
     items = stream_statements(rows, spec, target)
     frame = statement_frame(spec)
 
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        path = f"{results_path}/epoch={epoch}"
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query_id is None:
+            raise RuntimeError("a micro-batch without the id of its query")
+        path = f"{results_path}/query={query_id}/epoch={epoch}"
         sent = deliver(batch, spec.label, frame, factory, options)
         sent.write.mode("overwrite").parquet(path)
         results = spark.read.schema(sent.schema).parquet(path)
-        save_failures(results, failures_path, f"epoch={epoch}", "overwrite")
+        save_failures(results, failures_path, f"query={query_id}/epoch={epoch}", "overwrite")
+        check_fatal(results)
         check_budget(results, options.max_failed_batches)
 
     writer = items.writeStream.queryName(name or spec.label).foreachBatch(load)

@@ -33,6 +33,33 @@ class Flaky(Recorder):
         return None
 
 
+class Raising(Recorder):
+    """Loses its connection at statements that hold a word."""
+
+    def __init__(self, folder, word):
+        super().__init__(folder)
+        self.word = word
+
+    def execute(self, statement):
+        super().execute(statement)
+        if self.word in statement:
+            raise ConnectionError("gone")
+
+
+class Turning(Recorder):
+    """Refuses every row that ends in 5, and calls the load off at a word."""
+
+    def __init__(self, folder, word):
+        super().__init__(folder)
+        self.word = word
+
+    def execute(self, statement):
+        super().execute(statement)
+        if self.word in statement:
+            return "E_BAD_PERMISSION"
+        return "refused" if "5_" in statement else None
+
+
 def recorded(folder):
     lines = []
     for name in sorted(os.listdir(folder)):

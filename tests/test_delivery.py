@@ -2,13 +2,12 @@ import os
 import time
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from executors import Flaky, Recorder, connections, recorded
+from executors import Flaky, Raising, Recorder, Turning, connections, recorded
 from graphload.operators.delivery import (
-    DeliveryOptions, TooManyFailures, check_budget, clear_failures, failures_exist, reload,
-    save_failures, write_batches, write_statements,
+    DeliveryOptions, FatalDeliveryError, TooManyFailures, check_budget, check_fatal,
+    clear_failures, failures_exist, reload, save_failures, write_batches, write_statements,
 )
 from graphload.operators.statements import Frame
 from graphload.operators.stats import load_stats
@@ -72,9 +71,47 @@ def test_other_errors_are_not_tried_again(spark, tmp_path):
 
 def test_permission_errors_stop_the_load(spark, tmp_path):
     folder = str(tmp_path)
-    with pytest.raises(PySparkException, match="E_BAD_PERMISSION"):
-        send(spark, 100, lambda: Recorder(folder, ["r0_"], "E_BAD_PERMISSION: no"), parts=1)
+    results = send(spark, 100, lambda: Recorder(folder, ["r0_"], "E_BAD_PERMISSION: no"), parts=1)
     assert len(recorded(folder)) == 1
+    with pytest.raises(FatalDeliveryError, match="E_BAD_PERMISSION"):
+        check_fatal(results)
+    # every row is kept
+    assert results.agg(F.sum("failed")).first()[0] == 100
+    check_fatal(send(spark, 10, lambda: Recorder(folder)))
+
+
+def test_a_raising_executor_fails_its_rows_only(spark, tmp_path):
+    folder = str(tmp_path)
+    results = send(spark, 40, lambda: Raising(folder, "r7_"))
+    failed = results.select(F.explode("failed_stmts"), "error").collect()
+    assert [tuple(r) for r in failed] == [("PUT r7_!", "ConnectionError: gone")]
+    assert results.filter("fatal").isEmpty()
+    # an executor that cannot be made calls the load off, and keeps its rows
+    results = send(spark, 40, lambda: Raising("/nowhere/at/all", "r7_"))
+    assert results.agg(F.sum("failed")).first()[0] == 40
+    with pytest.raises(FatalDeliveryError):
+        check_fatal(results)
+
+
+def test_dead_letters_of_a_load_that_is_called_off_late(spark, tmp_path):
+    log, dead = str(tmp_path / "log"), str(tmp_path / "dead")
+    os.mkdir(log)
+    results = send(spark, 100, lambda: Turning(log, "r95_"), parts=1, retry=0)
+    save_failures(results, dead, "run")
+    with pytest.raises(FatalDeliveryError):
+        check_fatal(results)
+    lines = sorted(r.statement for r in read_statements(spark, dead).collect())
+    # the refused rows of the first nine batches, and the whole last batch
+    assert len(lines) == 9 + 10 and "PUT r5_!" in lines and "PUT r95_!" in lines
+
+
+def test_results_are_handed_on_by_size(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    rows = spark.range(0, 40, 1, 1).select(F.concat(F.lit("_"), F.repeat(F.lit("x"), 1 << 20))
+                                           .alias("item"))
+    results = write_batches(rows, "person", FRAME, lambda: Recorder(folder, ["_"]),
+                            DeliveryOptions(batch=2, retry=0))
+    assert results.agg(F.sum("failed")).first()[0] == 40
 
 
 def test_failure_budget_keeps_unsent_rows(spark, tmp_path):
@@ -102,7 +139,15 @@ def test_rate(spark, tmp_path):
     assert results.agg(F.sum("failed")).first()[0] == 0
 
 
-def test_a_refused_permit_is_a_failure_not_a_success(spark, tmp_path):
+def test_a_rate_limit_loses_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    started = time.monotonic()
+    results = send(spark, 50, lambda: Recorder(folder), parts=1, rate_per_partition=4.0)
+    assert time.monotonic() - started >= 1.0
+    assert results.agg(F.sum("failed")).first()[0] == 0 and len(recorded(folder)) == 5
+
+
+def test_giving_up_on_a_permit_is_asked_for_and_is_a_failure(spark, tmp_path):
     folder = str(tmp_path)
     results = send(spark, 30, lambda: Recorder(folder), parts=1, rate_per_partition=0.5,
                    rate_timeout_s=0.01)

@@ -66,13 +66,26 @@ def test_dead_letters_of_every_micro_batch_are_kept(spark, folders):
 
 
 def test_a_replayed_micro_batch_replaces_its_results(spark, folders):
-    add(spark, folders, [("1", "a")])
-    run(spark, folders)
-    # the same epoch again, as after a lost checkpoint
-    folders["state"] += "2"
-    run(spark, folders)
+    add(spark, folders, [("1", "a"), ("2", "b")])
+    run(spark, folders, refuse=['"b"'])
+    # the end of the micro-batch was not recorded, so it runs again under its number
+    commits = os.path.join(folders["state"], "commits")
+    for name in os.listdir(commits):
+        if name.strip(".").split(".")[0] == "0":
+            os.remove(os.path.join(commits, name))
+    run(spark, folders, refuse=['"b"'])
     results = spark.read.parquet(folders["results"])
-    assert results.agg(F.sum("records")).first()[0] == 1
+    assert results.agg(F.sum("records")).first()[0] == 2
+    assert read_statements(spark, folders["dead"]).count() == 1
+
+
+def test_a_stream_that_starts_anew_keeps_the_dead_letters_of_the_first(spark, folders):
+    add(spark, folders, [("1", "a"), ("2", "b")])
+    run(spark, folders, refuse=['"b"'])
+    folders["state"] += "2"
+    run(spark, folders, refuse=['"b"'])
+    assert spark.read.parquet(folders["results"]).select("query").distinct().count() == 2
+    assert read_statements(spark, folders["dead"]).count() == 2
 
 
 def test_intake_is_capped_per_micro_batch(spark, folders):
