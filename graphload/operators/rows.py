@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,27 +73,21 @@ def row_bucket(columns: list[Column], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
-def buckets_per_part(df: DataFrame, parts: int) -> int:
-    """Buckets per graph partition that give every shuffle partition work."""
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, math.ceil(4 * shuffle / parts))
-
-
 def can_sort(schema: StructType, name: str) -> bool:
     return schema[name].dataType.typeName() not in ("map", "variant")
 
 
 def row_place(order_by: list[Column | str], keys: list[Column | str]) -> Column:
-    """0-based place of a row in its group."""
+    """0-based place of a row in its group, a bigint."""
     window = Window.partitionBy(*[_col(c) for c in keys]).orderBy(*[_col(c) for c in order_by])
-    return F.row_number().over(window) - 1
+    return F.count(F.lit(1)).over(window.rowsBetween(Window.unboundedPreceding, 0)) - 1
 
 
 def batch_columns(place: Column, batch: int) -> tuple[Column, Column]:
     """Number of the batch a place is in, and the 0-based place there."""
     if batch <= 0:
         raise ValueError("batch must be positive")
-    return F.floor(place / batch), (place % batch).cast("int")
+    return F.call_function("div", place, F.lit(batch)), (place % batch).cast("int")
 
 
 def assign_batches(df: DataFrame, batch: int, order_by: list[Column | str],
@@ -109,10 +101,10 @@ def assign_batches(df: DataFrame, batch: int, order_by: list[Column | str],
     by row hash unless ``bucket`` says how); the window then sorts one bucket at
     a time, and grouping by (partition, bucket, batch) needs no second shuffle.
     """
-    keys = list(partition_by)
-    if buckets > 1:
-        df = df.withColumn("bucket", row_bucket([_col(c) for c in df.columns], buckets) if bucket is None else bucket)
-        keys.append("bucket")
+    if bucket is None:
+        bucket = row_bucket([_col(c) for c in df.columns], buckets)
+    df = df.withColumn("bucket", bucket)
+    keys = [*partition_by, "bucket"]
     batch_id, batch_pos = batch_columns(F.col("__place"), batch)
     return (df.withColumn("__place", row_place(order_by, keys))
             .withColumns({"batch_id": batch_id, "batch_pos": batch_pos}).drop("__place"))

@@ -20,7 +20,10 @@ from ..functions.text import (
 )
 from ..spec import EdgeSpec, GraphTarget, VertexSpec, bind_schema
 from .prepare import required_fields
-from .rows import batch_columns, buckets_per_part, can_sort, row_bucket, row_place
+from .rows import batch_columns, can_sort, row_bucket, row_place
+
+# Buckets of a graph partition where a caller names none.
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -167,21 +170,22 @@ def _route_id(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarg
 
 
 def render(df: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget, batch: int = 500,
-           order_by: list[str] | None = None, buckets: int | None = None,
+           order_by: list[str] | None = None, buckets: int = BUCKETS,
            bucket: Column | None = None) -> DataFrame:
-    """Statements of an entity: part, [bucket,] batch_id, n_rows, statement.
+    """Statements of an entity: part, bucket, batch_id, n_rows, statement.
 
-    Batches hold rows of one graph partition in ``order_by`` order (the entity
-    key by default; the other columns break ties), whatever the physical layout
-    of the input. The one shuffle carries the source columns; text is made after.
+    Batches hold rows of one graph partition and bucket in ``order_by`` order (the
+    entity key by default; the other columns break ties), whatever the physical layout
+    of the input and the settings of the session. A row's bucket is a hash of the row,
+    one of ``buckets``, or ``bucket``; a bucket is sorted by one task, so their number
+    grows with the data. The one shuffle carries the source columns; text is made after.
     """
     order = list(dict.fromkeys((order_by or spec.key_fields) + required_fields(spec)))
     columns = [_col(c) for c in order]
-    count = buckets_per_part(df, target.parts) if buckets is None else buckets
     part = graph_part(_route_id(df.schema, spec, target), target.parts, target.id_type)
-    keys = [part.alias("__part")]
-    if count > 1:
-        keys.append((row_bucket(columns, count) if bucket is None else bucket).alias("__bucket"))
+    if bucket is None:
+        bucket = row_bucket(columns, buckets)
+    keys = [part.alias("__part"), bucket.alias("__bucket")]
     routed = df.select(*columns, *keys)
     groups = [c for c in routed.columns if c not in order]
     # numbered in a step of its own: rendering stays above the window, after the shuffle

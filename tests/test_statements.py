@@ -14,7 +14,7 @@ PERSON = {"name": "STRING", "age": "INT64", "gender": "INT64", "high": "DOUBLE",
 GRAPH = GraphTarget(1, "STRING", 8, {
     "person": Label.of("vertex", PERSON, 1), "friend": Label.of("edge", PERSON, 2),
     "bare": Label.of("edge", {}, 3),
-    "odd `name`": Label.of("vertex", {"a-b": "STRING", "中 文": "INT64"}, 4)})
+    "odd-name 1": Label.of("vertex", {"a-b": "STRING", "中 文": "INT64"}, 4)})
 FIELDS = tuple(PERSON)
 
 
@@ -38,6 +38,7 @@ def friends(people):
         "CASE id WHEN 'vid1' THEN 0 ELSE 1 END AS rank", *FIELDS)
 
 
+# The two rows and their texts are goldens that must match.
 TOM, JENA = '("Tom", 10, 0, 172.5, 55)', '("Jena", 12, 1, 165.5, 45)'
 SET_TOM = '`name`="Tom",`age`=10,`gender`=0,`high`=172.5,`weight`=55'
 SET_JENA = '`name`="Jena",`age`=12,`gender`=1,`high`=165.5,`weight`=45'
@@ -113,8 +114,10 @@ def test_policies_prefixes_and_nulls(spark):
 
 def test_symbols_in_names(spark):
     rows = spark.createDataFrame([("1", "x", 2)], "id string, p string, q int")
-    spec = VertexSpec("odd `name`", "id", ("p", "q"), ("a-b", "中 文"))
-    assert statement(rows, spec) == 'INSERT VERTEX `odd `name``(`a-b`,`中 文`) VALUES "1": ("x", 2)'
+    spec = VertexSpec("odd-name 1", "id", ("p", "q"), ("a-b", "中 文"))
+    assert statement(rows, spec) == 'INSERT VERTEX `odd-name 1`(`a-b`,`中 文`) VALUES "1": ("x", 2)'
+    with pytest.raises(ValueError, match="back-tick"):
+        statement_frame(VertexSpec("odd `name`", "id"))
 
 
 def test_numeric_rank_is_written_as_a_number(spark):
@@ -134,6 +137,20 @@ def test_batches_keep_every_row(spark):
     assert statement_frame(spec).head == "INSERT VERTEX `person`(`age`) VALUES "
 
 
+def test_batches_do_not_follow_the_session(spark):
+    rows = spark.range(500).selectExpr("cast(id AS string) AS id", "id AS age")
+    graph = GraphTarget(5, "STRING", 8, GRAPH.labels)
+    found = []
+    for setting in ("2", "7"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+        got = render(rows.repartition(int(setting)), VertexSpec("person", "id", ("age",)), graph, batch=3)
+        assert got.columns == ["part", "bucket", "batch_id", "n_rows", "statement"]
+        found.append(sorted(map(tuple, got.collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
 def test_rendering_shuffles_once(spark, data):
     rows = spark.read.parquet(f"{data}/customer.parquet")
     spec = VertexSpec("person", "c_custkey", ("c_name",), ("name",))
