@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import _col
-from ..storage import cut_lineage
+from ..storage import cut_lineage, file_system, scratch_path, write_once
 from .rows import can_sort
 
 
@@ -47,27 +48,30 @@ def offset_splits(total: int, parallel: int, checkpoint: list[int] | None = None
 
 
 def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None = None,
-                   scan: bool = True) -> DataFrame:
+                   scan: bool = True, path: str | None = None) -> DataFrame:
     """Exact 0-based position in ``order_by`` order, as ``row_index``.
 
-    Rows are range-partitioned and sorted, written once to the checkpoint
-    folder so that the layout cannot change under a lost executor, and numbered
-    by task offset plus position in the task. Other columns and the read
-    position break ties, so equal order keys do not gather in one task. The read
-    position of a row must be the same if its task runs again: true of a scan;
-    say ``scan=False`` of rows that come out of a shuffle, and they are written first.
+    Rows are range-partitioned and sorted, written once to ``path`` (a scratch folder
+    by default) so that the layout cannot change under a lost executor, and numbered
+    by task offset plus position in the task. A hash of the other columns and the read
+    position break ties, so equal order keys do not gather in one task and the bounds
+    of the ranges stay small. The read position of a row must be the same if its
+    task runs again: true of a scan; say ``scan=False`` of rows that come out of a
+    shuffle, and they are written first.
     """
     if not scan:
         df = cut_lineage(df)
     others = [c for c in df.columns if c not in order_by and can_sort(df.schema, c)]
-    order = [_col(c) for c in [*order_by, *others, "__read"]]
-    salted = df.withColumn("__read", F.monotonically_increasing_id())
+    order = [_col(c) for c in [*order_by, "__rest", "__read"]]
+    rest = F.xxhash64(*map(_col, others)) if others else F.lit(0).cast("bigint")
+    salted = df.withColumn("__rest", rest).withColumn("__read", F.monotonically_increasing_id())
     ranged = (salted.repartitionByRange(partitions, *order) if partitions
               else salted.repartitionByRange(*order))
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = cut_lineage(ranged.sortWithinPartitions(*order).drop("__read")
-                         .withColumn("__task", F.spark_partition_id())
-                         .withColumn("__pos", in_task))
+    placed = write_once(ranged.sortWithinPartitions(*order).drop("__rest", "__read")
+                        .withColumn("__task", F.spark_partition_id())
+                        .withColumn("__pos", in_task),
+                        path or scratch_path(df.sparkSession, "indexed"))
     # one row per task, so this single-task window is as small as the task list
     before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("__task").agg(F.count(F.lit(1)).alias("__n")).select(
@@ -77,41 +81,74 @@ def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None =
             .drop("__task", "__first", "__pos"))
 
 
-def read_slices(df: DataFrame, order_by: list[str], slices: list[Slice], scan: bool = True
-                ) -> DataFrame:
-    """Rows of every slice, with ``split`` and ``row_index``.
+def read_slices(df: DataFrame, order_by: list[str], slices: list[Slice], scan: bool = True,
+                path: str | None = None) -> DataFrame:
+    """Rows of every slice: ``split``, the columns of ``df``, ``row_index``.
 
     Slices follow each other, so a slice number is arithmetic on the row
     position; the plan table has one row per slice.
     """
     if all(s.size == 0 for s in slices):
-        return (df.withColumn("row_index", F.lit(0).cast("bigint"))
-                .withColumn("split", F.lit(0)).limit(0))
+        return df.select(F.lit(0).alias("split"), "*",
+                         F.lit(0).cast("bigint").alias("row_index")).limit(0)
     total, parallel = slices[-1].start + slices[-1].size, len(slices)
     base, longer = divmod(total, parallel)
     index = F.col("row_index")
-    in_longer = F.floor(index / (base + 1))
-    in_rest = F.floor((index - longer * (base + 1)) / max(base, 1)) + longer
+    in_longer = F.call_function("div", index, F.lit(base + 1))
+    in_rest = F.call_function("div", index - longer * (base + 1), F.lit(max(base, 1))) + longer
     split = F.when(index < longer * (base + 1), in_longer).otherwise(in_rest).cast("int")
     plan = df.sparkSession.createDataFrame(
         [(s.split, s.start) for s in slices], "split int, __start bigint")
-    return (with_row_index(df, order_by, scan=scan).withColumn("split", split)
-            .join(F.broadcast(plan), "split").filter(index >= F.col("__start")).drop("__start"))
+    return (with_row_index(df, order_by, scan=scan, path=path).withColumn("split", split)
+            .join(F.broadcast(plan), "split").filter(index >= F.col("__start"))
+            .select("split", *map(_col, df.columns), "row_index"))
+
+
+def step_of(slices: list[Slice], steps: int) -> list[list[Slice]]:
+    """The slices cut into ``steps`` parts each: the rows of one step of a resumable read."""
+    def part(s: Slice, k: int) -> Slice:
+        first, last = s.size * k // steps, s.size * (k + 1) // steps
+        return Slice(s.split, s.start + first, last - first)
+    return [[part(s, k) for s in slices] for k in range(steps)]
+
+
+def rows_of_step(indexed: DataFrame, step: list[Slice]) -> DataFrame:
+    """Rows of ``read_slices`` that lie in the ranges of a step; one condition per slice."""
+    index, wanted = F.col("row_index"), F.lit(False)
+    for s in step:
+        if s.size:
+            wanted = wanted | ((index >= s.start) & (index < s.start + s.size))
+    return indexed.filter(wanted)
 
 
 def save_checkpoint(spark: SparkSession, path: str, name: str, reached: list[int]) -> None:
-    """Store how far each slice got; each save replaces the one before."""
+    """Store how far each slice got. The older state goes after the new one is written."""
     rows = [(i, r) for i, r in enumerate(reached)]
-    spark.createDataFrame(rows, "split int, reached bigint").coalesce(1).write.mode(
-        "overwrite").json(f"{path}/{name}")
+    older = _states(spark, path, name)
+    at = max([time.time_ns(), *(n + 1 for n, _ in older)])
+    spark.createDataFrame(rows, "split int, reached bigint").coalesce(1).write.json(
+        f"{path}/{name}/state={at}")
+    files, _ = file_system(spark, path)
+    for _, folder in older:
+        files.delete(folder, True)
+
+
+def _states(spark: SparkSession, path: str, name: str) -> list[tuple[int, object]]:
+    """(time, folder) of the states that were written to their end, oldest first."""
+    files, folder = file_system(spark, f"{path}/{name}")
+    if not files.exists(folder):
+        return []
+    found = [entry.getPath() for entry in files.listStatus(folder)]
+    whole = [p for p in found if p.getName().startswith("state=")
+             and files.exists(file_system(spark, f"{p.toString()}/_SUCCESS")[1])]
+    return sorted(((int(p.getName()[6:]), p) for p in whole), key=lambda s: s[0])
 
 
 def load_checkpoint(spark: SparkSession, path: str, name: str) -> list[int] | None:
     """Stored positions in slice order, or None if nothing was stored."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+    states = _states(spark, path, name)
+    if not states:
         return None
-    stored = spark.read.schema("split int, reached bigint").json(f"{path}/{name}")
+    stored = spark.read.schema("split int, reached bigint").json(states[-1][1].toString())
     # one row per slice
     return [row.reached for row in stored.orderBy("split").collect()]

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.hashing import graph_part
 from ..functions.text import _col
 from ..operators.delivery import (
-    DeliveryOptions, check_budget, save_failures, write_batches,
+    DeliveryOptions, check_budget, check_fatal, save_failures, write_batches,
 )
 from ..operators.kv import edge_kv, vertex_kv, write_kv
 from ..operators.prepare import (
@@ -23,7 +26,8 @@ from ..operators.prepare import (
 )
 from ..operators.rows import repartition_to
 from ..operators.slices import (
-    load_checkpoint, offset_splits, read_slices, save_checkpoint, source_count,
+    Slice, load_checkpoint, offset_splits, read_slices, rows_of_step, save_checkpoint,
+    source_count, step_of,
 )
 from ..operators.statements import (
     id_value, item_of, rank_value, render_items, statement_frame,
@@ -31,10 +35,12 @@ from ..operators.statements import (
 from ..operators.stats import load_stats
 from ..sources import read_source, resolve_paths
 from ..spec import EdgeSpec, GraphTarget, Label, VertexSpec, bind_schema
-from ..storage import scratch_path
+from ..storage import remove, scratch_path
 from ..streaming import stream_load
 
 SINKS = ("statements", "kv")
+# Parts that a resumable read is delivered in.
+STEPS = 8
 STREAMS = ("kafka", "pulsar", "file_stream", "stream")
 
 _VERTEX_KEYS = ("label", "id", "policy", "prefix", "mode", "ignore_index", "delete_edge")
@@ -67,6 +73,8 @@ class Entity:
             raise ValueError(f"{self.spec.label}: the source needs a type")
         if self.streaming and self.sink == "kv":
             raise ValueError(f"{self.spec.label}: streams are delivered as statements")
+        if self.streaming and self.checkpoint is None:
+            raise ValueError(f"{self.spec.label}: a stream needs a checkpoint folder")
 
     @property
     def streaming(self) -> bool:
@@ -130,8 +138,12 @@ class Job:
 
 @dataclass
 class JobReport:
-    """What a run did. ``stats`` has the counters of all delivered entities."""
+    """What a run did. ``stats`` has the counters of all delivered entities.
 
+    ``run`` names the folders of this run below ``results`` and ``failures``.
+    """
+
+    run: str = ""
     stats: DataFrame | None = None
     previews: dict[str, DataFrame] = field(default_factory=dict)
     kv_paths: dict[str, str] = field(default_factory=dict)
@@ -141,86 +153,139 @@ class JobReport:
 
 @dataclass(frozen=True)
 class Input:
-    """Rows of an entity; ``ends`` says where the slices of a resumable read end."""
+    """Rows of an entity; those of a resumable read have ``row_index`` and their slices."""
 
     rows: DataFrame
-    ends: list[int] | None = None
-
-
-def _read(spark: SparkSession, source: dict, fields: list[str], params: str | None
-          ) -> Input | None:
+    slices: list[Slice] | None = None
+    indexed: str | None = None
+
+
+def _named_columns(rows: DataFrame, condition: str | None, needed: list[str]) -> list[str]:
+    """``needed`` and the columns that a condition names."""
+    def enough(columns: list[str]) -> bool:
+        # an empty table: a projection would quietly get the missing columns from below
+        schema = StructType([rows.schema[c] for c in columns])
+        try:
+            rows.sparkSession.createDataFrame([], schema).filter(condition)
+        except AnalysisException:
+            return False
+        return True
+
+    if condition is None or enough(needed):
+        return needed
+    kept = list(rows.columns)
+    for name in rows.columns:
+        if name not in needed and enough([c for c in kept if c != name]):
+            kept.remove(name)
+    return kept
+
+
+def _read(spark: SparkSession, entity: Entity, fields: list[str], params: str | None,
+          plain: bool) -> Input | None:
     """A source, or the slices of one that earlier runs have not finished.
 
     ``{"type": "sliced", "of": source, "order_by": [...], "parallel": n,
-    "checkpoint": folder, "name": name}`` cuts another source into slices.
+    "checkpoint": folder, "name": name, "steps": n}`` cuts another source into slices and
+    delivers them in steps, each of which is marked in the checkpoint. ``plain``
+    gives the rows of the other source as they are and writes nothing.
     """
+    source = entity.source
     sliced = source["type"].lower() == "sliced"
     rows = read_source(spark, resolve_paths(source["of"] if sliced else source, params), fields)
-    if rows is None or not sliced:
+    if rows is None or not sliced or plain:
         return None if rows is None else Input(rows)
     total, parallel = source_count(rows).first()["n"], source["parallel"]
     reached = (load_checkpoint(spark, source["checkpoint"], source["name"])
                if source.get("checkpoint") else None)
     slices = offset_splits(total, parallel, reached)
     scan = source["of"]["type"].lower() in ("parquet", "orc", "json", "csv")
-    return Input(read_slices(rows, source["order_by"], slices, scan),
-                 [s.start + s.size for s in slices])
+    wanted = list(dict.fromkeys([*fields, *source["order_by"]]))
+    columns = _named_columns(rows, entity.filter, wanted)
+    path = scratch_path(spark, "indexed")
+    return Input(read_slices(rows.select(*map(_col, columns)), source["order_by"], slices, scan,
+                             path), slices, path)
 
 
-def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None) -> Input | None:
+def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None,
+                  plain: bool = False) -> Input | None:
     """Source rows after filter and composite keys, cut down to the needed columns."""
     keys = [k["new_col"] for k in entity.composite_keys]
     parts = [c for k in entity.composite_keys for c in k["cols"]]
     needed = [f for f in required_fields(entity.spec) if f not in keys]
-    found = _read(spark, entity.source, list(dict.fromkeys(needed + parts)), params)
+    found = _read(spark, entity, list(dict.fromkeys(needed + parts)), params, plain)
     if found is None:
         return None
     rows = apply_filter(found.rows, entity.filter)
     for key in entity.composite_keys:
         rows = with_composite_key(rows, key["sep"], key["cols"], key["new_col"])
-    return Input(rows.select(*map(_col, required_fields(entity.spec))), found.ends)
+    index = [] if found.slices is None else ["row_index"]
+    return replace(found, rows=rows.select(*map(_col, required_fields(entity.spec)), *index))
 
 
 def prepared_rows(spark: SparkSession, entity: Entity, params: str | None = None
                   ) -> DataFrame | None:
     found = prepare_input(spark, entity, params)
-    return None if found is None else found.rows
+    return None if found is None else found.rows.drop("row_index")
 
 
-def _mark_done(spark: SparkSession, entity: Entity, ends: list[int] | None) -> None:
+def _mark_done(spark: SparkSession, entity: Entity, step: list[Slice] | None) -> None:
     source = entity.source
-    if ends is not None and source.get("checkpoint"):
-        save_checkpoint(spark, source["checkpoint"], source["name"], ends)
+    if step is not None and source.get("checkpoint"):
+        save_checkpoint(spark, source["checkpoint"], source["name"],
+                        [s.start + s.size for s in step])
+
+
+def _deliver(spark: SparkSession, job: Job, entity: Entity, rows: DataFrame, name: str, factory,
+             stored: str, failures: str) -> DataFrame:
+    """Send rows once; what failed is saved before anything calls the load off."""
+    items = render_items(rows, entity.spec, job.target)
+    results = write_batches(items, entity.spec.label, statement_frame(entity.spec), factory,
+                            replace(job.delivery, batch=entity.batch), stored)
+    save_failures(results, failures, name)
+    return results
 
 
 def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, found: Input,
                 factory, run: str, report: JobReport) -> DataFrame | None:
     spec, name, rows = entity.spec, f"{entity.spec.label}-{number}", found.rows
     spark.sparkContext.setJobGroup(name, f"{spec.kind} {spec.label}")
-    failures, stored = job.failures or f"{run}/failures", job.results or f"{run}/results"
+    failures = job.failures or f"{run}/failures"
+    stored = f"{job.results}/{report.run}" if job.results else f"{run}/results"
+    dead = f"{report.run}.{name}"
     if rows.isStreaming:
         options = replace(job.delivery, batch=entity.batch)
         report.streams.append(stream_load(
             rows, spec, job.target, factory, f"{stored}/{name}", f"{failures}/{name}",
             options, entity.checkpoint, entity.interval_s, name=name))
         return None
-    rows = enforce(rows, problem_of(spec, job.target.id_type, rows.schema), "fail")
+    rows = enforce(rows, problem_of(spec, job.target.id_type, rows.schema), "fail",
+                   spec.key_fields[0])
     if entity.sink == "kv":
+        rows = rows.drop("row_index")
         kv = (vertex_kv(rows, spec, job.target, job.existence) if spec.kind == "vertex"
               else edge_kv(rows, spec, job.target))
         report.kv_paths[name] = f"{job.kv_path}/{name}"
         write_kv(kv, report.kv_paths[name], entity.partition if entity.partition > 0 else None)
-        _mark_done(spark, entity, found.ends)
+        _mark_done(spark, entity, found.slices)
         return None
-    options = replace(job.delivery, batch=entity.batch)
-    rows = repartition_to(rows, entity.partition, resumable=found.ends is not None)
-    items = render_items(rows, spec, job.target)
-    results = write_batches(items, spec.label, statement_frame(spec), factory, options,
-                            f"{stored}/{name}")
-    save_failures(results, failures, name)
-    check_budget(results, options.max_failed_batches)
-    # what failed is in the dead letters, so the slices are finished
-    _mark_done(spark, entity, found.ends)
+    if found.slices is None:
+        rows = repartition_to(rows, entity.partition)
+        results = _deliver(spark, job, entity, rows, dead, factory, f"{stored}/{name}", failures)
+        check_fatal(results)
+        check_budget(results, job.delivery.max_failed_batches)
+        return results
+    steps = step_of(found.slices, entity.source.get("steps", STEPS))
+    results = None
+    for number, step in enumerate(steps):
+        if results is not None and all(s.size == 0 for s in step):
+            continue
+        part = rows_of_step(rows, step).drop("row_index")
+        sent = _deliver(spark, job, entity, part, dead, factory, f"{stored}/{name}/{number}", failures)
+        # what failed is in the dead letters, so the step is finished
+        _mark_done(spark, entity, step)
+        check_fatal(sent)
+        results = sent if results is None else results.unionByName(sent)
+        check_budget(results, job.delivery.max_failed_batches)
     return results
 
 
@@ -229,13 +294,15 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
     """Run all entities, several at a time, each under its own job group.
 
     Streams are started and returned running; wait with
-    ``spark.streams.awaitAnyTermination()``.
+    ``spark.streams.awaitAnyTermination()``. When an entity fails, the others run to
+    their end, streams are stopped, and the error carries the ``report`` of the rest.
     """
     for key, value in job.spark_conf.items():
         spark.conf.set(key, value)
-    report, started = JobReport(), time.monotonic()
-    run = scratch_path(spark, "run")
-    inputs = [(n, e, prepare_input(spark, e, params)) for n, e in enumerate(job.entities)]
+    report, started = JobReport(f"{time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"), \
+        time.monotonic()
+    inputs = [(n, e, prepare_input(spark, e, params, plain=dry))
+              for n, e in enumerate(job.entities)]
     inputs = [(n, e, found) for n, e, found in inputs if found is not None]
     if dry:
         report.previews = {f"{e.spec.label}-{n}": preview(found.rows)
@@ -243,24 +310,35 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
         return report
     if factory is None and any(e.sink == "statements" for _, e, _ in inputs):
         raise ValueError("statement entities need an executor factory")
+    run = scratch_path(spark, report.run)
 
     def work(number: int, entity: Entity, found: Input):
-        return _run_entity(spark, job, number, entity, found, factory, run, report)
+        try:
+            return _run_entity(spark, job, number, entity, found, factory, run, report)
+        finally:
+            if found.indexed is not None:
+                remove(spark, found.indexed)
 
     with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
         # one wrapper per task: each keeps its own copy of the local properties
         running = [pool.submit(inheritable_thread_target(spark)(work), *args) for args in inputs]
-        tables = [r for r in (f.result() for f in running) if r is not None]
+    errors = [f.exception() for f in running if f.exception() is not None]
+    tables = [f.result() for f in running if f.exception() is None and f.result() is not None]
     report.seconds = time.monotonic() - started
     if tables:
         results = reduce(DataFrame.unionByName, tables)
         report.stats = load_stats(results, report.seconds)
+    if errors:
+        for query in report.streams:
+            query.stop()
+        errors[0].report = report
+        raise errors[0]
     return report
 
 
 def _canonical(job: Job, spec: VertexSpec | EdgeSpec, rows: DataFrame) -> DataFrame:
     target, schema = job.target, rows.schema
-    rows = enforce(rows, problem_of(spec, target.id_type, schema), "fail")
+    rows = enforce(rows, problem_of(spec, target.id_type, schema), "fail", spec.key_fields[0])
     label, item = F.lit(spec.label).alias("label"), item_of(rows, spec, target).alias("item")
     if spec.kind == "vertex":
         vid = id_value(schema, spec.id, target, spec.policy, spec.prefix)

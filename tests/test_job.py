@@ -9,10 +9,11 @@ from pyspark.errors import PySparkException
 
 from executors import Recorder, recorded
 from graphload.__main__ import main
-from graphload.operators.delivery import TooManyFailures
+from graphload.operators.delivery import FatalDeliveryError, TooManyFailures
 from graphload.operators.slices import load_checkpoint
 from graphload.plans import Job, edges_of, run_job, vertices_of
-from graphload.plans.job import prepared_rows
+from graphload import storage
+from graphload.plans.job import prepare_input, prepared_rows
 from graphload.sources import read_statements, register_source
 
 
@@ -164,6 +165,9 @@ def test_entities_of_one_label_become_one_frame(spark, tables):
     lambda d: d["edges"][0].update(label="person"),
     lambda d: (d.pop("kv_path"), d["edges"][0].update(sink="kv")),
     lambda d: d["edges"][0].update(sink="kv", source={"type": "kafka"}),
+    lambda d: d["edges"][0].update(source={"type": "kafka"}),
+    lambda d: d["graph"]["labels"].update({"a`b": {"kind": "vertex", "properties": {}}})
+    or d["vertices"][0].update(label="a`b", fields=[]),
 ])
 def test_bad_jobs_are_refused_before_anything_runs(tables, change):
     d = describe(tables)
@@ -207,11 +211,18 @@ def test_a_sliced_entity_resumes(spark, tables, tmp_path):
         "order_by": ["id"], "parallel": 2, "checkpoint": str(tmp_path / "cp"), "name": "people"}}]
     log = tables["log"]
     job, where = Job.from_dict(d), f"people={tables['people']}"
-    with pytest.raises(PySparkException, match="E_BAD_PERMISSION"):
+    with pytest.raises(FatalDeliveryError, match="E_BAD_PERMISSION"):
         run_job(spark, job, lambda: Recorder(log, ["Ann"], "E_BAD_PERMISSION"), params=where)
-    assert load_checkpoint(spark, str(tmp_path / "cp"), "people") is None
+    # Ann's step is over and Ann a dead letter; the next run goes on from there
+    reached = load_checkpoint(spark, str(tmp_path / "cp"), "people")
+    assert reached is not None and reached < [2, 3]
     run_job(spark, job, lambda: Recorder(log, ["Bob"]), params=where)
     assert load_checkpoint(spark, str(tmp_path / "cp"), "people") == [2, 3]
+    assert sum("Ann" in line for line in recorded(log)) == 1
+    assert sorted(
+        r.statement for r in read_statements(spark, tables["dead"]).collect()) == [
+        'INSERT VERTEX `person`(`name`,`age`) VALUES 1: ("Ann", 30)',
+        'INSERT VERTEX `person`(`name`,`age`) VALUES 2: ("Bob", 40)']
     sent = len(recorded(log))
     report = run_job(spark, job, lambda: Recorder(log), params=where)
     assert len(recorded(log)) == sent
@@ -233,3 +244,60 @@ def test_command_line(spark, tables, tmp_path, monkeypatch, capsys):
     main(["-c", str(config), "-r", tables["dead"], "--executor", "my_client:accept"])
     assert "1" in capsys.readouterr().out
     assert recorded(log).count('INSERT VERTEX `firm`(`name`) VALUES 9: ("Acme")') == 3
+
+
+def test_a_job_with_results_runs_again(spark, tables, tmp_path):
+    job = Job.from_dict({**describe(tables), "results": str(tmp_path / "results")})
+    log = tables["log"]
+    runs = {run_job(spark, job, lambda: Recorder(log)).run for _ in range(2)}
+    assert len(runs) == 2 and set(os.listdir(tmp_path / "results")) == runs
+
+
+def test_a_sliced_entity_stores_needed_columns_only(spark, tables, tmp_path):
+    d = describe(tables)
+    d["edges"] = []
+    d["vertices"] = [{"label": "person", "id": "id", "fields": ["name"], "targets": ["name"],
+                      "filter": "age < 50 AND k1 <> 'z'", "source": {
+                          "type": "sliced", "of": {"type": "parquet", "path": tables["people"]},
+                          "order_by": ["id"], "parallel": 2}}]
+    entity = Job.from_dict(d).entities[0]
+    found = prepare_input(spark, entity)
+    stored = spark.read.parquet(found.indexed).columns
+    assert sorted(c for c in stored if not c.startswith("__")) == ["age", "id", "k1", "name"]
+    assert sorted(r.id for r in found.rows.collect()) == ["1", "2"]
+    folder = os.path.dirname(storage.scratch_path(spark, "x"))
+    before = len(os.listdir(os.path.dirname(folder)))
+    report = run_job(spark, Job.from_dict(d), dry=True)
+    assert sorted(r.id for r in report.previews["person-0"].collect()) == ["1", "2"]
+    assert len(os.listdir(os.path.dirname(folder))) == before
+
+
+def test_bad_ids_outside_of_a_sentence_do_not_stop_it(spark, tables):
+    rows = spark.createDataFrame([("1", "x"), ("1", "y"), ("bad", "z")], "k string, v string")
+    rows.createOrReplaceTempView("spoilt")
+    spark.createDataFrame([("1",)], "k string").createOrReplaceTempView("fine")
+    d, log = describe(tables), tables["log"]
+    d["edges"] = []
+    for number, sentence in enumerate((
+            "SELECT k, count(*) AS age FROM spoilt GROUP BY k HAVING count(*) > 1",
+            "SELECT s.k, 1 AS age FROM spoilt s JOIN fine f ON s.k = f.k",
+            "SELECT k, 1 AS age FROM spoilt WHERE k IN (SELECT k FROM fine)")):
+        for sink in ("statements", "kv"):
+            d["vertices"] = [{"label": "person", "id": "k", "fields": ["age"], "sink": sink,
+                              "source": {"type": "sql", "sentence": sentence}}]
+            d["kv_path"] = f"{tables['kv']}{number}"
+            run_job(spark, Job.from_dict(d), lambda: Recorder(log))
+        assert vertices_of(spark, Job.from_dict(d)).filter("vid = 1").count() >= 1
+    d["vertices"][0]["source"]["sentence"] = "SELECT k, 1 AS age FROM spoilt"
+    with pytest.raises(PySparkException, match="id: not an integer"):
+        vertices_of(spark, Job.from_dict(d)).collect()
+
+
+def test_one_failing_entity_leaves_the_counters_of_the_others(spark, tables):
+    log = tables["log"]
+    d = describe(tables)
+    d["delivery"] = {"max_failed_batches": 1, "retry": 0}
+    with pytest.raises(TooManyFailures) as caught:
+        run_job(spark, Job.from_dict(d), lambda: Recorder(log, ["Acme"]))
+    done = {r.entity for r in caught.value.report.stats.collect()}
+    assert done == {"person", "knows", "(total)"}

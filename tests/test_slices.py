@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from graphload.operators.slices import (
-    Slice, load_checkpoint, offset_splits, read_slices, save_checkpoint, source_count,
-    with_row_index,
+    Slice, load_checkpoint, offset_splits, read_slices, rows_of_step, save_checkpoint,
+    source_count, step_of, with_row_index,
 )
 
 
@@ -54,7 +56,27 @@ def test_resume(spark, tmp_path):
     left = read_slices(rows, ["id"], offset_splits(total, 3, reached)).collect()
     assert sorted(r.id for r in left) == [*range(12, 17), *range(25, 34), *range(41, 50)]
     done = read_slices(rows, ["id"], offset_splits(total, 3, [17, 34, 50]))
-    assert done.count() == 0 and "split" in done.columns
+    assert done.count() == 0
+    assert done.columns == read_slices(rows, ["id"], offset_splits(total, 3)).columns == [
+        "split", "id", "row_index"]
+
+
+def test_a_state_that_was_not_written_to_its_end_does_not_count(spark, tmp_path):
+    path = str(tmp_path)
+    save_checkpoint(spark, path, "people", [1, 2])
+    os.mkdir(f"{path}/people/state=99999999999999999999")
+    assert load_checkpoint(spark, path, "people") == [1, 2]
+    save_checkpoint(spark, path, "people", [3, 4])
+    assert load_checkpoint(spark, path, "people") == [3, 4]
+
+
+def test_steps_cover_every_row_once(spark):
+    slices = offset_splits(50, 3, [12, 25, 41])
+    steps = step_of(slices, 4)
+    rows = read_slices(spark.range(50), ["id"], slices)
+    found = [sorted(r.id for r in rows_of_step(rows, s).collect()) for s in steps]
+    assert sorted(i for f in found for i in f) == [*range(12, 17), *range(25, 34), *range(41, 50)]
+    assert [s.start + s.size for s in steps[-1]] == [17, 34, 50]
 
 
 def test_rows_out_of_a_shuffle(spark):
