@@ -5,23 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
+from ..storage import cut_lineage, keep_layout
 
 # A source with more than 1/HOT_SHARE of all edges is hot, so at most
 # HOT_SHARE sources are: the list of hot sources is always small.
 HOT_SHARE = 200
 
 
-def _spread_hot_sources(edges: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
-    """Edges with a salt (0 unless the source is hot) and the hot sources."""
-    limit = edges.count() / HOT_SHARE
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("__out"))
+class NotConverged(RuntimeError):
+    """Labels still changed in the last round that was allowed."""
+
+
+def _laid_out(edges: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Edges with a weight and a salt (0 unless the source is hot), and the hot sources.
+
+    Parallel edges are one edge with their number as weight. The edges are dealt out
+    by (src, salt) once; the checkpoint keeps that layout, so no round moves them.
+    """
+    weighted = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")))
+    degrees = weighted.groupBy("src").agg(F.count(F.lit(1)).alias("__out"))
+    limit = (degrees.agg(F.sum("__out")).first()[0] or 0) / HOT_SHARE
     hot = cut_lineage(degrees.filter(F.col("__out") > limit).select("src"))
     marked = hot.withColumn("__hot", F.lit(True))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(0)
-    salted = edges.join(F.broadcast(marked), "src", "left").select(
-        "src", "dst", salt.cast("int").alias("salt"))
-    return salted, marked
+    salted = weighted.join(F.broadcast(marked), "src", "left").select(
+        "src", "dst", "weight", salt.cast("int").alias("salt"))
+    return keep_layout(salted, "src", "salt"), marked
 
 
 def _round(labels: DataFrame, edges: DataFrame, hot: DataFrame, salts: int) -> DataFrame:
@@ -30,12 +39,12 @@ def _round(labels: DataFrame, edges: DataFrame, hot: DataFrame, salts: int) -> D
         F.array(F.lit(0)))
     voters = (labels.join(F.broadcast(hot), labels["id"] == hot["src"], "left")
               .select(labels["id"].alias("src"), "label", F.explode(copies).alias("salt")))
-    votes = edges.join(voters, ["src", "salt"]).select(F.col("dst").alias("id"), "label",
-                                                       F.lit(False).alias("own"))
-    votes = votes.unionByName(labels.select("id", "label", F.lit(True).alias("own")))
+    votes = edges.join(voters, ["src", "salt"]).select(
+        F.col("dst").alias("id"), "label", "weight", F.lit(False).alias("own"))
+    votes = votes.unionByName(labels.select("id", "label", F.lit(1).cast("bigint").alias("weight"),
+                                            F.lit(True).alias("own")))
     # counted per (vertex, label) with a map-side step before any vertex is gathered
-    tally = votes.groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"),
-                                             F.max("own").alias("own"))
+    tally = votes.groupBy("id", "label").agg(F.sum("weight").alias("n"), F.max("own").alias("own"))
     best = F.min(F.struct((-F.col("n")).alias("less"), "label"))
     decided = tally.groupBy("id").agg(best["label"].alias("label"),
                                       F.max(F.when(F.col("own"), F.col("label"))).alias("old"))
@@ -44,23 +53,23 @@ def _round(labels: DataFrame, edges: DataFrame, hot: DataFrame, salts: int) -> D
 
 
 def peer_pressure(vertices: DataFrame, edges: DataFrame, max_iter: int = 30, salts: int = 16,
-                  stop_when_stable: bool = True) -> DataFrame:
-    """(id, label) after at most ``max_iter`` rounds, or when no label changes.
+                  partial: bool = False) -> DataFrame:
+    """(id, label) when a round changes no label.
 
-    ``vertices`` has ``id``; ``edges`` has ``src`` and ``dst``.
+    ``vertices`` has ``id``; ``edges`` has ``src`` and ``dst``. Labels that still change
+    after ``max_iter`` rounds raise NotConverged, or are returned as they are if
+    ``partial`` results are asked for.
     """
-    # one spelling of the distinct ids, so that its shuffle is reused in the round
     ids = vertices.select("id").filter(F.col("id").isNotNull()).distinct()
-    labels = ids.withColumn("label", F.col("id"))
-    edges, hot = _spread_hot_sources(edges.select("src", "dst"), salts)
-    if max_iter == 1:
-        return _round(labels, edges, hot, salts).select("id", "label")
-    edges = cut_lineage(edges)
+    labels = cut_lineage(ids.withColumn("label", F.col("id")))
+    edges, hot = _laid_out(edges.select("src", "dst"), salts)
     for _ in range(max_iter):
         voted = cut_lineage(_round(labels, edges, hot, salts))
         labels = voted.select("id", "label")
-        if stop_when_stable and voted.filter("label <> old").isEmpty():
-            break
+        if voted.filter("label <> old").isEmpty():
+            return labels
+    if not partial:
+        raise NotConverged(f"labels still change after {max_iter} rounds")
     return labels
 
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from graphload.operators.propagation import cluster_count, peer_pressure
+from graphload.operators.propagation import NotConverged, cluster_count, peer_pressure
 
 
 def brute(vertices, edges, rounds):
@@ -31,7 +31,7 @@ def test_matches_brute_force_with_a_hot_source(spark, seed, rounds):
     edges = [(rnd.randrange(60), rnd.randrange(62)) for _ in range(300)]
     # vertex 0 has a third of all edges
     edges += [(0, rnd.randrange(60)) for _ in range(150)]
-    got = peer_pressure(*frames(spark, vertices, edges), max_iter=rounds)
+    got = peer_pressure(*frames(spark, vertices, edges), max_iter=rounds, partial=True)
     assert dict(map(tuple, got.collect())) == brute(vertices, edges, rounds)
 
 
@@ -41,3 +41,26 @@ def test_stops_when_nothing_moves(spark):
     got = peer_pressure(*frames(spark, vertices, edges), max_iter=30)
     assert dict(map(tuple, got.collect())) == {1: 1, 2: 1, 3: 1, 11: 11, 12: 11, 13: 11, 20: 20}
     assert cluster_count(got).first()[0] == 3
+
+
+def test_labels_that_do_not_settle(spark):
+    # two vertices that give each other their labels
+    edges = [(1, 2), (2, 1), (1, 2), (2, 1)]
+    assert peer_pressure(*frames(spark, [1, 2], edges), max_iter=4, partial=True).count() == 2
+    with pytest.raises(NotConverged):
+        peer_pressure(*frames(spark, [1, 2], edges), max_iter=4)
+
+
+def test_rounds_do_not_move_the_edges(spark):
+    from graphload.operators.propagation import _laid_out, _round
+    vertices, edges = frames(spark, list(range(50)), [(i, j) for i in range(50) for j in range(9)])
+    laid, hot = _laid_out(edges.union(edges), 16)
+    assert laid.count() == 450 and {r.weight for r in laid.collect()} == {2}
+    labels = vertices.withColumn("label", vertices["id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _round(labels, laid, hot, 16)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the votes of (vertex, label), the vertices, and the labels: not the edges
+    assert plan.count("Exchange hashpartitioning(src") == 1
