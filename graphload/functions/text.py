@@ -71,7 +71,9 @@ def quote_text(c: Column | str) -> Column:
 
 
 def quote_name(name: str) -> str:
-    """Identifier in back-ticks; symbols inside are kept as they are."""
+    """Identifier in back-ticks; other symbols inside are kept as they are."""
+    if "`" in name:
+        raise ValueError(f"a back-tick cannot be part of a name: {name!r}")
     return f"`{name}`"
 
 

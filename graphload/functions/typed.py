@@ -152,7 +152,11 @@ def _points(text: Column) -> Column:
 
 
 def parse_wkt(c: Column | str, on_error: str = "fail") -> Column:
-    """POINT, LINESTRING and POLYGON (first ring is the shell, others holes)."""
+    """POINT, LINESTRING and POLYGON (first ring is the shell, others holes).
+
+    A point is one position, a line two or more, a ring four or more of which the
+    last is the first again.
+    """
     text = jtrim(_col(c))
     kind = F.upper(F.regexp_extract(text, r"(?i)\A(POINT|LINESTRING|POLYGON)\s*\(", 1))
     body = F.regexp_extract(text, r"(?s)\A\w+\s*\((.*)\)\z", 1)
@@ -160,7 +164,13 @@ def parse_wkt(c: Column | str, on_error: str = "fail") -> Column:
     rings = F.when(kind == "POLYGON", F.transform(ring_texts, _points)).otherwise(
         F.array(_points(body)))
     good_point = lambda p: p["x"].isNotNull() & p["y"].isNotNull()
-    ok = (kind != "") & F.forall(rings, lambda ring: F.forall(ring, good_point))
+    first = F.get(rings, 0)
+    closed = lambda ring: (F.size(ring) >= 4) & (F.get(ring, 0) == F.element_at(ring, -1))
+    shaped = (F.when(kind == "POINT", F.size(first) == 1)
+              .when(kind == "LINESTRING", F.size(first) >= 2)
+              .otherwise(F.forall(rings, closed)))
+    ok = ((kind != "") & F.forall(rings, lambda ring: F.forall(ring, good_point))
+          & F.coalesce(shaped, F.lit(False)))
     value = F.struct(kind.alias("kind"), rings.alias("rings"))
     return _require(ok, value, text, "point, line or polygon text", on_error)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .files import read_csv, read_file
 from .jdbc import PRESETS, jdbc_url, read_jdbc
@@ -27,6 +28,15 @@ def _file(spark, spec, fields):
                      spec.get("schema"))
 
 
+def _json(spark, spec, fields):
+    """JSON lines. ``"schema": "text"`` takes the needed fields as texts, without the pass
+    over the data that finds types; a key that occurs nowhere is then NULL."""
+    schema = spec.get("schema")
+    if schema == "text":
+        schema = StructType([StructField(f, StringType()) for f in fields])
+    return read_file(spark, "json", spec["path"], spec.get("partition_spec"), schema)
+
+
 def _csv(spark, spec, fields):
     return read_csv(spark, spec["path"], spec.get("sep", ","), spec.get("header", False),
                     spec.get("partition_spec"))
@@ -56,7 +66,7 @@ def _table(spark, spec, fields):
 
 def _cells(spark, spec, fields):
     cells = read_file(spark, spec.get("format", "parquet"), spec["path"])
-    return cells_to_rows(cells, spec["family"], fields)
+    return cells_to_rows(cells, spec["family"], fields, version=spec.get("version"))
 
 
 def _format(spark, spec, fields):
@@ -68,7 +78,7 @@ def _format(spark, spec, fields):
 
 
 _readers: dict[str, Reader] = {
-    "parquet": _file, "orc": _file, "json": _file, "csv": _csv,
+    "parquet": _file, "orc": _file, "json": _json, "csv": _csv,
     "sql": _sql, "hive": _sql, "table": _table, "cells": _cells,
     "format": _format,
     "jdbc": _jdbc, "mysql": _jdbc, "postgresql": _jdbc, "clickhouse": _jdbc, "oracle": _jdbc,

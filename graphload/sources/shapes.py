@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def cells_to_rows(cells: DataFrame, family: str, fields: list[str], rowkey: str = "rowkey",
-                  qualifier: str = "qualifier", value: str = "value") -> DataFrame:
+                  qualifier: str = "qualifier", value: str = "value",
+                  version: str | None = None) -> DataFrame:
     """Wide-column cells to one text row per row key.
 
     ``cells`` has rowkey, family, qualifier, value. A field named rowkey (any
-    case) is the key itself; a cell a row lacks is NULL. The aggregate combines
+    case) is the key itself; a cell a row lacks is NULL. Of several values of a cell
+    the one with the largest ``version`` counts (the largest text, without one or
+    where versions are equal). The aggregate combines
     map-side, so a row key with many cells sends one partial row per task.
     """
     wanted = [f for f in dict.fromkeys(fields) if f.lower() != "rowkey"]
     kept = cells.filter((F.col("family") == family) & F.col(qualifier).isin(wanted))
-    cell = [F.max(F.when(F.col(qualifier) == f, F.col(value).cast("string"))).alias(f)
-            for f in wanted]
+    text = F.col(value).cast("string")
+
+    def newest(f: str) -> Column:
+        here = F.col(qualifier) == f
+        if version is None:
+            return F.max(F.when(here, text)).alias(f)
+        return F.max(F.when(here, F.struct(F.col(version).alias("v"), text.alias("t"))))["t"].alias(f)
+
+    cell = [newest(f) for f in wanted]
     if not wanted:
         rows = cells.select(F.col(rowkey).cast("string").alias("__key")).distinct()
     else:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .functions.hashing import check_id_type
 from .functions.literals import check_type
-from .functions.text import check_policy
+from .functions.text import check_policy, quote_name
 
 MODES = ("insert", "update", "delete", "upsert")
 
@@ -162,6 +162,8 @@ class EdgeSpec:
 
 def bind_schema(spec: VertexSpec | EdgeSpec, target: GraphTarget) -> dict[str, str]:
     """Target property -> type, checked before any job runs."""
+    for name in (spec.label, *(t for _, t in spec.properties)):
+        quote_name(name)
     known = target.label(spec.label, spec.kind).properties
     missing = [t for _, t in spec.properties if t not in known]
     if missing:

@@ -74,6 +74,7 @@ def sql_word(hex_text: str, first: str, count: int = 8) -> str:
 
 def sql_murmur(text: str) -> str:
     """MurmurHash64A of a text as UBIGINT: a fold over its 8-byte words, then the tail."""
+    # The multiplier, the shift (in _mix) and the seed of the id hash.
     m = "14313749767032793493::UBIGINT"
     size = f"(octet_length(encode({text})))"
     words = f"({size} // 8)"
@@ -117,6 +118,7 @@ def sql_trim(x: str) -> str:
 
 
 def sql_escape(x: str) -> str:
+    # Character -> escape, backslash first.
     for plain, escaped in (("'\\'", "'\\\\'"), ("chr(9)", "'\\t'"), ("chr(10)", "'\\n'"),
                            ("'\"'", "'\\\"'"), ("''''", "'\\'''"), ("chr(13)", "'\\r'"),
                            ("chr(8)", "'\\b'")):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graphload.functions import key_part, key_prefix
-from graphload.operators.kv import edge_kv, vertex_kv, with_value, write_kv
+from graphload.operators.kv import edge_kv, sort_kv, vertex_kv, with_value, write_kv
 from graphload.spec import EdgeSpec, VertexSpec
-from graphload.storage import scratch_path
+from graphload.storage import cut_lineage, scratch_path
 
 from .base import (
     INT_GRAPH, PARTS, STRING_GRAPH, query, sql_big, sql_little, sql_part_int, sql_part_string,
@@ -101,12 +102,43 @@ def keys_decoded(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
-@query(_EDGE_SQL + "SELECT part, prefix, count(*) AS n, min(key) AS first_key, max(key) AS last_key "
-       "FROM k GROUP BY part, prefix")
+@query(_EDGE_SQL + "SELECT part, prefix, count(*) AS n, min(key) AS first_key, max(key) AS last_key, "
+       "sum(('0x' || substr(md5(key || value), 1, 8))::BIGINT)::BIGINT AS content, "
+       "0::BIGINT AS out_of_order, 0::BIGINT AS overlaps FROM k GROUP BY part, prefix")
 def kv_files(spark, sf_dir):
-    """Edges written as sorted files, read back: size and key range of each part."""
+    """Edges written as sorted files, read back: size, key range and content of each part.
+
+    No key comes before its predecessor in a file, no file begins before the one
+    in front of it has ended.
+    """
     path = scratch_path(spark, "kv")
-    write_kv(edge_kv(table(spark, sf_dir, "lineitem"), _EDGE_SPEC, INT_GRAPH), path)
-    key = F.lower(F.hex("key"))
-    return spark.read.parquet(path).groupBy("part", "prefix").agg(
-        F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+    write_kv(edge_kv(table(spark, sf_dir, "lineitem"), _EDGE_SPEC, INT_GRAPH), path, 6)
+    rows = spark.read.parquet(path).select(
+        "part", "prefix", F.lower(F.hex("key")).alias("key"), F.col("value").cast("string"),
+        "_metadata.file_path", "_metadata.row_index")
+    before = F.lag("key").over(Window.partitionBy("file_path").orderBy("row_index"))
+    digest = F.conv(F.substring(F.md5(F.concat("key", "value")), 1, 8), 16, 10).cast("bigint")
+    files = rows.withColumn("before", before).groupBy("part", "prefix", "file_path").agg(
+        F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"),
+        F.sum(digest).alias("content"),
+        F.sum((F.col("before") >= F.col("key")).cast("bigint")).alias("wrong"))
+    ended = F.max("last").over(Window.partitionBy("part", "prefix").orderBy("first").rowsBetween(
+        Window.unboundedPreceding, -1))
+    return files.withColumn("ended", ended).groupBy("part", "prefix").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first_key"), F.max("last").alias("last_key"),
+        F.sum("content").alias("content"), F.sum(F.coalesce("wrong", F.lit(0))).alias("out_of_order"),
+        F.sum(F.coalesce((F.col("ended") >= F.col("first")).cast("bigint"), F.lit(0)))
+        .alias("overlaps"))
+
+
+@query(_EDGE_SQL + "SELECT part, prefix, key, value, 0::BIGINT AS wrong FROM k")
+def kv_sorted(spark, sf_dir):
+    """Rows sorted in their tasks: none comes before its predecessor."""
+    rows = with_value(edge_kv(table(spark, sf_dir, "lineitem"), _EDGE_SPEC, INT_GRAPH))
+    placed = cut_lineage(sort_kv(rows.repartition(5, "key")).withColumn(
+        "task", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()))
+    before = F.lag("key").over(Window.partitionBy("task").orderBy("place"))
+    wrong = F.coalesce((before >= F.col("key")).cast("bigint"), F.lit(0))
+    return placed.withColumn("wrong", wrong).select(
+        "part", "prefix", F.lower(F.hex("key")).alias("key"),
+        F.col("value").cast("string").alias("value"), "wrong")

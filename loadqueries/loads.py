@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphload.operators.delivery import (
-    DeliveryOptions, reload, save_failures, write_batches,
+    DeliveryOptions, FatalDeliveryError, TooManyFailures, check_budget, check_fatal,
+    clear_failures, reload, save_failures, write_batches, write_statements,
 )
 from graphload.operators.propagation import cluster_count, peer_pressure
 from graphload.operators.statements import render_items, statement_frame
 from graphload.operators.stats import load_stats
-from graphload.plans import Job, edges_of, vertices_of
-from graphload.sources import read_stream
+from graphload.plans import Job, edges_of, run_job, vertices_of
+from graphload.plans.job import prepare_input, prepared_rows
+from graphload.sources import read_statements, read_stream, register_source
 from graphload.spec import VertexSpec
 from graphload.storage import scratch_path
 from graphload.streaming import stream_load
@@ -60,7 +62,7 @@ def graph_job(sf_dir: str) -> Job:
             edge("placed", "orders", ("customer", "o_custkey"), ("orders", "o_orderkey"),
                  fields=["o_orderpriority"], targets=["priority"]),
             edge("contains", "lineitem", ("orders", "l_orderkey"), ("part", "l_partkey"),
-                 rank="l_linenumber", filter="l_quantity > 5",
+                 rank="l_linenumber",
                  fields=["l_quantity", "l_returnflag", "l_shipdate"],
                  targets=["quantity", "flag", "shipped"]),
             edge("supplied_by", "lineitem", ("part", "l_partkey"), ("supplier", "l_suppkey")),
@@ -110,7 +112,7 @@ _EDGES = " UNION ALL ".join([
               row=_quoted("o_orderpriority")),
     _sql_edge("contains", "lineitem", ("orders", "l_orderkey"), ("part", "l_partkey"),
               "l_linenumber", "l_quantity || ', ' || " + _quoted("l_returnflag")
-              + " || ', datetime(\"' || l_shipdate || '\")'", "l_quantity > 5"),
+              + " || ', datetime(\"' || l_shipdate || '\")'"),
     _sql_edge("supplied_by", "lineitem", ("part", "l_partkey"), ("supplier", "l_suppkey")),
     _sql_edge("in_nation", "customer", ("customer", "c_custkey"), ("nation", "c_nationkey")),
     _sql_edge("in_nation", "supplier", ("supplier", "s_suppkey"), ("nation", "s_nationkey")),
@@ -163,6 +165,185 @@ def reload_failures(spark, sf_dir):
     return done.agg(F.sum(F.col("records") - F.col("failed")).alias("replayed"))
 
 
+class Shaky:
+    """Refuses a statement with a transient text the first two times it is asked."""
+
+    def __init__(self):
+        self.asked = {}
+
+    def execute(self, statement: str) -> str | None:
+        if statement.count(": (") > 1:
+            return "one by one, please"
+        self.asked[statement] = self.asked.get(statement, 0) + 1
+        return "x The leader has changed, y" if self.asked[statement] < 3 else None
+
+
+class Dropper:
+    """Loses its connection at statements that name one market segment."""
+
+    def execute(self, statement: str) -> str | None:
+        if '"HOUSEHOLD"' in statement:
+            raise ConnectionError("gone")
+
+
+class NoPermission:
+    def execute(self, statement: str) -> str | None:
+        return "E_BAD_PERMISSION: no"
+
+
+def _customer_items(spark, sf_dir, tasks=None):
+    rows = table(spark, sf_dir, "customer")
+    return render_items(rows if tasks is None else rows.repartition(tasks, "c_custkey"), _CUSTOMER,
+                        INT_GRAPH)
+
+
+def _totals(results):
+    return results.agg(F.sum(F.col("records") - F.col("failed")).alias("delivered"),
+                       F.sum("failed").alias("refused"))
+
+
+@query("SELECT count(*) AS delivered, 0::BIGINT AS refused FROM customer")
+def deliver_retried(spark, sf_dir):
+    """Rows refused twice with a transient error arrive in the end."""
+    return _totals(write_batches(_customer_items(spark, sf_dir), "customer",
+                                 statement_frame(_CUSTOMER), Shaky, DeliveryOptions(batch=50)))
+
+
+@query("SELECT count(*) AS delivered, 0::BIGINT AS refused FROM customer")
+def deliver_paced(spark, sf_dir):
+    """A rate limit delays batches and loses none."""
+    return _totals(write_batches(
+        _customer_items(spark, sf_dir, 4), "customer", statement_frame(_CUSTOMER), Accepter,
+        DeliveryOptions(batch=100, rate_per_partition=20.0)))
+
+
+@query("SELECT count(*) FILTER (c_mktsegment <> 'HOUSEHOLD') AS delivered, "
+       "count(*) FILTER (c_mktsegment = 'HOUSEHOLD') AS refused FROM customer")
+def deliver_dropped(spark, sf_dir):
+    """An executor that raises loses the rows it raised at, not the load."""
+    return _totals(write_batches(_customer_items(spark, sf_dir), "customer",
+                                 statement_frame(_CUSTOMER), Dropper, DeliveryOptions(batch=200)))
+
+
+@query("SELECT 'INSERT VERTEX `customer`(`name`,`nation`,`segment`) VALUES ' || c_custkey || "
+       "': (\"' || c_name || '\", ' || c_nationkey || ', \"' || c_mktsegment || '\")' AS statement "
+       "FROM customer")
+def dead_letters(spark, sf_dir):
+    """A load that is called off at its first statement leaves every row as a dead letter."""
+    path = scratch_path(spark, "failures")
+    results = write_batches(_customer_items(spark, sf_dir, 3), "customer",
+                            statement_frame(_CUSTOMER), NoPermission, DeliveryOptions(batch=200))
+    save_failures(results, path, "first")
+    try:
+        check_fatal(results)
+    except FatalDeliveryError:
+        return read_statements(spark, path)
+    raise AssertionError("the load was not called off")
+
+
+@query("SELECT count(*) AS rows, count(*) AS refused, TRUE AS stopped FROM customer")
+def failure_budget(spark, sf_dir):
+    """Past the budget nothing more is sent, the rest is kept, and the load stops."""
+    results = write_batches(_customer_items(spark, sf_dir, 2), "customer",
+                            statement_frame(_CUSTOMER), NoPermission,
+                            DeliveryOptions(batch=50, fatal=(), max_failed_batches=2))
+    try:
+        check_budget(results, 2)
+        stopped = False
+    except TooManyFailures:
+        stopped = True
+    return results.agg(F.sum("records").alias("rows"), F.sum("failed").alias("refused"),
+                       F.lit(stopped).alias("stopped"))
+
+
+@query("SELECT count(*) AS kept FROM customer WHERE c_mktsegment = 'HOUSEHOLD'")
+def failures_cleared(spark, sf_dir):
+    """Clearing removes the failures of loads and keeps those of a replay."""
+    path = scratch_path(spark, "failures")
+    save_failures(_deliver(spark, sf_dir), path, "first")
+    reload(spark, path, SegmentRefuser, failures=path, run="again")
+    clear_failures(spark, path)
+    return read_statements(spark, path).agg(F.count(F.lit(1)).alias("kept"))
+
+
+@query("SELECT c_custkey || ': (\"' || c_name || '\", ' || c_nationkey || ', \"' || c_mktsegment || "
+       "'\")' AS statement FROM customer")
+def statement_files(spark, sf_dir):
+    """Statement texts written as lines and read back."""
+    path = scratch_path(spark, "statements")
+    write_statements(_customer_items(spark, sf_dir), path, "item")
+    return read_statements(spark, path)
+
+
+def _small_job(sf_dir: str, source: dict, **more) -> Job:
+    return Job.from_dict({
+        "graph": {"parts": INT_GRAPH.parts, "id_type": "INT", "id_len": 8, "labels": {
+            "customer": {"kind": "vertex", "number": 1,
+                         "properties": {"name": "STRING", "segment": "STRING"}}}},
+        "vertices": [{"label": "customer", "id": "c_custkey", "fields": ["c_name", "c_mktsegment"],
+                      "targets": ["name", "segment"], "batch": 200, "source": source}], **more})
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def plug_in_source(spark, sf_dir):
+    """A registered reader whose path comes from a run parameter; only needed columns are read."""
+    register_source("tables_of_a_folder",
+                    lambda session, spec, fields: table(session, spec["path"], spec["name"]))
+    job = _small_job(sf_dir, {"type": "tables_of_a_folder", "path": "where", "name": "customer"})
+    return prepared_rows(spark, job.entities[0], f"where={sf_dir}")
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def dry_run(spark, sf_dir):
+    """What a dry run of a sliced source shows (all of it here): nothing is indexed or sent."""
+    source = {"type": "sliced", "of": {"type": "parquet", "path": f"{sf_dir}/customer.parquet"},
+              "order_by": ["c_custkey"], "parallel": 3}
+    return prepare_input(spark, _small_job(sf_dir, source).entities[0], plain=True).rows
+
+
+@query("SELECT count(*) AS customers, 0::BIGINT AS twice FROM customer")
+def resumed_job(spark, sf_dir):
+    """A load that is called off in its first step and run again: every customer is accepted by
+    the second run or a dead letter of the first, none both."""
+    source = {"type": "sliced", "of": {"type": "parquet", "path": f"{sf_dir}/customer.parquet"},
+              "order_by": ["c_custkey"], "parallel": 2, "steps": 4, "name": "customers",
+              "checkpoint": scratch_path(spark, "progress")}
+    results, dead = scratch_path(spark, "results"), scratch_path(spark, "failures")
+    job = _small_job(sf_dir, source, results=results, failures=dead)
+    for factory in (NoPermission, Accepter):
+        try:
+            run_job(spark, job, factory)
+        except FatalDeliveryError:
+            pass
+    sent = spark.read.option("recursiveFileLookup", True).parquet(results)
+    refused = read_statements(spark, dead)
+    again = refused.groupBy("statement").count().filter("count > 1").count()
+    return sent.agg(F.sum("records").alias("customers"), F.lit(again).cast("bigint").alias("twice"))
+
+
+@query("SELECT c_mktsegment AS entity, count(*) AS delivered FROM customer GROUP BY 1")
+def concurrent_entities(spark, sf_dir):
+    """A job of one entity per market segment, several at a time, each with its own counters."""
+    segments = [r[0] for r in table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
+                .orderBy("c_mktsegment").collect()]
+    labels = {s: {"kind": "vertex", "number": n + 1, "properties": {"name": "STRING"}}
+              for n, s in enumerate(segments)}
+    job = Job.from_dict({
+        "graph": {"parts": 4, "id_type": "INT", "id_len": 8, "labels": labels},
+        "spark_conf": {"spark.sql.files.maxPartitionBytes": "64m"},
+        "vertices": [{"label": s, "id": "c_custkey", "fields": ["c_name"], "targets": ["name"],
+                      "filter": f"c_mktsegment = '{s}'", "batch": 100, "partition": 2,
+                      "source": {"type": "parquet", "path": f"{sf_dir}/customer.parquet"}}
+                     for s in segments]})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        report = run_job(spark, job, Accepter, concurrent=3)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return report.stats.filter("entity <> '(total)'").select(
+        "entity", F.col("record_success").alias("delivered"))
+
+
 _RESULTS = ("SELECT o_orderpriority AS entity, (o_custkey % 500 + 1)::INTEGER AS records, "
             "(CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END)::INTEGER AS failed FROM orders")
 
@@ -197,6 +378,58 @@ def stream_vertices(spark, sf_dir):
     return stats.select("entity", F.col("record_success").alias("delivered"))
 
 
+def _event_stream(spark, folder, results, failures, state, factory=Accepter):
+    """Load the files of a folder as a stream, one file a micro-batch, to its end."""
+    rows = read_stream(spark, {
+        "type": "file_stream", "path": folder, "max_files_per_trigger": 1,
+        "schema": "event_id bigint, event_type string, ts timestamp_ntz"})
+    spec = VertexSpec("event", "event_id", ("event_type", "ts"), ("kind", "at"))
+    stream_load(rows, spec, INT_GRAPH, factory, results, failures, DeliveryOptions(batch=1000),
+                checkpoint=state, available_now=True).awaitTermination()
+
+
+class ClickRefuser:
+    def execute(self, statement: str) -> str | None:
+        return "refused" if '"click"' in statement else None
+
+
+def _event_files(spark, sf_dir, folder, half):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    events.filter(F.col("event_id") % 2 == half).repartition(2, "event_id").write.mode(
+        "append").parquet(folder)
+
+
+@query("SELECT count(*) AS records, 2::BIGINT AS runs, 4::BIGINT AS batches FROM events")
+def stream_restart(spark, sf_dir):
+    """A stream that stops and starts again from its checkpoint sends every event once.
+
+    Each micro-batch takes one of the four files.
+    """
+    folder, state = scratch_path(spark, "in"), scratch_path(spark, "state")
+    results, failures = scratch_path(spark, "results"), scratch_path(spark, "failures")
+    for half in (0, 1):
+        _event_files(spark, sf_dir, folder, half)
+        _event_stream(spark, folder, results, failures, state)
+    sent = spark.read.parquet(results)
+    return sent.agg(F.sum("records").alias("records"), F.lit(2).cast("bigint").alias("runs"),
+                    F.count_distinct("query", "epoch").alias("batches"))
+
+
+@query("SELECT 'INSERT VERTEX `event`(`kind`,`at`) VALUES ' || event_id || ': (\"click\", "
+       "datetime(\"' || ts::VARCHAR || '\"))' AS statement, "
+       "2::BIGINT AS copies FROM events WHERE event_type = 'click'", name="stream_dead_letters")
+def dead_letters_of_streams(spark, sf_dir):
+    """Dead letters of a stream, and of another that starts anew on the same paths."""
+    folder, failures = scratch_path(spark, "in"), scratch_path(spark, "failures")
+    for half in (0, 1):
+        _event_files(spark, sf_dir, folder, half)
+    results = scratch_path(spark, "results")
+    for state in ("one", "two"):
+        _event_stream(spark, folder, results, failures, scratch_path(spark, state), ClickRefuser)
+    return read_statements(spark, failures).groupBy("statement").agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
 _VOTES = """
 WITH e AS (SELECT l_partkey * 2 AS a, l_suppkey * 2 + 1 AS b FROM lineitem),
 edges AS (SELECT a AS src, b AS dst FROM e UNION ALL SELECT b, a FROM e),
@@ -224,12 +457,23 @@ def _part_supplier(spark, sf_dir):
 @query(_VOTES + _vote(1) + " SELECT id, label FROM l1")
 def label_round1(spark, sf_dir):
     """One vote among parts and suppliers; every line is a vote in both directions."""
-    return peer_pressure(*_part_supplier(spark, sf_dir), max_iter=1)
+    return peer_pressure(*_part_supplier(spark, sf_dir), max_iter=1, partial=True)
 
 
 @query(_VOTES + _vote(1) + _vote(2) + _vote(3)
        + " SELECT count(DISTINCT label) AS clusters FROM l3")
 def label_clusters(spark, sf_dir):
     """Clusters after three votes."""
-    labels = peer_pressure(*_part_supplier(spark, sf_dir), max_iter=3, stop_when_stable=False)
-    return cluster_count(labels)
+    return cluster_count(peer_pressure(*_part_supplier(spark, sf_dir), max_iter=3, partial=True))
+
+
+@query("SELECT c_custkey AS id, c_custkey AS label FROM customer UNION ALL "
+       "SELECT 1000000000 + o_orderkey, o_custkey FROM orders")
+def label_converged(spark, sf_dir):
+    """Customers and their orders, voted on until no label changes: a cluster per customer."""
+    orders = table(spark, sf_dir, "orders")
+    a, b = F.col("o_custkey"), F.col("o_orderkey") + 1000000000
+    edges = orders.select(F.inline(F.array(F.struct(a.alias("src"), b.alias("dst")),
+                                           F.struct(b.alias("src"), a.alias("dst")))))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return peer_pressure(customers.unionByName(orders.select(b.alias("id"))), edges)

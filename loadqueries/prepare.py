@@ -11,8 +11,9 @@ from graphload.operators.prepare import (
 )
 from graphload.operators.rows import (
     assign_batches, both_directions, by_graph_part, dedup_edges, dedup_vertices,
-    with_existence_rows,
+    repartition_to, with_existence_rows,
 )
+from graphload.sources import sql_source
 from graphload.spec import EdgeSpec
 
 from .base import PARTS, query, sql_part_int, sql_part_string, table
@@ -159,15 +160,15 @@ def existence_rows(spark, sf_dir):
 
 
 @query(f"WITH p AS (SELECT o_orderkey, {sql_part_int('o_custkey')} AS part, "
-       "(o_orderkey % 4)::INTEGER AS bucket FROM orders), "
+       "(o_orderkey // 5000)::INTEGER AS bucket FROM orders), "
        "r AS (SELECT *, row_number() OVER (PARTITION BY part, bucket ORDER BY o_orderkey) - 1 "
        "AS n FROM p) SELECT o_orderkey, part, bucket, n // 100 AS batch_id, "
        "(n % 100)::INTEGER AS batch_pos FROM r", name="assign_batches")
 def batch_numbers(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", graph_part("o_custkey", PARTS, "INT").alias("part"))
-    return assign_batches(rows, 100, ["o_orderkey"], ["part"], 4,
-                          F.pmod("o_orderkey", F.lit(4)).cast("int"))
+    return assign_batches(rows, 100, ["o_orderkey"], ["part"],
+                          bucket=F.call_function("div", "o_orderkey", F.lit(5000)).cast("int"))
 
 
 @query(f"SELECT l_orderkey - 20000 AS id, {sql_part_int('l_orderkey - 20000')} AS part "
@@ -209,3 +210,27 @@ def part_histogram(spark, sf_dir):
     routed = by_graph_part(rows, PARTS, splits=4, split=F.pmod("l_partkey", F.lit(4)))
     routed = routed.withColumn("task", F.spark_partition_id())
     return routed.groupBy("part", "task").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_custkey::VARCHAR AS id, c_name FROM customer JOIN nation "
+       "ON c_nationkey = n_nationkey WHERE c_custkey % 3 <> 0")
+def valid_sentence(spark, sf_dir):
+    """A sentence that leaves out bad ids by a join, a semi join and HAVING; none of them stops it."""
+    spoilt = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("bad"), F.col("c_custkey").cast("string")))
+    rows = table(spark, sf_dir, "customer").select(
+        F.coalesce(spoilt, F.col("c_custkey").cast("string")).alias("id"), "c_name", "c_nationkey")
+    good = rows.filter("NOT id LIKE 'bad%'").select("id")
+    found = sql_source(
+        spark, "SELECT c.id, first(c_name) AS c_name FROM v_rows c JOIN v_nation n "
+        "ON c_nationkey = n_nationkey WHERE c.id IN (SELECT id FROM v_good) GROUP BY c.id "
+        "HAVING count(*) = 1",
+        {"v_rows": rows, "v_good": good, "v_nation": table(spark, sf_dir, "nation")})
+    return enforce(found, id_problem("id", "INT"), "fail", "id")
+
+
+@query("SELECT count(*) AS n, 12::BIGINT AS tasks FROM lineitem")
+def repartitioned(spark, sf_dir):
+    """Rows dealt out to as many tasks as an entity asks for."""
+    rows = repartition_to(table(spark, sf_dir, "lineitem"), 12)
+    return rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks"))

@@ -140,24 +140,31 @@ def parse_epochs(spark, sf_dir):
         "event_id", parse_epoch(text, on_error="null").alias("epoch"))
 
 
-@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'POINT' WHEN 1 THEN 'LINESTRING' "
+@query("SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN 'POINT' WHEN 1 THEN 'LINESTRING' "
        "WHEN 2 THEN 'POLYGON' END AS kind, "
-       "CASE c_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 END::INTEGER AS rings, "
-       "CASE c_custkey % 4 WHEN 0 THEN c_custkey + 0.5 WHEN 1 THEN c_custkey * 3 + 4 "
-       "WHEN 2 THEN c_nationkey * 3.0 + c_custkey * 2.5 + 9 END::DOUBLE AS sum_x FROM customer", name="parse_wkt")
+       "CASE c_custkey % 8 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 END::INTEGER AS rings, "
+       "CASE c_custkey % 8 WHEN 0 THEN c_custkey + 0.5 WHEN 1 THEN c_custkey * 3 + 4 "
+       "WHEN 2 THEN c_nationkey * 4.0 + 3 + c_custkey * 3.5 + 9 END::DOUBLE AS sum_x "
+       "FROM customer", name="parse_wkt")
 def parse_shapes(spark, sf_dir):
-    """Points, lines, polygons with a hole, and texts that are none of these."""
+    """Points, lines, polygons with a hole, and texts that are none of these: another word, a
+    ring that is open, one that is too short, a line of one position, a point of two."""
     k, n = F.col("c_custkey"), F.col("c_nationkey")
-    text = (F.when(k % 4 == 0, F.format_string("POINT(%d.5 8)", k))
-            .when(k % 4 == 1, F.format_string("LINESTRING (%d 8, %d 73.23, %d 1)", k, k * 2,
-                                              F.lit(4)))
-            .when(k % 4 == 2, F.format_string(
-                "polygon((%d 1, %d 2, %d.0 3, %d 1), (%d 1,%d.5 2,9 1))", n, n, n, k, k,
-                F.lit(0)))
-            .otherwise(F.lit("CIRCLE(1 2)")))
-    text = F.when(k % 4 == 2, F.format_string(
-        "polygon((%d 1, %d 2, %d.0 3, %s 1), (%d 1,  %s 2,9 1))", n, n, n,
-        (k * 0.5).cast("string"), k, k.cast("string"))).otherwise(text)
+    half = (k * 0.5).cast("string")
+    kinds = [
+        F.format_string("POINT(%d.5 8)", k),
+        F.format_string("LINESTRING (%d 8, %d 73.23, %d 1)", k, k * 2, F.lit(4)),
+        F.format_string("polygon((%d 1, %d 2, %d.0 3, 3 4, %d 1), (%d 1,  %s 2,9 1, %d 3 , %d 1))",
+                        n, n, n, n, k, half, k, k),
+        F.lit("CIRCLE(1 2)"),
+        F.format_string("POLYGON((%d 0,1 1,2 2,%d 1))", k, k),
+        F.format_string("POLYGON((%d 0,1 1,%d 0))", k, k),
+        F.format_string("LINESTRING(%d 1)", k),
+        F.format_string("POINT(%d 2, 3 4)", k),
+    ]
+    text = kinds[-1]
+    for place, kind in enumerate(kinds[:-1]):
+        text = F.when(k % 8 == place, kind).otherwise(text)
     shape = parse_wkt(text, on_error="null")
     total = F.aggregate(F.flatten("g.rings"), F.lit(0.0), lambda acc, p: acc + p["x"])
     return table(spark, sf_dir, "customer").select("c_custkey", shape.alias("g")).select(
@@ -173,7 +180,8 @@ def render_policy(spark, sf_dir):
         wrap_policy("c_name", "uuid").alias("uuid"))
 
 
-# The published cell scheme as SQL: direction, cube face, quadratic projection, and a
+# The quadrant table, the turns and the projection of the published cell scheme.
+# The scheme as SQL: direction, cube face, quadratic projection, and a
 # fold over 30 Hilbert curve steps that carries (cell * 4 + orientation).
 _CELLS = """
 WITH c AS (SELECT radians((c_custkey * 37 % 1700) / 10.0 - 85) AS phi,

@@ -12,7 +12,7 @@ from graphload.functions import (
 
 MARKER = "_EMPTY"
 
-# (target type, source type, value, literal)
+# Fixed values, goldens that must match: (target type, source type, value, literal)
 FOURTEEN = [
     ("STRING", "string", MARKER, '""'),
     ("FIXED_STRING", "string", "fixedBob", '"fixedBob"'),
@@ -65,6 +65,9 @@ def test_typed_values(one, kind, source, value, typed):
     ("INT8", "300"), ("INT32", "x"), ("BOOL", "yes"), ("DATE", "2021-01"), ("TIME", "12:00"),
     ("DATETIME", "2021-01-01"), ("DATETIME", "2021-01-01T12"), ("TIMESTAMP", "2021-01-01T12:00:00"),
     ("TIMESTAMP", "-"), ("GEOGRAPHY", "CIRCLE(1 2)"), ("GEOGRAPHY", "POINT(a b)"),
+    ("GEOGRAPHY", "POLYGON((0 0,1 1,2 2))"), ("GEOGRAPHY", "LINESTRING(1 1)"),
+    ("GEOGRAPHY", "POINT(1 2, 3 4)"), ("GEOGRAPHY", "POLYGON((0 0,1 1,0 0))"),
+    ("GEOGRAPHY", "POLYGON((0 0,1 1,1 0,0 0),(5 5,6 6,7 7,5 6))"),
     ("DOUBLE", "1,5"), ("DATE", "2021-13-01"), ("DATE", "2021-xx-03"), ("DATE", "2021-02-29"),
     ("DATE", "2021-00-10"), ("TIME", "12:xx:00"), ("DATETIME", "2021-xx-01T1:2:3"),
     ("DATETIME", "2021-01-01 1:2:"), ("INT64", "1.0"), ("INT64", ""), ("BOOL", ""),
