@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
+from ..storage import write_once
 
 # Fixed value: a word is a run of bytes other than space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    It survives lost executors like a checkpoint. Its plan forgets the constraints of the
+    plan before it, which would double in every round of a loop, and Spark knows its
+    size, so it broadcasts it where it is small, and only there.
+    """
+    return write_once(df, name="step")
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -101,16 +111,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     it is aggregates with a map-side step and joins on single ids, which adaptive
     execution splits where an id is hot.
     """
-    edges = cut_lineage(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    edges = settled(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
                         .filter("a < b").distinct())
     steps = []
     while not edges.isEmpty():
         down = edges.select(F.col("b").alias("id"), F.col("a").alias("to"))
         ends = edges.select(F.col("a").alias("id"), F.col("a").alias("to"))
-        point = cut_lineage(down.unionByName(ends).groupBy("id").agg(F.min("to").alias("to")))
+        point = settled(down.unionByName(ends).groupBy("id").agg(F.min("to").alias("to")))
         while True:
             onward = point.select(F.col("id").alias("to"), F.col("to").alias("next"))
-            jumped = cut_lineage(point.join(onward, "to").select(
+            jumped = settled(point.join(onward, "to").select(
                 "id", F.col("next").alias("to"), (F.col("next") < F.col("to")).alias("moved")))
             point = jumped.select("id", "to")
             if jumped.filter("moved").isEmpty():
@@ -118,7 +128,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         steps.append(point)
         left = point.select(F.col("id").alias("a"), F.col("to").alias("to_a"))
         right = point.select(F.col("id").alias("b"), F.col("to").alias("to_b"))
-        edges = cut_lineage(edges.join(left, "a").join(right, "b").filter("to_a <> to_b").select(
+        edges = settled(edges.join(left, "a").join(right, "b").filter("to_a <> to_b").select(
             F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct())
     if not steps:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))

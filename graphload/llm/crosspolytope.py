@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
-from .common import block_pairs, components, grouped_batches, local_components, table
+from .common import block_pairs, components, grouped_batches, local_components, settled, table
 from .topk import usable
 
 COSINE = 0.9
@@ -210,7 +209,7 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, tables: int = TA
     marked = rows.select("vec_id", shape.alias("embedding"))
     classes = (marked.filter("embedding is not null").groupBy("embedding")
                .agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("copies")))
-    hashed = cut_lineage(classes.select("rep", "copies", "embedding").mapInArrow(
+    hashed = settled(classes.select("rep", "copies", "embedding").mapInArrow(
         _hash_rows(tables, axes, probes),
         "rep long, copies long, unit array<double>, codes array<long>"))
     visit = F.posexplode("codes").alias("place", "code")
@@ -218,13 +217,13 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, tables: int = TA
     visits = hashed.select("rep", visit).select(
         "rep", "code", F.floor(F.col("place") / (1 + probes)).cast("int").alias("table"),
         (F.col("place") % (1 + probes) == 0).alias("own"))
-    sizes = cut_lineage(visits.groupBy("table", "code").agg(
+    sizes = settled(visits.groupBy("table", "code").agg(
         F.count(F.lit(1)).alias("n"), F.max("own").alias("home")).filter("n > 1 and home")
         .select("table", "code", "n"))
     dealt = block_pairs(visits.select("rep", "table", "code").join(sizes, ["table", "code"]),
                         ["table", "code"], "rep", "n", bucket)
     keys = ["table", "code", "left", "right"]
-    found = cut_lineage(
+    found = settled(
         dealt.join(hashed, "rep").repartition(*keys).sortWithinPartitions(*keys)
         .mapInArrow(_links(threshold, tables), "rep long, links long, root long"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))

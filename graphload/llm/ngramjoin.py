@@ -23,9 +23,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
+from ..storage import keep_layout, remove, scratch_path, write_once
 from .common import (
-    binary_matrix, block_pairs, components, grouped_chunks, small_slices, table, text_buffer,
+    binary_matrix, block_pairs, components, grouped_chunks, settled, small_slices, table, text_buffer,
 )
 
 WORDS = 4
@@ -155,11 +155,22 @@ def _sets(words: int):
                 sets = shingle_sets(part.column("text"), words)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([_class_of(s) for s in sets], pa.int64()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())],
+                     pa.array([_packed(s) for s in sets], pa.binary())],
                     names=["doc_id", "class", "shingles"])
     return run
 
 
+def _packed(found: np.ndarray) -> bytes:
+    """The upper 48 bits of every hash, in order: enough to tell the shingles of two documents apart."""
+    return (found >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(raw) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def frequent_shingles(docs: DataFrame, words: int, sample: int = SAMPLE
                       ) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, place by rising frequency) of shingles in several sampled documents.
@@ -318,14 +329,29 @@ def _near_points(percent: int, across: bool):
     return run
 
 
+def _within_bound(percent: int):
+    """Those of some pairs, with both points, whose bound reaches the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.num_rows
+            if not size:
+                continue
+            points = np.concatenate([binary_matrix(batch.column(c), np.uint16, GROUPS)
+                                     for c in ("point_a", "point_b")])
+            n = np.concatenate([batch.column(c).to_numpy() for c in ("n_a", "n_b")])
+            i, _ = _bounded(points, n, np.arange(size), np.arange(size, 2 * size), percent)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(pa.array(i)) for c in ("a", "b")], names=["a", "b"])
+    return run
+
+
 def _overlaps(percent: int):
     """Links among pairs of whole sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             links = np.zeros(batch.num_rows, bool)
             for i, (a, b) in enumerate(zip(batch.column("shingles_a"), batch.column("shingles_b"))):
-                x = np.frombuffer(a.as_buffer(), np.uint64)
-                y = np.frombuffer(b.as_buffer(), np.uint64)
+                x, y = _unpacked(a.as_buffer()), _unpacked(b.as_buffer())
                 x, y = (x, y) if len(x) < len(y) else (y, x)
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 common = int((y[at] == x).sum())
@@ -343,7 +369,7 @@ def _distinct_buckets(visits: DataFrame) -> DataFrame:
     members (by count and 128 bits of their hashes) show the same pairs.
     """
     shared = visits.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    met = cut_lineage(visits.join(shared.select("key"), "key"))
+    met = settled(visits.join(shared.select("key"), "key"))
     marks = [F.expr(f"bit_xor(xxhash64(rep, {seed}))").alias(f"mark{seed}") for seed in (1, 2)]
     members = met.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *marks)
     kept = members.groupBy("m", "mark1", "mark2").agg(F.min("key").alias("key")).select("key")
@@ -368,32 +394,39 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     document with several texts. A null doc_id takes no part and has a null
     component. An empty table gives no rows.
     """
+    spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
     named = rows.filter("doc_id is not null")
     frequent, place = frequent_shingles(named, words, sample)
-    everyone = cut_lineage(rows.mapInArrow(_points(words, percent, frequent, place), _POINTS))
-    reps = cut_lineage(everyone.filter("class is not null and doc_id is not null")
-                       .groupBy("class").agg(F.min("doc_id").alias("rep")))
-    classes = (everyone.join(reps, "class").filter("doc_id = rep")
-               .dropDuplicates(["class"]).select("class", "rep", "n", "keys", "point"))
-    classes = cut_lineage(classes)
+    wide = scratch_path(spark, "points")
+    everyone = write_once(rows.mapInArrow(_points(words, percent, frequent, place), _POINTS), wide)
+    first = F.min(F.struct("doc_id", "n", "keys", "point")).alias("first")
+    classes = settled(everyone.filter("class is not null and doc_id is not null")
+                          .groupBy("class").agg(first)
+                          .select("class", F.col("first.doc_id").alias("rep"), "first.n",
+                                  "first.keys", "first.point"))
+    members = settled(everyone.select("doc_id", "n", "class"))
+    remove(spark, wide)
     points = classes.select("rep", "n", "point")
-    met = cut_lineage(_distinct_buckets(classes.select("rep", F.explode("keys").alias("key"))))
-    buckets = cut_lineage(_dealt(cut_lineage(met.join(points, "rep"))).mapInArrow(
+    met = settled(_distinct_buckets(classes.select("rep", F.explode("keys").alias("key"))))
+    buckets = settled(_dealt(settled(met.join(points, "rep"))).mapInArrow(
         _near_points(percent, False), "key long, rep long").distinct())
-    named_classes = classes.select("rep", "class")
-    needed = buckets.select("rep").distinct().join(named_classes, "rep")
-    texts = named.join(needed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = cut_lineage(
-        texts.mapInArrow(_sets(words), "doc_id long, class long, shingles binary")
-        .join(needed.select(F.col("rep").alias("doc_id"), "class"), ["doc_id", "class"], "left_semi")
-        .dropDuplicates(["class"]).select(F.col("doc_id").alias("rep"), "shingles"))
+    # small where few documents have near copies: then no text is shuffled
+    needed = settled(buckets.select("rep").distinct().join(classes.select("rep", "class"), "rep")
+                     .select(F.col("rep").alias("doc_id"), "class"))
+    sets = (named.join(needed.select("doc_id"), "doc_id", "left_semi")
+            .mapInArrow(_sets(words), "doc_id long, class long, shingles binary")
+            .join(needed, ["doc_id", "class"], "left_semi")
+            .select(F.col("doc_id").alias("rep"), "class", "shingles"))
+    sets = keep_layout(sets, "rep").dropDuplicates(["rep", "class"]).select("rep", "shingles")
+
+    def with_side(pairs: DataFrame, side: str, table_: DataFrame) -> DataFrame:
+        return pairs.join(table_.select(*[F.col(c).alias(side if c == "rep" else f"{c}_{side}")
+                                          for c in table_.columns]), side)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("shingles_a"))
-        right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("shingles_b"))
-        return pairs.distinct().join(left, "a").join(right, "b").mapInArrow(
-            _overlaps(percent), "a long, b long")
+        both = with_side(with_side(pairs, "a", sets), "b", sets)
+        return settled(both.mapInArrow(_overlaps(percent), "a long, b long"))
 
     def labelled(found: DataFrame | None) -> DataFrame:
         if found is None:
@@ -401,26 +434,32 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         return buckets.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
             "component", F.coalesce("component", "rep"))
 
-    links, found = None, None
+    links, tested, found = None, None, None
     # one pivot for all buckets first, then another in each bucket
     for order in (F.col("rep"), F.xxhash64("rep", "key")):
-        members = labelled(found)
-        pivots = members.groupBy("key").agg(
+        placed = labelled(found)
+        pivots = placed.groupBy("key").agg(
             F.min(F.struct(order.alias("o"), "rep", "component")).alias("p"))
-        pairs = members.join(pivots, "key").filter("component <> p.component").select(
-            F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
-        new = cut_lineage(verified(pairs))
+        pairs = placed.join(pivots, "key").filter("component <> p.component").select(
+            F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        near = settled(with_side(with_side(pairs, "a", points), "b", points).mapInArrow(
+            _within_bound(percent), "a long, b long"))
+        tested = near if tested is None else tested.unionByName(near)
+        new = verified(near)
         links = new if links is None else links.unionByName(new)
-        found = cut_lineage(components(links))
-    members = labelled(found)
-    mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    rest = members.join(mixed.filter("x <> y").select("key"), "key").join(points, "rep")
-    pairs = _dealt(cut_lineage(rest)).mapInArrow(_near_points(percent, True), "a long, b long")
-    links = links.unionByName(cut_lineage(verified(pairs)))
+        found = settled(components(links))
+    placed = labelled(found)
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    rest = placed.join(mixed.filter("x <> y").select("key"), "key").join(points, "rep")
+    pairs = _dealt(settled(rest)).mapInArrow(_near_points(percent, True), "a long, b long")
+    near = settled(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
+    links = links.unionByName(verified(near))
     found = components(links).withColumnRenamed("id", "rep")
-    labels = reps.join(found, "rep", "left").select(
+    labels = classes.select("class", "rep").join(found, "rep", "left").select(
         "class", F.coalesce("component", "rep").alias("component"))
-    return everyone.select("doc_id", F.col("n").alias("n_shingles"), "class").join(
+    return members.select("doc_id", F.col("n").alias("n_shingles"), "class").join(
         labels, "class", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from ..storage import cut_lineage
-from .common import table
+from .common import settled, table
 
 UNIT_WORDS = 4
 MIN_WORDS = 12
@@ -150,7 +149,7 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
     places = narrow.mapInArrow(_emit(unit_words), _UNITS)
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "unit")
     # rows that repeat a document repeat its places, so a count says nothing: compare ends
-    firsts = cut_lineage(
+    firsts = settled(
         places.groupBy("high", "low").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
         .filter("first <> last").select("high", "low", "first"))
     again = (places.join(firsts, ["high", "low"])

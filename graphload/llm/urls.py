@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
-from .common import table
+from .common import settled, table
 
 # The rules of the contract, (rule, verdict).
 RULES = (
@@ -71,9 +70,9 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     have back to the seeds of their kind. Stops when no score moved more than
     ``close``, or raises after ``rounds`` times more than it can need.
     """
-    scores = cut_lineage(seeds.select("kind", "host", F.col("start").alias("score")))
-    has_out = cut_lineage(edges.groupBy("kind", "src").agg(F.lit(True).alias("out")))
-    edges = cut_lineage(edges)
+    scores = settled(seeds.select("kind", "host", F.col("start").alias("score")))
+    has_out = settled(edges.groupBy("kind", "src").agg(F.lit(True).alias("out")))
+    edges = settled(edges)
     if edges.isEmpty():
         return scores
     moved, done = float("inf"), 0
@@ -91,7 +90,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
             "kind", "host", (F.col("start") * (
                 1 - damping + damping * F.coalesce("lost", F.lit(0.0)))).alias("part"))
         fresh = flow.unionByName(home).groupBy("kind", "host").agg(F.sum("part").alias("score"))
-        step = cut_lineage(fresh.join(
+        step = settled(fresh.join(
             scores.withColumnRenamed("score", "old"), ["kind", "host"], "left"))
         moved = step.agg(F.max(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))))).first()[0]
         scores = step.select("kind", "host", "score")
@@ -116,13 +115,13 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     given = F.coalesce(*[F.when(F.col("rule") == r, F.lit(v)) for r, v in verdicts.items()],
                        F.lit(None).cast("string"))
     ruled = ruled.withColumn("given", given)
-    counts = cut_lineage(ruled.filter("given is not null and host <> ''").groupBy("given", "host")
+    counts = settled(ruled.filter("given is not null and host <> ''").groupBy("given", "host")
                          .agg(F.count(F.lit(1)).alias("n")))
     totals = counts.groupBy("given").agg(F.sum("n").alias("total"))
     kind = F.when(F.col("given") == "allow", F.lit("trust")).otherwise(F.lit("distrust"))
-    seeds = cut_lineage(counts.join(F.broadcast(totals), "given").select(
+    seeds = settled(counts.join(F.broadcast(totals), "given").select(
         kind.alias("kind"), "host", (F.col("n") / F.col("total")).alias("start")))
-    links = cut_lineage(link_edges(pages))
+    links = settled(link_edges(pages))
     forward = links.select(F.lit("trust").alias("kind"), "src", "dst", "links")
     backward = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"),
                             F.col("src").alias("dst"), "links")
@@ -134,7 +133,7 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     hosts = scores.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"))
-    hosts = cut_lineage(hosts)
+    hosts = settled(hosts)
     bad = F.col("distrust") > threshold * (F.col("trust") + F.col("distrust"))
     verdict = F.coalesce("given", F.when(bad, F.lit("block")).otherwise(F.lit("allow")))
     return ruled.join(hosts, "host", "left").select(

@@ -35,6 +35,8 @@ def plain(rows, k, percent):
 def edited(rng, text, edits):
     w = text.split(" ")
     for _ in range(edits):
+        if not w:
+            break
         at = rng.randrange(len(w))
         w[at:at + 1] = rng.choice([[], ["new" + str(rng.randrange(99))], [w[at], "more"]])
     return " ".join(w)
