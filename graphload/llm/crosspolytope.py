@@ -155,7 +155,7 @@ def _links(threshold: float, tables: int):
         m = _Members(batch, tables)
         left, right = np.flatnonzero(m.left), np.flatnonzero(m.right)
         own = m.codes[:, table_, 0] == code
-        pairs_a, pairs_b = [], []
+        pairs_a, pairs_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for start in range(0, len(left), 512):
             part = left[start:start + 512]
             close = m.unit[part] @ m.unit[right].T >= threshold
