@@ -138,9 +138,9 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
     """The rows of ``docs`` with their text cleaned, and n_units, removed_words, removed.
 
     ``removed`` lists (start, size, units) of what went, in characters of the original
-    text. A null text stays null and an empty one empty. A null doc_id ranks last, then
-    the text decides. Rows that repeat doc_id and text have one rank and lose the
-    same, so the earliest keeps its units in each of them. An empty table gives
+    text. A null text stays null and an empty one empty. A null doc_id ranks last; among
+    texts of one doc_id a hash of the text decides. Rows that repeat doc_id and text have
+    one rank and lose the same, so the earliest keeps its units in each of them. An empty table gives
     no rows; other columns stay as they are (those with the names above are replaced).
     """
     keyed = docs.withColumn("__key", F.xxhash64("text"))
