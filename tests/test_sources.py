@@ -228,3 +228,20 @@ def test_streaming_connectors(spark):
     rows = read_source(spark, {"type": "stream", "format": "rate",
                                "options": {"rowsPerSecond": "5"}})
     assert rows.isStreaming and rows.columns == ["timestamp", "value"]
+
+
+def test_the_newest_of_several_cells_counts(spark):
+    cells = spark.createDataFrame(
+        [("1", "f", "a", "old", 1), ("1", "f", "a", "new", 2), ("1", "f", "b", "x", 1),
+         ("2", "f", "a", "y", 5), ("2", "f", "a", "z", 5), ("2", "g", "b", "no", 9)],
+        "rowkey string, family string, qualifier string, value string, at int")
+    got = cells_to_rows(cells, "f", ["rowkey", "a", "b"], version="at")
+    assert sorted(map(tuple, got.collect())) == [("1", "new", "x"), ("2", "z", None)]
+    assert sorted(r.a for r in cells_to_rows(cells, "f", ["rowkey", "a"]).collect()) == ["old", "z"]
+
+
+def test_json_as_text_keeps_keys_that_occur_nowhere(spark, tmp_path):
+    path = str(tmp_path / "j")
+    spark.createDataFrame([(1, "x")], "id int, name string").write.json(path)
+    got = read_source(spark, {"type": "json", "path": path, "schema": "text"}, ["id", "gone"])
+    assert got.columns == ["id", "gone"] and got.collect() == [("1", None)]
