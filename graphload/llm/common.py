@@ -205,8 +205,3 @@ def _group_starts(rows: pa.RecordBatch, names: tuple[str, ...]) -> np.ndarray:
     changed[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
     return np.flatnonzero(changed)
 
-
-def binary_matrix(column: pa.Array, kind, width: int) -> np.ndarray:
-    """Binary values that hold ``width`` numbers each, as the rows of an array."""
-    raw = np.frombuffer(b"".join(column.to_pylist()), kind)
-    return raw.reshape(len(column), width)

@@ -4,13 +4,15 @@ Equal shingle sets are one class. Sets that overlap enough must share a shingle
 among the first few of each in any one order of all shingles, so classes meet in
 buckets of such shingles (frequent ones come last in the order; which ones they are
 is fitted on a bounded sample of ``SAMPLE`` documents, and any order finds all links). In a bucket every
-class is a point: its shingles hashed into ``GROUPS`` groups, counted. The points
+class is a point: its shingles hashed into ``GROUPS`` groups (more for large sets), counted. The points
 are packed into an R-tree, and the sum of the smaller coordinates of two boxes
 bounds the overlap of all pairs inside; what survives is verified on whole sets.
 
 Only links between classes not yet connected matter, so buckets link their members
-to one pivot first, then to another, and compare all pairs only across the components
-that are left. Buckets above ``BUCKET`` classes are cut into blocks, one task a pair of blocks.
+to one pivot first, then to another. Buckets that still hold several components form
+neighbourhoods, and those are searched whole, with their sets, for links across
+components. Buckets above ``BUCKET`` classes (neighbourhoods above ``HOOD``) are cut into
+blocks, one task a pair of blocks; no pairs are written but those of the pivots.
 """
 
 from __future__ import annotations
@@ -25,16 +27,21 @@ from pyspark.sql import functions as F
 
 from ..storage import keep_layout, remove, scratch_path, write_once
 from .common import (
-    binary_matrix, block_pairs, components, grouped_chunks, settled, small_slices, table, text_buffer,
+    block_pairs, components, grouped_batches, grouped_chunks, local_components, settled,
+    small_slices, table, text_buffer,
 )
 
 WORDS = 4
 PERCENT = 85
 GROUPS = 64
+FILL = 12
+LEVELS = 6
 SAMPLE = 8192
 FREQUENT = 4
 MOST_FREQUENT = 1 << 17
 BUCKET = 1024
+# classes of a block when whole sets are compared
+HOOD = 512
 FAN = 16
 SLICE = 1 << 20
 
@@ -115,11 +122,75 @@ def first_shingles(found: np.ndarray, percent: int, frequent: np.ndarray, place:
 
 
 def count_vector(found: np.ndarray) -> np.ndarray:
-    """Shingles in each group; 65535 stands for any number above."""
-    counts = np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    """Shingles in each group; 65535 stands for any number above.
+
+    There are GROUPS groups for sets of up to GROUPS * FILL shingles and twice as many for
+    each doubling (GROUPS << LEVELS at most), so that the counts of unlike sets differ
+    enough at every size. The groups of one level fold into those of the level below.
+    """
+    level = 0
+    while level < LEVELS and len(found) > (GROUPS * FILL) << level:
+        level += 1
+    groups = GROUPS << level
+    counts = np.bincount((found & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     return np.minimum(counts, 65535).astype(np.uint16)
 
 
+class Points:
+    """Count vectors of several levels."""
+
+    def __init__(self, column: pa.Array, n: np.ndarray):
+        raw = column.to_pylist()
+        self.n = n
+        self.level = np.array([(len(r) // 2 // GROUPS).bit_length() - 1 for r in raw], np.int64)
+        self.place, self.whole = np.zeros(len(raw), np.int64), {}
+        for level in np.unique(self.level):
+            rows = np.flatnonzero(self.level == level)
+            self.place[rows] = np.arange(len(rows))
+            whole = np.frombuffer(b"".join(raw[r] for r in rows), np.uint16).reshape(len(rows), -1)
+            self.whole[level] = np.where(whole == 65535, 1 << 40, whole.astype(np.int64))
+
+    def at(self, rows: np.ndarray, level: int) -> np.ndarray:
+        """Vectors of rows of that level or higher, folded down to it."""
+        out = np.zeros((len(rows), GROUPS << level), np.int64)
+        for own, whole in self.whole.items():
+            here = np.flatnonzero(self.level[rows] == own)
+            if own >= level and len(here):
+                part = whole[self.place[rows[here]]]
+                out[here] = part.reshape(len(here), -1, GROUPS << level).sum(axis=1)
+        return out
+
+    def bounded(self, i: np.ndarray, j: np.ndarray, percent: int, cells: int = 1 << 20
+                ) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs of rows whose bound on the overlap reaches the threshold."""
+        low, high = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        fits = 100 * low >= percent * high
+        i, j = i[fits], j[fits]
+        level, kept = np.minimum(self.level[i], self.level[j]), np.zeros(len(i), bool)
+        for each in np.unique(level):
+            here = np.flatnonzero(level == each)
+            step = max(1, cells // (GROUPS << each))
+            for start in range(0, len(here), step):
+                part = here[start:start + step]
+                x, y = i[part], j[part]
+                most = np.minimum(self.at(x, each), self.at(y, each)).sum(axis=1)
+                kept[part] = (100 + percent) * most >= percent * (self.n[x] + self.n[y])
+        return i[kept], j[kept]
+
+    def pairs(self, one: np.ndarray, two: np.ndarray, percent: int
+              ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows ``one`` x ``two`` within the bound, through a tree over each level."""
+        for each in sorted(self.whole):
+            a, b = one[self.level[one] == each], two[self.level[two] == each]
+            over = two[self.level[two] > each], one[self.level[one] > each]
+            for x, y in ((a, b), (a, over[0]), (over[1], b)):
+                if len(x) and len(y):
+                    left = CountTree(self.at(x, each), self.n[x])
+                    right = CountTree(self.at(y, each), self.n[y])
+                    for p, q in left.pairs(right, percent):
+                        yield x[p], y[q]
+
+
 def _class_of(found: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).view(np.int64)) if len(
         found) else None
@@ -210,7 +281,7 @@ class CountTree:
     """R-tree over count vectors: sizes and points packed bottom up, FAN to a node."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        points = np.where(points == 65535, 1 << 40, points.astype(np.int64))
+        points = points.astype(np.int64)
         self.order = np.lexsort((points[:, 0], sizes)) if len(sizes) else np.zeros(0, np.int64)
         top, low, high = points[self.order], sizes[self.order], sizes[self.order]
         # levels from the points up: (largest coordinates, smallest and largest set size)
@@ -275,57 +346,71 @@ def _pairs_inside(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(left), np.concatenate(right)
 
 
-def _bounded(points, n, i, j, percent, chunk: int = 1 << 14):
-    """Those of the pairs whose bound on the overlap reaches the threshold."""
-    points = np.where(points == 65535, 1 << 40, points.astype(np.int64))
-    kept = [np.zeros(0, bool)]
-    for start in range(0, len(i), chunk):
-        x, y = i[start:start + chunk], j[start:start + chunk]
-        most = np.minimum(points[x], points[y]).sum(axis=1)
-        kept.append((100 + percent) * most >= percent * (n[x] + n[y]))
-    fits = np.concatenate(kept)
-    return i[fits], j[fits]
-
-
-def _near_points(percent: int, across: bool):
-    """In each bucket: the members with a partner (a row each), or the pairs across components.
+def _near_points(percent: int):
+    """In each bucket: the members with a partner within the bound, a row each.
 
     Buckets that fit into one node of the tree are compared many at a time.
     """
-    names = ["a", "b"] if across else ["key", "rep"]
-
     def found(rows, starts):
-        rep, n = rows.column("rep").to_numpy(), rows.column("n").to_numpy()
-        key = rows.column("key").to_numpy()
-        group = rows.column("component").to_numpy() if across else rep
-        points = binary_matrix(rows.column("point"), np.uint16, GROUPS)
+        points = Points(rows.column("point"), rows.column("n").to_numpy())
         left = rows.column("in_left").to_numpy(zero_copy_only=False)
         right = rows.column("in_right").to_numpy(zero_copy_only=False)
         sizes = np.diff(starts)
         small = (sizes <= 2 * FAN) & (left & right)[starts[:-1]]
-        yield key, rep, group, *_bounded(
-            points, n, *_pairs_inside(starts[:-1][small], sizes[small]), percent)
+        yield points.bounded(*_pairs_inside(starts[:-1][small], sizes[small]), percent)
         for begin, size in zip(starts[:-1][~small], sizes[~small]):
-            one, two = (begin + np.flatnonzero(side[begin:begin + size]) for side in (left, right))
-            tree, other = CountTree(points[one], n[one]), CountTree(points[two], n[two])
-            for x, y in tree.pairs(other, percent):
-                yield key, rep, group, one[x], two[y]
+            sides = (begin + np.flatnonzero(side[begin:begin + size]) for side in (left, right))
+            yield from points.pairs(*sides, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, starts in grouped_chunks(batches, ("key", "left", "right")):
-            hit = np.zeros(rows.num_rows, bool)
-            for key, rep, group, i, j in found(rows, starts):
-                apart = group[i] != group[j]
-                i, j = i[apart], j[apart]
-                hit[i] = hit[j] = True
-                if across and len(i):
-                    low, high = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
-                    both = np.unique(np.stack([low, high]), axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(both[0]), pa.array(both[1])], names=names)
-            if not across and hit.any():
+            rep, ones, twos = rows.column("rep").to_numpy(), [], []
+            for i, j in found(rows, starts):
+                apart = rep[i] != rep[j]
+                ones.append(i[apart]), twos.append(j[apart])
+            i, j = np.concatenate(ones), np.concatenate(twos)
+            root = local_components(len(rep), i, j)
+            hit = np.zeros(len(rep), bool)
+            hit[i] = hit[j] = True
+            if hit.any():
+                # a part of a bucket that is connected within the bound is a bucket from here on
+                key = rows.column("key").to_numpy().view(np.uint64)
+                with np.errstate(over="ignore"):
+                    part = _mix(key + rep[root].view(np.uint64) * _BASE)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[hit]), pa.array(rep[hit])], names=names)
+                    [pa.array(part[hit].view(np.int64)), pa.array(rep[hit])], names=["key", "rep"])
+    return run
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    x, y = (x, y) if len(x) < len(y) else (y, x)
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def _hood_links(percent: int):
+    """In each neighbourhood: links between components, as few as connect what is linked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped_batches(batches, ("hood", "left", "right")):
+            rep, n = rows.column("rep").to_numpy(), rows.column("n").to_numpy()
+            points = Points(rows.column("point"), n)
+            sets = [_unpacked(s.as_buffer()) for s in rows.column("shingles")]
+            sides = [np.flatnonzero(rows.column(c).to_numpy(zero_copy_only=False))
+                     for c in ("in_left", "in_right")]
+            _, group = np.unique(rows.column("component").to_numpy(), return_inverse=True)
+            links = []
+            for i, j in points.pairs(*sides, percent):
+                once = (rep[i] < rep[j]) | ~np.isin(i, sides[1]) | ~np.isin(j, sides[0])
+                for x, y in zip(i[once].tolist(), j[once].tolist()):
+                    # looked up again: a link found here may have joined the two
+                    if group[x] != group[y] and (
+                            (100 + percent) * _common(sets[x], sets[y]) >= percent * (n[x] + n[y])):
+                        group[group == group[y]] = group[x]
+                        links.append((rep[x], rep[y]))
+            if links:
+                a, b = np.array(links).T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
     return run
 
 
@@ -336,10 +421,10 @@ def _within_bound(percent: int):
             size = batch.num_rows
             if not size:
                 continue
-            points = np.concatenate([binary_matrix(batch.column(c), np.uint16, GROUPS)
-                                     for c in ("point_a", "point_b")])
-            n = np.concatenate([batch.column(c).to_numpy() for c in ("n_a", "n_b")])
-            i, _ = _bounded(points, n, np.arange(size), np.arange(size, 2 * size), percent)
+            both = [pa.concat_arrays([batch.column(f"{c}_a"), batch.column(f"{c}_b")])
+                    for c in ("point", "n")]
+            points = Points(both[0], both[1].to_numpy())
+            i, _ = points.bounded(np.arange(size), np.arange(size, 2 * size), percent)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).take(pa.array(i)) for c in ("a", "b")], names=["a", "b"])
     return run
@@ -352,10 +437,7 @@ def _overlaps(percent: int):
             links = np.zeros(batch.num_rows, bool)
             for i, (a, b) in enumerate(zip(batch.column("shingles_a"), batch.column("shingles_b"))):
                 x, y = _unpacked(a.as_buffer()), _unpacked(b.as_buffer())
-                x, y = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                links[i] = (100 + percent) * common >= percent * (len(x) + len(y))
+                links[i] = (100 + percent) * _common(x, y) >= percent * (len(x) + len(y))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(pa.array(links)), batch.column("b").filter(pa.array(links))],
                 names=["a", "b"])
@@ -376,12 +458,15 @@ def _distinct_buckets(visits: DataFrame) -> DataFrame:
     return met.join(kept, "key")
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Bucket rows (key, rep, n, point, ...) sorted into tasks, large buckets as block pairs."""
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    keys = ["key", "left", "right"]
-    return (block_pairs(rows.join(sizes, "key"), ["key"], "rep", "__n", BUCKET)
-            .repartition(*keys).sortWithinPartitions(*keys))
+def _blocks(rows: DataFrame, group: str, size: int) -> DataFrame:
+    """Rows of groups of two or more, those with more than ``size`` as block pairs."""
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    return block_pairs(rows.join(sizes, group), [group], "rep", "__n", size)
+
+
+def _sorted(blocks: DataFrame, group: str) -> DataFrame:
+    keys = [group, "left", "right"]
+    return blocks.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
@@ -409,8 +494,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     remove(spark, wide)
     points = classes.select("rep", "n", "point")
     met = settled(_distinct_buckets(classes.select("rep", F.explode("keys").alias("key"))))
-    buckets = settled(_dealt(settled(met.join(points, "rep"))).mapInArrow(
-        _near_points(percent, False), "key long, rep long").distinct())
+    buckets = settled(_sorted(_blocks(settled(met.join(points, "rep")), "key", BUCKET), "key").mapInArrow(
+        _near_points(percent), "key long, rep long").distinct())
     # small where few documents have near copies: then no text is shuffled
     needed = settled(buckets.select("rep").distinct().join(classes.select("rep", "class"), "rep")
                      .select(F.col("rep").alias("doc_id"), "class"))
@@ -452,10 +537,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         found = settled(components(links))
     placed = labelled(found)
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    rest = placed.join(mixed.filter("x <> y").select("key"), "key").join(points, "rep")
-    pairs = _dealt(settled(rest)).mapInArrow(_near_points(percent, True), "a long, b long")
-    near = settled(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-    links = links.unionByName(verified(near))
+    rest = settled(placed.join(mixed.filter("x <> y").select("key"), "key"))
+    # classes that share such buckets, directly or through others, are one neighbourhood
+    pivots = rest.groupBy("key").agg(F.min("rep").alias("p"))
+    hoods = components(rest.join(pivots, "key").select(F.col("rep").alias("a"), F.col("p").alias("b")))
+    nodes = (rest.select("rep", "component").distinct()
+             .join(hoods.select(F.col("id").alias("rep"), F.col("component").alias("hood")), "rep")
+             .join(points, "rep"))
+    # the sets come last, to rows that are already counted
+    held = _sorted(_blocks(settled(nodes), "hood", HOOD).join(sets, "rep"), "hood")
+    links = links.unionByName(settled(held.mapInArrow(_hood_links(percent), "a long, b long")))
     found = components(links).withColumnRenamed("id", "rep")
     labels = classes.select("class", "rep").join(found, "rep", "left").select(
         "class", F.coalesce("component", "rep").alias("component"))

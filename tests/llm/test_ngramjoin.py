@@ -74,6 +74,7 @@ def test_components(spark, k, percent, seed):
 
 def test_large_buckets_are_cut(spark, monkeypatch):
     monkeypatch.setattr(nj, "BUCKET", 4)
+    monkeypatch.setattr(nj, "HOOD", 3)
     rows = corpus(5)
     found = nj.jaccard_components(documents(spark, rows), 4, 85, sample=8).collect()
     assert {r.doc_id: r.component_id for r in found} == plain(rows, 4, 85)
@@ -117,6 +118,30 @@ def test_tree_finds_all_pairs_within_the_bound():
             (100 + percent) * most >= percent * (na[:, None] + nb)))}
 
 
+def test_points_of_all_sizes_never_miss():
+    """The bound holds for every pair of sets, whatever the levels of their count vectors."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (
+        1, 5, 700, 760, 775, 790, 1500, 1560, 3000, 3100, 6200)]
+    sets += [np.unique(np.concatenate([s[len(s) // 20:], rng.integers(0, 1 << 63, len(s) // 20)
+                                       .astype(np.uint64)])) for s in sets]
+    vectors = pa.array([nj.count_vector(s).tobytes() for s in sets])
+    points = nj.Points(vectors, np.array([len(s) for s in sets]))
+    every = np.arange(len(sets))
+    near = set()
+    for i, j in points.pairs(every, every, 85):
+        near |= set(zip(i.tolist(), j.tolist()))
+    i, j = (x.ravel() for x in np.meshgrid(every, every))
+    assert near == set(zip(*(x.tolist() for x in points.bounded(i, j, 85))))
+    for a in every:
+        for b in every:
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 185 * common >= 85 * (len(sets[a]) + len(sets[b])):
+                assert (a, b) in near
+    # unlike sets of one size are told apart, however large they are
+    assert (8, 9) not in near and (10, 9) not in near and (6, 7) not in near
+
+
 def test_first_shingles_of_close_sets_meet():
     rng = random.Random(6)
     universe = np.array(sorted(rng.randrange(1 << 64) for _ in range(400)), np.uint64)
