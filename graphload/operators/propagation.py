@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage, keep_layout
+from ..storage import cut_lineage, keep_layout, write_once
 
 # A source with more than 1/HOT_SHARE of all edges is hot, so at most
 # HOT_SHARE sources are: the list of hot sources is always small.
@@ -64,7 +64,8 @@ def peer_pressure(vertices: DataFrame, edges: DataFrame, max_iter: int = 30, sal
     labels = cut_lineage(ids.withColumn("label", F.col("id")))
     edges, hot = _laid_out(edges.select("src", "dst"), salts)
     for _ in range(max_iter):
-        voted = cut_lineage(_round(labels, edges, hot, salts))
+        # a written table forgets the constraints of its plan, which would grow by round
+        voted = write_once(_round(labels, edges, hot, salts), name="round")
         labels = voted.select("id", "label")
         if voted.filter("label <> old").isEmpty():
             return labels

@@ -64,3 +64,11 @@ def test_rounds_do_not_move_the_edges(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the votes of (vertex, label), the vertices, and the labels: not the edges
     assert plan.count("Exchange hashpartitioning(src") == 1
+
+
+def test_many_rounds(spark):
+    """A label that travels along a path takes a round for each step."""
+    n = 14
+    edges = [(i, i + 1) for i in range(n) for _ in range(3)]
+    got = peer_pressure(*frames(spark, list(range(n + 1)), edges), max_iter=30)
+    assert {r.label for r in got.collect()} == {0}
