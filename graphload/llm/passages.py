@@ -3,9 +3,9 @@
 A unit is a line, or a sentence of a line that has several; its words, lower-cased
 and with single blanks, make its digest. Digests are grouped over all documents with
 a map-side step; the earliest occurrence (smallest doc_id, then place in the text)
-stays. A document loses the runs of units that occur earlier elsewhere, or earlier
-in itself, if the run has ``min_words`` words; where they lay in the original text
-is kept. Units below ``unit_words`` words say nothing on their own: they are not
+stays. A document loses every unit that occurs earlier elsewhere, or earlier in
+itself, however short the run it stands in (``min_words`` above 0 keeps runs of fewer
+words); where they lay in the original text is kept. Units below ``unit_words`` words say nothing on their own: they are not
 hashed and go only with the repeated units on both sides.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, StructType
 from .common import settled, table
 
 UNIT_WORDS = 4
-MIN_WORDS = 12
+MIN_WORDS = 0
 ROWS = 1 << 15
 
 _END = re.compile(r"[.!?][^\w\s]*(?=\s)|\n")

@@ -83,3 +83,13 @@ def test_awkward(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in rows) == sorted(
         (i or 0, t or "") for i, t in AWKWARD)
     assert passages.dedup_passages(documents(spark, [])).count() == 0
+
+
+def test_short_repeated_line_goes(spark):
+    rows = [(i, f"Own words of text {i} here.\nRead more about this.\nLast words of {i} there.")
+            for i in range(5)]
+    got = {r.doc_id: r for r in passages.dedup_passages(documents(spark, rows)).collect()}
+    assert got[0].text == rows[0][1]
+    for i in range(1, 5):
+        assert "Read more" not in got[i].text and got[i].removed_words == 4
+        assert got[i].text.split() == f"Own words of text {i} here. Last words of {i} there.".split()
