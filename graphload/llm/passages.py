@@ -5,8 +5,10 @@ and with single blanks, make its digest. Digests are grouped over all documents
 a map-side step; the earliest occurrence (smallest doc_id, then place in the text)
 stays. A document loses every unit that occurs earlier elsewhere, or earlier in
 itself, however short the run it stands in (``min_words`` above 0 keeps runs of fewer
-words); where they lay in the original text is kept. Units below ``unit_words`` words say nothing on their own: they are not
-hashed and go only with the repeated units on both sides.
+words); where they lay in the original text is kept. Units below ``unit_words`` words and UNIT_CHARS characters say nothing on
+their own: they are not hashed and go only with the repeated units on both sides.
+Characters count too because some scripts put no blanks between words; the full
+stops of such scripts end a sentence without a blank after them.
 """
 
 from __future__ import annotations
@@ -23,10 +25,15 @@ from pyspark.sql.types import ArrayType, StructType
 from .common import settled, table
 
 UNIT_WORDS = 4
+UNIT_CHARS = 24
 MIN_WORDS = 0
 ROWS = 1 << 15
 
-_END = re.compile(r"[.!?][^\w\s]*(?=\s)|\n")
+# ASCII marks need white space after them; ideographic, Devanagari, Arabic, Ethiopic,
+# Burmese and Khmer full stops do not, and take the closing quotes and brackets after them
+_END = re.compile(r"[.!?][^\w\s]*(?=\s)|[。｡！？।॥۔؟።။។]+[.!?”’»)\]）」』】〉》]*|\n")
+
+_HAN = re.compile("[\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
@@ -42,6 +49,15 @@ def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
         begin = end
 
 
+def long_enough(words: list[str], unit_words: int) -> bool:
+    """Whether a unit is hashed: by its words, or by its characters without the blanks.
+
+    A Han or kana character says about as much as three letters and counts as such.
+    """
+    return len(words) >= unit_words or sum(
+        len(w) + 2 * len(_HAN.findall(w)) for w in words) >= UNIT_CHARS
+
+
 def unit_digest(words: list[str]) -> tuple[int, int]:
     """128 bits of a unit as two signed longs."""
     raw = xxhash.xxh3_128_digest(" ".join(words).encode())
@@ -68,7 +84,7 @@ def _emit(unit_words: int):
             for doc_id, key, text in zip(*(batch.column(n).to_pylist()
                                            for n in ("doc_id", "text_key", "text"))):
                 for n, (_, _, words) in enumerate(units(text)):
-                    if len(words) >= unit_words:
+                    if long_enough(words, unit_words):
                         for column, value in zip(held, (*unit_digest(words), doc_id, key, n)):
                             column.append(value)
                 if len(held[0]) >= ROWS:
@@ -87,7 +103,7 @@ def repeated_runs(found: list[tuple[int, int, list[str]]], again: set[int], unit
         if n in again:
             first = n if first is None else first
             last, words = n, words + len(unit)
-        elif len(unit) >= unit_words:
+        elif long_enough(unit, unit_words):
             if first is not None and words >= min_words:
                 runs.append((first, last))
             first, words = None, 0

@@ -93,3 +93,20 @@ def test_short_repeated_line_goes(spark):
     for i in range(1, 5):
         assert "Read more" not in got[i].text and got[i].removed_words == 4
         assert got[i].text.split() == f"Own words of text {i} here. Last words of {i} there.".split()
+
+
+def test_scripts_without_blanks(spark):
+    chinese = "这一段文字在每一篇文章里都会出现而且足够长所以后面的应当去掉。"
+    line = "これはどの文書にもある長い一行であり句点がなくても二度目からは消える"
+    thai = "ข้อความนี้ปรากฏในทุกเอกสารและยาวพอที่จะถูกลบออก"
+    hindi = "यह वाक्य हर दस्तावेज़ में आता है।"
+    arabic = "هل تظهر هذه الجملة في كل وثيقة؟"
+    rows = [(i, f"第{i}篇自己的话不同。{chinese}{'甲乙丙丁'[i]}写了另外一句话。\n{line}\n{thai}\n{hindi}{arabic}本文{i}")
+            for i in range(4)]
+    assert [rows[0][1][a:b] for a, b, _ in passages.units(rows[0][1])] == [
+        "第0篇自己的话不同。", chinese, "甲写了另外一句话。", line, thai, hindi, arabic, "本文0"]
+    assert [w for _, _, w in passages.units("他说：「好。」走了。")] == [["他说：「好。」"], ["走了。"]]
+    got = {r.doc_id: r for r in passages.dedup_passages(documents(spark, rows)).collect()}
+    assert got[0].text == rows[0][1]
+    for i in range(1, 4):
+        assert "".join(got[i].text.split()) == f"第{i}篇自己的话不同。{'甲乙丙丁'[i]}写了另外一句话。本文{i}"
