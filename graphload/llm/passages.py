@@ -9,13 +9,22 @@ words); where they lay in the original text is kept. Units below ``unit_words``
 their own: they are not hashed and go only with the repeated units on both sides.
 Characters count too because some scripts put no blanks between words; the full
 stops of such scripts end a sentence without a blank after them.
+
+A passage may also begin and end inside sentences. So windows of WINDOW words are hashed
+too, the least of every GROUP neighbours (a run of WINDOW + GROUP - 1 words has one, the
+same in each of its occurrences). Units and windows that occur earlier make runs along the
+text of the first occurrence; their ends grow word by word against the CONTEXT words that
+stand there beside them. A grown run goes if it has WINDOW words, WINDOW_DISTINCT of them
+distinct; a piece of a sentence at its end that is too short for a unit stays.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +36,10 @@ from .common import settled, table
 UNIT_WORDS = 4
 UNIT_CHARS = 24
 MIN_WORDS = 0
+WINDOW = 16
+WINDOW_DISTINCT = 10
+GROUP = 32
+CONTEXT = WINDOW + GROUP
 ROWS = 1 << 15
 
 # ASCII marks need white space after them; ideographic, Devanagari, Arabic, Ethiopic,
@@ -35,6 +48,12 @@ _END = re.compile(r"[.!?][^\w\s]*(?=\s)|[。｡！？।॥۔؟።။។]+[.!?
 
 _HAN = re.compile("[\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
+# characters of scripts without blanks count as a word each where passages are compared
+_NO_BLANKS = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+              "\uf900-\ufaff\U00020000-\U0003ffff")
+_LONE = re.compile(f"[{_NO_BLANKS}]")
+_TOKEN = re.compile(rf"[{_NO_BLANKS}]|[^\s{_NO_BLANKS}]+")
+
 
 def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """(first character, end, lower-cased words) of every unit that has words."""
@@ -64,17 +83,63 @@ def unit_digest(words: list[str]) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "big", signed=True), int.from_bytes(raw[8:], "big", signed=True)
 
 
+def tokens(words: list[str]) -> list[str]:
+    """The words of a unit, those of scripts without blanks cut into characters."""
+    if not any(_LONE.search(w) for w in words if not w.isascii()):
+        return words
+    return [t for w in words for t in _TOKEN.findall(w)]
+
+
+def long_piece(piece: list[str], unit_words: int) -> bool:
+    """``long_enough`` for tokens: lone characters count as characters only."""
+    return long_enough(piece, unit_words + sum(1 for t in piece if _LONE.match(t)))
+
+
+def windows(text: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first token, two halves of the digest) of the windows that stand for a text."""
+    n = len(text) - WINDOW + 1
+    if n <= 0:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, text), np.uint64, len(text))
+    order = np.argsort(each, kind="stable")
+    same = each[order[1:]] == each[order[:-1]]
+    before = np.full(len(each), -1)
+    before[order[1:][same]] = order[:-1][same]
+    starts, distinct = np.arange(n), np.zeros(n, np.int8)
+    high, low = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    for k in range(WINDOW):
+        part = each[k:k + n]
+        high = high * np.uint64(0x9E3779B97F4A7C15) + part
+        low = low * np.uint64(0xC2B2AE3D27D4EB4F) + (part ^ (part >> np.uint64(29)))
+        distinct += before[k:k + n] < starts
+    high = (high ^ (high >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    high ^= high >> np.uint64(29)
+    most = np.uint64(0xFFFFFFFFFFFFFFFF)
+    value = np.where(distinct >= WINDOW_DISTINCT, high, most)
+    if n <= GROUP:
+        chosen = np.array([value.argmin()])
+    else:
+        groups = np.lib.stride_tricks.sliding_window_view(value, GROUP)
+        chosen = np.unique(groups.argmin(axis=1) + np.arange(len(groups)))
+    chosen = chosen[value[chosen] != most]
+    return chosen, high[chosen].view(np.int64), low[chosen].view(np.int64)
+
+
 _SPANS = ArrayType(StructType().add("start", "integer").add("size", "integer")
                    .add("units", "integer"))
-_UNITS = "high long, low long, doc_id long, text_key long, unit int"
+# at: first token; size: tokens of a unit, 0 for a window
+_PLACES = "high long, low long, doc_id long, text_key long, at int, size int"
+_ENDS = "doc_id long, text_key long, a_id long, a_key long, right boolean, a_at int, at int"
+_CONTEXTS = "a_id long, a_key long, right boolean, a_at int, context string"
 
 
 def _emit(unit_words: int):
     schema = pa.schema([("high", pa.int64()), ("low", pa.int64()), ("doc_id", pa.int64()),
-                        ("text_key", pa.int64()), ("unit", pa.int32())])
+                        ("text_key", pa.int64()), ("at", pa.int32()), ("size", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], [], []]
+        held: list[list] = [[] for _ in schema]
 
         def flush():
             return pa.RecordBatch.from_arrays(
@@ -83,13 +148,21 @@ def _emit(unit_words: int):
         for batch in batches:
             for doc_id, key, text in zip(*(batch.column(n).to_pylist()
                                            for n in ("doc_id", "text_key", "text"))):
-                for n, (_, _, words) in enumerate(units(text)):
+                whole: list[str] = []
+                for _, _, words in units(text):
+                    cut = tokens(words)
                     if long_enough(words, unit_words):
-                        for column, value in zip(held, (*unit_digest(words), doc_id, key, n)):
+                        for column, value in zip(held, (*unit_digest(words), doc_id, key,
+                                                        len(whole), len(cut))):
                             column.append(value)
+                    whole += cut
+                at, high, low = windows(whole)
+                for column, values in zip(held, (high.tolist(), low.tolist(), [doc_id] * len(at),
+                                                 [key] * len(at), at.tolist(), [0] * len(at))):
+                    column += values
                 if len(held[0]) >= ROWS:
                     yield flush()
-                    held = [[], [], [], [], []]
+                    held = [[] for _ in schema]
         if held[0]:
             yield flush()
     return run
@@ -112,34 +185,164 @@ def repeated_runs(found: list[tuple[int, int, list[str]]], again: set[int], unit
     return runs
 
 
-def cleaned(text: str, again: set[int], unit_words: int, min_words: int
-            ) -> tuple[str, int, int, list[dict]]:
-    """(text without its repeated runs, units, words removed, removed spans)."""
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of spans, those that touch as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
+def chains(again: list[dict]) -> dict[tuple, list[tuple[int, int]]]:
+    """Token spans that a text has in common with (a_id, a_key), so many tokens further there."""
+    found: dict[tuple, list] = {}
+    for m in again:
+        found.setdefault((m["a_id"], m["a_key"], m["a_at"] - m["at"]), []).append(
+            (m["at"], m["at"] + (m["size"] or WINDOW)))
+    return {k: joined(v) for k, v in found.items()}
+
+
+def open_ends(again: list[dict]) -> Iterator[tuple]:
+    """(a_id, a_key, right, a_at, at) of the ends beside which less than CONTEXT is known to go."""
+    found = chains(again)
+    cover = joined([span for spans in found.values() for span in spans])
+    begins = np.array([c[0] for c in cover])
+    for (a_id, a_key, off), spans in found.items():
+        for start, end in spans:
+            begin, stop = cover[int(np.searchsorted(begins, start, "right")) - 1]
+            if stop - end < CONTEXT:
+                yield a_id, a_key, True, end + off, end
+            if start - begin < CONTEXT and start and start + off:
+                yield a_id, a_key, False, start + off, start
+
+
+def _ends():
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("a_id", pa.int64()),
+                        ("a_key", pa.int64()), ("right", pa.bool_()), ("a_at", pa.int32()),
+                        ("at", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [(doc_id, key, *end) for doc_id, key, again in zip(
+                *(batch.column(n).to_pylist() for n in ("doc_id", "text_key", "again")))
+                for end in open_ends(again)]
+            columns = list(zip(*held)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    return run
+
+
+def _contexts():
+    schema = pa.schema([("a_id", pa.int64()), ("a_key", pa.int64()), ("right", pa.bool_()),
+                        ("a_at", pa.int32()), ("context", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = []
+            for a_id, a_key, text, wanted in zip(*(batch.column(n).to_pylist() for n in (
+                    "doc_id", "text_key", "text", "wanted"))):
+                whole = [t for _, _, words in units(text) for t in tokens(words)]
+                for w in wanted:
+                    at = w["a_at"]
+                    beside = (whole[at:at + CONTEXT] if w["right"]
+                              else whole[max(0, at - CONTEXT):at])
+                    held.append((a_id, a_key, w["right"], at, " ".join(beside)))
+            columns = list(zip(*held)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    return run
+
+
+def grown_runs(whole: list[str], borders: list[int], again: list[dict], around: list[dict],
+               unit_words: int) -> list[tuple[int, int]]:
+    """Token spans of the runs that go, grown against the words beside the first occurrence.
+
+    ``borders``: first token of every unit, and the number of tokens.
+    """
+    beside = {(c["a_id"], c["a_key"], c["right"], c["a_at"], c["at"]): c["context"].split()
+              for c in around}
+    runs = []
+    for (a_id, a_key, off), spans in chains(again).items():
+        grown = []
+        for start, end in spans:
+            for word in beside.get((a_id, a_key, True, end + off, end), ()):
+                if end == len(whole) or whole[end] != word:
+                    break
+                end += 1
+            for word in reversed(beside.get((a_id, a_key, False, start + off, start), ())):
+                if not start or whole[start - 1] != word:
+                    break
+                start -= 1
+            grown.append((start, end))
+        for start, end in joined(grown):
+            if end - start < WINDOW or len(set(whole[start:end])) < WINDOW_DISTINCT:
+                continue
+            after = borders[bisect_left(borders, start)]
+            if after < end and not long_piece(whole[start:after], unit_words):
+                start = after
+            before = borders[bisect_right(borders, end) - 1]
+            if before > start and not long_piece(whole[before:end], unit_words):
+                end = before
+            runs.append((start, end))
+    return joined(runs)
+
+
+def cleaned(text: str, again: set[int], unit_words: int, min_words: int,
+            passages: list[tuple[int, int]] = []) -> tuple[str, int, int, list[dict]]:
+    """(text without its repeated runs, units, words removed, removed spans).
+
+    ``again``: units that are not the first; ``passages``: characters that go besides.
+    """
     found = list(units(text))
+    gone = [(found[first][0], found[last][1])
+            for first, last in repeated_runs(found, again, unit_words, min_words)]
+    merged: list[tuple[int, int]] = []
+    for start, end in joined(gone + passages):
+        if merged and not text[merged[-1][1]:start].strip():
+            merged[-1] = merged[-1][0], end
+        else:
+            merged.append((start, end))
     kept, done, spans, words = [], 0, [], 0
-    for first, last in repeated_runs(found, again, unit_words, min_words):
-        start, end = found[first][0], found[last][1]
-        follows = found[last + 1][0] if last + 1 < len(found) else len(text)
-        words += sum(len(found[n][2]) for n in range(first, last + 1))
-        spans.append({"start": start, "size": end - start, "units": last - first + 1})
+    for start, end in merged:
+        words += len(text[start:end].split())
+        spans.append({"start": start, "size": end - start, "units": sum(
+            start <= a and b <= end for a, b, _ in found)})
         kept.append(text[done:start])
         # a run that ends its line takes the blanks before the line's end with it
-        gap = text[end:follows]
-        done = end + gap.index("\n") if "\n" in gap else follows
+        rest = text[end:]
+        gap = rest[:len(rest) - len(rest.lstrip())]
+        done = end + (gap.index("\n") if "\n" in gap else len(gap))
     kept.append(text[done:])
     return "".join(kept), len(found), words, spans
 
 
+def _cut(text: str, again: list[dict], around: list[dict], unit_words: int, min_words: int):
+    """``cleaned`` by the places that occur earlier and the words beside those."""
+    whole, places, borders = [], [], []
+    for first, end, words in units(text):
+        borders.append(len(whole))
+        whole += tokens(words)
+        places += [(first + m.start(), first + m.end()) for m in _TOKEN.finditer(text[first:end])]
+    unit = {at: n for n, at in enumerate(borders)}
+    runs = grown_runs(whole, [*borders, len(whole)], again, around, unit_words)
+    return cleaned(text, {unit[m["at"]] for m in again if m["size"]}, unit_words, min_words,
+                   [(places[a][0], places[b - 1][1]) for a, b in runs])
+
+
 def _clean(unit_words: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32()),
                                          ("units", pa.int32())]))
         for batch in batches:
             texts, counts, words, spans = [], [], [], []
-            for text, again in zip(batch.column("text").to_pylist(),
-                                   batch.column("again").to_pylist()):
-                out = (cleaned(text, set(again or ()), unit_words, min_words)
-                       if text is not None else (None, 0, 0, []))
+            for text, again, around in zip(*(batch.column(n).to_pylist()
+                                             for n in ("text", "again", "around"))):
+                out = ((None, 0, 0, []) if text is None
+                       else _cut(text, again, around or [], unit_words, min_words) if again
+                       else (text, sum(1 for _ in units(text)), 0, []))
                 for column, value in zip((texts, counts, words, spans), out):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -162,21 +365,41 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
     keyed = docs.withColumn("__key", F.xxhash64("text"))
     narrow = keyed.select("doc_id", F.col("__key").alias("text_key"), "text").filter(
         "text is not null")
-    places = narrow.mapInArrow(_emit(unit_words), _UNITS)
-    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "unit")
+    places = narrow.mapInArrow(_emit(unit_words), _PLACES)
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "at")
     # rows that repeat a document repeat its places, so a count says nothing: compare ends
     firsts = settled(
         places.groupBy("high", "low").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
         .filter("first <> last").select("high", "low", "first"))
-    again = (places.join(firsts, ["high", "low"])
-             .filter(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key",
-                              "unit") != F.col("first"))
-             .groupBy("doc_id", "text_key").agg(F.collect_set("unit").alias("again"))
-             .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), "again"))
+    first = [F.col(f"first.{c}").alias(a) for c, a in (
+        ("doc_id", "a_id"), ("text_key", "a_key"), ("at", "a_at"))]
+    found = settled(places.join(firsts, ["high", "low"]).filter(rank != F.col("first"))
+                    .groupBy("doc_id", "text_key")
+                    .agg(F.collect_set(F.struct(*first, "at", "size")).alias("again")))
+    ends = found.mapInArrow(_ends(), _ENDS)
+    wanted = (ends.select("a_id", "a_key", "right", "a_at").distinct().groupBy("a_id", "a_key")
+              .agg(F.collect_list(F.struct("right", "a_at")).alias("wanted")))
+    contexts = (narrow.join(wanted, F.col("doc_id").eqNullSafe(F.col("a_id"))
+                            & (F.col("text_key") == F.col("a_key")))
+                .select("doc_id", "text_key", "text", "wanted").mapInArrow(_contexts(), _CONTEXTS)
+                # once, however many rows repeat the document
+                .groupBy("a_id", "a_key", "right", "a_at").agg(F.min("context").alias("context")))
+    e, c = ends.alias("e"), contexts.alias("c")
+    around = (e.join(c, F.col("e.a_id").eqNullSafe(F.col("c.a_id"))
+                     & (F.col("e.a_key") == F.col("c.a_key"))
+                     & (F.col("e.right") == F.col("c.right")) & (F.col("e.a_at") == F.col("c.a_at")))
+              .filter("c.context <> ''").groupBy("e.doc_id", "e.text_key").agg(F.collect_list(
+                  F.struct("e.a_id", "e.a_key", "e.right", "e.a_at", "e.at", "c.context"))
+                  .alias("around"))
+              .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), "around"))
+    again = (found.join(around, F.col("doc_id").eqNullSafe(F.col("__id"))
+                        & (F.col("text_key") == F.col("__text_key")), "left")
+             .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"),
+                     "again", "around"))
     out = [c for c in docs.columns if c not in ("text", "n_units", "removed_words", "removed")]
     rows = keyed.select(F.struct(*out).alias("row"), "text", "__key").join(
         again, F.col("row.doc_id").eqNullSafe(F.col("__id"))
-        & (F.col("__key") == F.col("__text_key")), "left").select("row", "text", "again")
+        & (F.col("__key") == F.col("__text_key")), "left").select("row", "text", "again", "around")
     schema = (StructType().add("row", StructType([docs.schema[c] for c in out]))
               .add("text", "string").add("n_units", "integer").add("removed_words", "integer")
               .add("removed", _SPANS))

@@ -110,3 +110,24 @@ def test_scripts_without_blanks(spark):
     assert got[0].text == rows[0][1]
     for i in range(1, 4):
         assert "".join(got[i].text.split()) == f"第{i}篇自己的话不同。{'甲乙丙丁'[i]}写了另外一句话。本文{i}"
+
+
+def test_passage_cut_inside_sentences(spark):
+    rng = random.Random(9)
+    say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    inside = say(50)
+    across = say(18) + ". " + say(14) + ". " + say(9)
+    signs = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    rows = [(i, f"{say(8)} {inside} {say(8)}.\n{say(5)} {across} {say(7)}.\n{say(2)}山{i}{signs}{i}川")
+            for i in range(4)]
+    got = {r.doc_id: r for r in passages.dedup_passages(documents(spark, rows)).collect()}
+    assert got[0].text == rows[0][1]
+    for i in range(1, 4):
+        gone = [rows[i][1][s.start:s.start + s["size"]] for s in got[i].removed]
+        assert gone[:2] == [inside, across]
+        assert gone[2:] == [signs]
+    # a few words beside a repeated line are no passage
+    line = say(20) + "."
+    rows = [(1, f"{line} The cat {say(9)}."), (2, f"{line} The cat {say(9)}.")]
+    got = {r.doc_id: r.text for r in passages.dedup_passages(documents(spark, rows)).collect()}
+    assert got[2] == rows[1][1][len(line) + 1:]
