@@ -10,9 +10,9 @@ transitions. States are made when a text first needs them.
 
 Texts are cut into chunks that run side by side. A chunk that begins a piece maps
 every state to the same end; a chunk inside an unsplit piece is a map from the state
-before it. A scan over the chunks composes the maps: all chunks run at once from an
-assumed state, and those whose predecessor ended elsewhere run again from there,
-until every chunk began where the one before it ended.
+before it. No maps are composed: all chunks run at once from an assumed state, and
+those whose predecessor ended elsewhere run again from there, until every chunk began
+where the one before it ended (at worst one round per chunk of an unsplit piece).
 """
 
 from __future__ import annotations
