@@ -87,10 +87,10 @@ def bucket_codes(vectors: np.ndarray, tables: int = TABLES, axes: int = AXES,
     return codes
 
 
-def _matrix(lists: pa.Array) -> np.ndarray:
-    """Rows of doubles; shorter vectors end in zeros."""
+def _matrix(lists: pa.Array, dims: int = 0) -> np.ndarray:
+    """Rows of ``dims`` doubles or more; shorter vectors end in zeros."""
     sizes = np.diff(lists.offsets.to_numpy())
-    dims = int(sizes.max(initial=0))
+    dims = int(sizes.max(initial=dims))
     out = np.zeros((len(sizes), dims))
     out[np.arange(dims) < sizes[:, None]] = lists.flatten().to_numpy(
         zero_copy_only=False).astype(np.float64)
@@ -103,12 +103,13 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _hash_rows(tables: int, axes: int, probes: int):
+def _hash_rows(tables: int, axes: int, probes: int, dims: int):
+    """``dims``: the longest vector of the table, as rotations depend on the width."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            unit = _unit(_matrix(batch.column("embedding")))
+            unit = _unit(_matrix(batch.column("embedding"), dims))
             codes = bucket_codes(unit, tables, axes, probes)
             flat = codes.reshape(len(codes), -1)
             width = flat.shape[1]
@@ -209,8 +210,9 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, tables: int = TA
     marked = rows.select("vec_id", shape.alias("embedding"))
     classes = (marked.filter("embedding is not null").groupBy("embedding")
                .agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("copies")))
+    dims = marked.agg(F.max(F.size("embedding"))).first()[0] or 0
     hashed = settled(classes.select("rep", "copies", "embedding").mapInArrow(
-        _hash_rows(tables, axes, probes),
+        _hash_rows(tables, axes, probes, dims),
         "rep long, copies long, unit array<double>, codes array<long>"))
     visit = F.posexplode("codes").alias("place", "code")
     # a probed bucket that no row has as its own can show no link

@@ -86,3 +86,18 @@ def test_awkward(spark):
     assert set(got) == plain(rows)
     assert near(spark, [(None, [1.0])]) == [(None, 0, None)]
     assert near(spark, []) == []
+
+
+def test_lengths_apart_in_batches(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(30):
+        short = rng.normal(size=3).tolist()
+        rows += [(2 * i, short), (2 * i + 1, short + [0.0] * 61)]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        assert set(near(spark, rows)) == plain(rows)
+    finally:
+        spark.conf.set(name, before)
