@@ -1,0 +1,126 @@
+"""Vector codes: nearest entries and codebooks against plain loops over whole numbers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from graphload.llm import vectorcodes
+
+ROW = "vec_id long, embedding array<double>, label string"
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+
+def plain(rows, parts, entries, rounds):
+    """(vec_id, code, error, label_error) of each row, and the digest of the codebooks."""
+    kept = [r for r in rows if usable(r[1])]
+    longest = max(len(r[1]) for r in kept)
+    d = max(1, -(-longest // parts))
+    numbers = [[math.floor(256 * x) for x in r[1]] + [0] * (parts * d - len(r[1])) for r in kept]
+    order = sorted(range(len(kept)), key=lambda i: (kept[i][0] is None, kept[i][0] or 0, kept[i][1]))
+    cut = [[v[p * d:(p + 1) * d] for p in range(parts)] for v in numbers]
+    books = [[cut[i][p] for i in order[:entries]] for p in range(parts)]
+
+    def nearest(p, part):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), i) for i, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        new = []
+        for p in range(parts):
+            groups = {}
+            for v in cut:
+                groups.setdefault(nearest(p, v[p])[1], []).append(v[p])
+            new.append([[sum(c) // len(groups[i]) for c in zip(*groups[i])] if i in groups else e
+                        for i, e in enumerate(books[p])])
+        books = new
+    out, by_label = [], {}
+    for r, v in zip(kept, cut):
+        found = [nearest(p, v[p]) for p in range(parts)]
+        error = sum(f[0] for f in found)
+        by_label[r[2]] = by_label.get(r[2], 0) + error
+        out.append([r[0], "".join(f"{f[1]:02x}" for f in found), error, r[2]])
+    fits = lambda x: x if x < 2 ** 63 else None
+    digest = hashlib.sha256(",".join(
+        str(x) for part in books for e in part for x in e).encode()).hexdigest()
+    return sorted(((i, c, fits(e), fits(by_label[label])) for i, c, e, label in out), key=repr), digest
+
+
+def compared(spark, rows, parts, entries, rounds=2, layout=3):
+    frame = spark.createDataFrame(rows, ROW).repartition(layout)
+    out = vectorcodes.compressed(frame, "vec_id", "embedding", "label", parts, entries,
+                                 rounds).collect()
+    expected, digest = plain(rows, parts, entries, rounds)
+    assert sorted(((r.id, r.code, r.error, r.label_error) for r in out), key=repr) == expected
+    assert {r.codebooks_sha256 for r in out} == {digest}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random(spark, seed):
+    rng = random.Random(seed)
+    grid = seed == 1  # many equal sums and equal distances
+
+    def value():
+        return rng.randint(-2, 2) / 128 if grid else rng.gauss(0, 0.2)
+
+    rows = [(i, [value() for _ in range(12)], rng.choice(["a", "b", None])) for i in range(200)]
+    rng.shuffle(rows)
+    compared(spark, rows, 4, 16)
+
+
+def test_awkward(spark):
+    good = [(i, [i / 7, -i / 3, 0.5, 1.0, i * 1.5], "x") for i in range(6)]
+    rows = [*good, good[2], good[2], (None, [0.1] * 5, None), (20, None, "x"), (21, [], None),
+            (22, [1.0, None], "y"), (23, [float("nan")] * 5, "y"), (24, [float("inf"), 0.0], "y"),
+            (25, [3.0], "y"), (3, [9.0, 9.0, 9.0, 9.0, 9.0], "z")]
+    compared(spark, rows, 2, 4)
+    compared(spark, rows, 16, 64)  # more entries than rows, more parts than components
+    extra = spark.createDataFrame(good, ROW).withColumns(
+        {c: F.lit("w") for c in ("id", "code", "error", "part", "entry", "n", "sums")})
+    found = vectorcodes.compressed(extra, "vec_id", "embedding", "label", 2, 4)
+    assert found.count() == len(good)
+    for none in ([], [(1, None, "x"), (2, [float("nan")], None)]):
+        assert vectorcodes.compressed(spark.createDataFrame(none, ROW), "vec_id", "embedding",
+                                      "label").isEmpty()
+
+
+def test_large_numbers(spark):
+    """Exact beyond 64 bits; an error that has no place in a long is null."""
+    rng = random.Random(1)
+    rows = [(i, [rng.choice([1e10, -1e10, 3e15, 0.5, 1e20]) * rng.random() for _ in range(4)],
+             "a" if i % 2 else "b") for i in range(40)]
+    rows += [(i, [rng.random() for _ in range(4)], "c") for i in range(40, 60)]
+    compared(spark, rows, 2, 8)
+    with pytest.raises(Exception, match="beyond 2\\^80"):
+        vectorcodes.compressed(spark.createDataFrame([(1, [1e300], "a")], ROW), "vec_id",
+                               "embedding", "label").collect()
+
+
+def test_search_leaves_entries_out():
+    """Entries with distant sums are never looked at, and ties go to the smaller index."""
+    rng = np.random.default_rng(0)
+    books = vectorcodes.Codebooks([[[int(x) for x in rng.integers(-99, 99, 4)] for _ in range(64)]
+                                   for _ in range(3)])
+    parts = rng.integers(-99, 99, (500, 3, 4))
+    index, far = books.nearest(parts)
+    all_far = ((parts[:, :, None, :] - books.numbers[None]) ** 2).sum(axis=3)
+    assert (index == all_far.argmin(axis=2)).all() and (far == all_far.min(axis=2)).all()
+    assert books.visited < 0.7 * all_far.size
+    same = vectorcodes.Codebooks([[[2, 0], [0, 2], [1, 1], [1, 1]]])
+    assert same.nearest(np.array([[[1, 1]], [[0, 0]], [[2, 2]]]))[0].ravel().tolist() == [2, 2, 2]
+    assert same.nearest(np.array([[[2, 1]], [[1, 2]]]))[0].ravel().tolist() == [0, 1]
+
+
+def test_query(spark, data):
+    found = vectorcodes.op11_vector_codes(spark, data)
+    rows = spark.read.parquet(f"{data}/embeddings.parquet").select(
+        "vec_id", "embedding", F.col("label").cast("string")).collect()
+    expected, digest = plain([tuple(r) for r in rows], 16, 64, 2)
+    got = found.collect()
+    assert sorted(((r.vec_id, r.code, r.error, r.label_error) for r in got), key=repr) == expected
+    assert {r.codebooks_sha256 for r in got} == {digest}
