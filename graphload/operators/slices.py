@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import _col
@@ -81,6 +81,17 @@ def with_row_index(df: DataFrame, order_by: list[str], partitions: int | None =
             .drop("__task", "__first", "__pos"))
 
 
+def slice_of(index: Column, total: int, parallel: int) -> tuple[Column, Column, Column]:
+    """(number of the slice a row position is in, 0-based place there, rows of that slice)."""
+    base, longer = divmod(total, parallel)
+    head = longer * (base + 1)
+    in_longer = F.call_function("div", index, F.lit(base + 1))
+    in_rest = F.call_function("div", index - head, F.lit(max(base, 1))) + longer
+    split = F.when(index < head, in_longer).otherwise(in_rest).cast("int")
+    start = split.cast("bigint") * base + F.least(split, F.lit(longer))
+    return split, index - start, F.when(index < head, base + 1).otherwise(base)
+
+
 def read_slices(df: DataFrame, order_by: list[str], slices: list[Slice], scan: bool = True,
                 path: str | None = None) -> DataFrame:
     """Rows of every slice: ``split``, the columns of ``df``, ``row_index``.
@@ -92,11 +103,8 @@ def read_slices(df: DataFrame, order_by: list[str], slices: list[Slice], scan: b
         return df.select(F.lit(0).alias("split"), "*",
                          F.lit(0).cast("bigint").alias("row_index")).limit(0)
     total, parallel = slices[-1].start + slices[-1].size, len(slices)
-    base, longer = divmod(total, parallel)
     index = F.col("row_index")
-    in_longer = F.call_function("div", index, F.lit(base + 1))
-    in_rest = F.call_function("div", index - longer * (base + 1), F.lit(max(base, 1))) + longer
-    split = F.when(index < longer * (base + 1), in_longer).otherwise(in_rest).cast("int")
+    split, _, _ = slice_of(index, total, parallel)
     plan = df.sparkSession.createDataFrame(
         [(s.split, s.start) for s in slices], "split int, __start bigint")
     return (with_row_index(df, order_by, scan=scan, path=path).withColumn("split", split)
@@ -121,12 +129,19 @@ def rows_of_step(indexed: DataFrame, step: list[Slice]) -> DataFrame:
     return indexed.filter(wanted)
 
 
-def save_checkpoint(spark: SparkSession, path: str, name: str, reached: list[int]) -> None:
-    """Store how far each slice got. The older state goes after the new one is written."""
-    rows = [(i, r) for i, r in enumerate(reached)]
+_STATE = "split int, reached bigint, plan int"
+
+
+def save_checkpoint(spark: SparkSession, path: str, name: str, reached: list[int],
+                    plan: int | None = None) -> None:
+    """Store how far each slice got, of the plan with a number if there is one.
+
+    The older state goes after the new one is written.
+    """
+    rows = [(i, r, plan) for i, r in enumerate(reached)]
     older = _states(spark, path, name)
     at = max([time.time_ns(), *(n + 1 for n, _ in older)])
-    spark.createDataFrame(rows, "split int, reached bigint").coalesce(1).write.json(
+    spark.createDataFrame(rows, _STATE).coalesce(1).write.json(
         f"{path}/{name}/state={at}")
     files, _ = file_system(spark, path)
     for _, folder in older:
@@ -144,11 +159,18 @@ def _states(spark: SparkSession, path: str, name: str) -> list[tuple[int, object
     return sorted(((int(p.getName()[6:]), p) for p in whole), key=lambda s: s[0])
 
 
-def load_checkpoint(spark: SparkSession, path: str, name: str) -> list[int] | None:
-    """Stored positions in slice order, or None if nothing was stored."""
+def load_progress(spark: SparkSession, path: str, name: str
+                  ) -> tuple[int | None, list[int]] | None:
+    """(number of the plan, stored positions in slice order), or None if nothing was stored."""
     states = _states(spark, path, name)
     if not states:
         return None
-    stored = spark.read.schema("split int, reached bigint").json(states[-1][1].toString())
     # one row per slice
-    return [row.reached for row in stored.orderBy("split").collect()]
+    stored = spark.read.schema(_STATE).json(states[-1][1].toString()).orderBy("split").collect()
+    return stored[0].plan, [row.reached for row in stored]
+
+
+def load_checkpoint(spark: SparkSession, path: str, name: str) -> list[int] | None:
+    """Stored positions in slice order, or None if nothing was stored."""
+    found = load_progress(spark, path, name)
+    return None if found is None else found[1]
