@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -127,3 +129,58 @@ def by_graph_part(df: DataFrame, n: int, part: str = "part", splits: int = 1,
         inner = row_bucket([_col(c) for c in df.columns], splits) if split is None else split
         slot = slot * splits + inner
     return df.repartitionById(n * splits, slot.cast("int"))
+
+
+@dataclass(frozen=True)
+class Slots:
+    """Which Spark partitions a graph partition has: ``count`` from ``first`` on."""
+
+    first: int
+    count: int
+
+
+def part_histogram(df: DataFrame, part: str = "part") -> dict[int, int]:
+    """Rows of each graph partition; a graph has few, whatever the data."""
+    counted = df.groupBy(_col(part).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    return {row.p: row.n for row in counted.collect()}
+
+
+def slot_table(histogram: dict[int, int], tasks: int) -> dict[int, Slots]:
+    """Deal about ``tasks`` Spark partitions out so that none has many more rows than another.
+
+    A graph partition with more than its share (all rows / tasks) is split into as many as
+    it fills; the others keep one each. So there are ``tasks`` + graph partitions at most,
+    and with as many tasks as graph partitions no slot has twice the mean.
+    """
+    if tasks <= 0:
+        raise ValueError("the number of tasks must be positive")
+    share = max(1.0, sum(histogram.values()) / tasks)
+    table, first = {}, 0
+    for part in sorted(histogram):
+        count = max(1, -int(-histogram[part] // share))
+        table[part] = Slots(first, count)
+        first += count
+    return table
+
+
+def by_measured_part(df: DataFrame, tasks: int, part: str = "part",
+                     split: Column | None = None) -> DataFrame:
+    """Route rows to Spark partitions of one graph partition each, hot ones to several.
+
+    The sizes are counted first (one aggregate over ``part``), so only graph partitions that
+    need it are split, by ``split`` or a hash of the row. Repeated rows go together; give a
+    ``split`` where one row makes up most of a graph partition. Without rows nothing moves.
+    A null ``part`` is a graph partition of its own.
+    """
+    marked = df.withColumn("__part", F.coalesce(_col(part).cast("bigint"), F.lit(-1)))
+    table = slot_table(part_histogram(marked, "__part"), tasks)
+    if not table:
+        return df
+    key = split if split is not None else F.xxhash64(*[_col(c) for c in df.columns])
+    # one entry for each graph partition
+    entries = [x for p, s in table.items()
+               for x in (F.lit(p).cast("bigint"), F.struct(F.lit(s.first), F.lit(s.count)))]
+    own = F.create_map(*entries)[F.col("__part")]
+    total = sum(s.count for s in table.values())
+    slot = own["col1"] + F.pmod(key, own["col2"])
+    return marked.repartitionById(total, slot.cast("int")).drop("__part")

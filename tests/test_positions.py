@@ -1,0 +1,83 @@
+"""Positions by file against the rows of the files one after the other."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from graphload.operators import positions
+from graphload.operators.positions import file_offsets, read_file_slices, with_file_position
+from graphload.operators.slices import Slice, offset_splits
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    """(path, ids in the order of positions): unequal files of several row groups, one empty."""
+    path = str(tmp_path / "table")
+    ids = spark.range(0, 5000, 1, 1)
+    for i, (low, high) in enumerate([(0, 10), (10, 10), (10, 3000), (3000, 3001), (3001, 5000)]):
+        (ids.filter((F.col("id") >= low) & (F.col("id") < high)).withColumn("path", F.lit("p"))
+         .coalesce(1).write.option("parquet.block.size", 4096).parquet(f"{path}-{i}"))
+    os.mkdir(path)
+    order = []
+    for i in (3, 0, 4, 1, 2):
+        for name in os.listdir(f"{path}-{i}"):
+            if name.endswith(".parquet"):
+                os.rename(f"{path}-{i}/{name}", f"{path}/{len(order)}.parquet")
+                order.append(i)
+    spans = [(0, 10), (10, 10), (10, 3000), (3000, 3001), (3001, 5000)]
+    return path, [x for i in order for x in range(*spans[i])]
+
+
+def test_positions_follow_the_files(spark, table):
+    path, ids = table
+    rows = spark.read.parquet(path)
+    files = file_offsets(rows)
+    assert files.total == len(ids)
+    placed = with_file_position(rows, files)
+    assert placed.columns == ["id", "path", "row_index"]
+    assert {r.row_index: r.id for r in placed.collect()} == dict(enumerate(ids))
+
+
+def test_nothing_is_sorted_or_dealt_out(spark, table):
+    rows = spark.read.parquet(table[0])
+    plan = read_file_slices(rows.select("id"), 7)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") and "Sort" not in plan
+    counted = rows.select(F.col("_metadata.file_path").alias("p")).groupBy("p").count()
+    assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_slices_and_ranges(spark, table, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(positions, "FILES_TO_BROADCAST", 1)
+    path, ids = table
+    rows = spark.read.parquet(path).select("id")
+    got = read_file_slices(rows, 7).collect()
+    assert sorted((r.row_index, r.id) for r in got) == list(enumerate(ids))
+    for s in offset_splits(len(ids), 7):
+        assert sorted(r.row_index for r in got if r.split == s.split) == list(
+            range(s.start, s.start + s.size))
+    some = with_file_position(rows, None, [Slice(0, 5, 20), Slice(1, 4990, 3), Slice(2, 9, 0)])
+    assert {r.row_index: r.id for r in some.collect()} == {
+        i: ids[i] for i in [*range(5, 25), 4990, 4991, 4992]}
+    reached = [s.start + 100 for s in offset_splits(len(ids), 7)]
+    left = read_file_slices(rows, 7, reached).collect()
+    assert sorted(r.row_index for r in left) == [
+        i for s, at in zip(offset_splits(len(ids), 7), reached) for i in range(at, s.start + s.size)]
+
+
+def test_files_outside_of_the_ranges_are_not_opened(spark, table):
+    path, ids = table
+    rows = spark.read.parquet(path).select("id")
+    first = with_file_position(rows, None, [Slice(0, 0, 1)])
+    os.rename(f"{path}/4.parquet", f"{path}-gone")
+    assert [r.id for r in first.collect()] == ids[:1]
+
+
+def test_an_empty_table(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    rows = spark.read.parquet(str(tmp_path / "none"))
+    assert file_offsets(rows).total == 0
+    assert read_file_slices(rows, 3).columns == ["split", "id", "row_index"]
+    assert read_file_slices(rows, 3).isEmpty()

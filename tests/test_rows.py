@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from graphload.functions import graph_part
 from graphload.operators.rows import (
-    assign_batches, both_directions, by_graph_part, dedup_edges, dedup_vertices, repartition_to,
-    with_existence_rows,
+    Slots, assign_batches, both_directions, by_graph_part, by_measured_part, dedup_edges,
+    dedup_vertices, repartition_to, slot_table, with_existence_rows,
 )
 
 
@@ -92,3 +92,36 @@ def test_repartition_rules(spark, data):
     assert repartition_to(rows, 6, resumable=True) is rows
     stream = spark.readStream.schema("event_id bigint").parquet(data)
     assert repartition_to(stream, 6) is stream
+
+
+def test_slots_split_hot_parts_only():
+    table = slot_table({1: 1000, 2: 100, 3: 90, 4: 10}, 12)
+    assert [(s.first, s.count) for s in table.values()] == [(0, 10), (10, 1), (11, 1), (12, 1)]
+    assert slot_table({}, 4) == {} and slot_table({5: 1}, 100) == {5: Slots(0, 1)}
+    with pytest.raises(ValueError):
+        slot_table({1: 1}, 0)
+
+
+def test_measured_routing_of_a_hot_part(spark):
+    """A third of the rows on one part: no task has twice the mean, none two parts."""
+    rows = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, 4).otherwise(
+        graph_part("id", 10, "INT")).alias("part"))
+    rows = rows.unionByName(spark.createDataFrame([(-1, None)], rows.schema))
+    placed = by_measured_part(rows, 16).withColumn("task", F.spark_partition_id())
+    assert placed.columns == ["id", "part", "task"]
+    tasks = placed.groupBy("task").agg(F.count("*").alias("n"), F.collect_set(
+        F.coalesce("part", F.lit(-1))).alias("parts")).collect()
+    assert all(len(t.parts) == 1 for t in tasks)
+    assert max(t.n for t in tasks) < 2 * 30001 / len(tasks)
+    hot = [t.n for t in tasks if t.parts == [4]]
+    assert len(hot) >= 5 and sum(t.n for t in tasks) == 30001
+    assert sorted(r.id for r in placed.collect()) == [-1, *range(30000)]
+    assert by_measured_part(rows.limit(0), 4).isEmpty()
+
+
+def test_measured_routing_with_a_split_of_its_own(spark):
+    """Copies of one row need a split that is not its hash."""
+    rows = spark.range(4000).select(F.lit(1).alias("part"), F.col("id").alias("n"))
+    same = rows.withColumn("v", F.lit("x"))
+    placed = by_measured_part(same, 8, split=F.col("n")).groupBy(F.spark_partition_id()).count()
+    assert [r["count"] for r in placed.collect()] == [500] * 8
