@@ -1,3 +1,3 @@
-from .load import stream_load, stream_statements
+from .load import StreamCounters, stream_load, stream_statements, stream_stats
 
-__all__ = ["stream_load", "stream_statements"]
+__all__ = ["StreamCounters", "stream_load", "stream_statements", "stream_stats"]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.delivery import (
     DeliveryOptions, check_budget, check_fatal, deliver, save_failures,
@@ -17,11 +18,71 @@ from ..spec import EdgeSpec, GraphTarget, VertexSpec
 DEFAULT_INTERVAL_S = 30
 
 
+# Name of the counters that a load observes; the label of the entity follows.
+OBSERVED = "graphload."
+# Micro-batches that a listener keeps of every query, besides the totals.
+KEPT = 1000
+
+
+class StreamCounters(StreamingQueryListener):
+    """Live counters of the loads of a session: ``spark.streams.addListener(counters)``.
+
+    For every micro-batch the rows that came and those that were dropped as invalid, counted
+    while they pass, without another job. What was sent and refused is in the results of the
+    load (``stream_stats``). A micro-batch that is made again counts once, under its number.
+    """
+
+    def __init__(self):
+        self.batches: dict[str, dict[int, dict]] = {}
+        self.totals: dict[str, dict] = {}
+        self.ended: dict[str, str | None] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.batches.setdefault(str(event.id), {})
+
+    def onQueryProgress(self, event) -> None:
+        self.take(str(event.progress.id), event.progress.batchId, event.progress.observedMetrics,
+                  event.progress.batchDuration)
+
+    def take(self, query: str, epoch: int, observed: dict, milliseconds: int) -> None:
+        """Count a micro-batch."""
+        found = [row for name, row in observed.items() if name.startswith(OBSERVED)]
+        kept = self.batches.setdefault(query, {})
+        if not found or epoch in kept:
+            return
+        kept[epoch] = {"rows": found[0].rows, "dropped": found[0].dropped,
+                       "seconds": milliseconds / 1000}
+        total = self.totals.setdefault(query, {"batches": 0, "rows": 0, "dropped": 0,
+                                               "seconds": 0.0})
+        total["batches"] += 1
+        for name, value in kept[epoch].items():
+            total[name] += value
+        for old in sorted(kept)[:-KEPT]:
+            del kept[old]
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.id)] = event.exception
+
+
+def stream_stats(spark: SparkSession, results_path: str) -> DataFrame:
+    """Counters of every micro-batch of the streams that write results there, as
+    ``load_stats`` gives them for a batch load: query, epoch, batches and records that were
+    accepted and refused. Only results that were written to their end count."""
+    results = spark.read.parquet(results_path)
+    bad = F.col("failed") > 0
+    return results.groupBy("query", "epoch", "entity").agg(
+        F.count_if(~bad).alias("batch_success"), F.count_if(bad).alias("batch_failure"),
+        F.sum(F.col("records") - F.col("failed")).alias("record_success"),
+        F.sum("failed").alias("record_failure"))
+
+
 def stream_statements(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget
                       ) -> DataFrame:
-    """Fragments of the valid rows; invalid rows are dropped, not fatal."""
+    """Fragments of the valid rows; invalid rows are dropped, not fatal, and counted."""
     problem = problem_of(spec, target.id_type, rows.schema)
-    return render_items(enforce(rows, problem, "drop"), spec, target)
+    seen = rows.observe(OBSERVED + spec.label, F.count(F.lit(1)).alias("rows"),
+                        F.count_if(problem.isNotNull()).alias("dropped"))
+    return render_items(enforce(seen, problem, "drop"), spec, target)
 
 
 def stream_load(rows: DataFrame, spec: VertexSpec | EdgeSpec, target: GraphTarget,

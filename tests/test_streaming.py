@@ -1,7 +1,9 @@
 import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from executors import Recorder, recorded
@@ -9,7 +11,9 @@ from graphload.operators.delivery import DeliveryOptions
 from graphload.operators.stats import load_stats
 from graphload.sources import read_statements, read_stream
 from graphload.spec import EdgeSpec, GraphTarget, Label, VertexSpec
-from graphload.streaming import stream_load, stream_statements
+from graphload.streaming import (
+    StreamCounters, load, stream_load, stream_statements, stream_stats,
+)
 
 GRAPH = GraphTarget(4, "INT", 8, {"person": Label.of("vertex", {"name": "STRING"}, 1),
                                   "knows": Label.of("edge", {}, 2)})
@@ -107,3 +111,39 @@ def test_edges_with_bad_ranks_are_dropped(spark):
                                  "s string, d string, r string")
     items = stream_statements(rows, EdgeSpec("knows", "s", "d", "r"), GRAPH)
     assert [r.item for r in items.collect()] == ["1->2@3: ()"]
+
+
+def test_counters_of_running_streams(spark, folders):
+    """Rows and dropped rows of every micro-batch, beside what its results say."""
+    counters = StreamCounters()
+    spark.streams.addListener(counters)
+    try:
+        add(spark, folders, [("1", "a"), ("x", "b"), (None, "c"), ("2", "d")])
+        run(spark, folders, refuse=['"d"'])
+        add(spark, folders, [("3", "e")])
+        run(spark, folders)
+        for _ in range(100):
+            if sum(t["batches"] for t in counters.totals.values()) == 2 and counters.ended:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counters)
+    (query, total), = counters.totals.items()
+    assert (total["batches"], total["rows"], total["dropped"]) == (2, 5, 2)
+    assert [(b["rows"], b["dropped"]) for _, b in sorted(counters.batches[query].items())] == [
+        (4, 2), (1, 0)]
+    assert counters.ended == {query: None} and total["seconds"] > 0
+    found = {(r.query, r.epoch): (r.batch_success, r.batch_failure, r.record_success,
+                                  r.record_failure)
+             for r in stream_stats(spark, folders["results"]).collect()}
+    assert found == {(query, 0): (0, 1, 1, 1), (query, 1): (1, 0, 1, 0)}
+
+
+def test_a_micro_batch_that_is_told_twice_counts_once(monkeypatch):
+    monkeypatch.setattr(load, "KEPT", 2)
+    counters = StreamCounters()
+    for epoch in (0, 1, 1, 2, 3):
+        counters.take("q", epoch, {"graphload.person": Row(rows=10, dropped=epoch)}, 500)
+    counters.take("q", 4, {"other": Row(rows=1, dropped=1)}, 500)
+    assert counters.totals["q"] == {"batches": 4, "rows": 40, "dropped": 6, "seconds": 2.0}
+    assert sorted(counters.batches["q"]) == [2, 3]
