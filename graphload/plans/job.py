@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -20,14 +19,16 @@ from ..functions.text import _col
 from ..operators.delivery import (
     DeliveryOptions, check_budget, check_fatal, save_failures, write_batches,
 )
-from ..operators.kv import edge_kv, vertex_kv, write_kv
+from ..operators.kv import edge_kv, vertex_kv
+from ..operators.positions import file_offsets, read_file_slices
 from ..operators.prepare import (
     apply_filter, enforce, preview, problem_of, required_fields, with_composite_key,
 )
 from ..operators.rows import repartition_to
+from ..operators.publish import new_run, publish_kv
+from ..operators.resume import Load, mark_step, plan_load
 from ..operators.slices import (
-    Slice, load_checkpoint, offset_splits, read_slices, rows_of_step, save_checkpoint,
-    source_count, step_of,
+    Slice, offset_splits, read_slices, rows_of_step, source_count, step_of,
 )
 from ..operators.statements import (
     id_value, item_of, rank_value, render_items, statement_frame,
@@ -73,6 +74,14 @@ class Entity:
             raise ValueError(f"{self.spec.label}: the source needs a type")
         if self.streaming and self.sink == "kv":
             raise ValueError(f"{self.spec.label}: streams are delivered as statements")
+        if self.resumable and self.sink == "kv":
+            raise ValueError(f"{self.spec.label}: key/value files are written whole; "
+                             "leave out the checkpoint of the source")
+        if (self.source["type"].lower() == "sliced" and not self.source.get("order_by")
+                and not self.resumable and self.source["of"]["type"].lower() != "parquet"):
+            raise ValueError(f"{self.spec.label}: only Parquet files give an order; name order_by")
+        if self.resumable and "name" not in self.source:
+            raise ValueError(f"{self.spec.label}: a checkpoint needs a name")
         if self.streaming and self.checkpoint is None:
             raise ValueError(f"{self.spec.label}: a stream needs a checkpoint folder")
 
@@ -80,6 +89,10 @@ class Entity:
     def streaming(self) -> bool:
         return self.source["type"].lower() in STREAMS
 
+    @property
+    def resumable(self) -> bool:
+        return self.source["type"].lower() == "sliced" and bool(self.source.get("checkpoint"))
+
     @staticmethod
     def from_dict(kind: str, d: dict) -> "Entity":
         keys = _VERTEX_KEYS if kind == "vertex" else _EDGE_KEYS
@@ -133,6 +146,9 @@ class Job:
                   d.get("existence", False), d.get("failures"), d.get("results"), d.get("kv_path"))
         if job.kv_path is None and any(e.sink == "kv" for e in entities):
             raise ValueError("kv entities need kv_path")
+        if job.failures is None and any(e.resumable for e in entities):
+            raise ValueError("a step that is over is not sent again, so a job with a checkpoint "
+                             "needs failures, the folder of the rows that were not accepted")
         return job
 
 
@@ -140,25 +156,38 @@ class Job:
 class JobReport:
     """What a run did. ``stats`` has the counters of all delivered entities.
 
-    ``run`` names the folders of this run below ``results`` and ``failures``.
+    ``run`` names the folders of this run below ``results`` and ``failures``, the folder of
+    the dead letters (one in the shared folder when the job names none). ``kv_paths`` has
+    the files of this run; ``kv_path``/<entity> is where readers find the current set.
     """
 
     run: str = ""
+    failures: str = ""
     stats: DataFrame | None = None
     previews: dict[str, DataFrame] = field(default_factory=dict)
     kv_paths: dict[str, str] = field(default_factory=dict)
     streams: list = field(default_factory=list)
+    called_off: list[str] = field(default_factory=list)
     seconds: float = 0.0
 
 
 @dataclass(frozen=True)
 class Input:
-    """Rows of an entity; those of a resumable read have ``row_index`` and their slices."""
+    """Rows of an entity.
+
+    Those of a sliced read have ``row_index`` and their slices, those of one with a
+    checkpoint ``__step`` and the load they belong to. ``indexed`` is the copy that was made.
+    """
 
     rows: DataFrame
     slices: list[Slice] | None = None
+    load: Load | None = None
     indexed: str | None = None
 
+    @property
+    def index(self) -> list[str]:
+        return ["row_index"] if self.slices is not None else ["__step"] if self.load else []
+
 
 def _named_columns(rows: DataFrame, condition: str | None, needed: list[str]) -> list[str]:
     """``needed`` and the columns that a condition names."""
@@ -182,28 +211,39 @@ def _named_columns(rows: DataFrame, condition: str | None, needed: list[str]) ->
 
 def _read(spark: SparkSession, entity: Entity, fields: list[str], params: str | None,
           plain: bool) -> Input | None:
-    """A source, or the slices of one that earlier runs have not finished.
-
-    ``{"type": "sliced", "of": source, "order_by": [...], "parallel": n,
-    "checkpoint": folder, "name": name, "steps": n}`` cuts another source into slices and
-    delivers them in steps, each of which is marked in the checkpoint. ``plain``
-    gives the rows of the other source as they are and writes nothing.
+    """A source, or what earlier runs have left of one.
+
+    ``{"type": "sliced", "of": source, "order_by": [...], "parallel": n, "steps": n,
+    "checkpoint": folder, "name": name, "on_change": "refuse"}`` cuts another source into
+    slices and delivers them in steps. With a checkpoint each step that is over is marked
+    there, and later runs send the others only; ``on_change`` says what they do when the
+    source has other rows by then (``plan_load``). Without ``order_by`` and checkpoint the
+    rows of a Parquet source keep the order of its files, and nothing is sorted or copied.
+    ``plain`` gives the rows of the other source as they are and writes nothing.
     """
     source = entity.source
     sliced = source["type"].lower() == "sliced"
     rows = read_source(spark, resolve_paths(source["of"] if sliced else source, params), fields)
     if rows is None or not sliced or plain:
         return None if rows is None else Input(rows)
-    total, parallel = source_count(rows).first()["n"], source["parallel"]
-    reached = (load_checkpoint(spark, source["checkpoint"], source["name"])
-               if source.get("checkpoint") else None)
-    slices = offset_splits(total, parallel, reached)
-    scan = source["of"]["type"].lower() in ("parquet", "orc", "json", "csv")
-    wanted = list(dict.fromkeys([*fields, *source["order_by"]]))
+    kind, order_by = source["of"]["type"].lower(), list(source.get("order_by", ()))
+    scan = kind in ("parquet", "orc", "json", "csv")
+    wanted = list(dict.fromkeys([*fields, *order_by]))
     columns = _named_columns(rows, entity.filter, wanted)
+    rows = rows.select(*map(_col, columns))
+    if entity.resumable:
+        load = plan_load(spark, rows, order_by, source["parallel"], source["checkpoint"],
+                         source["name"], source.get("steps", STEPS),
+                         source.get("on_change", "refuse"), scan)
+        left = rows.withColumn("__step", F.lit(0)).limit(0) if load.rows is None else load.rows
+        return Input(left, load=load, indexed=load.path)
+    if not order_by:
+        files = file_offsets(rows)
+        return Input(read_file_slices(rows, source["parallel"], files=files),
+                     offset_splits(files.total, source["parallel"]))
+    slices = offset_splits(source_count(rows).first()["n"], source["parallel"])
     path = scratch_path(spark, "indexed")
-    return Input(read_slices(rows.select(*map(_col, columns)), source["order_by"], slices, scan,
-                             path), slices, path)
+    return Input(read_slices(rows, order_by, slices, scan, path), slices, indexed=path)
 
 
 def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None,
@@ -218,21 +258,26 @@ def prepare_input(spark: SparkSession, entity: Entity, params: str | None = None
     rows = apply_filter(found.rows, entity.filter)
     for key in entity.composite_keys:
         rows = with_composite_key(rows, key["sep"], key["cols"], key["new_col"])
-    index = [] if found.slices is None else ["row_index"]
-    return replace(found, rows=rows.select(*map(_col, required_fields(entity.spec)), *index))
+    return replace(found, rows=rows.select(*map(_col, required_fields(entity.spec)), *found.index))
 
 
 def prepared_rows(spark: SparkSession, entity: Entity, params: str | None = None
                   ) -> DataFrame | None:
     found = prepare_input(spark, entity, params)
-    return None if found is None else found.rows.drop("row_index")
+    return None if found is None else found.rows.drop(*found.index)
 
 
-def _mark_done(spark: SparkSession, entity: Entity, step: list[Slice] | None) -> None:
-    source = entity.source
-    if step is not None and source.get("checkpoint"):
-        save_checkpoint(spark, source["checkpoint"], source["name"],
-                        [s.start + s.size for s in step])
+def _parts(entity: Entity, found: Input, rows: DataFrame) -> list[tuple[int, DataFrame]]:
+    """(number, rows) of the parts that an entity is delivered in, one after the other."""
+    if found.load is not None:
+        # a load that is over has no rows
+        return [(k, rows.filter(F.col("__step") == k).drop("__step"))
+                for k in found.load.steps or [0]]
+    if found.slices is None:
+        return [(0, repartition_to(rows, entity.partition))]
+    steps = step_of(found.slices, entity.source.get("steps", STEPS))
+    return [(k, rows_of_step(rows, step).drop("row_index")) for k, step in enumerate(steps)
+            if any(s.size for s in step)]
 
 
 def _deliver(spark: SparkSession, job: Job, entity: Entity, rows: DataFrame, name: str, factory,
@@ -248,8 +293,7 @@ def _deliver(spark: SparkSession, job: Job, entity: Entity, rows: DataFrame, nam
 def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, found: Input,
                 factory, run: str, report: JobReport) -> DataFrame | None:
     spec, name, rows = entity.spec, f"{entity.spec.label}-{number}", found.rows
-    spark.sparkContext.setJobGroup(name, f"{spec.kind} {spec.label}")
-    failures = job.failures or f"{run}/failures"
+    failures = report.failures
     stored = f"{job.results}/{report.run}" if job.results else f"{run}/results"
     dead = f"{report.run}.{name}"
     if rows.isStreaming:
@@ -261,46 +305,86 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, foun
     rows = enforce(rows, problem_of(spec, job.target.id_type, rows.schema), "fail",
                    spec.key_fields[0])
     if entity.sink == "kv":
-        rows = rows.drop("row_index")
+        rows = rows.drop(*found.index)
         kv = (vertex_kv(rows, spec, job.target, job.existence) if spec.kind == "vertex"
               else edge_kv(rows, spec, job.target))
-        report.kv_paths[name] = f"{job.kv_path}/{name}"
-        write_kv(kv, report.kv_paths[name], entity.partition if entity.partition > 0 else None)
-        _mark_done(spark, entity, found.slices)
+        report.kv_paths[name] = publish_kv(
+            kv, f"{job.kv_path}/{name}", report.run,
+            entity.partition if entity.partition > 0 else None).data
         return None
-    if found.slices is None:
-        rows = repartition_to(rows, entity.partition)
-        results = _deliver(spark, job, entity, rows, dead, factory, f"{stored}/{name}", failures)
-        check_fatal(results)
-        check_budget(results, job.delivery.max_failed_batches)
-        return results
-    steps = step_of(found.slices, entity.source.get("steps", STEPS))
     results = None
-    for number, step in enumerate(steps):
-        if results is not None and all(s.size == 0 for s in step):
-            continue
-        part = rows_of_step(rows, step).drop("row_index")
-        sent = _deliver(spark, job, entity, part, dead, factory, f"{stored}/{name}/{number}", failures)
-        # what failed is in the dead letters, so the step is finished
-        _mark_done(spark, entity, step)
+    for part, rows in _parts(entity, found, rows):
+        folder = f"{stored}/{name}/{part}" if found.index else f"{stored}/{name}"
+        sent = _deliver(spark, job, entity, rows, dead, factory, folder, failures)
+        if found.load is not None and found.load.steps:
+            # what failed is in the dead letters, so the step is over
+            source = entity.source
+            mark_step(spark, found.load, source["checkpoint"], source["name"], part)
         check_fatal(sent)
         results = sent if results is None else results.unionByName(sent)
         check_budget(results, job.delivery.max_failed_batches)
     return results
 
 
+def _run_all(spark: SparkSession, report: JobReport, inputs: list[tuple[int, Entity, Input]],
+             work: Callable, concurrent: int, cancel: bool) -> tuple[list, list[Exception]]:
+    """(results, errors) of all entities, first error first.
+
+    Each entity runs in its own thread, job group, tag and scheduler pool, so that one
+    with many tasks does not hold up the others where the session shares fairly
+    (``spark.scheduler.mode`` FAIR) and its jobs can be told apart. With ``cancel`` the
+    first error ends what runs of the others and keeps the rest from starting.
+    """
+    sc = spark.sparkContext
+
+    def run(number: int, entity: Entity, found: Input):
+        name = f"{entity.spec.label}-{number}"
+        sc.setJobGroup(name, f"{entity.spec.kind} {entity.spec.label}")
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        sc.addJobTag(f"{report.run}.{name}")
+        return work(number, entity, found)
+
+    tables, errors = [], []
+    with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
+        # one wrapper per task: each keeps its own copy of the local properties
+        running = {pool.submit(inheritable_thread_target(spark)(run), n, e, found):
+                   f"{e.spec.label}-{n}" for n, e, found in inputs}
+        left = set(running)
+        while left:
+            ending = cancel and errors
+            if ending:
+                # again and again: one may just be between two jobs
+                for future in left:
+                    if not future.cancel():
+                        sc.cancelJobsWithTag(f"{report.run}.{running[future]}")
+            done, left = wait(left, 0.5 if ending else None, FIRST_COMPLETED)
+            for future in done:
+                error = None if future.cancelled() else future.exception()
+                if future.cancelled() or (ending and error is not None):
+                    report.called_off.append(running[future])
+                if error is not None:
+                    errors.append(error)
+                elif not future.cancelled() and future.result() is not None:
+                    tables.append(future.result())
+    return tables, errors
+
+
 def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None = None,
-            params: str | None = None, dry: bool = False, concurrent: int = 4) -> JobReport:
-    """Run all entities, several at a time, each under its own job group.
+            params: str | None = None, dry: bool = False, concurrent: int = 4,
+            on_error: str = "finish") -> JobReport:
+    """Run all entities, several at a time.
 
     Streams are started and returned running; wait with
     ``spark.streams.awaitAnyTermination()``. When an entity fails, the others run to
-    their end, streams are stopped, and the error carries the ``report`` of the rest.
+    their end, or are called off at once with ``on_error="cancel"`` (what a step that was
+    called off had sent is sent again by a later run: at least once); streams are stopped,
+    and the error carries the ``report`` of the rest.
     """
+    if on_error not in ("finish", "cancel"):
+        raise ValueError(f"unknown on_error {on_error!r}; use finish or cancel")
     for key, value in job.spark_conf.items():
         spark.conf.set(key, value)
-    report, started = JobReport(f"{time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"), \
-        time.monotonic()
+    report, started = JobReport(new_run()), time.monotonic()
     inputs = [(n, e, prepare_input(spark, e, params, plain=dry))
               for n, e in enumerate(job.entities)]
     inputs = [(n, e, found) for n, e, found in inputs if found is not None]
@@ -311,6 +395,7 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
     if factory is None and any(e.sink == "statements" for _, e, _ in inputs):
         raise ValueError("statement entities need an executor factory")
     run = scratch_path(spark, report.run)
+    report.failures = job.failures or f"{run}/failures"
 
     def work(number: int, entity: Entity, found: Input):
         try:
@@ -319,11 +404,7 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
             if found.indexed is not None:
                 remove(spark, found.indexed)
 
-    with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
-        # one wrapper per task: each keeps its own copy of the local properties
-        running = [pool.submit(inheritable_thread_target(spark)(work), *args) for args in inputs]
-    errors = [f.exception() for f in running if f.exception() is not None]
-    tables = [f.result() for f in running if f.exception() is None and f.result() is not None]
+    tables, errors = _run_all(spark, report, inputs, work, concurrent, on_error == "cancel")
     report.seconds = time.monotonic() - started
     if tables:
         results = reduce(DataFrame.unionByName, tables)

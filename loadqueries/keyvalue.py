@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from graphload.functions import key_part, key_prefix
 from graphload.operators.kv import edge_kv, sort_kv, vertex_kv, with_value, write_kv
+from graphload.operators.publish import (
+    current_set, publish_kv, read_kv, read_manifest, set_problems, sets_of,
+)
 from graphload.spec import EdgeSpec, VertexSpec
 from graphload.storage import cut_lineage, scratch_path
 
@@ -142,3 +145,27 @@ def kv_sorted(spark, sf_dir):
     return placed.withColumn("wrong", wrong).select(
         "part", "prefix", F.lower(F.hex("key")).alias("key"),
         F.col("value").cast("string").alias("value"), "wrong")
+
+
+@query(_EDGE_SQL + "SELECT part, prefix, count(*) AS rows, min(key) AS first_key, max(key) AS last_key, "
+       "sum(('0x' || substr(md5(key || value), 1, 8))::BIGINT)::BIGINT AS content, "
+       "2::BIGINT AS sets, 0::BIGINT AS problems FROM k GROUP BY part, prefix")
+def kv_published(spark, sf_dir):
+    """A set of half of the edges, a run that died before its manifest, and a whole set: what
+    readers see, beside what the manifest says of the files."""
+    path = scratch_path(spark, "published")
+    lines = table(spark, sf_dir, "lineitem")
+    publish_kv(edge_kv(lines.filter("l_orderkey % 2 = 0"), _EDGE_SPEC, INT_GRAPH), path, "one", 4)
+    write_kv(edge_kv(lines.filter("l_orderkey % 2 = 1"), _EDGE_SPEC, INT_GRAPH),
+             f"{path}/run=died", 4)
+    publish_kv(edge_kv(lines, _EDGE_SPEC, INT_GRAPH), path, "two", 6)
+    now = current_set(spark, path)
+    said = read_manifest(spark, now).groupBy("part", "prefix").agg(
+        F.sum("rows").alias("rows"), F.lower(F.hex(F.min("first_key"))).alias("first_key"),
+        F.lower(F.hex(F.max("last_key"))).alias("last_key"))
+    digest = F.conv(F.substring(F.md5(F.concat(F.lower(F.hex("key")), F.col("value").cast("string"))),
+                                1, 8), 16, 10).cast("bigint")
+    seen = read_kv(spark, path).groupBy("part", "prefix").agg(F.sum(digest).alias("content"))
+    return said.join(seen, ["part", "prefix"]).withColumns({
+        "sets": F.lit(len(sets_of(spark, path))).cast("bigint"),
+        "problems": F.lit(set_problems(spark, now).count()).cast("bigint")})

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from graphload.operators.delivery import (
     DeliveryOptions, FatalDeliveryError, TooManyFailures, check_budget, check_fatal,
-    clear_failures, reload, save_failures, write_batches, write_statements,
+    clear_failures, failures_exist, reload, save_failures, write_batches, write_statements,
 )
 from graphload.operators.propagation import cluster_count, peer_pressure
+from graphload.operators.resume import SourceChanged
 from graphload.operators.statements import render_items, statement_frame
 from graphload.operators.stats import load_stats
 from graphload.plans import Job, edges_of, run_job, vertices_of
@@ -16,7 +19,7 @@ from graphload.plans.job import prepare_input, prepared_rows
 from graphload.sources import read_statements, read_stream, register_source
 from graphload.spec import VertexSpec
 from graphload.storage import scratch_path
-from graphload.streaming import stream_load
+from graphload.streaming import StreamCounters, stream_load, stream_stats
 
 from .base import INT_GRAPH, query, sql_part_int, table
 
@@ -321,6 +324,91 @@ def resumed_job(spark, sf_dir):
     return sent.agg(F.sum("records").alias("customers"), F.lit(again).cast("bigint").alias("twice"))
 
 
+class Refuser:
+    """Takes nothing, row by row."""
+
+    def execute(self, statement: str) -> str | None:
+        return "refused"
+
+
+_STATEMENT = ("'INSERT VERTEX `customer`(`name`,`segment`) VALUES ' || c_custkey || ': (\"' || c_name "
+              "|| '\", \"' || {segment} || '\")' AS statement")
+
+
+@query(f"SELECT {_STATEMENT.format(segment='c_mktsegment')}, 1::BIGINT AS copies, TRUE AS noticed "
+       "FROM customer")
+def resumed_grown(spark, sf_dir):
+    """A load that is called off after its first step; before the next run two thirds of the
+    rows are added, above, below and between the keys of the first. The next run notices, and
+    sends each row that no step has sent. No executor takes any, so every row that is sent is
+    a dead letter."""
+    folder, dead = scratch_path(spark, "in"), scratch_path(spark, "failures")
+    source = {"type": "sliced", "of": {"type": "parquet", "path": folder}, "order_by": ["c_custkey"],
+              "parallel": 3, "steps": 4, "name": "customers",
+              "checkpoint": scratch_path(spark, "progress")}
+    customers, noticed = table(spark, sf_dir, "customer"), False
+    customers.filter("c_custkey % 3 = 1").write.parquet(folder)
+    try:
+        run_job(spark, _small_job(sf_dir, source, failures=dead), NoPermission)
+    except FatalDeliveryError:
+        pass
+    customers.filter("c_custkey % 3 <> 1").write.mode("append").parquet(folder)
+    try:
+        run_job(spark, _small_job(sf_dir, source, failures=dead), Refuser)
+    except SourceChanged:
+        noticed = True
+    job = _small_job(sf_dir, {**source, "on_change": "new"}, failures=dead)
+    run_job(spark, job, Refuser)
+    # everything has been sent
+    run_job(spark, job, Refuser)
+    return read_statements(spark, dead).groupBy("statement").agg(
+        F.count(F.lit(1)).alias("copies")).withColumn("noticed", F.lit(noticed))
+
+
+@query(f"SELECT {_STATEMENT.format(segment='c_mktsegment')}, 1::BIGINT AS copies FROM customer")
+def files_job(spark, sf_dir):
+    """A load in steps over the positions that the files give."""
+    dead = scratch_path(spark, "failures")
+    source = {"type": "sliced", "of": {"type": "parquet", "path": f"{sf_dir}/customer.parquet"},
+              "parallel": 3, "steps": 2}
+    run_job(spark, _small_job(sf_dir, source, failures=dead), Refuser)
+    return read_statements(spark, dead).groupBy("statement").agg(F.count(F.lit(1)).alias("copies"))
+
+
+_ZONE = "'Asia/Tokyo'"
+
+
+@query(f"SELECT {_STATEMENT.format(segment=_ZONE)} FROM customer")
+def job_settings(spark, sf_dir):
+    """The settings of a job hold while it runs: here the time zone, which its source asks for."""
+    source = {"type": "sql", "sentence": "SELECT c_custkey, c_name, current_timezone() AS "
+              f"c_mktsegment FROM parquet.`{sf_dir}/customer.parquet`"}
+    dead, before = scratch_path(spark, "failures"), spark.conf.get("spark.sql.session.timeZone")
+    job = _small_job(sf_dir, source, failures=dead,
+                     spark_conf={"spark.sql.session.timeZone": "Asia/Tokyo"})
+    try:
+        run_job(spark, job, Refuser)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    return read_statements(spark, dead)
+
+
+@query("SELECT least(20, count(*))::BIGINT AS shown, least(20, count(*))::BIGINT AS known, "
+       "0::BIGINT AS sent FROM customer")
+def dry_run_job(spark, sf_dir):
+    """A dry run of a whole job shows the first rows of its input and sends nothing."""
+    dead = scratch_path(spark, "failures")
+    source = {"type": "sliced", "of": {"type": "parquet", "path": f"{sf_dir}/customer.parquet"},
+              "order_by": ["c_custkey"], "parallel": 3, "checkpoint": scratch_path(spark, "none"),
+              "name": "customers"}
+    report = run_job(spark, _small_job(sf_dir, source, failures=dead), Refuser, dry=True)
+    shown = report.previews["customer-0"]
+    known = shown.join(table(spark, sf_dir, "customer"), shown.columns, "left_semi").count()
+    sent = read_statements(spark, dead).count() if failures_exist(spark, dead) else 0
+    return shown.agg(F.count(F.lit(1)).alias("shown"), F.lit(known).cast("bigint").alias("known"),
+                     F.lit(sent).cast("bigint").alias("sent"))
+
+
 @query("SELECT c_mktsegment AS entity, count(*) AS delivered FROM customer GROUP BY 1")
 def concurrent_entities(spark, sf_dir):
     """A job of one entity per market segment, several at a time, each with its own counters."""
@@ -388,6 +476,34 @@ def _event_stream(spark, folder, results, failures, state, factory=Accepter):
                 checkpoint=state, available_now=True).awaitTermination()
 
 
+@query("SELECT count(*) AS rows, count(*) FILTER (event_type = 'click') AS dropped, "
+       "2::BIGINT AS batches, count(*) FILTER (event_type <> 'click') AS record_success, "
+       "0::BIGINT AS record_failure FROM events")
+def stream_counters(spark, sf_dir):
+    """Counters of a stream while it runs (rows, dropped ones, micro-batches) and of its results."""
+    folder, results = scratch_path(spark, "in"), scratch_path(spark, "results")
+    events = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") != "click", F.col("event_id")).alias("event_id"), "event_type", "ts")
+    events.repartition(2, "ts").write.parquet(folder)
+    counters = StreamCounters()
+    spark.streams.addListener(counters)
+    try:
+        _event_stream(spark, folder, results, scratch_path(spark, "failures"),
+                      scratch_path(spark, "state"))
+        # progress is told after the micro-batch
+        for _ in range(100):
+            if sum(t["batches"] for t in counters.totals.values()) == 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counters)
+    total = next(iter(counters.totals.values()))
+    return stream_stats(spark, results).agg(
+        *[F.lit(total[n]).cast("bigint").alias(n) for n in ("rows", "dropped", "batches")],
+        F.sum("record_success").alias("record_success"),
+        F.sum("record_failure").alias("record_failure"))
+
+
 class ClickRefuser:
     def execute(self, statement: str) -> str | None:
         return "refused" if '"click"' in statement else None

@@ -10,11 +10,12 @@ from graphload.operators.prepare import (
     vertex_valid, with_composite_key,
 )
 from graphload.operators.rows import (
-    assign_batches, both_directions, by_graph_part, dedup_edges, dedup_vertices,
-    repartition_to, with_existence_rows,
+    assign_batches, both_directions, by_graph_part, by_measured_part, dedup_edges,
+    dedup_vertices, repartition_to, with_existence_rows,
 )
 from graphload.sources import sql_source
 from graphload.spec import EdgeSpec
+from graphload.storage import write_once
 
 from .base import PARTS, query, sql_part_int, sql_part_string, table
 
@@ -212,6 +213,30 @@ def part_histogram(spark, sf_dir):
     return routed.groupBy("part", "task").agg(F.count(F.lit(1)).alias("n"))
 
 
+_SKEWED = (f"SELECT CASE WHEN l_linenumber % 3 = 0 THEN 4 ELSE {sql_part_int('l_orderkey')} END "
+           "AS part FROM lineitem")
+
+
+@query(f"WITH r AS ({_SKEWED}), c AS (SELECT part, count(*) AS n FROM r GROUP BY part) "
+       "SELECT part, n, greatest(1, ceil(n / ((sum(n) OVER ()) / 24.0::DOUBLE)))::BIGINT AS slots, "
+       "TRUE AS even FROM c")
+def part_slots(spark, sf_dir):
+    """Rows routed by measured size, where one graph partition has a third of them: tasks of
+    each graph partition, and whether none has twice the mean of all."""
+    own = graph_part("l_orderkey", PARTS, "INT")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") % 3 == 0, 4).otherwise(own).alias("part"), "l_orderkey",
+        "l_linenumber")
+    tasks = by_measured_part(rows, 24).groupBy("part", F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("n"))
+    # one row for each task
+    tasks = write_once(tasks, name="tasks")
+    mean = tasks.agg(F.avg("n")).first()[0]
+    return tasks.groupBy("part").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("slots"),
+        F.lit(tasks.agg(F.max("n")).first()[0] < 2 * mean).alias("even"))
+
+
 @query("SELECT c_custkey::VARCHAR AS id, c_name FROM customer JOIN nation "
        "ON c_nationkey = n_nationkey WHERE c_custkey % 3 <> 0")
 def valid_sentence(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from graphload.operators.positions import read_file_slices
 from graphload.operators.slices import offset_splits, read_slices, source_count
 from graphload.sources import (
     cells_to_rows, project_json, read_lines, read_source, sql_source, stringify_columns,
@@ -142,6 +143,12 @@ def paged_resume(spark, sf_dir):
     return read_slices(orders, ["o_custkey", "o_orderkey"], offset_splits(total, 7, reached))
 
 
+@query(_PAGED.replace("ORDER BY o_custkey, o_orderkey", "ORDER BY o_orderkey").format(done=""))
+def paged_files(spark, sf_dir):
+    """Slices in the order of the rows in the files (they lie by o_orderkey)."""
+    return read_file_slices(_orders(spark, sf_dir), 7)
+
+
 @query("SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, "
        "o_orderdate::VARCHAR AS o_orderdate, o_orderpriority AS bytes, "
        "'[' || o_orderkey || ',' || o_custkey || ']' AS list, "

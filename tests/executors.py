@@ -1,6 +1,7 @@
 """Executors that write what they are sent to files, and refuse some of it."""
 
 import os
+import time
 import uuid
 
 
@@ -60,6 +61,15 @@ class Turning(Recorder):
         return "refused" if "5_" in statement else None
 
 
+class Slow:
+    """Takes its time, unless a statement calls the load off."""
+
+    def execute(self, statement):
+        if "Acme" in statement:
+            return "E_BAD_PERMISSION"
+        time.sleep(30)
+
+
 def recorded(folder):
     lines = []
     for name in sorted(os.listdir(folder)):

@@ -1,18 +1,24 @@
 import copy
 import json
 import os
+import re
 import sys
+import time
 import types
+from collections import Counter
 
 import pytest
 from pyspark.errors import PySparkException
 
-from executors import Recorder, recorded
+from executors import Recorder, Slow, recorded
 from graphload.__main__ import main
 from graphload.operators.delivery import FatalDeliveryError, TooManyFailures
+from graphload.operators.publish import current_set, read_kv, set_problems
+from graphload.operators.resume import SourceChanged
 from graphload.operators.slices import load_checkpoint
 from graphload.plans import Job, edges_of, run_job, vertices_of
 from graphload import storage
+from graphload.plans import job as job_module
 from graphload.plans.job import prepare_input, prepared_rows
 from graphload.sources import read_statements, register_source
 
@@ -301,3 +307,129 @@ def test_one_failing_entity_leaves_the_counters_of_the_others(spark, tables):
         run_job(spark, Job.from_dict(d), lambda: Recorder(log, ["Acme"]))
     done = {r.entity for r in caught.value.report.stats.collect()}
     assert done == {"person", "knows", "(total)"}
+
+
+def sliced(t, tmp_path, **more):
+    """A job of one entity whose source is read in steps with a checkpoint."""
+    d = describe(t)
+    d["edges"] = []
+    d["vertices"] = [{"label": "person", "id": "id", "fields": ["name", "age"], "source": {
+        "type": "sliced", "of": {"type": "parquet", "path": t["people"]}, "order_by": ["id"],
+        "parallel": 2, "checkpoint": str(tmp_path / "cp"), "name": "people", "steps": 2, **more}}]
+    return d
+
+
+def people(spark, ids):
+    return spark.createDataFrame([(i, f"n{i}", int(i), "a", "x") for i in ids],
+                                 "id string, name string, age int, k1 string, k2 string")
+
+
+def sent_names(log):
+    """How often each row was sent; the log is emptied."""
+    found = re.findall(r'"(n\d+)"', "\n".join(recorded(log)))
+    for name in os.listdir(log):
+        os.remove(os.path.join(log, name))
+    return Counter(found)
+
+
+def test_rows_that_come_between_two_runs_are_sent_once(spark, tables, tmp_path):
+    """100 rows and 10 smaller ones: none is lost, none is sent twice."""
+    log, folder = tables["log"], str(tmp_path / "many")
+    t = {**tables, "people": folder}
+    people(spark, [f"{i}" for i in range(100, 200)]).write.parquet(folder)
+    with pytest.raises(FatalDeliveryError):
+        run_job(spark, Job.from_dict(sliced(t, tmp_path)), lambda: Recorder(
+            log, ["n"], "E_BAD_PERMISSION"))
+    sent_names(log)
+    dead = Counter(r.statement for r in read_statements(spark, tables["dead"]).collect())
+    assert 0 < len(dead) < 100 and set(dead.values()) == {1}
+    people(spark, [f"{i}" for i in range(10, 20)]).write.mode("append").parquet(folder)
+    with pytest.raises(SourceChanged, match="had 100 rows, it has 110"):
+        run_job(spark, Job.from_dict(sliced(t, tmp_path)), lambda: Recorder(log))
+    assert not sent_names(log)
+    job = Job.from_dict(sliced(t, tmp_path, on_change="new"))
+    run_job(spark, job, lambda: Recorder(log))
+    second = sent_names(log)
+    assert set(second.values()) == {1} and len(second) + len(dead) == 110
+    assert not any(f'"{name}"' in statement for name in second for statement in dead)
+    run_job(spark, job, lambda: Recorder(log))
+    assert not sent_names(log)
+
+
+def test_a_checkpoint_needs_a_place_for_failures(tables, tmp_path):
+    d = sliced(tables, tmp_path)
+    Job.from_dict(d)
+    for change in (lambda d: d.pop("failures"), lambda d: d["vertices"][0]["source"].pop("name"),
+                   lambda d: d["vertices"][0].update(sink="kv")):
+        spoilt = copy.deepcopy(d)
+        change(spoilt)
+        with pytest.raises(ValueError):
+            Job.from_dict(spoilt)
+
+
+def test_dead_letters_lie_where_the_report_says(spark, tables):
+    d, log = describe(tables), tables["log"]
+    del d["failures"]
+    report = run_job(spark, Job.from_dict(d), lambda: Recorder(log, ["Acme"]))
+    lines = [r.statement for r in read_statements(spark, report.failures).collect()]
+    assert lines == ['INSERT VERTEX `firm`(`name`) VALUES 9: ("Acme")']
+
+
+def test_a_key_value_job_runs_again(spark, tables):
+    d = describe(tables, "kv")
+    first = run_job(spark, Job.from_dict(d))
+    people(spark, ["7"]).write.mode("append").parquet(tables["people"])
+    second = run_job(spark, Job.from_dict(d))
+    assert first.run != second.run
+    for name, path in second.kv_paths.items():
+        now = current_set(spark, f"{tables['kv']}/{name}")
+        assert (now.run, now.data) == (second.run, path)
+        assert set_problems(spark, now).isEmpty()
+    counts = {n: (spark.read.parquet(first.kv_paths[n]).count(),
+                  read_kv(spark, f"{tables['kv']}/{n}").count()) for n in second.kv_paths}
+    assert counts == {"person-0": (2, 3), "firm-1": (1, 1), "knows-2": (4, 4)}
+
+
+@pytest.mark.parametrize("concurrent", [3, 2])
+def test_a_fatal_entity_ends_the_others(spark, tables, concurrent):
+    """Running entities are called off, waiting ones do not start."""
+    started = time.monotonic()
+    with pytest.raises(FatalDeliveryError, match="E_BAD_PERMISSION") as caught:
+        run_job(spark, Job.from_dict(describe(tables)), Slow, concurrent=concurrent,
+                on_error="cancel")
+    assert time.monotonic() - started < 25
+    assert sorted(caught.value.report.called_off) == ["knows-2", "person-0"]
+    with pytest.raises(ValueError):
+        run_job(spark, Job.from_dict(describe(tables)), Slow, on_error="hope")
+
+
+def test_every_entity_has_its_pool_and_tag(spark, tables, monkeypatch):
+    seen = {}
+    deliver = job_module._deliver
+
+    def watched(session, job, entity, rows, name, *more):
+        sc = session.sparkContext
+        seen[name.split(".")[-1]] = (sc.getLocalProperty("spark.scheduler.pool"),
+                                     {t.split(".")[-1] for t in sc.getJobTags()})
+        return deliver(session, job, entity, rows, name, *more)
+
+    monkeypatch.setattr(job_module, "_deliver", watched)
+    log = tables["log"]
+    run_job(spark, Job.from_dict(describe(tables)), lambda: Recorder(log))
+    assert seen == {n: (n, {n}) for n in ("person-0", "firm-1", "knows-2")}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_slices_in_the_order_of_the_files(spark, tables):
+    d, log = describe(tables), tables["log"]
+    d["edges"] = []
+    d["vertices"] = [{"label": "person", "id": "id", "fields": ["name"], "targets": ["name"],
+                      "filter": "age < 50", "source": {
+                          "type": "sliced", "of": {"type": "parquet", "path": tables["people"]},
+                          "parallel": 2, "steps": 2}}]
+    run_job(spark, Job.from_dict(d), lambda: Recorder(log))
+    text = "\n".join(recorded(log))
+    assert text.count("Ann") == text.count("Bob") == 1 and "Cem" not in text
+    d["vertices"][0]["source"]["of"] = {"type": "json", "path": tables["firms"]}
+    with pytest.raises(ValueError, match="order_by"):
+        Job.from_dict(d)
