@@ -57,10 +57,14 @@ class TooManyFailures(RuntimeError):
 class DeliveryOptions:
     """How to send.
 
-    ``rate_per_partition`` is statements a second and task; a batch waits for its
-    permit. With ``rate_timeout_s`` a batch whose permit is further away is given up
-    and kept as failed. ``max_failed_batches`` is counted in each task; the load as a
-    whole is checked against it afterwards.
+    ``rate`` is statements a second of the whole load: its permits are dealt to the tasks
+    that run at a time (``running_tasks``; ``tasks`` is their number where the caller knows
+    it), so the rate is the same with few tasks and with many, and lower only while the last
+    ones end.
+    ``rate_per_partition`` is statements a second and task. A batch waits for its permit;
+    with ``rate_timeout_s`` a batch whose permit is further away is given up and kept as
+    failed. ``max_failed_batches`` is counted in each task; the load as a whole is checked
+    against it afterwards.
     """
 
     batch: int = 500
@@ -71,15 +75,20 @@ class DeliveryOptions:
     max_failed_batches: int | None = None
     rate_per_partition: float | None = None
     rate_timeout_s: float | None = None
+    rate: float | None = None
+    tasks: int | None = None
 
 
 class _Pace:
-    """Permits at a fixed rate; with a timeout, one that is further away is refused."""
+    """Permits at a fixed rate; with a timeout, one that is further away is refused.
 
-    def __init__(self, rate: float | None, timeout: float | None):
+    The first is free at once, or after one step where many short tasks share a rate.
+    """
+
+    def __init__(self, rate: float | None, timeout: float | None, shared: bool = False):
         self.step = 0.0 if rate is None else 1.0 / rate
         self.timeout = timeout
-        self.free_at = time.monotonic()
+        self.free_at = time.monotonic() + (self.step if shared else 0.0)
 
     def take(self) -> bool:
         now = time.monotonic()
@@ -99,7 +108,8 @@ class _Sender:
 
     def __init__(self, factory: Callable[[], object], frame: Frame, options: DeliveryOptions):
         self.frame, self.options = frame, options
-        self.pace = _Pace(options.rate_per_partition, options.rate_timeout_s)
+        self.pace = _Pace(options.rate_per_partition, options.rate_timeout_s,
+                          options.rate is not None)
         self.failed_batches = 0
         self.fatal = self.error = self.executor = None
         try:
@@ -180,6 +190,31 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Array]:
         yield waiting
 
 
+def running_tasks(items: DataFrame, tasks: int | None = None) -> int:
+    """How many tasks of ``items`` run at a time: as many as it has, or as the cluster takes.
+
+    Adaptive execution settles the number of ``tasks`` when a plan runs, so for plans that
+    it steers the cluster's is taken, as it is when the load begins, unless the caller knows.
+    """
+    sc = items.sparkSession.sparkContext._jsc.sc()
+    most = sc.maxNumConcurrentTasks(sc.resourceProfileManager().defaultResourceProfile())
+    plan = items._jdf.queryExecution().executedPlan()
+    if tasks is None:
+        steered = plan.nodeName().startswith("AdaptiveSparkPlan")
+        tasks = most if steered else plan.execute().getNumPartitions()
+    return max(1, min(most, tasks))
+
+
+def _task_rate(items: DataFrame, options: DeliveryOptions) -> DeliveryOptions:
+    """``options`` with the rate of one task."""
+    if options.rate is None:
+        return options
+    own = options.rate / running_tasks(items, options.tasks)
+    if options.rate_per_partition is not None:
+        own = min(own, options.rate_per_partition)
+    return replace(options, rate_per_partition=own)
+
+
 def deliver(items: DataFrame, entity: str, frame: Frame, factory: Callable[[], object],
             options: DeliveryOptions = DeliveryOptions()) -> DataFrame:
     """Lazy result rows, one per batch of consecutive rows of a task; no shuffle.
@@ -189,6 +224,9 @@ def deliver(items: DataFrame, entity: str, frame: Frame, factory: Callable[[], o
     """
     if options.batch <= 0:
         raise ValueError("batch must be positive")
+    if options.rate is not None and options.rate <= 0:
+        raise ValueError("the rate must be positive")
+    options = _task_rate(items, options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()

@@ -77,8 +77,8 @@ class Entity:
         if self.resumable and self.sink == "kv":
             raise ValueError(f"{self.spec.label}: key/value files are written whole; "
                              "leave out the checkpoint of the source")
-        if (self.source["type"].lower() == "sliced" and not self.source.get("order_by")
-                and not self.resumable and self.source["of"]["type"].lower() != "parquet"):
+        if (self.sliced and not self.source.get("order_by") and not self.resumable
+                and self.source["of"]["type"].lower() != "parquet"):
             raise ValueError(f"{self.spec.label}: only Parquet files give an order; name order_by")
         if self.resumable and "name" not in self.source:
             raise ValueError(f"{self.spec.label}: a checkpoint needs a name")
@@ -89,9 +89,13 @@ class Entity:
     def streaming(self) -> bool:
         return self.source["type"].lower() in STREAMS
 
+    @property
+    def sliced(self) -> bool:
+        return self.source["type"].lower() == "sliced"
+
     @property
     def resumable(self) -> bool:
-        return self.source["type"].lower() == "sliced" and bool(self.source.get("checkpoint"))
+        return self.sliced and bool(self.source.get("checkpoint"))
 
     @staticmethod
     def from_dict(kind: str, d: dict) -> "Entity":
@@ -221,8 +225,7 @@ def _read(spark: SparkSession, entity: Entity, fields: list[str], params: str |
     rows of a Parquet source keep the order of its files, and nothing is sorted or copied.
     ``plain`` gives the rows of the other source as they are and writes nothing.
     """
-    source = entity.source
-    sliced = source["type"].lower() == "sliced"
+    source, sliced = entity.source, entity.sliced
     rows = read_source(spark, resolve_paths(source["of"] if sliced else source, params), fields)
     if rows is None or not sliced or plain:
         return None if rows is None else Input(rows)
@@ -284,8 +287,11 @@ def _deliver(spark: SparkSession, job: Job, entity: Entity, rows: DataFrame, nam
              stored: str, failures: str) -> DataFrame:
     """Send rows once; what failed is saved before anything calls the load off."""
     items = render_items(rows, entity.spec, job.target)
+    options = replace(job.delivery, batch=entity.batch)
+    if entity.partition > 0 and not entity.sliced:
+        options = replace(options, tasks=options.tasks or entity.partition)
     results = write_batches(items, entity.spec.label, statement_frame(entity.spec), factory,
-                            replace(job.delivery, batch=entity.batch), stored)
+                            options, stored)
     save_failures(results, failures, name)
     return results
 
@@ -396,6 +402,12 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
         raise ValueError("statement entities need an executor factory")
     run = scratch_path(spark, report.run)
     report.failures = job.failures or f"{run}/failures"
+    if job.delivery.rate is not None:
+        # one rate for all entities that deliver at a time; streams all do
+        sending = [e for _, e, _ in inputs if e.sink == "statements"]
+        streams = sum(e.streaming for e in sending)
+        at_once = max(1, streams + min(max(1, concurrent), len(sending) - streams))
+        job = replace(job, delivery=replace(job.delivery, rate=job.delivery.rate / at_once))
 
     def work(number: int, entity: Entity, found: Input):
         try:

@@ -9,6 +9,7 @@ classic (not a remote) session gives access to.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,19 +56,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# One thread at a time turns adaptive execution off and on again.
+_LAYOUT = threading.Lock()
+
+
 def keep_layout(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out by ``keys`` and checkpoint them so that later joins on the keys see it.
 
     Adaptive execution hides how the rows of a plan are laid out, so it is off meanwhile.
+    Threads wait for each other, so that none takes "off" for the setting to go back to;
+    another query that is planned meanwhile goes without, which changes no result.
     """
     spark = df.sparkSession
     shared_dir(spark)
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.repartition(*keys).checkpoint()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+    with _LAYOUT:
+        before = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df.repartition(*keys).checkpoint()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 def write_once(df: DataFrame, path: str | None = None, name: str = "table") -> DataFrame:

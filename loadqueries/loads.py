@@ -220,6 +220,20 @@ def deliver_paced(spark, sf_dir):
         DeliveryOptions(batch=100, rate_per_partition=20.0)))
 
 
+@query("SELECT count(*) AS delivered, 0::BIGINT AS refused, TRUE AS held FROM customer")
+def deliver_one_rate(spark, sf_dir):
+    """A limit for the whole load holds with one task and with four, and loses nothing."""
+    rows, held, results = table(spark, sf_dir, "customer").count(), True, None
+    for tasks in (1, 4):
+        started = time.monotonic()
+        results = write_batches(_customer_items(spark, sf_dir, tasks), "customer",
+                                statement_frame(_CUSTOMER), Accepter,
+                                DeliveryOptions(batch=10, rate=rows / 30, tasks=tasks))
+        # a tenth of the rows are statements, at a thirtieth of them a second
+        held = held and time.monotonic() - started >= 2.9
+    return _totals(results).withColumn("held", F.lit(held))
+
+
 @query("SELECT count(*) FILTER (c_mktsegment <> 'HOUSEHOLD') AS delivered, "
        "count(*) FILTER (c_mktsegment = 'HOUSEHOLD') AS refused FROM customer")
 def deliver_dropped(spark, sf_dir):

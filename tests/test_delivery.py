@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from executors import Flaky, Raising, Recorder, Turning, connections, recorded
 from graphload.operators.delivery import (
     DeliveryOptions, FatalDeliveryError, TooManyFailures, check_budget, check_fatal,
-    clear_failures, failures_exist, reload, save_failures, write_batches, write_statements,
+    clear_failures, failures_exist, reload, running_tasks, save_failures, write_batches,
+    write_statements,
 )
 from graphload.operators.statements import Frame
 from graphload.operators.stats import load_stats
@@ -147,6 +148,27 @@ def test_a_rate_limit_loses_nothing(spark, tmp_path):
     assert results.agg(F.sum("failed")).first()[0] == 0 and len(recorded(folder)) == 5
 
 
+@pytest.mark.parametrize("parts", [1, 4, 40])
+def test_one_rate_whatever_the_number_of_tasks(spark, tmp_path, parts):
+    """80 statements at 20 a second take 4 seconds and a little, by one task or by many."""
+    folder = str(tmp_path)
+    started = time.monotonic()
+    results = send(spark, 80, lambda: Recorder(folder), parts, batch=1, rate=20.0)
+    took = time.monotonic() - started
+    assert len(recorded(folder)) == 80 and results.agg(F.sum("failed")).first()[0] == 0
+    assert 4.0 <= took < 10.0
+
+
+def test_tasks_that_run_at_a_time(spark):
+    four = spark.sparkContext.defaultParallelism
+    assert running_tasks(spark.range(0, 9, 1, 2)) == 2
+    assert running_tasks(spark.range(0, 99, 1, 33)) == four
+    shuffled = spark.range(9).repartition(2)
+    assert running_tasks(shuffled) == four and running_tasks(shuffled, 2) == 2
+    with pytest.raises(ValueError):
+        send(spark, 1, object, parts=1, rate=0)
+
+
 def test_giving_up_on_a_permit_is_asked_for_and_is_a_failure(spark, tmp_path):
     folder = str(tmp_path)
     results = send(spark, 30, lambda: Recorder(folder), parts=1, rate_per_partition=0.5,

@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -73,3 +74,12 @@ def test_write_once_keeps_the_schema(spark):
     assert table.dtypes == rows.dtypes and table.count() == 3
     named = storage.shared_dir(spark)
     assert any(named in f for f in table.inputFiles())
+
+
+def test_threads_leave_adaptive_execution_as_it_was(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    with ThreadPoolExecutor(4) as pool:
+        frames = [pool.submit(storage.keep_layout, spark.range(100).selectExpr("id", f"id % {n} AS k"),
+                              "k") for n in range(2, 10)]
+        assert all(f.result().count() == 100 for f in frames)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before == "true"
