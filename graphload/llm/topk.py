@@ -100,9 +100,13 @@ class Searcher:
         dims = min(len(columns), len(self.columns))
         columns = columns[:dims]
         rests = _lengths(columns)
-        top = max(np.abs(columns).max(initial=0), 1) * max(np.abs(self.columns).max(initial=0), 1)
-        # sums of whole numbers below 2^53 are exact in doubles, and quicker
-        kind = np.float64 if float(top) * max(dims, 1) < 2.0 ** 53 else np.int64
+        # as floats: the smallest long has no positive one
+        top = (max(float(np.abs(columns.astype(np.float64)).max(initial=0)), 1.0)
+               * max(float(np.abs(self.columns.astype(np.float64)).max(initial=0)), 1.0))
+        most = top * max(dims, 1)
+        # sums of whole numbers below 2^53 are exact in doubles, and quicker; those that
+        # may not fit 64 bits are added as Python's numbers
+        kind = np.float64 if most < 2.0 ** 53 else np.int64 if most < 2.0 ** 62 else object
         columns = columns.astype(kind)
         for q, own in enumerate(self.ids):
             self._query(q, own, self.columns[:dims, q].astype(kind), ids, columns, rests)
@@ -114,14 +118,15 @@ class Searcher:
         floor = known_scores[-1] if len(known_scores) == self.k else None
         if floor is None and len(ids) > 4 * self.k:
             # whole scores of the best beginnings give the first floor
-            begin = np.argpartition(-partial, 2 * self.k)[:2 * self.k + 1]
+            begin = np.argpartition(-partial.astype(np.float64), 2 * self.k)[:2 * self.k + 1]
             begin = begin[ids[begin] != own]
             sums = np.sort(query @ columns[:, begin])[::-1]
             floor = sums[self.k - 1] if len(sums) >= self.k else None
         for s in range(1, len(rests)):
             if floor is not None:
                 here = rests[s] if alive is None else rests[s][alive]
-                most = partial + self.rests[min(s, len(self.rests) - 1)][q] * here
+                most = (partial.astype(np.float64, copy=False)
+                        + self.rests[min(s, len(self.rests) - 1)][q] * here)
                 # room for rounding: a bound may be too high, never too low
                 keep = most * (1 + 1e-9 * np.sign(most)) + 1e-6 >= floor
                 if not keep.all():
@@ -134,7 +139,10 @@ class Searcher:
         found = ids if alive is None else ids[alive]
         self.scored += len(found)
         other = found != own
-        scores = np.concatenate([known_scores, partial[other].astype(np.int64)])
+        fresh = partial[other]
+        if fresh.dtype == object:
+            fresh = np.clip(fresh, 1 - (1 << 63), (1 << 63) - 1)
+        scores = np.concatenate([known_scores, fresh.astype(np.int64)])
         found = np.concatenate([known_ids, found[other]])
         first = np.lexsort((found, -scores))[:self.k]
         self.best[q] = (scores[first], found[first])
@@ -178,6 +186,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCALE
     ends in zeros. Rows that repeat a vec_id are candidates each, but never for
     their own id, and ask once, with the vector that sorts last. Equal scores go to
     the smaller id; a query without other rows, like an empty table, gives no row.
+    Scores are exact; one beyond 63 bits and a sign is cut to them, and so is a
+    component; among such the smaller id comes first.
     """
     whole = (vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull())
              .filter(usable(F.col("embedding"))))

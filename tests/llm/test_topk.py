@@ -51,6 +51,21 @@ def test_awkward(spark):
     assert search(spark, []) == []
 
 
+def test_huge_scores(spark):
+    """What does not fit 64 bits is at the end of their range, on the right side."""
+    rows = [(0, [1e10, 1e10]), (1, [1e10, 1e10]), (2, [1e10, -1e10]), (3, [1.0, 2.0]),
+            (4, [-1e10, -1e10]), (6, [1e9, 1e9]), *[(i, [float(i), 1.0]) for i in range(11, 40)]]
+    clip = lambda x: max(1 - 2 ** 63, min(2 ** 63 - 1, x))
+    expected = {(q, i): clip(s) for q, _, i, s in plain(rows, 99)}
+    found = search(spark, rows, k=99)
+    assert {(q, i): s for q, _, i, s in found} == expected
+    for q in {q for q, _ in expected}:
+        mine = [(-s, i) for a, _, i, s in sorted(found) if a == q]
+        assert mine == sorted(mine) and [r for a, r, _, _ in sorted(found) if a == q] == list(
+            range(1, len(mine) + 1))
+    assert [i for q, _, i, _ in search(spark, rows, k=2) if q == 0] == [1, 6]
+
+
 def test_pruning():
     """Most candidates are dropped before their last dimensions."""
     rng = np.random.default_rng(0)
