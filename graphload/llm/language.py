@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import small_slices, table, text_buffer
+from .common import settled, small_slices, table, text_buffer
 
 ORDERS = (3, 4)
 BITS = 16
@@ -120,26 +120,36 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def learning_rows(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE,
                   most: int = MOST_ROWS) -> DataFrame:
-    """(lang, order, windows) of the sample: the first rows of each language by hash."""
+    """(lang, order, windows) of the sample: the first rows of each language by hash.
+
+    Rows that are alike in doc_id, language and text count once; rows of one doc_id with
+    other texts are other rows, so the bounds hold however ids repeat.
+    """
     order = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40))
     labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()
                            & F.col("doc_id").isNotNull())
-    # rows beyond twice the share that is wanted are left out before any language is gathered
+    # ids beyond twice the share that is wanted are left out before any language is gathered
     share = labelled.groupBy("lang").agg(
-        (2 * per_language * float(1 << 40) / F.count(F.lit(1))).alias("most"))
-    near = (labelled.select("doc_id", "lang", order.alias("order")).join(share, "lang")
-            .filter(F.col("order") < F.col("most")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
+        (2 * per_language * float(1 << 40) / F.approx_count_distinct("doc_id")).alias("most"))
+    key = ["doc_id", "lang", "text_key"]
+    keyed = labelled.withColumns({"order": order, "text_key": F.xxhash64("text")})
+    # written, or Spark would deal all rows out by language for the window
+    near = settled(keyed.select("order", *key).join(share, "lang").filter(
+        F.col("order") < F.col("most")).select("order", *key).distinct())
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", *key))
     chosen = (near.withColumn("place", place).filter(F.col("place") <= per_language)
-              .orderBy("place", "lang", "doc_id").limit(most).select("doc_id").distinct())
-    # at most ``most`` ids, whatever the data
-    return (labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
-            .select("text", "lang", order.alias("order"))
+              .orderBy("place", "lang", "doc_id", "text_key").limit(most).select(*key))
+    # at most ``most`` rows, whatever the data
+    return (keyed.select("order", "text", *key).join(F.broadcast(chosen), key, "left_semi")
+            .dropDuplicates(key).select("text", "lang", "order")
             .mapInArrow(_sample_windows, "lang string, order long, windows array<int>"))
 
 
 def fit(rows: list) -> LanguageModel:
-    """Train and calibrate on rows of (lang, order, windows)."""
+    """Train and calibrate on rows of (lang, order, windows).
+
+    Every fifth row calibrates and is not learned from, unless its language has no other.
+    """
     rows = sorted((r for r in rows if len(r["windows"])),
                   key=lambda r: (r["order"], r["lang"], r["windows"]))
     languages = tuple(sorted({r["lang"] for r in rows}))
@@ -147,13 +157,14 @@ def fit(rows: list) -> LanguageModel:
         return LanguageModel((), np.zeros((1 << BITS, 1)), None, np.zeros(1), 1.0, 0.0)
     x = np.array([r["windows"] for r in rows], np.int64)
     y = np.array([languages.index(r["lang"]) for r in rows])
-    held = np.arange(len(rows)) % 5 == 0 if len(rows) >= 50 else np.zeros(len(rows), bool)
+    held = np.arange(len(rows)) % 5 == 0
+    alone = np.bincount(y[~held], minlength=len(languages))[y] == 0
     rng = np.random.default_rng(SEED)
     e = rng.normal(0, 0.1, (1 << BITS, DIMS))
     w = rng.normal(0, 0.1, (DIMS, len(languages)))
-    b = np.log(np.bincount(y[~held], minlength=len(languages)) + 1.0)
+    learn = np.flatnonzero(~held | alone)
+    b = np.log(np.bincount(y[learn], minlength=len(languages)) + 1.0)
     b -= b.mean()
-    learn = np.flatnonzero(~held)
     epochs = -(-STEPS * BATCH // len(learn))
     steps, step = epochs * -(-len(learn) // BATCH), 0
     for _ in range(epochs):
@@ -174,18 +185,16 @@ def fit(rows: list) -> LanguageModel:
             weight = np.zeros((len(places), len(part)))
             np.add.at(weight, (where.ravel(), doc), 1.0)
             e[places] -= BUCKET_RATE * rate * weight @ back
-    temperature, level = 1.0, 0.0
-    if held.any():
-        scores = e[x[held]].mean(axis=1) @ w + b
-        losses = {}
-        for t in np.geomspace(0.5, 10, 41):
-            p = _softmax(scores / t)
-            losses[t] = -np.log(np.maximum(p[np.arange(len(p)), y[held]], 1e-12)).mean()
-        # of the temperatures that are as good, the most careful one
-        best = min(losses.values())
-        temperature = float(max(t for t, loss in losses.items() if loss <= best + 1e-3))
-        sure = _softmax(scores / temperature).max(axis=1)
-        level = float(min(SURE, np.quantile(sure, 1 - KEEP)))
+    scores = e[x[held]].mean(axis=1) @ w + b
+    losses = {}
+    for t in np.geomspace(0.5, 10, 41):
+        p = _softmax(scores / t)
+        losses[t] = -np.log(np.maximum(p[np.arange(len(p)), y[held]], 1e-12)).mean()
+    # of the temperatures that are as good, the most careful one
+    best = min(losses.values())
+    temperature = float(max(t for t, loss in losses.items() if loss <= best + 1e-3))
+    sure = _softmax(scores / temperature).max(axis=1)
+    level = float(min(SURE, np.quantile(sure, 1 - KEEP)))
     narrow = len(languages) <= DIMS
     return LanguageModel(languages, e @ w if narrow else e, None if narrow else w, b,
                          temperature, level)
