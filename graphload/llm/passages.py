@@ -21,6 +21,7 @@ distinct; a piece of a sentence at its end that is too short for a unit stays.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
@@ -43,8 +44,20 @@ CONTEXT = WINDOW + GROUP
 ROWS = 1 << 15
 
 # ASCII marks need white space after them; ideographic, Devanagari, Arabic, Ethiopic,
-# Burmese and Khmer full stops do not, and take the closing quotes and brackets after them
-_END = re.compile(r"[.!?][^\w\s]*(?=\s)|[。｡！？।॥۔؟።။។]+[.!?”’»)\]）」』】〉》]*|\n")
+# Burmese and Khmer full stops do not, and take the closing quotes and brackets after them.
+# Each pattern begins with one set of characters, for which it looks quickly.
+_STOPS = "。｡！？।॥۔؟።။។"
+_END = re.compile(rf"[.!?\n{_STOPS}](?:(?<=\n)|(?<=[.!?])[^\w\s]*(?=\s)"
+                  rf"|(?<=[{_STOPS}])[{_STOPS}]*[.!?”’»)\]）」』】〉》]*)")
+_ASCII_END = re.compile(r"[.!?\n](?:(?<=\n)|[^\w\s]*(?=\s))")
+
+
+def unit_ends(text: str) -> Iterator[int]:
+    """Where units may end, the end of the text last."""
+    for m in (_ASCII_END if text.isascii() else _END).finditer(text):
+        yield m.end()
+    yield len(text)
+
 
 _HAN = re.compile("[\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
@@ -58,7 +71,7 @@ _TOKEN = re.compile(rf"[{_NO_BLANKS}]|[^\s{_NO_BLANKS}]+")
 def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """(first character, end, lower-cased words) of every unit that has words."""
     begin = 0
-    for end in (*(m.end() for m in _END.finditer(text)), len(text)):
+    for end in unit_ends(text):
         part = text[begin:end]
         words = part.lower().split()
         if words:
@@ -68,6 +81,16 @@ def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
         begin = end
 
 
+def unit_words_of(text: str) -> Iterator[list[str]]:
+    """The words of ``units`` alone."""
+    begin = 0
+    for end in unit_ends(text):
+        words = text[begin:end].lower().split()
+        if words:
+            yield words
+        begin = end
+
+
 def long_enough(words: list[str], unit_words: int) -> bool:
     """Whether a unit is hashed: by its words, or by its characters without the blanks.
 
@@ -95,15 +118,31 @@ def long_piece(piece: list[str], unit_words: int) -> bool:
     return long_enough(piece, unit_words + sum(1 for t in piece if _LONE.match(t)))
 
 
-def windows(text: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first token, two halves of the digest) of the windows that stand for a text."""
-    n = len(text) - WINDOW + 1
+class Hashes(dict):
+    """64 bits of a word, kept for the next time it comes; emptied when many are held."""
+
+    MOST = 1 << 19
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+def windows(each: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first token, two halves of the digest) of the windows that stand for texts.
+
+    ``each`` has the hash of every token of all texts one after the other, ``ends`` the end
+    of each text; a window lies in one text.
+    """
+    n = len(each) - WINDOW + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none
-    each = np.fromiter(map(xxhash.xxh3_64_intdigest, text), np.uint64, len(text))
     order = np.argsort(each, kind="stable")
     same = each[order[1:]] == each[order[:-1]]
+    # the place before where a token stood; in another text it is before any window of this one
     before = np.full(len(each), -1)
     before[order[1:][same]] = order[:-1][same]
     starts, distinct = np.arange(n), np.zeros(n, np.int8)
@@ -117,53 +156,80 @@ def windows(text: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     high ^= high >> np.uint64(29)
     most = np.uint64(0xFFFFFFFFFFFFFFFF)
     value = np.where(distinct >= WINDOW_DISTINCT, high, most)
-    if n <= GROUP:
-        chosen = np.array([value.argmin()])
-    else:
+    begins = np.concatenate([[0], ends[:-1]])
+    counts = ends - begins - WINDOW + 1
+    # the least of all windows of a short text, the least of every GROUP neighbours of others
+    chosen = [np.array([b + value[b:b + c].argmin() for b, c in zip(
+        begins[(0 < counts) & (counts <= GROUP)].tolist(),
+        counts[(0 < counts) & (counts <= GROUP)].tolist())], np.int64)]
+    long = counts > GROUP
+    if long.any():
         groups = np.lib.stride_tricks.sliding_window_view(value, GROUP)
-        chosen = np.unique(groups.argmin(axis=1) + np.arange(len(groups)))
+        sizes = counts[long] - GROUP + 1
+        firsts = np.repeat(begins[long] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        chosen.append(np.unique(groups[firsts].argmin(axis=1) + firsts))
+    chosen = np.sort(np.concatenate(chosen))
     chosen = chosen[value[chosen] != most]
     return chosen, high[chosen].view(np.int64), low[chosen].view(np.int64)
 
 
 _SPANS = ArrayType(StructType().add("start", "integer").add("size", "integer")
-                   .add("units", "integer"))
-# at: first token; size: tokens of a unit, 0 for a window
+                   .add("units", "integer").add("blanks", "integer"))
+# at: first token; size: tokens of a unit, 0 for a window; -1: at is the number of units
 _PLACES = "high long, low long, doc_id long, text_key long, at int, size int"
 _ENDS = "doc_id long, text_key long, a_id long, a_key long, right boolean, a_at int, at int"
 _CONTEXTS = "a_id long, a_key long, right boolean, a_at int, context string"
 
 
+# Tokens whose windows are made at once.
+TOKENS = 1 << 16
+
+
 def _emit(unit_words: int):
+    """Places of all units and windows, and one row with size -1 and the number of units
+    for each text."""
     schema = pa.schema([("high", pa.int64()), ("low", pa.int64()), ("doc_id", pa.int64()),
                         ("text_key", pa.int64()), ("at", pa.int32()), ("size", pa.int32())])
+    hashes = Hashes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[] for _ in schema]
+        each, texts = array("Q"), []
 
         def flush():
+            ends = np.array([t[2] for t in texts], np.int64)
+            at, high, low = windows(np.frombuffer(each, np.uint64), ends)
+            of = np.searchsorted(ends, at, "right")
+            begins = np.concatenate([[0], ends[:-1]])
+            ids = pa.array([t[0] for t in texts], pa.int64()).take(pa.array(of))
+            keys = pa.array([t[1] for t in texts], pa.int64()).take(pa.array(of))
+            more = (pa.array(high), pa.array(low), ids, keys,
+                    pa.array((at - begins[of]).astype(np.int32)),
+                    pa.array(np.zeros(len(at), np.int32)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(held, schema)], schema=schema)
+                [pa.concat_arrays([pa.array(c, f.type), m])
+                 for c, m, f in zip(held, more, schema)], schema=schema)
 
         for batch in batches:
             for doc_id, key, text in zip(*(batch.column(n).to_pylist()
                                            for n in ("doc_id", "text_key", "text"))):
-                whole: list[str] = []
-                for _, _, words in units(text):
-                    cut = tokens(words)
+                begin, count = len(each), 0
+                lone = not text.isascii() and _LONE.search(text) is not None
+                for words in unit_words_of(text):
+                    cut, count = tokens(words) if lone else words, count + 1
                     if long_enough(words, unit_words):
-                        for column, value in zip(held, (*unit_digest(words), doc_id, key,
-                                                        len(whole), len(cut))):
+                        high, low = unit_digest(words)
+                        for column, value in zip(held, (high, low, doc_id, key,
+                                                        len(each) - begin, len(cut))):
                             column.append(value)
-                    whole += cut
-                at, high, low = windows(whole)
-                for column, values in zip(held, (high.tolist(), low.tolist(), [doc_id] * len(at),
-                                                 [key] * len(at), at.tolist(), [0] * len(at))):
-                    column += values
-                if len(held[0]) >= ROWS:
+                    each.extend(map(hashes.__getitem__, cut))
+                for column, value in zip(held, (0, 0, doc_id, key, count, -1)):
+                    column.append(value)
+                texts.append((doc_id, key, len(each)))
+                if len(each) >= TOKENS or len(held[0]) >= ROWS:
                     yield flush()
-                    held = [[] for _ in schema]
-        if held[0]:
+                    held, each, texts = [[] for _ in schema], array("Q"), []
+        if texts:
             yield flush()
     return run
 
@@ -308,13 +374,13 @@ def cleaned(text: str, again: set[int], unit_words: int, min_words: int,
     kept, done, spans, words = [], 0, [], 0
     for start, end in merged:
         words += len(text[start:end].split())
-        spans.append({"start": start, "size": end - start, "units": sum(
-            start <= a and b <= end for a, b, _ in found)})
         kept.append(text[done:start])
         # a run that ends its line takes the blanks before the line's end with it
         rest = text[end:]
         gap = rest[:len(rest) - len(rest.lstrip())]
         done = end + (gap.index("\n") if "\n" in gap else len(gap))
+        spans.append({"start": start, "size": end - start, "units": sum(
+            start <= a and b <= end for a, b, _ in found), "blanks": done - end})
     kept.append(text[done:])
     return "".join(kept), len(found), words, spans
 
@@ -333,21 +399,32 @@ def _cut(text: str, again: list[dict], around: list[dict], unit_words: int, min_
 
 
 def _clean(unit_words: int, min_words: int):
+    """Texts with places that occur earlier are cut; the others go through as they are."""
+    spans_type = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32()),
+                                     ("units", pa.int32()), ("blanks", pa.int32())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans_type = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32()),
-                                         ("units", pa.int32())]))
         for batch in batches:
-            texts, counts, words, spans = [], [], [], []
-            for text, again, around in zip(*(batch.column(n).to_pylist()
-                                             for n in ("text", "again", "around"))):
-                out = ((None, 0, 0, []) if text is None
-                       else _cut(text, again, around or [], unit_words, min_words) if again
-                       else (text, sum(1 for _ in units(text)), 0, []))
-                for column, value in zip((texts, counts, words, spans), out):
-                    column.append(value)
+            n = batch.num_rows
+            touched = np.flatnonzero(batch.column("again").is_valid().to_numpy(
+                zero_copy_only=False))
+            rows = batch.take(pa.array(touched))
+            cut = [_cut(text, again, around or [], unit_words, min_words)
+                   for text, again, around in zip(*(rows.column(c).to_pylist()
+                                                    for c in ("text", "again", "around")))]
+            place = np.arange(n)
+            place[touched] = n + np.arange(len(cut))
+            place = pa.array(place)
+
+            def whole(column: pa.Array, values: list) -> pa.Array:
+                return pa.concat_arrays([column, pa.array(values, column.type)]).take(place)
+
+            text = batch.column("text")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int32()),
-                 pa.array(words, pa.int32()), pa.array(spans, spans_type)],
+                [batch.column("row"), whole(text, [c[0] for c in cut]),
+                 batch.column("n_units").fill_null(0),
+                 whole(pa.array(np.zeros(n, np.int32)), [c[2] for c in cut]),
+                 whole(pa.array([[]] * n, spans_type), [c[3] for c in cut])],
                 names=["row", "text", "n_units", "removed_words", "removed"])
     return run
 
@@ -356,8 +433,9 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
                    ) -> DataFrame:
     """The rows of ``docs`` with their text cleaned, and n_units, removed_words, removed.
 
-    ``removed`` lists (start, size, units) of what went, in characters of the original
-    text. A null text stays null and an empty one empty. A null doc_id ranks last; among
+    ``removed`` lists (start, size, units, blanks) of what went, in characters of the
+    original text: ``size`` of a run, and the ``blanks`` behind it; the text without both is
+    the cleaned one. A null text stays null and an empty one empty. A null doc_id ranks last; among
     texts of one doc_id a hash of the text decides. Rows that repeat doc_id and text have
     one rank and lose the same, so the earliest keeps its units in each of them. An empty table gives
     no rows; other columns stay as they are (those with the names above are replaced).
@@ -365,12 +443,20 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
     keyed = docs.withColumn("__key", F.xxhash64("text"))
     narrow = keyed.select("doc_id", F.col("__key").alias("text_key"), "text").filter(
         "text is not null")
-    places = narrow.mapInArrow(_emit(unit_words), _PLACES)
+    # written, so that the texts are cut into units once
+    emitted = settled(narrow.mapInArrow(_emit(unit_words), _PLACES))
+    counts = emitted.filter("size < 0").select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"),
+        F.col("at").alias("n_units")).distinct()
+    places = emitted.filter("size >= 0")
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "at")
-    # rows that repeat a document repeat its places, so a count says nothing: compare ends
-    firsts = settled(
-        places.groupBy("high", "low").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-        .filter("first <> last").select("high", "low", "first"))
+    # rows that repeat a document repeat its places, so a count says nothing: compare ends;
+    # by a hash of the place first, which few digests have two of and which needs no sort
+    place = F.xxhash64("doc_id", "text_key", "at")
+    several = (places.groupBy("high", "low").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+               .filter("a <> b").select("high", "low"))
+    places = settled(places.join(several, ["high", "low"], "left_semi"))
+    firsts = places.groupBy("high", "low").agg(F.min(rank).alias("first"))
     first = [F.col(f"first.{c}").alias(a) for c, a in (
         ("doc_id", "a_id"), ("text_key", "a_key"), ("at", "a_at"))]
     found = settled(places.join(firsts, ["high", "low"]).filter(rank != F.col("first"))
@@ -394,12 +480,15 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
               .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), "around"))
     again = (found.join(around, F.col("doc_id").eqNullSafe(F.col("__id"))
                         & (F.col("text_key") == F.col("__text_key")), "left")
-             .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"),
+             .select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"),
                      "again", "around"))
+    told = counts.join(again, F.col("__id").eqNullSafe(F.col("c_id"))
+                       & (F.col("__text_key") == F.col("c_key")), "left").drop("c_id", "c_key")
     out = [c for c in docs.columns if c not in ("text", "n_units", "removed_words", "removed")]
     rows = keyed.select(F.struct(*out).alias("row"), "text", "__key").join(
-        again, F.col("row.doc_id").eqNullSafe(F.col("__id"))
-        & (F.col("__key") == F.col("__text_key")), "left").select("row", "text", "again", "around")
+        told, F.col("row.doc_id").eqNullSafe(F.col("__id"))
+        & (F.col("__key") == F.col("__text_key")), "left").select(
+            "row", "text", "n_units", "again", "around")
     schema = (StructType().add("row", StructType([docs.schema[c] for c in out]))
               .add("text", "string").add("n_units", "integer").add("removed_words", "integer")
               .add("removed", _SPANS))

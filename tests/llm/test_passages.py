@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import xxhash
+
 from graphload.llm import passages
 from helpers import AWKWARD, documents
 
@@ -131,3 +134,63 @@ def test_passage_cut_inside_sentences(spark):
     rows = [(1, f"{line} The cat {say(9)}."), (2, f"{line} The cat {say(9)}.")]
     got = {r.doc_id: r.text for r in passages.dedup_passages(documents(spark, rows)).collect()}
     assert got[2] == rows[1][1][len(line) + 1:]
+
+
+def test_removed_spans_tell_all_that_went(spark):
+    """The original text without the spans and the blanks behind them is the cleaned text."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    changed = 0
+    for r in passages.dedup_passages(docs).collect():
+        left, done = [], 0
+        for span in r.removed:
+            left.append(texts[r.doc_id][done:span.start])
+            done = span.start + span["size"] + span.blanks
+        left.append(texts[r.doc_id][done:])
+        assert "".join(left) == r.text
+        changed += bool(r.removed)
+    assert changed > 100
+
+
+def plain_windows(words):
+    """Places of the windows that stand for a text, window by window and group by group."""
+    w, least = passages.WINDOW, passages.WINDOW_DISTINCT
+    alone = [passages.windows(np.array([xxhash.xxh3_64_intdigest(x) for x in words[i:i + w]],
+                                       np.uint64), np.array([w])) for i in range(len(words) - w + 1)]
+    value = [None if len(set(words[i:i + w])) < least else int(a[1].view(np.uint64)[0])
+             for i, a in enumerate(alone)]
+    groups = [range(i, i + passages.GROUP) for i in range(len(value) - passages.GROUP + 1)]
+    chosen = set()
+    for group in groups or [range(len(value))]:
+        fine = [(value[i], i) for i in group if value[i] is not None]
+        if fine:
+            chosen.add(min(fine)[1])
+    return sorted(chosen)
+
+
+def test_windows_of_many_texts_at_once():
+    rng = random.Random(2)
+    texts = [[f"w{rng.randrange(rng.choice([5, 30, 3000]))}" for _ in range(n)]
+             for n in (0, 15, 16, 20, 47, 48, 90, 3, 200, 16)]
+    each = np.array([xxhash.xxh3_64_intdigest(x) for t in texts for x in t], np.uint64)
+    ends = np.cumsum([len(t) for t in texts])
+    at, high, low = passages.windows(each, ends)
+    begins = ends - [len(t) for t in texts]
+    expected = [int(b) + i for b, t in zip(begins, texts) for i in plain_windows(t)]
+    assert at.tolist() == expected and len(set(zip(high.tolist(), low.tolist()))) == len(at)
+
+
+def test_growth_against_a_plain_search(spark):
+    """Of random texts that share a run of 60 words or more, what goes is a common run that no
+    word beside it continues, but for pieces of sentences too short for a unit."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    shared = [word() for _ in range(80)]
+    rows, kept = [], {}
+    for i in range(12):
+        before, after = [word() for _ in range(rng.randint(0, 30))], [word() for _ in range(20)]
+        first, last = (0, 80) if not i else (rng.randint(0, 20), rng.randint(68, 80))
+        rows.append((i, " ".join(before + shared[first:last] + after)))
+        kept[i] = " ".join(before + after) if i else rows[0][1]
+    got = {r.doc_id: r for r in passages.dedup_passages(documents(spark, rows)).collect()}
+    assert {i: got[i].text for i in got} == kept
