@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .files import read_csv, read_file
+from .files import read_csv, read_file, read_json_sampled
 from .jdbc import PRESETS, jdbc_url, read_jdbc
 from .shapes import cells_to_rows
 from .sql import sql_source
@@ -29,11 +29,20 @@ def _file(spark, spec, fields):
 
 
 def _json(spark, spec, fields):
-    """JSON lines. ``"schema": "text"`` takes the needed fields as texts, without the pass
-    over the data that finds types; a key that occurs nowhere is then NULL."""
+    """JSON lines in one pass over the data.
+
+    The needed fields have the types that the first lines show; a line that does not fit
+    them stops the job where one of its fields is used. ``"schema": "text"`` takes the fields
+    as texts (a key that occurs nowhere is then NULL), ``"schema": "infer"`` finds types that
+    hold for all lines, with a pass of its own; so does a read that names no fields.
+    """
     schema = spec.get("schema")
     if schema == "text":
         schema = StructType([StructField(f, StringType()) for f in fields])
+    elif schema is None and fields:
+        return read_json_sampled(spark, spec["path"], fields, spec.get("partition_spec"))
+    elif schema == "infer":
+        schema = None
     return read_file(spark, "json", spec["path"], spec.get("partition_spec"), schema)
 
 

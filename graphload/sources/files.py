@@ -21,6 +21,36 @@ def read_file(spark: SparkSession, kind: str, path: str, partition_spec: str | N
     return df if partition_spec is None else df.filter(partition_spec.replace("/", " AND "))
 
 
+# Lines of JSON whose types are taken for those of all lines.
+SAMPLE_LINES = 500
+_CORRUPT = "__corrupt"
+
+
+def read_json_sampled(spark: SparkSession, path: str, fields: list[str],
+                      partition_spec: str | None = None, lines: int = SAMPLE_LINES) -> DataFrame:
+    """``fields`` of JSON lines, with the types of the first ``lines`` lines.
+
+    Only those are read twice. A field that they do not have is text. A whole JSON line with
+    a value of another type raises when one of its fields is used; a line that is no JSON
+    gives NULLs, as without types.
+    """
+    first = spark.read.text(path).filter(F.length("value") > 0).select("value").limit(lines)
+    seen = spark.read.json(spark.sparkContext.parallelize([r.value for r in first.collect()], 1)
+                           ).schema
+    kinds = {f.name: f.dataType for f in seen}
+    schema = T.StructType([T.StructField(f, kinds.get(f, T.StringType())) for f in fields]
+                          + [T.StructField(_CORRUPT, T.StringType())])
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+    if partition_spec is not None:
+        rows = rows.filter(partition_spec.replace("/", " AND "))
+    other = F.col(_CORRUPT).isNotNull() & F.try_parse_json(_CORRUPT).isNotNull()
+    stop = F.raise_error(F.concat(
+        F.lit('a value is not of the type that the first lines show; name a schema, "text" or '
+              '"infer": '), F.substring(_CORRUPT, 1, 200)))
+    return rows.select(*[F.when(other, stop.cast(schema[f].dataType)).otherwise(
+        F.col(f"`{f}`")).alias(f) for f in fields])
+
+
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = False,
              partition_spec: str | None = None) -> DataFrame:
     """Delimited text, every column a string; without header columns are _c0, _c1, ..."""

@@ -34,6 +34,15 @@ def src_json(spark, sf_dir):
     return read_source(spark, {"type": "json", "path": path})
 
 
+@query("SELECT c_custkey, c_name, c_acctbal, NULL::VARCHAR AS absent FROM customer")
+def src_json_sampled(spark, sf_dir):
+    """Needed fields of JSON lines with the types of the first lines, in one pass."""
+    path = scratch_path(spark, "customer.json")
+    table(spark, sf_dir, "customer").write.json(path)
+    return read_source(spark, {"type": "json", "path": path},
+                       ["c_custkey", "c_name", "c_acctbal", "absent"])
+
+
 @query("SELECT doc_id::VARCHAR AS doc_id, lang, source, n_chars::VARCHAR AS n_chars, "
        "CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN NULL ELSE lang END AS note "
        "FROM documents")

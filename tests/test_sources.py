@@ -1,4 +1,5 @@
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -245,3 +246,36 @@ def test_json_as_text_keeps_keys_that_occur_nowhere(spark, tmp_path):
     spark.createDataFrame([(1, "x")], "id int, name string").write.json(path)
     got = read_source(spark, {"type": "json", "path": path, "schema": "text"}, ["id", "gone"])
     assert got.columns == ["id", "gone"] and got.collect() == [("1", None)]
+
+
+def test_json_types_come_from_the_first_lines(spark, tmp_path):
+    """One scan of the needed fields; lines that fit no type are noticed, broken ones are NULL."""
+    path = tmp_path / "a.json"
+    head = [json.dumps({"id": i, "s": f"x{i}", "d": i / 2, "deep": {"k": i}, "more": "y"})
+            for i in range(600)]
+    path.write_text("\n".join([*head, '{"id": 600, "s": 7}', "no json", ""]))
+    fields = ["id", "s", "d", "deep", "gone"]
+    rows = read_source(spark, {"type": "json", "path": str(path)}, fields)
+    assert rows.dtypes == [("id", "bigint"), ("s", "string"), ("d", "double"),
+                           ("deep", "struct<k:bigint>"), ("gone", "string")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan json") == 1 and "more" not in plan
+    got = rows.collect()
+    assert len(got) == 602 and got[5].deep.k == 5 and got[600].s == "7"
+    assert got[601].id is None and got[601].gone is None
+    path.write_text("\n".join([*head, '{"id": "many"}']))
+    rows = read_source(spark, {"type": "json", "path": str(path)}, fields)
+    with pytest.raises(Exception, match="not of the type that the first lines show"):
+        rows.collect()
+    assert rows.count() == 601
+    infer = read_source(spark, {"type": "json", "path": str(path), "schema": "infer"}, ["id"])
+    assert dict(infer.dtypes)["id"] == "string" and infer.count() == 601
+
+
+def test_json_in_folders_by_value(spark, tmp_path):
+    path = str(tmp_path / "j")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, day string").write.partitionBy(
+        "day").json(path)
+    rows = read_source(spark, {"type": "json", "path": path, "partition_spec": "day='a'"},
+                       ["id", "day"])
+    assert [tuple(r) for r in rows.collect()] == [(1, "a")]
