@@ -22,10 +22,11 @@ def _laid_out(edges: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
     Parallel edges are one edge with their number as weight. The edges are dealt out
     by (src, salt) once; the checkpoint keeps that layout, so no round moves them.
     """
-    weighted = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")))
+    weighted = write_once(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")),
+                          name="weighted")
     degrees = weighted.groupBy("src").agg(F.count(F.lit(1)).alias("__out"))
     limit = (degrees.agg(F.sum("__out")).first()[0] or 0) / HOT_SHARE
-    hot = cut_lineage(degrees.filter(F.col("__out") > limit).select("src"))
+    hot = write_once(degrees.filter(F.col("__out") > limit).select("src"), name="hot")
     marked = hot.withColumn("__hot", F.lit(True))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(0)
     salted = weighted.join(F.broadcast(marked), "src", "left").select(

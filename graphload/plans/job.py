@@ -25,7 +25,7 @@ from ..operators.prepare import (
     apply_filter, enforce, preview, problem_of, required_fields, with_composite_key,
 )
 from ..operators.rows import repartition_to
-from ..operators.publish import new_run, publish_kv
+from ..operators.publish import new_run, publish_kv, retire
 from ..operators.resume import Load, mark_step, plan_load
 from ..operators.slices import (
     Slice, offset_splits, read_slices, rows_of_step, source_count, step_of,
@@ -37,7 +37,7 @@ from ..operators.stats import load_stats
 from ..sources import read_source, resolve_paths
 from ..spec import EdgeSpec, GraphTarget, Label, VertexSpec, bind_schema
 from ..storage import remove, scratch_path
-from ..streaming import stream_load
+from ..streaming import StreamCounters, stream_load
 
 SINKS = ("statements", "kv")
 # Parts that a resumable read is delivered in.
@@ -127,6 +127,7 @@ class Job:
     failures: str | None = None
     results: str | None = None
     kv_path: str | None = None
+    kv_keep: int | None = None
 
     @staticmethod
     def from_dict(d: dict) -> "Job":
@@ -147,7 +148,10 @@ class Job:
             if key in options:
                 options[key] = tuple(options[key])
         job = Job(target, entities, dict(d.get("spark_conf", {})), DeliveryOptions(**options),
-                  d.get("existence", False), d.get("failures"), d.get("results"), d.get("kv_path"))
+                  d.get("existence", False), d.get("failures"), d.get("results"), d.get("kv_path"),
+                  d.get("kv_keep"))
+        if job.kv_keep is not None and job.kv_keep < 1:
+            raise ValueError("kv_keep is the number of published sets that stay, 1 or more")
         if job.kv_path is None and any(e.sink == "kv" for e in entities):
             raise ValueError("kv entities need kv_path")
         if job.failures is None and any(e.resumable for e in entities):
@@ -163,6 +167,8 @@ class JobReport:
     ``run`` names the folders of this run below ``results`` and ``failures``, the folder of
     the dead letters (one in the shared folder when the job names none). ``kv_paths`` has
     the files of this run; ``kv_path``/<entity> is where readers find the current set.
+    ``counters`` follow the streams while they run; ``called_off`` names entities that were
+    ended by another's error.
     """
 
     run: str = ""
@@ -172,6 +178,7 @@ class JobReport:
     kv_paths: dict[str, str] = field(default_factory=dict)
     streams: list = field(default_factory=list)
     called_off: list[str] = field(default_factory=list)
+    counters: StreamCounters | None = None
     seconds: float = 0.0
 
 
@@ -314,9 +321,11 @@ def _run_entity(spark: SparkSession, job: Job, number: int, entity: Entity, foun
         rows = rows.drop(*found.index)
         kv = (vertex_kv(rows, spec, job.target, job.existence) if spec.kind == "vertex"
               else edge_kv(rows, spec, job.target))
+        path = f"{job.kv_path}/{name}"
         report.kv_paths[name] = publish_kv(
-            kv, f"{job.kv_path}/{name}", report.run,
-            entity.partition if entity.partition > 0 else None).data
+            kv, path, report.run, entity.partition if entity.partition > 0 else None).data
+        if job.kv_keep is not None:
+            retire(spark, path, job.kv_keep)
         return None
     results = None
     for part, rows in _parts(entity, found, rows):
@@ -347,7 +356,10 @@ def _run_all(spark: SparkSession, report: JobReport, inputs: list[tuple[int, Ent
         name = f"{entity.spec.label}-{number}"
         sc.setJobGroup(name, f"{entity.spec.kind} {entity.spec.label}")
         sc.setLocalProperty("spark.scheduler.pool", name)
-        sc.addJobTag(f"{report.run}.{name}")
+        if not entity.streaming:
+            # streams outlive this thread and are stopped by their query; besides, Python
+            # listeners of Spark 4.1 cannot read the start of a stream that has tags
+            sc.addJobTag(f"{report.run}.{name}")
         return work(number, entity, found)
 
     tables, errors = [], []
@@ -416,6 +428,9 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
             if found.indexed is not None:
                 remove(spark, found.indexed)
 
+    if any(e.streaming for _, e, _ in inputs):
+        report.counters = StreamCounters()
+        spark.streams.addListener(report.counters)
     tables, errors = _run_all(spark, report, inputs, work, concurrent, on_error == "cancel")
     report.seconds = time.monotonic() - started
     if tables:
@@ -424,6 +439,8 @@ def run_job(spark: SparkSession, job: Job, factory: Callable[[], object] | None
     if errors:
         for query in report.streams:
             query.stop()
+        if report.counters is not None:
+            spark.streams.removeListener(report.counters)
         errors[0].report = report
         raise errors[0]
     return report

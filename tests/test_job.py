@@ -205,6 +205,13 @@ def test_streams_are_started_together(spark, tables, tmp_path):
     for query in report.streams:
         query.processAllAvailable()
         query.stop()
+    for _ in range(100):
+        if len(report.counters.ended) == 2:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(report.counters)
+    # after the filter of the entity
+    assert sorted(t["rows"] for t in report.counters.totals.values()) == [2, 3]
     text = "\n".join(recorded(log))
     assert '1: ("Ann", 30)' in text and "1->2@5: (5)" in text
 
@@ -375,6 +382,16 @@ def test_dead_letters_lie_where_the_report_says(spark, tables):
     assert lines == ['INSERT VERTEX `firm`(`name`) VALUES 9: ("Acme")']
 
 
+def test_old_sets_go_when_a_job_says_how_many_stay(spark, tables):
+    d = {**describe(tables, "kv"), "kv_keep": 2}
+    d["vertices"], d["edges"] = d["vertices"][1:], []
+    runs = [run_job(spark, Job.from_dict(d)).run for _ in range(3)]
+    folders = [n for n in os.listdir(f"{tables['kv']}/firm-0") if n.startswith("run=")]
+    assert sorted(folders) == sorted(f"run={r}" for r in runs[1:])
+    with pytest.raises(ValueError):
+        Job.from_dict({**d, "kv_keep": 0})
+
+
 def test_a_key_value_job_runs_again(spark, tables):
     d = describe(tables, "kv")
     first = run_job(spark, Job.from_dict(d))
