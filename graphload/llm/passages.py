@@ -24,6 +24,8 @@ import re
 from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import islice
+from struct import unpack
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from ..storage import remove, scratch_path, write_once
 from .common import settled, table
 
 UNIT_WORDS = 4
@@ -102,8 +105,18 @@ def long_enough(words: list[str], unit_words: int) -> bool:
 
 def unit_digest(words: list[str]) -> tuple[int, int]:
     """128 bits of a unit as two signed longs."""
-    raw = xxhash.xxh3_128_digest(" ".join(words).encode())
-    return int.from_bytes(raw[:8], "big", signed=True), int.from_bytes(raw[8:], "big", signed=True)
+    return unpack(">qq", xxhash.xxh3_128_digest(" ".join(words).encode()))
+
+
+def has_lone(text: str) -> bool:
+    """Whether a text has a character that is a word of its own."""
+    return not text.isascii() and _LONE.search(text) is not None
+
+
+def tokens_of(text: str) -> list[str]:
+    """The tokens of all units of a text."""
+    lone = has_lone(text)
+    return [t for words in unit_words_of(text) for t in (tokens(words) if lone else words)]
 
 
 def tokens(words: list[str]) -> list[str]:
@@ -193,7 +206,7 @@ def _emit(unit_words: int):
     hashes = Hashes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[] for _ in schema]
+        held: list[tuple] = []
         each, texts = array("Q"), []
 
         def flush():
@@ -208,27 +221,22 @@ def _emit(unit_words: int):
                     pa.array(np.zeros(len(at), np.int32)))
             return pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([pa.array(c, f.type), m])
-                 for c, m, f in zip(held, more, schema)], schema=schema)
+                 for c, m, f in zip(zip(*held), more, schema)], schema=schema)
 
         for batch in batches:
             for doc_id, key, text in zip(*(batch.column(n).to_pylist()
                                            for n in ("doc_id", "text_key", "text"))):
-                begin, count = len(each), 0
-                lone = not text.isascii() and _LONE.search(text) is not None
+                begin, count, lone = len(each), 0, has_lone(text)
                 for words in unit_words_of(text):
                     cut, count = tokens(words) if lone else words, count + 1
-                    if long_enough(words, unit_words):
-                        high, low = unit_digest(words)
-                        for column, value in zip(held, (high, low, doc_id, key,
-                                                        len(each) - begin, len(cut))):
-                            column.append(value)
+                    if len(words) >= unit_words or long_enough(words, unit_words):
+                        held.append((*unit_digest(words), doc_id, key, len(each) - begin, len(cut)))
                     each.extend(map(hashes.__getitem__, cut))
-                for column, value in zip(held, (0, 0, doc_id, key, count, -1)):
-                    column.append(value)
+                held.append((0, 0, doc_id, key, count, -1))
                 texts.append((doc_id, key, len(each)))
-                if len(each) >= TOKENS or len(held[0]) >= ROWS:
+                if len(each) >= TOKENS or len(held) >= ROWS:
                     yield flush()
-                    held, each, texts = [[] for _ in schema], array("Q"), []
+                    held, each, texts = [], array("Q"), []
         if texts:
             yield flush()
     return run
@@ -310,7 +318,7 @@ def _contexts():
             held = []
             for a_id, a_key, text, wanted in zip(*(batch.column(n).to_pylist() for n in (
                     "doc_id", "text_key", "text", "wanted"))):
-                whole = [t for _, _, words in units(text) for t in tokens(words)]
+                whole = tokens_of(text)
                 for w in wanted:
                     at = w["a_at"]
                     beside = (whole[at:at + CONTEXT] if w["right"]
@@ -357,12 +365,14 @@ def grown_runs(whole: list[str], borders: list[int], again: list[dict], around:
 
 
 def cleaned(text: str, again: set[int], unit_words: int, min_words: int,
-            passages: list[tuple[int, int]] = []) -> tuple[str, int, int, list[dict]]:
+            passages: list[tuple[int, int]] = [], found: list | None = None
+            ) -> tuple[str, int, int, list[dict]]:
     """(text without its repeated runs, units, words removed, removed spans).
 
-    ``again``: units that are not the first; ``passages``: characters that go besides.
+    ``again``: units that are not the first; ``passages``: characters that go besides;
+    ``found``: the units, where the caller has them.
     """
-    found = list(units(text))
+    found = list(units(text)) if found is None else found
     gone = [(found[first][0], found[last][1])
             for first, last in repeated_runs(found, again, unit_words, min_words)]
     merged: list[tuple[int, int]] = []
@@ -387,15 +397,23 @@ def cleaned(text: str, again: set[int], unit_words: int, min_words: int,
 
 def _cut(text: str, again: list[dict], around: list[dict], unit_words: int, min_words: int):
     """``cleaned`` by the places that occur earlier and the words beside those."""
-    whole, places, borders = [], [], []
-    for first, end, words in units(text):
+    found, lone = list(units(text)), has_lone(text)
+    whole, borders = [], []
+    for _, _, words in found:
         borders.append(len(whole))
-        whole += tokens(words)
-        places += [(first + m.start(), first + m.end()) for m in _TOKEN.finditer(text[first:end])]
+        whole += tokens(words) if lone else words
+
+    def span(token: int) -> tuple[int, int]:
+        """Characters of a token; only the unit it stands in is cut."""
+        n = bisect_right(borders, token) - 1
+        first, end, _ = found[n]
+        m = next(islice(_TOKEN.finditer(text[first:end]), token - borders[n], None))
+        return first + m.start(), first + m.end()
+
     unit = {at: n for n, at in enumerate(borders)}
     runs = grown_runs(whole, [*borders, len(whole)], again, around, unit_words)
     return cleaned(text, {unit[m["at"]] for m in again if m["size"]}, unit_words, min_words,
-                   [(places[a][0], places[b - 1][1]) for a, b in runs])
+                   [(span(a)[0], span(b - 1)[1]) for a, b in runs], found)
 
 
 def _clean(unit_words: int, min_words: int):
@@ -443,11 +461,13 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
     keyed = docs.withColumn("__key", F.xxhash64("text"))
     narrow = keyed.select("doc_id", F.col("__key").alias("text_key"), "text").filter(
         "text is not null")
-    # written, so that the texts are cut into units once
-    emitted = settled(narrow.mapInArrow(_emit(unit_words), _PLACES))
-    counts = emitted.filter("size < 0").select(
+    # written, so that the texts are cut into units once; removed when what is needed of it,
+    # the digests that have several places, is written
+    folder = scratch_path(docs.sparkSession, "emitted")
+    emitted = write_once(narrow.mapInArrow(_emit(unit_words), _PLACES), folder)
+    counts = settled(emitted.filter("size < 0").select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"),
-        F.col("at").alias("n_units")).distinct()
+        F.col("at").alias("n_units")).distinct())
     places = emitted.filter("size >= 0")
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "at")
     # rows that repeat a document repeat its places, so a count says nothing: compare ends;
@@ -456,6 +476,7 @@ def dedup_passages(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int
     several = (places.groupBy("high", "low").agg(F.min(place).alias("a"), F.max(place).alias("b"))
                .filter("a <> b").select("high", "low"))
     places = settled(places.join(several, ["high", "low"], "left_semi"))
+    remove(docs.sparkSession, folder)
     firsts = places.groupBy("high", "low").agg(F.min(rank).alias("first"))
     first = [F.col(f"first.{c}").alias(a) for c, a in (
         ("doc_id", "a_id"), ("text_key", "a_key"), ("at", "a_at"))]
