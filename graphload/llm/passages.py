@@ -131,10 +131,14 @@ def long_piece(piece: list[str], unit_words: int) -> bool:
     return long_enough(piece, unit_words + sum(1 for t in piece if _LONE.match(t)))
 
 
+# Windows whose neighbours are compared at once.
+PART = 1 << 14
+
+
 class Hashes(dict):
     """64 bits of a word, kept for the next time it comes; emptied when many are held."""
 
-    MOST = 1 << 19
+    MOST = 1 << 16
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.MOST:
@@ -180,8 +184,10 @@ def windows(each: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         groups = np.lib.stride_tricks.sliding_window_view(value, GROUP)
         sizes = counts[long] - GROUP + 1
         firsts = np.repeat(begins[long] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        chosen.append(np.unique(groups[firsts].argmin(axis=1) + firsts))
-    chosen = np.sort(np.concatenate(chosen))
+        # part by part, as each takes GROUP numbers for every window
+        chosen += [np.unique(groups[part].argmin(axis=1) + part)
+                   for part in np.array_split(firsts, -(-len(firsts) // PART))]
+    chosen = np.unique(np.concatenate(chosen))
     chosen = chosen[value[chosen] != most]
     return chosen, high[chosen].view(np.int64), low[chosen].view(np.int64)
 
