@@ -102,7 +102,7 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, fold, windows): WINDOWS random windows of each whole text."""
+    """(doc_id, text_key, lang, order, windows): WINDOWS random windows of each whole text."""
     for batch in batches:
         for part in small_slices(batch, "text", SLICE):
             buckets, cuts = subwords(part.column("text"))
@@ -114,8 +114,9 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 rows.append(rng.choice(own, WINDOWS).astype(np.int32) if len(own)
                             else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column("lang"), part.column("order"),
-                 pa.array(rows, pa.list_(pa.int32()))], names=["lang", "order", "windows"])
+                [*(part.column(c) for c in ("doc_id", "text_key", "lang", "order")),
+                 pa.array(rows, pa.list_(pa.int32()))],
+                names=["doc_id", "text_key", "lang", "order", "windows"])
 
 
 def learning_rows(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE,
@@ -139,10 +140,13 @@ def learning_rows(docs: DataFrame, usable: Column, per_language: int = PER_LANGU
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", *key))
     chosen = (near.withColumn("place", place).filter(F.col("place") <= per_language)
               .orderBy("place", "lang", "doc_id", "text_key").limit(most).select(*key))
-    # at most ``most`` rows, whatever the data
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # ``chosen`` has at most ``most`` rows, whatever the data; copies of a row go when its
+    # text, which may be long, has become windows
     return (keyed.select("order", "text", *key).join(F.broadcast(chosen), key, "left_semi")
-            .dropDuplicates(key).select("text", "lang", "order")
-            .mapInArrow(_sample_windows, "lang string, order long, windows array<int>"))
+            .mapInArrow(_sample_windows, f"doc_id {kind}, text_key long, lang string, order long, "
+                        "windows array<int>")
+            .dropDuplicates(key).select("lang", "order", "windows"))
 
 
 def fit(rows: list) -> LanguageModel:
