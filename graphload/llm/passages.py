@@ -200,6 +200,16 @@ _ENDS = "doc_id long, text_key long, a_id long, a_key long, right boolean, a_at
 _CONTEXTS = "a_id long, a_key long, right boolean, a_at int, context string"
 
 
+# Rows that a task holds as Python objects at once.
+PIECE = 512
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE):
+            yield batch.slice(start, PIECE)
+
+
 # Tokens whose windows are made at once.
 TOKENS = 1 << 16
 
@@ -229,7 +239,7 @@ def _emit(unit_words: int):
                 [pa.concat_arrays([pa.array(c, f.type), m])
                  for c, m, f in zip(zip(*held), more, schema)], schema=schema)
 
-        for batch in batches:
+        for batch in _pieces(batches):
             for doc_id, key, text in zip(*(batch.column(n).to_pylist()
                                            for n in ("doc_id", "text_key", "text"))):
                 begin, count, lone = len(each), 0, has_lone(text)
@@ -320,7 +330,7 @@ def _contexts():
                         ("a_at", pa.int32()), ("context", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             held = []
             for a_id, a_key, text, wanted in zip(*(batch.column(n).to_pylist() for n in (
                     "doc_id", "text_key", "text", "wanted"))):
@@ -428,7 +438,7 @@ def _clean(unit_words: int, min_words: int):
                                      ("units", pa.int32()), ("blanks", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             n = batch.num_rows
             touched = np.flatnonzero(batch.column("again").is_valid().to_numpy(
                 zero_copy_only=False))
