@@ -155,7 +155,7 @@ def fit(rows: list) -> LanguageModel:
     Every fifth row calibrates and is not learned from, unless its language has no other.
     """
     rows = sorted((r for r in rows if len(r["windows"])),
-                  key=lambda r: (r["order"], r["lang"], r["windows"]))
+                  key=lambda r: (r["order"], r["lang"], r["windows"].tobytes()))
     languages = tuple(sorted({r["lang"] for r in rows}))
     if not languages:
         return LanguageModel((), np.zeros((1 << BITS, 1)), None, np.zeros(1), 1.0, 0.0)
@@ -206,7 +206,14 @@ def fit(rows: list) -> LanguageModel:
 
 def train(docs: DataFrame, usable: Column) -> LanguageModel:
     """The model of (doc_id, text, lang), learned from the rows where ``usable`` holds."""
-    return fit(learning_rows(docs, usable).collect())
+    # as Arrow: lists of Python's numbers would take ten times the memory
+    found = learning_rows(docs, usable).toArrow()
+    windows = found.column("windows").combine_chunks()
+    places, values = windows.offsets.to_numpy(), windows.values.to_numpy(zero_copy_only=False)
+    return fit([{"lang": lang, "order": order, "windows": values[start:stop]}
+                for lang, order, start, stop in zip(found.column("lang").to_pylist(),
+                                                    found.column("order").to_pylist(),
+                                                    places[:-1], places[1:])])
 
 
 def _predictor(model: LanguageModel):
