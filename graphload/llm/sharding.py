@@ -4,6 +4,8 @@ Spark sums the bytes of hash blocks inside every old shard (at most shards x blo
 rows, whatever the data), the driver solves the flow between old and new shards and
 deals whole blocks along it, and the small block plan goes back as a broadcast of
 that proven size. Rows are numbered inside (shard, block), never inside a shard.
+Whole rows move once: a block's new shard is known before the shuffle, which deals
+them out as they are written.
 """
 
 from __future__ import annotations
@@ -17,10 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..storage import remove, scratch_path
-from .common import settled, table
+from .common import table
 
 SHARDS = 16
 BLOCKS = 1024
+# Tasks that number and write the rows of one new shard, at most.
+SLICES = 32
+# Old and new files lie side by side until the job is done.
+COMPRESSION = "zstd"
 
 
 def min_cost_flow(old: Sequence[int], capacity: Sequence[int]) -> list[dict[int, int]]:
@@ -115,6 +121,30 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
+def _marked(rows: DataFrame, old: Column, size: Column, key: list[Column], blocks: int
+            ) -> DataFrame:
+    return (rows.withColumn("old_shard", old.cast("int")).withColumn("__size", size)
+            .withColumn("__block", F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int")))
+
+
+def _block_plan(marked: DataFrame, shards: int) -> list[tuple[int, int, int, int]]:
+    sums = marked.groupBy("old_shard", "__block").agg(F.sum("__size"), F.count(F.lit(1)))
+    return deal_blocks([tuple(r) for r in sums.collect()], shards)
+
+
+def _placed(marked: DataFrame, plan: list[tuple[int, int, int, int]], key: list[Column]
+            ) -> DataFrame:
+    """Rows with shard and slot, dealt out by shard and slice: one shuffle, one sort."""
+    moves = marked.sparkSession.createDataFrame(
+        plan, "old_shard int, __block int, shard int, __first long")
+    place = F.row_number().over(Window.partitionBy(
+        "shard", "__slice", "old_shard", "__block").orderBy(*key, "__size"))
+    return (marked.drop("shard").join(F.broadcast(moves), ["old_shard", "__block"])
+            .withColumn("__slice", F.col("__block") % SLICES).repartition("shard", "__slice")
+            .withColumn("slot", F.col("__first") + place - 1)
+            .drop("__block", "__slice", "__size", "__first"))
+
+
 def reshard(rows: DataFrame, old: Column, size: Column, key: list[Column], shards: int = SHARDS,
             blocks: int = BLOCKS) -> DataFrame:
     """``rows`` with old_shard, shard and slot.
@@ -125,18 +155,8 @@ def reshard(rows: DataFrame, old: Column, size: Column, key: list[Column], shard
     names are replaced. Nulls in ``key`` are a value like others (a null doc_id sorts
     first), and a null text has the size that ``size`` gives it.
     """
-    spark = rows.sparkSession
-    marked = (rows.withColumn("old_shard", old.cast("int")).withColumn("__size", size)
-              .withColumn("__block", F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int")))
-    sums = marked.groupBy("old_shard", "__block").agg(F.sum("__size"), F.count(F.lit(1)))
-    plan = deal_blocks([tuple(r) for r in sums.collect()], shards)
-    moves = spark.createDataFrame(
-        plan, "old_shard int, __block int, shard int, __first long")
-    place = F.row_number().over(Window.partitionBy("old_shard", "__block").orderBy(*key, "__size"))
-    return (marked.drop("shard").withColumn("__place", place)
-            .join(F.broadcast(moves), ["old_shard", "__block"])
-            .withColumn("slot", F.col("__first") + F.col("__place") - 1)
-            .drop("__block", "__size", "__place", "__first"))
+    marked = _marked(rows, old, size, key, blocks)
+    return _placed(marked, _block_plan(marked, shards), key)
 
 
 def affected_shards(resharded: DataFrame) -> list[int]:
@@ -146,6 +166,11 @@ def affected_shards(resharded: DataFrame) -> list[int]:
     return sorted({s for pair in pairs for s in pair})
 
 
+def _write_shards(rows: DataFrame, path: str) -> None:
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard")
+     .parquet(path, compression=COMPRESSION))
+
+
 def rewrite_affected(resharded: DataFrame, path: str) -> list[int]:
     """Write the affected shards as ``path/shard=N``; returns them.
 
@@ -155,9 +180,8 @@ def rewrite_affected(resharded: DataFrame, path: str) -> list[int]:
     """
     changed = affected_shards(resharded)
     left = resharded.filter(F.col("shard").isin(changed))
-    (left.drop("old_shard").repartition("shard", F.pmod(F.col("slot"), F.lit(8)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard")
-     .parquet(path))
+    _write_shards(left.drop("old_shard").repartition("shard", F.pmod(F.col("slot"), F.lit(8))),
+                  path)
     # one row for each shard
     filled = {r["shard"] for r in left.select("shard").distinct().collect()}
     for shard in set(changed) - filled:
@@ -169,32 +193,46 @@ def reshard_files(rows: DataFrame, path: str, old: Column, size: Column, key: li
                   shards: int = SHARDS, blocks: int = BLOCKS) -> tuple[DataFrame, list[int]]:
     """(rows as the shards below ``path`` have them, shards that were written again).
 
-    ``rows`` are laid out as ``path/shard=N`` by ``old``, resharded as ``reshard`` does, and
-    the affected shards written anew; what comes back is read from those files, and for the
-    shards that kept theirs from the plan, which numbers their rows.
+    ``rows``, with all their columns, are laid out as ``path/shard=N`` by ``old``, resharded
+    as ``reshard`` does, and the affected shards written anew; what comes back is read from
+    those files, and for the shards that kept theirs from the plan, which numbers their rows.
+    Old files go only when all new ones are written, so they are read while those are made.
     """
     spark = rows.sparkSession
-    rows.withColumn("shard", old.cast("int")).write.partitionBy("shard").parquet(path)
-    kinds = StructType([*rows.schema, StructField("shard", IntegerType())])
-    placed = settled(reshard(spark.read.schema(kinds).parquet(path), F.col("shard"), size, key,
-                             shards, blocks))
-    changed = rewrite_affected(placed, path)
-    columns = [*rows.columns, "shard", "slot"]
+    rows.withColumn("shard", old.cast("int")).write.partitionBy("shard").parquet(
+        path, compression=COMPRESSION)
+    kinds = StructType([*[f for f in rows.schema if f.name != "shard"],
+                        StructField("shard", IntegerType())])
+    marked = _marked(spark.read.schema(kinds).parquet(path), F.col("shard"), size, key, blocks)
+    plan = _block_plan(marked, shards)
+    before, after = {shard for shard, *_ in plan}, {goal for _, _, goal, _ in plan}
+    changed = sorted({s for shard, _, goal, _ in plan if shard != goal for s in (shard, goal)})
+    placed = _placed(marked, plan, key)
+    columns = [*[c for c in rows.columns if c not in ("shard", "slot")], "shard", "slot"]
+    if changed:
+        # a row in an affected shard comes from one, so the others are not read
+        _write_shards(placed.filter(F.col("old_shard").isin(changed)).select(*columns), path)
+    for shard in set(changed) - after:
+        remove(spark, f"{path}/shard={shard}")
     kinds = StructType([placed.schema[c] for c in columns])
     written = spark.read.schema(kinds).parquet(path).filter(F.col("shard").isin(changed))
-    kept = placed.filter(~F.col("shard").isin(changed)).select(*columns)
-    return written.select(*columns).unionByName(kept), changed
+    found = written.select(*columns)
+    if not before <= set(changed):
+        found = found.unionByName(
+            placed.filter(~F.col("old_shard").isin(changed)).select(*columns))
+    return found, changed
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that lie by source in 16 uneven shards, evened out in bytes."""
+    """Documents that lie by source in 16 uneven shards, evened out in bytes; whole documents
+    are moved, and what is returned is read from the shards they came to lie in."""
     docs = table(spark, sf_dir, "documents")
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     old = F.pmod(F.crc32(F.encode(F.coalesce("source", F.lit("")), "UTF-8")), F.lit(SHARDS))
-    narrow = docs.select("doc_id", text_size(F.col("text")).alias("size"),
-                         crc.alias("text_crc32"), old.alias("old"))
-    placed, _ = reshard_files(narrow, scratch_path(spark, "shards"), F.col("old"), F.col("size"),
-                              [F.col("doc_id"), F.col("text_crc32")])
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                         F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"),
-                         F.col("old").cast("int").alias("old_shard"))
+    size = text_size(F.col("text"))
+    placed, _ = reshard_files(docs, scratch_path(spark, "shards"), old, size,
+                              [F.col("doc_id"), crc])
+    return placed.select("doc_id", size.alias("size"), crc.alias("text_crc32"),
+                         F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long"),
+                         F.lit(None).cast("int").alias("grown_shard"),
+                         old.cast("int").alias("old_shard"))

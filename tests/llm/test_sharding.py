@@ -114,3 +114,14 @@ def test_shards_that_keep_their_rows_keep_their_files(spark, tmp_path):
     assert sorted(r.id for r in got) == list(range(300))
     for shard in range(3):
         assert sorted(r.slot for r in got if r["shard"] == shard) == list(range(100))
+
+
+def test_whole_documents_lie_in_the_shards(spark, data, tmp_path, monkeypatch):
+    path = str(tmp_path / "shards")
+    monkeypatch.setattr(sharding, "scratch_path", lambda *a: path)
+    said = {r.doc_id: (r["shard"], r.slot) for r in sharding.op9_sharding(spark, data).collect()}
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    there = spark.read.parquet(path).collect()
+    assert sorted(tuple(r[c] for c in docs.columns) for r in there) == sorted(
+        map(tuple, docs.collect()))
+    assert {r.doc_id: (r["shard"], r.slot) for r in there} == said
