@@ -13,6 +13,9 @@ from ..spec import EdgeSpec, GraphTarget, VertexSpec, bind_schema
 from .rows import dedup
 from .statements import id_value, rank_value
 
+# Rows that a task sorts, some 200 MB of keys and values with what the sort needs.
+ROWS_PER_TASK = 1_000_000
+
 
 def typed_properties(schema: StructType, spec: VertexSpec | EdgeSpec, target: GraphTarget
                      ) -> Column:
@@ -102,13 +105,19 @@ def sort_kv(df: DataFrame, *before: str) -> DataFrame:
     return df.sortWithinPartitions(*before, "key")
 
 
+def sort_tasks(rows: int, least: int = 1) -> int:
+    """Tasks (and ranges of files) for so many rows: their number grows, not their size."""
+    return max(least, -(-rows // ROWS_PER_TASK))
+
+
 def write_kv(kv: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists"
              ) -> None:
     """Sorted key/value files under ``path/part=<p>/prefix=<k>/``.
 
     Tasks take ranges of (part, prefix, key), so files of one part never
     overlap, a large part is written by many tasks and small parts share one.
-    The values are built after the shuffle, from the narrower typed properties.
+    ``files`` is the number of ranges (``sort_tasks`` of the rows), by default the
+    session's shuffle partitions. The values are built after the shuffle, from the narrower typed properties.
     """
     order = ["part", "prefix", "key"]
     ranged = kv.repartitionByRange(files, *order) if files else kv.repartitionByRange(*order)

@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graphload.functions import key_part, key_prefix
-from graphload.operators.kv import edge_kv, sort_kv, vertex_kv, with_value, write_kv
+from graphload.operators.kv import (
+    edge_kv, sort_kv, sort_tasks, vertex_kv, with_value, write_kv,
+)
 from graphload.operators.publish import (
     current_set, publish_kv, read_kv, read_manifest, set_problems, sets_of,
 )
@@ -137,9 +139,13 @@ def kv_files(spark, sf_dir):
 @query(_EDGE_SQL + "SELECT part, prefix, key, value, 0::BIGINT AS wrong FROM k")
 def kv_sorted(spark, sf_dir):
     """Rows sorted in their tasks: none comes before its predecessor."""
-    rows = with_value(edge_kv(table(spark, sf_dir, "lineitem"), _EDGE_SPEC, INT_GRAPH))
-    placed = cut_lineage(sort_kv(rows.repartition(5, "key")).withColumn(
+    lines = table(spark, sf_dir, "lineitem")
+    tasks = sort_tasks(2 * lines.count(), 5)
+    rows = with_value(edge_kv(lines, _EDGE_SPEC, INT_GRAPH))
+    placed = cut_lineage(sort_kv(rows.repartition(tasks, "key")).withColumn(
         "task", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()))
+    # a task's rows are looked at in a task of their own
+    placed = placed.repartitionById(tasks, "task")
     before = F.lag("key").over(Window.partitionBy("task").orderBy("place"))
     wrong = F.coalesce((before >= F.col("key")).cast("bigint"), F.lit(0))
     return placed.withColumn("wrong", wrong).select(

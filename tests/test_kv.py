@@ -3,10 +3,12 @@ import os
 
 from pyspark.sql import functions as F
 
+from graphload.operators import kv
 from graphload.operators.kv import (
     edge_kv, edge_rows, kv_value, sort_kv, vertex_kv, with_value, write_kv,
 )
 from graphload.spec import EdgeSpec, GraphTarget, Label, VertexSpec
+from loadqueries import keyvalue
 from test_values import FOURTEEN, MARKER
 
 NAMES = [f"col{i + 1}" for i in range(14)]
@@ -101,3 +103,13 @@ def test_ranks_default_to_zero(spark):
     rows = spark.createDataFrame([(1, 2)], "l_orderkey int, l_partkey int")
     spec = EdgeSpec("contains", "l_orderkey", "l_partkey")
     assert edge_rows(rows, spec, EDGES).first()["rank"] == 0
+
+
+def test_sorted_tasks_grow_in_number(spark, data, monkeypatch):
+    """Tasks that sort and look at rows follow the rows, whatever the session's partitions."""
+    monkeypatch.setattr(kv, "ROWS_PER_TASK", 1000)
+    lines = spark.read.parquet(f"{data}/lineitem.parquet").count()
+    found = keyvalue.kv_sorted(spark, data)
+    counts = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(counts) == -(-2 * lines // 1000)
+    assert max(r["count"] for r in counts) < 2000
