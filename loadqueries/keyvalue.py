@@ -60,6 +60,8 @@ def kv_vertices_text_ids(spark, sf_dir):
     return _shown(with_value(vertex_kv(table(spark, sf_dir, "customer"), spec, STRING_GRAPH)))
 
 
+# Consecutive rows of a file that are looked at together.
+_RUN = 16384
 _EDGE_SPEC = EdgeSpec("contains", "l_orderkey", "l_partkey", "l_linenumber", ("l_returnflag",),
                       ("flag",))
 _EDGE_SQL = f"""
@@ -117,23 +119,41 @@ def kv_files(spark, sf_dir):
     in front of it has ended.
     """
     path = scratch_path(spark, "kv")
-    write_kv(edge_kv(table(spark, sf_dir, "lineitem"), _EDGE_SPEC, INT_GRAPH), path, 6)
-    rows = spark.read.parquet(path).select(
+    lines = table(spark, sf_dir, "lineitem")
+    tasks = sort_tasks(2 * lines.count(), 6)
+    write_kv(edge_kv(lines, _EDGE_SPEC, INT_GRAPH), path, tasks)
+    return _file_checks(spark.read.parquet(path), tasks)
+
+
+def _file_checks(rows, tasks):
+    """Runs of rows of a file are looked at in about ``tasks`` tasks, then against each other."""
+    run = ["part", "prefix", "file_path", "run"]
+    rows = rows.select(
         "part", "prefix", F.lower(F.hex("key")).alias("key"), F.col("value").cast("string"),
-        "_metadata.file_path", "_metadata.row_index")
-    before = F.lag("key").over(Window.partitionBy("file_path").orderBy("row_index"))
+        "_metadata.file_path", "_metadata.row_index",
+        F.floor(F.col("_metadata.row_index") / _RUN).alias("run"))
+    dealt = rows.repartition(tasks, "file_path", "run")
+    before = F.lag("key").over(Window.partitionBy(*run).orderBy("row_index"))
     digest = F.conv(F.substring(F.md5(F.concat("key", "value")), 1, 8), 16, 10).cast("bigint")
-    files = rows.withColumn("before", before).groupBy("part", "prefix", "file_path").agg(
+    # the groups are those of the window, so its order serves for both
+    runs = dealt.withColumn("before", before).groupBy(*run).agg(
         F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"),
         F.sum(digest).alias("content"),
         F.sum((F.col("before") >= F.col("key")).cast("bigint")).alias("wrong"))
-    ended = F.max("last").over(Window.partitionBy("part", "prefix").orderBy("first").rowsBetween(
-        Window.unboundedPreceding, -1))
-    return files.withColumn("ended", ended).groupBy("part", "prefix").agg(
+
+    def ended(groups, place):
+        return F.max("last").over(Window.partitionBy(*groups).orderBy(place).rowsBetween(
+            Window.unboundedPreceding, -1))
+
+    late = F.coalesce((F.col("ended") >= F.col("first")).cast("bigint"), F.lit(0))
+    files = runs.withColumn("ended", ended(run[:3], "run")).groupBy(*run[:3]).agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.sum("content").alias("content"),
+        F.sum(F.coalesce("wrong", F.lit(0)) + late).alias("wrong"))
+    return files.withColumn("ended", ended(run[:2], "first")).groupBy("part", "prefix").agg(
         F.sum("n").alias("n"), F.min("first").alias("first_key"), F.max("last").alias("last_key"),
-        F.sum("content").alias("content"), F.sum(F.coalesce("wrong", F.lit(0))).alias("out_of_order"),
-        F.sum(F.coalesce((F.col("ended") >= F.col("first")).cast("bigint"), F.lit(0)))
-        .alias("overlaps"))
+        F.sum("content").alias("content"), F.sum("wrong").alias("out_of_order"),
+        F.sum(late).alias("overlaps"))
 
 
 @query(_EDGE_SQL + "SELECT part, prefix, key, value, 0::BIGINT AS wrong FROM k")
@@ -161,10 +181,13 @@ def kv_published(spark, sf_dir):
     readers see, beside what the manifest says of the files."""
     path = scratch_path(spark, "published")
     lines = table(spark, sf_dir, "lineitem")
-    publish_kv(edge_kv(lines.filter("l_orderkey % 2 = 0"), _EDGE_SPEC, INT_GRAPH), path, "one", 4)
+    n = lines.count()
+    half, whole = sort_tasks(n, 4), sort_tasks(2 * n, 6)
+    publish_kv(edge_kv(lines.filter("l_orderkey % 2 = 0"), _EDGE_SPEC, INT_GRAPH), path, "one",
+               half)
     write_kv(edge_kv(lines.filter("l_orderkey % 2 = 1"), _EDGE_SPEC, INT_GRAPH),
-             f"{path}/run=died", 4)
-    publish_kv(edge_kv(lines, _EDGE_SPEC, INT_GRAPH), path, "two", 6)
+             f"{path}/run=died", half)
+    publish_kv(edge_kv(lines, _EDGE_SPEC, INT_GRAPH), path, "two", whole)
     now = current_set(spark, path)
     said = read_manifest(spark, now).groupBy("part", "prefix").agg(
         F.sum("rows").alias("rows"), F.lower(F.hex(F.min("first_key"))).alias("first_key"),

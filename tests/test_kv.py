@@ -113,3 +113,25 @@ def test_sorted_tasks_grow_in_number(spark, data, monkeypatch):
     counts = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(counts) == -(-2 * lines // 1000)
     assert max(r["count"] for r in counts) < 2000
+
+
+def test_files_and_their_checks_grow_in_number(spark, data, monkeypatch, tmp_path):
+    path = str(tmp_path / "kv")
+    monkeypatch.setattr(kv, "ROWS_PER_TASK", 1000)
+    monkeypatch.setattr(keyvalue, "scratch_path", lambda *a: path)
+    keyvalue.kv_files(spark, data)
+    rows = spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()
+    lines = spark.read.parquet(f"{data}/lineitem.parquet").count()
+    assert len(rows) >= 2 * lines // 1000 and max(r["count"] for r in rows) < 2000
+
+
+def test_file_checks_see_rows_out_of_order(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(keyvalue, "_RUN", 4)
+    for name, keys, wrong in (("sorted", range(10), 0), ("inside", [0, 2, 1, *range(3, 10)], 1),
+                              ("between", [0, 1, 2, 4, 3, 5, 6, 7, 8, 9], 1)):
+        rows = spark.createDataFrame([(1, 2, bytes([k]), b"") for k in keys],
+                                     "part int, prefix int, key binary, value binary")
+        path = str(tmp_path / name)
+        rows.coalesce(1).write.partitionBy("part", "prefix").parquet(path)
+        found = keyvalue._file_checks(spark.read.parquet(path), 3).first()
+        assert (found.n, found.out_of_order, found.overlaps) == (10, wrong, 0), name
