@@ -120,7 +120,9 @@ def set_problems(spark: SparkSession, found: FileSet) -> DataFrame:
     Files may be missing, added or changed (other rows or keys, some out of order), and
     those of one part must not overlap.
     """
-    said, there = read_manifest(spark, found), file_manifest(spark, found.data)
+    # one row for each file, looked at twice: the keys are read once
+    said, there = read_manifest(spark, found), write_once(file_manifest(spark, found.data),
+                                                          name="there")
     both = said.select("file", F.struct("rows", "bytes", "first_key", "last_key").alias("said")).join(
         there.select("file", F.struct("rows", "bytes", "first_key", "last_key").alias("there")),
         "file", "full")

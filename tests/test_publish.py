@@ -5,11 +5,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from graphload.operators import publish
+from graphload.operators import kv, publish
 from graphload.operators.kv import edge_kv, write_kv
 from graphload.operators.publish import (
     current_set, publish_kv, read_kv, read_manifest, retire, set_problems, sets_of,
 )
+from loadqueries import keyvalue
 from test_kv import EDGES, LINES
 
 
@@ -110,3 +111,21 @@ def test_empty_set(spark, edges, tmp_path):
     found = publish_kv(edges.limit(0), path, files=2)
     assert read_kv(spark, path).isEmpty() and read_manifest(spark, found).isEmpty()
     assert set_problems(spark, found).isEmpty()
+
+
+def test_problems_read_the_keys_once(spark, edges, tmp_path):
+    found = publish_kv(edges, str(tmp_path / "kv"), files=3)
+    problems = set_problems(spark, found)
+    # what is compared is one row for each file, not the files' rows
+    assert not [f for f in problems.inputFiles() if found.data in f]
+    assert problems.isEmpty()
+
+
+def test_published_files_grow_in_number(spark, data, tmp_path, monkeypatch):
+    path = str(tmp_path / "sets")
+    monkeypatch.setattr(kv, "ROWS_PER_TASK", 1000)
+    monkeypatch.setattr(keyvalue, "scratch_path", lambda *a: path)
+    keyvalue.kv_published(spark, data)
+    lines = spark.read.parquet(f"{data}/lineitem.parquet").count()
+    said = read_manifest(spark, current_set(spark, path)).collect()
+    assert len(said) >= 2 * lines // 1000 and max(r["rows"] for r in said) < 2000
