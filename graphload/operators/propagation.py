@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage, keep_layout, write_once
+from ..storage import cut_lineage, keep_layout, partitions_for, write_once
 
 # A source with more than 1/HOT_SHARE of all edges is hot, so at most
 # HOT_SHARE sources are: the list of hot sources is always small.
 HOT_SHARE = 200
+# Edges that a task joins and whose votes it counts, some 250 MB.
+EDGES_PER_TASK = 1_000_000
 
 
 class NotConverged(RuntimeError):
@@ -61,15 +63,18 @@ def peer_pressure(vertices: DataFrame, edges: DataFrame, max_iter: int = 30, sal
     after ``max_iter`` rounds raise NotConverged, or are returned as they are if
     ``partial`` results are asked for.
     """
-    ids = vertices.select("id").filter(F.col("id").isNotNull()).distinct()
-    labels = cut_lineage(ids.withColumn("label", F.col("id")))
-    edges, hot = _laid_out(edges.select("src", "dst"), salts)
-    for _ in range(max_iter):
-        # a written table forgets the constraints of its plan, which would grow by round
-        voted = write_once(_round(labels, edges, hot, salts), name="round")
-        labels = voted.select("id", "label")
-        if voted.filter("label <> old").isEmpty():
-            return labels
+    edges = edges.select("src", "dst")
+    # one pass without columns, so that the number of tasks and not their size grows
+    with partitions_for(edges.sparkSession, -(-edges.count() // EDGES_PER_TASK)):
+        ids = vertices.select("id").filter(F.col("id").isNotNull()).distinct()
+        labels = cut_lineage(ids.withColumn("label", F.col("id")))
+        edges, hot = _laid_out(edges, salts)
+        for _ in range(max_iter):
+            # a written table forgets the constraints of its plan, which would grow by round
+            voted = write_once(_round(labels, edges, hot, salts), name="round")
+            labels = voted.select("id", "label")
+            if voted.filter("label <> old").isEmpty():
+                return labels
     if not partial:
         raise NotConverged(f"labels still change after {max_iter} rounds")
     return labels

@@ -11,6 +11,8 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,8 +58,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-# One thread at a time turns adaptive execution off and on again.
-_LAYOUT = threading.Lock()
+# One thread at a time changes settings of the session and sets them back.
+_LAYOUT = threading.RLock()
+
+
+@contextmanager
+def partitions_for(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Meanwhile shuffles have ``tasks`` partitions, if the session names fewer.
+
+    For aggregates whose tables grow with the data: a repartition in front of them would
+    cost their map-side step. The partitions are not joined again, as their compressed size
+    says little about such a table. Threads wait for each other, as in ``keep_layout``.
+    """
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    with _LAYOUT:
+        before = [spark.conf.get(name) for name in names]
+        if tasks > int(before[0]):
+            for name, value in zip(names, (str(tasks), "false")):
+                spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            for name, value in zip(names, before):
+                spark.conf.set(name, value)
 
 
 def keep_layout(df: DataFrame, *keys: str) -> DataFrame:

@@ -72,3 +72,24 @@ def test_many_rounds(spark):
     edges = [(i, i + 1) for i in range(n) for _ in range(3)]
     got = peer_pressure(*frames(spark, list(range(n + 1)), edges), max_iter=30)
     assert {r.label for r in got.collect()} == {0}
+
+
+def test_tasks_grow_in_number(spark, monkeypatch):
+    """The edges are dealt out by their number, and the session's settings come back."""
+    from graphload.operators import propagation
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    seen = []
+    laid_out = propagation._laid_out
+
+    def noted(edges, salts):
+        laid, hot = laid_out(edges, salts)
+        seen.append(laid.rdd.getNumPartitions())
+        return laid, hot
+
+    monkeypatch.setattr(propagation, "_laid_out", noted)
+    monkeypatch.setattr(propagation, "EDGES_PER_TASK", 20)
+    vertices, edges = list(range(40)), [(i, (i * 7 + j) % 40) for i in range(40) for j in range(9)]
+    got = peer_pressure(*frames(spark, vertices, edges), max_iter=2, partial=True)
+    assert dict(map(tuple, got.collect())) == brute(vertices, edges, 2)
+    assert seen == [18] and [spark.conf.get(n) for n in names] == before
